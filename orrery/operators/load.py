@@ -34,8 +34,12 @@ def dedupe_batch(df: DataFrame, keys: Sequence[str], version: Sequence[str] | No
 
 @dataclass(frozen=True)
 class DimRef:
-    """A natural-key -> surrogate-key lookup: ``fact[fact_col] = dim[natural]`` gives ``dim[surrogate]``."""
-    dim: DataFrame
+    """A natural-key -> surrogate-key lookup: ``fact[fact_col] = dim[natural]`` gives ``dim[surrogate]``.
+
+    ``dim`` is a DataFrame (joined; broadcast when its size is bounded) or a
+    small dict ``{natural: surrogate}`` (a map-literal lookup, no join at all).
+    """
+    dim: DataFrame | dict
     fact_col: str
     natural: str
     surrogate: str
@@ -48,6 +52,10 @@ def resolve_keys(df: DataFrame, dims: Sequence[DimRef]) -> tuple[DataFrame, Data
     instead of vanishing silently (D-06)."""
     out = df
     for i, d in enumerate(dims):
+        if isinstance(d.dim, dict):
+            pairs = [F.lit(x) for kv in d.dim.items() for x in kv]
+            out = out.withColumn(d.surrogate, F.try_element_at(F.create_map(*pairs), F.col(d.fact_col)))
+            continue
         lookup = d.dim.select(F.col(d.natural).alias(f"__nat{i}"), F.col(d.surrogate).alias(d.surrogate))
         if d.broadcast:
             lookup = F.broadcast(lookup)

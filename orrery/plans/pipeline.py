@@ -61,9 +61,11 @@ def transform(raw: DataFrame, mapping=None, mode: str = "strict", threshold: flo
     return anomaly_gate(final, keep_unscored=keep_unscored).filter(F.col("value").isNotNull())
 
 
-def to_fact_rows(transformed: DataFrame, dim_country: DataFrame, dim_indicator: DataFrame,
-                 dim_source: DataFrame, dim_date: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """Resolve natural codes to surrogate keys (J-04). Returns ``(fact_rows, orphans)``."""
+def to_fact_rows(transformed: DataFrame, dim_country: DataFrame, dim_indicator: DataFrame | dict,
+                 dim_source: DataFrame | dict, dim_date: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Resolve natural codes to surrogate keys (J-04). Returns ``(fact_rows, orphans)``.
+
+    Small code lists may be passed as ``{code: key}`` dicts (map lookup, no join)."""
     dims = [
         DimRef(dim_country, "country_code", "country_code", "country_key"),
         DimRef(dim_indicator, "indicator_code", "indicator_code", "indicator_key"),

@@ -75,6 +75,14 @@ def dim_indicator(spark: SparkSession) -> DataFrame:
         "indicator_key int, indicator_code string, indicator_name string, unit string, frequency string")
 
 
+def indicator_keys() -> dict[str, int]:
+    return {c: k for c, k, *_ in INDICATORS}
+
+
+def source_keys() -> dict[str, int]:
+    return {SOURCE_NAME: 1}
+
+
 def dim_source(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(1, SOURCE_NAME, 8)], "source_key int, source_name string, reliability int")
 

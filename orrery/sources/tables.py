@@ -18,17 +18,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+# One scan handle per (session, folder, table): the file listing and footer schema
+# are resolved once per process instead of on every access while building plans.
+_HANDLES: dict[tuple[int, str, str], DataFrame] = {}
+
+
 class Tables:
     """Lazy handles on every input table of one data folder."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
-        self.sf_dir = sf_dir
+        self.sf_dir = sf_dir.rstrip("/")
 
     def __getattr__(self, name: str) -> DataFrame:
-        if name in TABLES:
-            return table(self.spark, self.sf_dir, name)
-        raise AttributeError(name)
+        if name not in TABLES:
+            raise AttributeError(name)
+        k = (id(self.spark), self.sf_dir, name)
+        df = _HANDLES.get(k)
+        if df is None or df.sparkSession is not self.spark:
+            df = _HANDLES[k] = table(self.spark, self.sf_dir, name)
+        return df
 
     def register_views(self) -> None:
         for name in TABLES:
