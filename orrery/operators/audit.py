@@ -13,14 +13,20 @@ from pyspark.sql import functions as F
 
 def fk_audit(fact: DataFrame, checks: Sequence[tuple[str, str, DataFrame, str]]) -> DataFrame:
     """Orphan counts per foreign key (D-06): ``checks`` are
-    ``(name, fact_column, dimension, dimension_key)``. Each check is an anti join
-    followed by a count; the result has one row per check."""
+    ``(name, fact_column, dimension, dimension_key)``; one result row per check.
+
+    The fact is first reduced to one row per key value with its row count
+    (combined map-side, so a hot key costs one row per task), and only those
+    distinct values are anti-joined with the dimension keys. Rows with a NULL key
+    count as orphan rows (an inner join to the dimension drops them) but not as a key.
+    """
     parts = []
     for name, col, dim, key in checks:
         keys = dim.select(F.col(key).alias("__k")).distinct()
-        orphans = fact.select(F.col(col).alias("__fk")).join(keys, F.col("__fk") == F.col("__k"), "left_anti")
-        parts.append(orphans.agg(F.count(F.lit(1)).alias("orphan_rows"),
-                                 F.count_distinct("__fk").alias("orphan_keys"))
+        per_key = fact.groupBy(F.col(col).alias("__fk")).agg(F.count(F.lit(1)).alias("__n"))
+        orphans = per_key.join(keys, F.col("__fk") == F.col("__k"), "left_anti")
+        parts.append(orphans.agg(F.coalesce(F.sum("__n"), F.lit(0)).cast("long").alias("orphan_rows"),
+                                 F.count("__fk").alias("orphan_keys"))
                      .select(F.lit(name).alias("fk_name"), "orphan_rows", "orphan_keys"))
     return reduce(DataFrame.unionByName, parts)
 

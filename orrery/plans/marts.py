@@ -105,6 +105,21 @@ def sector_heatmap(market: DataFrame, dim_date: DataFrame, dim_sector: DataFrame
                      F.col("sector_name").asc())
 
 
+def sector_heatmap_from_summary(summary: DataFrame, dim_date: DataFrame, dim_sector: DataFrame,
+                                year_start: int = 2020, scale: int = 6) -> DataFrame:
+    """M-03 over a pre-aggregated market summary (see ``market_quarter_summary``):
+    the same averages, from sums and counts."""
+    d = dim_date.filter(F.col("year") >= year_start).select(
+        "date_key", F.col("year").cast("int").alias("year"), F.col("quarter").cast("int").alias("quarter"))
+    s = dim_sector.select("sector_key", "sector_name")
+    j = summary.join(bounded(d), "date_key").join(bounded(s), "sector_key")
+    g = j.groupBy("sector_name", "year", "quarter").agg(
+        F.round((F.try_divide(F.sum("close_over_open"), F.sum("n_priced")) - 1) * 100, scale).alias("return_pct"),
+        F.round(F.try_divide(F.sum("pe_sum").cast("double"), F.sum("n")), 4).alias("pe_ratio"))
+    return g.orderBy(F.col("year").desc_nulls_first(), F.col("quarter").desc_nulls_first(),
+                     F.col("sector_name").asc())
+
+
 def country_map(fact: DataFrame, dim_date: DataFrame, dim_country: DataFrame, dim_indicator: DataFrame,
                 as_of: Column | None = None, columns: dict[str, str] | None = None,
                 latest_with_data: bool = False) -> DataFrame:

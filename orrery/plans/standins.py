@@ -207,12 +207,17 @@ def trade_fact(t: Tables, since_year: int | None = None) -> DataFrame:
     )
 
 
+def _since(li: DataFrame, since_year: int | None) -> DataFrame:
+    if since_year is None:
+        return li
+    return li.filter(F.col("l_shipdate") >= F.lit(f"{since_year}-01-01").cast("timestamp_ntz"))
+
+
 def market_fact(t: Tables, since_year: int | None = None) -> DataFrame:
     """One market observation per lineitem: open = part retail price,
     close = unit price, P/E = part size; country = supplier nation."""
-    li = t.lineitem.select("l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate")
-    if since_year is not None:
-        li = li.filter(F.col("l_shipdate") >= F.lit(f"{since_year}-01-01").cast("timestamp_ntz"))
+    li = _since(t.lineitem.select("l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate"),
+                since_year)
     p = t.part.select("p_partkey", "p_type", "p_size", "p_retailprice")
     s = t.supplier.select("s_suppkey", "s_nationkey")
     sectors = dim_sector(t)
@@ -227,3 +232,30 @@ def market_fact(t: Tables, since_year: int | None = None) -> DataFrame:
         (F.col("l_extendedprice") / F.col("l_quantity")).alias("close_price"),
         F.col("p_size").cast("double").alias("pe_ratio"),
     )
+
+
+def market_quarter_summary(t: Tables, since_year: int | None = None) -> DataFrame:
+    """Market observations pre-aggregated per (part, quarter) before the join to part.
+
+    The open price and P/E depend on the part only, so per part and quarter the
+    rows reduce to ``(sum close, count)``; the join to ``part`` then moves one row
+    per part and quarter instead of one per lineitem. Output grain: quarter-end
+    ``date_key`` x sector, with ``close_over_open`` = sum(close / open) over rows
+    whose open price is not 0, ``n_priced`` their count, ``n`` all rows and
+    ``pe_sum`` = sum of P/E.
+    """
+    li = _since(t.lineitem.select("l_partkey", "l_quantity", "l_extendedprice", "l_shipdate"), since_year)
+    d = F.col("l_shipdate")
+    g = li.groupBy("l_partkey", F.year(d).alias("y"), F.quarter(d).alias("q")).agg(
+        F.sum(F.col("l_extendedprice") / F.col("l_quantity")).alias("close_sum"),
+        F.count(F.lit(1)).alias("n"))
+    p = t.part.select("p_partkey", "p_type", "p_size", "p_retailprice")
+    sectors = dim_sector(t)
+    j = g.join(p, g.l_partkey == p.p_partkey).join(bounded(sectors), F.col("p_type") == sectors.sector_code)
+    priced = F.col("p_retailprice") != 0
+    return j.groupBy(F.date_format(F.last_day(F.make_date("y", F.col("q") * 3, F.lit(1))), "yyyyMMdd").cast("int")
+                     .alias("date_key"), "sector_key").agg(
+        F.sum(F.when(priced, F.col("close_sum") / F.col("p_retailprice"))).alias("close_over_open"),
+        F.sum(F.when(priced, F.col("n"))).alias("n_priced"),
+        F.sum("n").alias("n"),
+        F.sum(F.col("n") * F.col("p_size")).alias("pe_sum"))
