@@ -38,12 +38,13 @@ def standardise_country(df: DataFrame, col: str = "country_code_2", out: str = "
     """Add the standard code and drop rows whose code does not resolve (F-02).
 
     ``mapping`` may be a dict (inlined as a map literal) or a two-column
-    DataFrame ``(code_2, code_3)`` for large maps, joined with a left join the
-    optimiser may broadcast by its own size estimate.
+    DataFrame ``(code_2, code_3)`` for large maps, left-joined and broadcast
+    only when a capped count shows it is small.
     """
     if isinstance(mapping, DataFrame):
+        from orrery.operators.joins import broadcast_if_small
         src, dst = mapping.columns[:2]
-        m = mapping.select(F.col(src).alias("__code2"), F.col(dst).alias("__code3"))
+        m = broadcast_if_small(mapping.select(F.col(src).alias("__code2"), F.col(dst).alias("__code3")))
         joined = df.join(m, df[col] == m["__code2"], "left")
         res = joined.withColumn(out, F.when(F.length(col) == 3, F.col(col)).otherwise(F.col("__code3")))
         return res.drop("__code2", "__code3").filter(F.col(out).isNotNull())

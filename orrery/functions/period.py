@@ -87,8 +87,8 @@ def key_to_date(key: str | Column) -> Column:
 def parse_period(df, col: str = "period", mode: str = "strict"):
     """Add ``year``, ``quarter``, ``month`` (extended only) and ``date_key``."""
     p = F.col(col)
-    out = df.withColumn("year", period_year(p, mode)).withColumn("quarter", period_quarter(p, mode))
+    y, q = period_year(p, mode), period_quarter(p, mode)
     if mode == "extended":
-        out = out.withColumn("month", period_month(p, mode))
-        return out.withColumn("date_key", period_end_key(F.col("year"), F.col("quarter"), F.col("month")))
-    return out.withColumn("date_key", period_end_key(F.col("year"), F.col("quarter")))
+        m = period_month(p, mode)
+        return df.withColumns({"year": y, "quarter": q, "month": m, "date_key": period_end_key(y, q, m)})
+    return df.withColumns({"year": y, "quarter": q, "date_key": period_end_key(y, q)})

@@ -31,9 +31,11 @@ def pct_change_prev(df: DataFrame, keys: Sequence[str], order: Sequence[str | Co
                     out: str = "yoy_change", scale: int | None = 4, use_abs: bool = True,
                     keep_prev: bool = True) -> DataFrame:
     """Change against whatever row comes before (W-01 + W-02): the pipeline's ``yoy_change``."""
-    res = prev_value(df, keys, order, value, "prev_value")
-    res = res.withColumn(out, pct_change(value, "prev_value", scale, use_abs))
-    return res if keep_prev else res.drop("prev_value")
+    w = Window.partitionBy(*keys).orderBy(*_asc(order))
+    prev = F.lag(value, 1).over(w)
+    if keep_prev:
+        return df.withColumns({"prev_value": prev, out: pct_change(value, prev, scale, use_abs)})
+    return df.withColumn(out, pct_change(value, prev, scale, use_abs))
 
 
 def period_index(year: str | Column, sub: str | Column | None = None, per_year: int = 1) -> Column:
@@ -94,8 +96,8 @@ def revision_flag(df: DataFrame, keys: Sequence[str], order: Sequence[str], valu
     b = F.col(bucket) if isinstance(bucket, str) else bucket
     tagged = df.withColumn("__bucket", b)
     w_in = Window.partitionBy(*keys, "__bucket").orderBy(*_asc(order))
-    inner = tagged.withColumn("__prev_in", F.lag(value, 1).over(w_in)) \
-                  .withColumn("__first_in", F.row_number().over(w_in) == 1)
+    inner = tagged.withColumns({"__prev_in": F.lag(value, 1).over(w_in),
+                                "__first_in": F.row_number().over(w_in) == 1})
     order_struct = F.struct(*[F.col(c) for c in order])
     last = (tagged.groupBy(*keys, "__bucket")
             .agg(F.max_by(F.col(value), order_struct).alias("__last")))

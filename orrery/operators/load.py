@@ -106,7 +106,7 @@ def append_rows(df: DataFrame, path: str, partition_by: Sequence[str] = (), sort
 
 
 def load_if_absent(batch: DataFrame, target_path: str, keys: Sequence[str], partition_by: Sequence[str] = (),
-                   version: Sequence[str] | None = None) -> int:
+                   version: Sequence[str] | None = None, sort_within: Sequence[str] = ()) -> int:
     """Idempotent load of ``batch`` into the Parquet table at ``target_path``.
 
     New rows are computed against the files listed before the write starts and
@@ -128,7 +128,7 @@ def load_if_absent(batch: DataFrame, target_path: str, keys: Sequence[str], part
     from pyspark.sql import Observation
     obs = Observation("load")
     observed = new_rows.observe(obs, F.count(F.lit(1)).alias("rows"))
-    append_rows(observed, target_path, partition_by)
+    append_rows(observed, target_path, partition_by, sort_within)
     return int(obs.get["rows"])
 
 

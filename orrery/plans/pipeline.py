@@ -116,7 +116,8 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, warehouse: str, run_id: st
     processed = raw_zone.read_run(spark, f"{warehouse}/processed", run_id)
     facts, _ = to_fact_rows(processed, dims["country"], dims["indicator"], dims["source"], dims.get("date"))
     facts = facts.withColumn("year", F.floor(F.col("date_key") / 10000).cast("int"))
-    loaded = load_if_absent(facts, f"{warehouse}/fact_economic_indicators", list(NATURAL_KEY), ["year"])
+    loaded = load_if_absent(facts, f"{warehouse}/fact_economic_indicators", list(NATURAL_KEY), ["year"],
+                            sort_within=["date_key", "country_key"])
 
     report = RunReport(run_id, int(raw_obs.get["rows"]), int(tr_obs.get["rows"]), loaded, "SUCCESS")
     append_metrics(spark, f"{warehouse}/pipeline_metrics", run_id, "load", report.loaded_rows, report.status)

@@ -269,11 +269,10 @@ def _monthly_obs(t: Tables, orders_filter=None) -> DataFrame:
                 return df.filter(orders_filter) if name == "orders" else df
         tt = _Filtered(t.spark, t.sf_dir)
     raw = si.raw_observations(tt, "month")
-    return raw.withColumn("country_code", standard_code("country_code_2", si.STANDIN_ISO2)) \
-              .filter(F.col("country_code").isNotNull()) \
-              .withColumn("date_key", period_end_key(period_year("period", "extended"),
-                                                     period_quarter("period", "extended"),
-                                                     period_month("period", "extended")))
+    return raw.withColumns({
+        "country_code": standard_code("country_code_2", si.STANDIN_ISO2),
+        "date_key": period_end_key(period_year("period", "extended"), period_quarter("period", "extended"),
+                                   period_month("period", "extended"))}).filter(F.col("country_code").isNotNull())
 
 
 def q_insert_if_absent(spark, sf):

@@ -151,8 +151,8 @@ def measure_values(m: DataFrame) -> DataFrame:
 def raw_observations(t: Tables, grain: str = "year", run_id: str = "standin",
                      loaded_at: str = "1970-01-01T00:00:00") -> DataFrame:
     """Raw observation rows in the raw-zone schema (S-02), long form per indicator."""
-    wide = measure_values(order_measures(t, grain)).withColumn("period", period_text(grain)) \
-        .withColumn("country_code_2", raw_country_code("nationkey"))
+    wide = measure_values(order_measures(t, grain)).withColumns({
+        "period": period_text(grain), "country_code_2": raw_country_code("nationkey")})
     long = unpivot(wide, ["country_code_2", "period"], {
         "v_total": "ORD.TOTAL", "v_count": "ORD.COUNT", "v_avg": "ORD.AVG", "v_urgent": "ORD.URGENT"})
     unit = F.when(F.col("indicator_code") == "ORD.COUNT", "orders").when(
@@ -195,9 +195,10 @@ def trade_fact(t: Tables, since_year: int | None = None) -> DataFrame:
         F.col("c_nationkey").alias("importer_key"),
         F.col("sector_key"),
     ).agg(F.sum(ext).alias("export_value_usd"), F.sum(net).alias("import_value_usd"))
-    g = g.withColumn("trade_balance", F.col("export_value_usd") - F.col("import_value_usd")) \
-         .withColumn("__m", period_index(F.floor(F.col("date_key") / 10000), F.floor(F.col("date_key") / 100) % 100, 12)) \
-         .withColumn("__v", F.col("export_value_usd").cast("double"))
+    g = g.withColumns({
+        "trade_balance": F.col("export_value_usd") - F.col("import_value_usd"),
+        "__m": period_index(F.floor(F.col("date_key") / 10000), F.floor(F.col("date_key") / 100) % 100, 12),
+        "__v": F.col("export_value_usd").cast("double")})
     g = calendar_change(g, ["exporter_key", "importer_key", "sector_key"], "__m", "__v", 12, "yoy_growth", 4)
     return g.select(
         hash_key("date_key", "exporter_key", "importer_key", "sector_key").alias("trade_id"),
