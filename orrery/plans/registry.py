@@ -229,11 +229,9 @@ def q_trade_balance(spark, sf):
     emitted once for its exporter and once for its importer (no join of two aggregates)."""
     t = _t(spark, sf)
     li = t.lineitem.select("l_orderkey", "l_suppkey", "l_extendedprice", "l_shipdate")
-    o = t.orders.select("o_orderkey", "o_custkey")
-    c = t.customer.select("c_custkey", "c_nationkey")
     s = t.supplier.select("s_suppkey", "s_nationkey")
-    j = li.join(o, li.l_orderkey == o.o_orderkey).join(c, F.col("o_custkey") == c.c_custkey) \
-          .join(s, F.col("l_suppkey") == s.s_suppkey)
+    on = si.order_nation(t)
+    j = li.join(on, li.l_orderkey == on.o_orderkey).join(s, F.col("l_suppkey") == s.s_suppkey)
     v = money("l_extendedprice")
     zero = F.lit(0).cast("decimal(18,2)")
     sides = j.select(F.year("l_shipdate").alias("year"), F.explode(F.array(
