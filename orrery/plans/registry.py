@@ -8,7 +8,6 @@ work folder (``spark.checkpoint.dir``) and return a scan of what they wrote.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -386,8 +385,7 @@ def q_null_audit(spark, sf):
 def _staging(t: Tables) -> DataFrame:
     """Raw observations of three grains as staging text: the urgent share arrives
     with a percent sign, the other measures as plain numbers."""
-    parts = [si.raw_observations(t, g) for g in ("year", "quarter", "month")]
-    raw = reduce(DataFrame.unionByName, parts)
+    raw = si.raw_observations(t, "mixed", measures=si.order_measures_grains(t))
     text = F.when(F.col("indicator_code") == "ORD.URGENT", F.concat(F.col("value").cast("string"), F.lit("%"))) \
             .otherwise(F.col("value").cast("string"))
     return raw.select("indicator_code", F.col("country_code_2").alias("country_code"), "period",
