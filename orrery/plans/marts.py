@@ -1,8 +1,10 @@
 """The five analytic marts over the star schema (M-01..M-05).
 
 Each mart takes fact and dimension frames and returns a lazy DataFrame.
-Dimensions are broadcast when their size is bounded (countries, indicators,
-sectors, a calendar over a date range); facts are never broadcast.
+Only the calendar (bounded by its date span) carries a broadcast hint; other
+dimensions are broadcast by the planner's size estimate or by AQE once their
+runtime size is known, and stay sort-merge joins when they are large. Facts
+are never broadcast.
 Predicates on dimensions (code, country list, year) are applied before the
 joins so Catalyst can push what it can into the scans.
 """
@@ -36,10 +38,11 @@ TREND_COUNTRIES = ("USA", "CHN", "IND", "DEU", "GBR")
 
 
 def _star(fact: DataFrame, dim_date: DataFrame, dim_country: DataFrame, dim_indicator: DataFrame) -> DataFrame:
-    """fact x date x country x indicator, inner equi-joins on surrogate keys (J-01)."""
+    """fact x date x country x indicator, inner equi-joins on surrogate keys (J-01).
+    Only the calendar is hinted; the others are left to the size-based planner and AQE."""
     return (fact.join(bounded(dim_date), "date_key")
-                .join(bounded(dim_country), "country_key")
-                .join(bounded(dim_indicator), "indicator_key"))
+                .join(dim_country, "country_key")
+                .join(dim_indicator, "indicator_key"))
 
 
 def kpi_latest(fact: DataFrame, dim_date: DataFrame, dim_country: DataFrame, dim_indicator: DataFrame,
@@ -96,7 +99,7 @@ def sector_heatmap(market: DataFrame, dim_date: DataFrame, dim_sector: DataFrame
     d = dim_date.filter(F.col("year") >= year_start).select(
         "date_key", F.col("year").cast("int").alias("year"), F.col("quarter").cast("int").alias("quarter"))
     s = dim_sector.select("sector_key", "sector_name")
-    j = market.join(bounded(d), "date_key").join(bounded(s), "sector_key")
+    j = market.join(bounded(d), "date_key").join(s, "sector_key")
     ratio = F.try_divide(F.col("close_price"), F.nullif(F.col("open_price"), F.lit(0))) - 1
     g = j.groupBy("sector_name", "year", "quarter").agg(
         F.round(F.avg(ratio) * 100, scale).alias("return_pct"),
@@ -112,7 +115,7 @@ def sector_heatmap_from_summary(summary: DataFrame, dim_date: DataFrame, dim_sec
     d = dim_date.filter(F.col("year") >= year_start).select(
         "date_key", F.col("year").cast("int").alias("year"), F.col("quarter").cast("int").alias("quarter"))
     s = dim_sector.select("sector_key", "sector_name")
-    j = summary.join(bounded(d), "date_key").join(bounded(s), "sector_key")
+    j = summary.join(bounded(d), "date_key").join(s, "sector_key")
     g = j.groupBy("sector_name", "year", "quarter").agg(
         F.round((F.try_divide(F.sum("close_over_open"), F.sum("n_priced")) - 1) * 100, scale).alias("return_pct"),
         F.round(F.try_divide(F.sum("pe_sum").cast("double"), F.sum("n")), 4).alias("pe_ratio"))
@@ -157,8 +160,8 @@ def trade_flows(trade: DataFrame, dim_date: DataFrame, dim_country: DataFrame, d
     ce = dim_country.select(F.col("country_key").alias("exporter_key"), F.col("country_name").alias("exporter"))
     ci = dim_country.select(F.col("country_key").alias("importer_key"), F.col("country_name").alias("importer"))
     s = dim_sector.select("sector_key", "sector_name")
-    j = (trade.join(bounded(d), "date_key").join(bounded(ce), "exporter_key")
-              .join(bounded(ci), "importer_key").join(bounded(s), "sector_key"))
+    j = (trade.join(bounded(d), "date_key").join(ce, "exporter_key")
+              .join(ci, "importer_key").join(s, "sector_key"))
     g = j.groupBy("exporter", "importer", "sector_name", "year").agg(
         (F.sum("export_value_usd").cast("double") / 1e9).alias("export_bn"),
         (F.sum("import_value_usd").cast("double") / 1e9).alias("import_bn"),

@@ -17,7 +17,6 @@ from orrery.functions.keys import index_label
 from orrery.functions.numeric import envelope_high, envelope_low, money
 from orrery.functions.period import parse_period, period_end_key, period_month, period_quarter, period_year
 from orrery.operators import audit, change, dims, load, reshape
-from orrery.operators.joins import bounded
 from orrery.plans import marts, pipeline
 from orrery.plans import standins as si
 from orrery.session import work_dir
@@ -336,8 +335,8 @@ def q_dense_panel(spark, sf):
 def q_completeness_gap(spark, sf):
     t = _t(spark, sf)
     facts, d = _fact_yearly(t)
-    present = facts.join(bounded(d["country"].select("country_key", "country_code")), "country_key") \
-                   .join(bounded(d["indicator"].select("indicator_key", "indicator_code")), "indicator_key") \
+    present = facts.join(d["country"].select("country_key", "country_code"), "country_key") \
+                   .join(d["indicator"].select("indicator_key", "indicator_code"), "indicator_key") \
                    .select("country_code", "indicator_code", F.floor(F.col("date_key") / 10000).cast("int")
                            .alias("year"))
     b = si.year_bounds(t)

@@ -23,7 +23,6 @@ from orrery.functions.numeric import money
 from orrery.functions.period import date_key
 from orrery.operators.change import calendar_change, period_index
 from orrery.operators.dims import calendar_for_years
-from orrery.operators.joins import bounded
 from orrery.operators.reshape import unpivot
 from orrery.sources.tables import Tables
 
@@ -56,10 +55,10 @@ def raw_country_code(nationkey: str | Column) -> Column:
 # ---------------------------------------------------------------- dimensions
 
 def dim_country(t: Tables) -> DataFrame:
-    """nation + region; 25 rows at every scale, so broadcastable."""
+    """nation + region (25 rows in the data set; the planner broadcasts it by its file size)."""
     n = t.nation.select("n_nationkey", "n_name", "n_regionkey")
     r = t.region.select("r_regionkey", "r_name")
-    return n.join(bounded(r), n.n_regionkey == r.r_regionkey, "left").select(
+    return n.join(r, n.n_regionkey == r.r_regionkey, "left").select(
         F.col("n_nationkey").alias("country_key"),
         country_code("n_nationkey").alias("country_code"),
         F.col("n_name").alias("country_name"),
@@ -220,7 +219,7 @@ def trade_fact(t: Tables, since_year: int | None = None) -> DataFrame:
     j = (li.join(on, li.l_orderkey == on.o_orderkey)
            .join(s, F.col("l_suppkey") == s.s_suppkey)
            .join(p, F.col("l_partkey") == p.p_partkey)
-           .join(bounded(sectors), F.col("p_type") == sectors.sector_code))
+           .join(sectors, F.col("p_type") == sectors.sector_code))
     month_end = F.date_format(F.last_day(F.col("l_shipdate")), "yyyyMMdd").cast("int")
     ext = money("l_extendedprice")
     net = ext * (F.lit(1) - money("l_discount", 2, 4))
@@ -259,7 +258,7 @@ def market_fact(t: Tables, since_year: int | None = None) -> DataFrame:
     sectors = dim_sector(t)
     j = (li.join(p, li.l_partkey == p.p_partkey)
            .join(s, F.col("l_suppkey") == s.s_suppkey)
-           .join(bounded(sectors), F.col("p_type") == sectors.sector_code))
+           .join(sectors, F.col("p_type") == sectors.sector_code))
     return j.select(
         date_key("l_shipdate").alias("date_key"),
         F.col("s_nationkey").alias("country_key"),
@@ -287,7 +286,7 @@ def market_quarter_summary(t: Tables, since_year: int | None = None) -> DataFram
         F.count(F.lit(1)).alias("n"))
     p = t.part.select("p_partkey", "p_type", "p_size", "p_retailprice")
     sectors = dim_sector(t)
-    j = g.join(p, g.l_partkey == p.p_partkey).join(bounded(sectors), F.col("p_type") == sectors.sector_code)
+    j = g.join(p, g.l_partkey == p.p_partkey).join(sectors, F.col("p_type") == sectors.sector_code)
     priced = F.col("p_retailprice") != 0
     return j.groupBy(F.date_format(F.last_day(F.make_date("y", F.col("q") * 3, F.lit(1))), "yyyyMMdd").cast("int")
                      .alias("date_key"), "sector_key").agg(
