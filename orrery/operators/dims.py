@@ -68,6 +68,8 @@ def sequential_keys(df: DataFrame, order: Sequence[str], out: str = "key", start
     if n <= max_single_task_rows:
         return df.withColumn(out, (F.row_number().over(Window.orderBy(*order_cols)) + (start - 1)).cast("long"))
 
+    from orrery.session import shared_dir
+    shared_dir(df.sparkSession)  # checkpoint() needs the shared folder; registered only when unset
     sorted_df = df.sort(*order_cols).checkpoint()  # fixes partition boundaries for both passes below
     with_pid = sorted_df.withColumn("__pid", F.spark_partition_id()) \
                         .withColumn("__mid", F.monotonically_increasing_id())

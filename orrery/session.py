@@ -45,13 +45,14 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder: ``spark.checkpoint.dir`` if set, else the
     context's checkpoint folder; only when neither is set (local tests) a
-    temporary folder is created and registered as the checkpoint folder."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = spark.sparkContext.getCheckpointDir()
+    temporary folder is created. The folder is also registered as the context's
+    checkpoint folder when none is registered, so ``checkpoint()`` works."""
+    sc = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not base:
         base = tempfile.mkdtemp(prefix="orrery-run-")
-        spark.sparkContext.setCheckpointDir(base)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(base)
     return base.rstrip("/")
 
 
