@@ -113,11 +113,9 @@ def load_if_absent(batch: DataFrame, target_path: str, keys: Sequence[str], part
     appended; the path being read is never overwritten. Loading the same batch
     twice appends nothing the second time. Returns the number of appended rows.
     """
+    from orrery.session import path_exists
     spark = batch.sparkSession
-    try:
-        target = spark.read.parquet(target_path)
-    except Exception:  # first load: no table yet
-        target = None
+    target = spark.read.parquet(target_path) if path_exists(spark, target_path) else None  # None: first load
     if target is None:
         clean = batch
         for k in keys:

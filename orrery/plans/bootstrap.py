@@ -31,10 +31,8 @@ DIMENSIONS = {
 
 
 def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except Exception:  # not written yet
-        return None
+    from orrery.session import path_exists
+    return spark.read.parquet(path) if path_exists(spark, path) else None  # None: not written yet
 
 
 def add_dimension_rows(spark: SparkSession, path: str, rows: DataFrame, natural: str, surrogate: str) -> int:

@@ -56,6 +56,13 @@ def shared_dir(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists on its file system (local, HDFS or object store)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme so a local path can be handled by ``os``."""
     if path.startswith("file:"):
