@@ -37,3 +37,30 @@ def incremental_load(spark: SparkSession, raw_root: str, target: str, checkpoint
         q.awaitTermination()
         return q
     return w.trigger(processingTime=processing_time or "30 seconds").start()
+
+
+def ingest_landing(spark: SparkSession, landing: str, raw_root: str, checkpoint: str, run_id: str,
+                   indicator_from_path: str = r"([^/]+)\.json$", source: str = "World Bank",
+                   files_per_batch: int = 100):
+    """Landed payload files -> raw zone, on arrival (T-01 with S-01).
+
+    Each new file in ``landing`` is one ``[meta, rows]`` document; the
+    indicator code is taken from its file name. Rows are flattened with the
+    batch parser and appended to the raw zone under ``run=<run_id>``. The
+    checkpoint records which files were ingested, so a re-run reads only new
+    files. Runs with ``availableNow`` and returns the finished query.
+    """
+    from pyspark.sql import functions as F
+
+    from orrery.sources.payload import flatten_payload
+
+    docs = (spark.readStream.format("text").option("wholetext", True).option("maxFilesPerTrigger", files_per_batch)
+            .load(landing)
+            .select(F.col("value").alias("text"),
+                    F.regexp_extract(F.input_file_name(), indicator_from_path, 1).alias("indicator_code")))
+    raw = flatten_payload(docs, "text", "indicator_code", source=source, run_id=run_id).withColumn(
+        "run", F.lit(run_id))
+    q = (raw.writeStream.format("parquet").option("path", raw_root).option("checkpointLocation", checkpoint)
+         .partitionBy("run").outputMode("append").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return q

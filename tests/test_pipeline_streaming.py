@@ -58,3 +58,18 @@ def test_incremental_load_skips_done_files(spark, tmp_dir):
     raw_zone.write_run(obs.coalesce(1), raw, "b")  # a rerun of the same data: no new keys
     incremental_load(spark, raw, fact, ck, keys)
     assert spark.read.parquet(fact).count() == n
+
+
+def test_ingest_landing_on_arrival(spark, tmp_dir):
+    from orrery.streaming.ingest import ingest_landing
+    land, raw, ck = (os.path.join(tmp_dir, x) for x in ("landing", "raw", "ck"))
+    os.makedirs(land)
+    row = {"countryiso3code": "USA", "country": {"id": "US"}, "date": "2020", "value": 1.0}
+    _land(land, "GDP.json", [row, dict(row, date="2021", value=None)])
+    ingest_landing(spark, land, raw, ck, "r1")
+    first = spark.read.parquet(raw)
+    assert [(r.indicator_code, r.period, r.run) for r in first.collect()] == [("GDP", "2020", "r1")]
+    _land(land, "CPI.json", [dict(row, value=2.0)])
+    ingest_landing(spark, land, raw, ck, "r1")  # only the new file is read
+    got = sorted((r.indicator_code, r.value) for r in spark.read.parquet(raw).collect())
+    assert got == [("CPI", 2.0), ("GDP", 1.0)]
