@@ -256,15 +256,14 @@ def q_revision_flag(spark, sf):
 
 # ---------------------------------------------------------------- load
 
-def _monthly_obs(t: Tables, orders_filter=None) -> DataFrame:
-    tt = t
-    if orders_filter is not None:
-        class _Filtered(Tables):
-            def __getattr__(self, name):
-                df = Tables.__getattr__(self, name)
-                return df.filter(orders_filter) if name == "orders" else df
-        tt = _Filtered(t.spark, t.sf_dir)
-    raw = si.raw_observations(tt, "month")
+def _monthly_obs_pair(t: Tables, subset) -> tuple[DataFrame, DataFrame]:
+    """Monthly observations of a subset of orders and of all orders, from one aggregate."""
+    part, whole = si.order_measures_versions(t, "month", subset, materialize=True)
+    return _month_keys(si.raw_observations(t, "month", measures=part)), \
+        _month_keys(si.raw_observations(t, "month", measures=whole))
+
+
+def _month_keys(raw: DataFrame) -> DataFrame:
     return raw.withColumns({
         "country_code": standard_code("country_code_2", si.STANDIN_ISO2),
         "date_key": period_end_key(period_year("period", "extended"), period_quarter("period", "extended"),
@@ -285,9 +284,10 @@ def q_insert_if_absent(spark, sf):
             load.DimRef(si.source_keys(), "source", "source_name", "source_key")])
         return f.select("date_key", "country_key", "indicator_key", "source_key", "value")
 
-    target = facts(_monthly_obs(t, early))
+    target_obs, batch_obs = _monthly_obs_pair(t, early)
+    target = facts(target_obs)
     # the batch arrives twice (two runs delivering the same rows): in-batch duplicates
-    batch = facts(_monthly_obs(t)).withColumn("run", F.explode(F.array(F.lit(1), F.lit(2)))).drop("run")
+    batch = facts(batch_obs).withColumn("run", F.explode(F.array(F.lit(1), F.lit(2)))).drop("run")
     return load.merged_table(batch, target, list(pipeline.NATURAL_KEY))
 
 
@@ -490,8 +490,9 @@ def q_stream_incremental_load(spark, sf):
     base = work_dir(spark, "stream-load")
     early = (F.col("o_orderstatus") == "F") & (F.col("o_orderdate") < F.lit(TARGET_CUTOFF).cast("timestamp_ntz"))
     cols = ["indicator_code", "country_code", "period", "date_key", "value"]
-    raw_zone.write_run(_monthly_obs(t, early).select(*cols).coalesce(1), f"{base}/raw", "run_a")
-    raw_zone.write_run(_monthly_obs(t).select(*cols).coalesce(1), f"{base}/raw", "run_b")
+    run_a, run_b = _monthly_obs_pair(t, early)
+    raw_zone.write_run(run_a.select(*cols).coalesce(1), f"{base}/raw", "run_a")
+    raw_zone.write_run(run_b.select(*cols).coalesce(1), f"{base}/raw", "run_b")
     incremental_load(spark, f"{base}/raw", f"{base}/fact", f"{base}/checkpoint",
                      keys=["country_code", "indicator_code", "date_key"])
     return spark.read.parquet(f"{base}/fact").select(*cols)

@@ -147,6 +147,35 @@ def order_measures_grains(t: Tables, grains: tuple[str, ...] = ("year", "quarter
     return g.select(grain.alias("grain"), "nationkey", "year", sub.alias("sub"), "total", "n", "urgent")
 
 
+def order_measures_versions(t: Tables, grain: str, subset: Column,
+                            materialize: bool = False) -> tuple[DataFrame, DataFrame]:
+    """``order_measures`` over all orders and over the ``subset`` of orders, from
+    one conditional aggregate (one scan, one join, one shuffle). Returns
+    ``(subset_measures, all_measures)``; groups with no subset order are absent
+    from the first, as they would be from a separate aggregate.
+
+    With ``materialize`` the aggregate (one row per nation and period, small) is
+    written once with ``checkpoint()`` to the shared folder, so every consumer
+    of the two versions reads it instead of recomputing the scan and join."""
+    o = t.orders.select("o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority", "o_orderstatus")
+    c = t.customer.select("c_custkey", "c_nationkey")
+    j = o.join(c, o.o_custkey == c.c_custkey).withColumns({
+        "__in": subset, "__urgent": F.col("o_orderpriority") == URGENT_PRIORITY, "__price": money("o_totalprice")})
+    d = F.col("o_orderdate")
+    sub = {"year": F.lit(None).cast("int"), "quarter": F.quarter(d), "month": F.month(d)}[grain]
+    g = j.groupBy(F.col("c_nationkey").alias("nationkey"), F.year(d).alias("year"), sub.alias("sub")).agg(
+        F.sum("__price").alias("total"), F.count(F.lit(1)).alias("n"), F.count_if("__urgent").alias("urgent"),
+        F.sum(F.when(F.col("__in"), F.col("__price"))).alias("s_total"), F.count_if("__in").alias("s_n"),
+        F.count_if(F.col("__in") & F.col("__urgent")).alias("s_urgent"))
+    if materialize:
+        from orrery.session import shared_dir
+        shared_dir(t.spark)
+        g = g.checkpoint()
+    part = g.filter(F.col("s_n") > 0).select("nationkey", "year", "sub", F.col("s_total").alias("total"),
+                                               F.col("s_n").alias("n"), F.col("s_urgent").alias("urgent"))
+    return part, g.select("nationkey", "year", "sub", "total", "n", "urgent")
+
+
 def period_text(grain: str) -> Column:
     y = F.col("year").cast("string")
     if grain == "year":
