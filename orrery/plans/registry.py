@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from orrery.functions.country import standard_code
 from orrery.functions.keys import index_label
-from orrery.functions.numeric import envelope_high, envelope_low, money
+from orrery.functions.numeric import cents, envelope_high, envelope_low, from_cents
 from orrery.functions.period import parse_period, period_end_key, period_month, period_quarter, period_year
 from orrery.operators import audit, change, dims, load, reshape
 from orrery.plans import marts, pipeline
@@ -230,13 +230,13 @@ def q_trade_balance(spark, sf):
     s = t.supplier.select("s_suppkey", "s_nationkey")
     on = si.order_nation(t)
     j = li.join(on, li.l_orderkey == on.o_orderkey).join(s, F.col("l_suppkey") == s.s_suppkey)
-    v = money("l_extendedprice")
-    zero = F.lit(0).cast("decimal(18,2)")
+    v = cents("l_extendedprice")
+    zero = F.lit(0).cast("long")
     sides = j.select(F.year("l_shipdate").alias("year"), F.explode(F.array(
         F.struct(F.col("s_nationkey").alias("nationkey"), v.alias("exp"), zero.alias("imp")),
         F.struct(F.col("c_nationkey").alias("nationkey"), zero.alias("exp"), v.alias("imp")))).alias("s"))
     g = sides.groupBy(F.col("s.nationkey").alias("nationkey"), "year").agg(
-        F.sum("s.exp").alias("export_value"), F.sum("s.imp").alias("import_value"))
+        from_cents(F.sum("s.exp")).alias("export_value"), from_cents(F.sum("s.imp")).alias("import_value"))
     g = g.withColumn("trade_balance", F.col("export_value") - F.col("import_value")) \
          .withColumn("__v", F.col("export_value").cast("double"))
     g = change.calendar_change(g, ["nationkey"], "year", "__v", 1, "yoy_growth")
@@ -410,7 +410,7 @@ def q_union_sources(spark, sf):
     s = t.supplier.select("s_suppkey", "s_nationkey")
     ship = li.join(s, li.l_suppkey == s.s_suppkey).groupBy(
         F.col("s_nationkey").alias("nationkey"), F.year("l_shipdate").alias("year")).agg(
-        F.sum(money("l_extendedprice")).alias("total"))
+        from_cents(F.sum(cents("l_extendedprice"))).alias("total"))
     ship = ship.select(F.lit("SHP.TOTAL").alias("indicator_code"),
                        si.raw_country_code("nationkey").alias("country_code_2"),
                        F.col("year").cast("string").alias("period"),

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from orrery.functions.keys import hash_key
-from orrery.functions.numeric import money
+from orrery.functions.numeric import cents, from_cents
 from orrery.functions.period import date_key
 from orrery.operators.change import calendar_change, period_index
 from orrery.operators.dims import calendar_for_years
@@ -121,7 +121,7 @@ def order_measures(t: Tables, grain: str = "year") -> DataFrame:
     d = F.col("o_orderdate")
     sub = {"year": F.lit(None).cast("int"), "quarter": F.quarter(d), "month": F.month(d)}[grain]
     return j.groupBy(F.col("c_nationkey").alias("nationkey"), F.year(d).alias("year"), sub.alias("sub")).agg(
-        F.sum(money("o_totalprice")).alias("total"),
+        from_cents(F.sum(cents("o_totalprice"))).alias("total"),
         F.count(F.lit(1)).alias("n"),
         F.count_if(F.col("o_orderpriority") == URGENT_PRIORITY).alias("urgent"),
     )
@@ -136,11 +136,12 @@ def order_measures_grains(t: Tables, grains: tuple[str, ...] = ("year", "quarter
     j = o.join(c, o.o_custkey == c.c_custkey)
     d = F.col("o_orderdate")
     j = j.select(F.col("c_nationkey").alias("nationkey"), F.year(d).alias("year"), F.quarter(d).alias("q"),
-                 F.month(d).alias("m"), money("o_totalprice").alias("price"),
+                 F.month(d).alias("m"), cents("o_totalprice").alias("price"),
                  (F.col("o_orderpriority") == URGENT_PRIORITY).alias("is_urgent"))
     sets = {"year": ["nationkey", "year"], "quarter": ["nationkey", "year", "q"], "month": ["nationkey", "year", "m"]}
     g = j.groupingSets([sets[x] for x in grains], "nationkey", "year", "q", "m").agg(
-        F.sum("price").alias("total"), F.count(F.lit(1)).alias("n"), F.count_if("is_urgent").alias("urgent"))
+        from_cents(F.sum("price")).alias("total"), F.count(F.lit(1)).alias("n"),
+        F.count_if("is_urgent").alias("urgent"))
     grain = (F.when(F.col("m").isNotNull(), F.lit("month")).when(F.col("q").isNotNull(), F.lit("quarter"))
              .otherwise(F.lit("year")))
     sub = F.coalesce(F.col("m"), F.col("q"))
@@ -160,12 +161,13 @@ def order_measures_versions(t: Tables, grain: str, subset: Column,
     o = t.orders.select("o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority", "o_orderstatus")
     c = t.customer.select("c_custkey", "c_nationkey")
     j = o.join(c, o.o_custkey == c.c_custkey).withColumns({
-        "__in": subset, "__urgent": F.col("o_orderpriority") == URGENT_PRIORITY, "__price": money("o_totalprice")})
+        "__in": subset, "__urgent": F.col("o_orderpriority") == URGENT_PRIORITY, "__price": cents("o_totalprice")})
     d = F.col("o_orderdate")
     sub = {"year": F.lit(None).cast("int"), "quarter": F.quarter(d), "month": F.month(d)}[grain]
     g = j.groupBy(F.col("c_nationkey").alias("nationkey"), F.year(d).alias("year"), sub.alias("sub")).agg(
-        F.sum("__price").alias("total"), F.count(F.lit(1)).alias("n"), F.count_if("__urgent").alias("urgent"),
-        F.sum(F.when(F.col("__in"), F.col("__price"))).alias("s_total"), F.count_if("__in").alias("s_n"),
+        from_cents(F.sum("__price")).alias("total"), F.count(F.lit(1)).alias("n"),
+        F.count_if("__urgent").alias("urgent"),
+        from_cents(F.sum(F.when(F.col("__in"), F.col("__price")))).alias("s_total"), F.count_if("__in").alias("s_n"),
         F.count_if(F.col("__in") & F.col("__urgent")).alias("s_urgent"))
     if materialize:
         from orrery.session import shared_dir
@@ -250,14 +252,14 @@ def trade_fact(t: Tables, since_year: int | None = None) -> DataFrame:
            .join(p, F.col("l_partkey") == p.p_partkey)
            .join(sectors, F.col("p_type") == sectors.sector_code))
     month_end = F.date_format(F.last_day(F.col("l_shipdate")), "yyyyMMdd").cast("int")
-    ext = money("l_extendedprice")
-    net = ext * (F.lit(1) - money("l_discount", 2, 4))
+    ext = cents("l_extendedprice")
+    net = ext * (F.lit(100) - cents("l_discount"))  # exact, in units of 1e-4
     g = j.groupBy(
         month_end.alias("date_key"),
         F.col("s_nationkey").alias("exporter_key"),
         F.col("c_nationkey").alias("importer_key"),
         F.col("sector_key"),
-    ).agg(F.sum(ext).alias("export_value_usd"), F.sum(net).alias("import_value_usd"))
+    ).agg(from_cents(F.sum(ext)).alias("export_value_usd"), from_cents(F.sum(net), 4).alias("import_value_usd"))
     g = g.withColumns({
         "trade_balance": F.col("export_value_usd") - F.col("import_value_usd"),
         "__m": period_index(F.floor(F.col("date_key") / 10000), F.floor(F.col("date_key") / 100) % 100, 12),
