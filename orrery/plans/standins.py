@@ -23,6 +23,7 @@ from orrery.functions.numeric import cents, from_cents
 from orrery.functions.period import date_key
 from orrery.operators.change import calendar_change, period_index
 from orrery.operators.dims import calendar_for_years
+from orrery.operators.joins import broadcast_if_small
 from orrery.operators.reshape import unpivot
 from orrery.sources.tables import Tables
 
@@ -54,11 +55,29 @@ def raw_country_code(nationkey: str | Column) -> Column:
 
 # ---------------------------------------------------------------- dimensions
 
+_DIMS: dict[tuple[int, str, str], DataFrame] = {}
+
+
+def _once_per_folder(build):
+    """Build a dimension (and its size check) once per session and data folder."""
+    def wrapper(t: Tables) -> DataFrame:
+        k = (id(t.spark), t.sf_dir, build.__name__)
+        df = _DIMS.get(k)
+        if df is None or df.sparkSession is not t.spark:
+            df = _DIMS[k] = build(t)
+        return df
+    wrapper.__name__ = build.__name__
+    wrapper.__doc__ = build.__doc__
+    return wrapper
+
+
+@_once_per_folder
 def dim_country(t: Tables) -> DataFrame:
-    """nation + region (25 rows in the data set; the planner broadcasts it by its file size)."""
+    """nation + region, broadcast behind a capped count (``broadcast_if_small``):
+    the hint is given only once at most 10,000 rows are proven."""
     n = t.nation.select("n_nationkey", "n_name", "n_regionkey")
     r = t.region.select("r_regionkey", "r_name")
-    return n.join(r, n.n_regionkey == r.r_regionkey, "left").select(
+    dim = n.join(r, n.n_regionkey == r.r_regionkey, "left").select(
         F.col("n_nationkey").alias("country_key"),
         country_code("n_nationkey").alias("country_code"),
         F.col("n_name").alias("country_name"),
@@ -66,6 +85,7 @@ def dim_country(t: Tables) -> DataFrame:
         F.lit(None).cast("double").alias("latitude"),
         F.lit(None).cast("double").alias("longitude"),
     )
+    return broadcast_if_small(dim, 10_000)
 
 
 def dim_indicator(spark: SparkSession) -> DataFrame:
@@ -86,14 +106,18 @@ def dim_source(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(1, SOURCE_NAME, 8)], "source_key int, source_name string, reliability int")
 
 
+@_once_per_folder
 def dim_sector(t: Tables) -> DataFrame:
-    """Distinct part types with dense keys in name order (a handful of rows)."""
+    """Distinct part types with dense keys in name order, broadcast behind a
+    capped count: a join on a handful of type values must never be a shuffle
+    (each value would be one hot partition)."""
     types = t.part.select(F.col("p_type").alias("sector_code")).distinct()
-    return types.select(
+    dim = types.select(
         F.dense_rank().over(Window.orderBy("sector_code")).alias("sector_key"),
         "sector_code",
         F.initcap("sector_code").alias("sector_name"),
     )
+    return broadcast_if_small(dim, 10_000)
 
 
 def year_bounds(t: Tables) -> DataFrame:

@@ -33,6 +33,33 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
+def cluster_conf(input_bytes: int, target_partition_bytes: int = 256 << 20, executors: int = 1000,
+                 cores_per_executor: int = 8) -> dict[str, str]:
+    """Settings for a cluster run over ``input_bytes`` of Parquet.
+
+    Shuffle partitions are sized so a partition of the largest shuffle (about
+    the input size after projection) stays near ``target_partition_bytes``,
+    and never fall below two waves of the cluster's cores; AQE then coalesces
+    small partitions and splits skewed ones at run time. Broadcasts stay at the
+    default size check (10 MB), which only the dimension-sized sides pass.
+    """
+    cores = executors * cores_per_executor
+    partitions = max(2 * cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(256 << 20),
+        "spark.sql.autoBroadcastJoinThreshold": str(10 << 20),
+        "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        "spark.sql.session.timeZone": "UTC",
+    }
+
+
 def work_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder under the cluster's shared checkpoint folder.
 
