@@ -15,20 +15,26 @@ def fk_audit(fact: DataFrame, checks: Sequence[tuple[str, str, DataFrame, str]])
     """Orphan counts per foreign key (D-06): ``checks`` are
     ``(name, fact_column, dimension, dimension_key)``; one result row per check.
 
-    The fact is first reduced to one row per key value with its row count
-    (combined map-side, so a hot key costs one row per task), and only those
-    distinct values are anti-joined with the dimension keys. Rows with a NULL key
-    count as orphan rows (an inner join to the dimension drops them) but not as a key.
+    One pass over the fact: each row is emitted once per foreign key as
+    ``(fk, value)`` and reduced to one row per distinct value with its row count
+    (combined map-side, so a hot key costs one row per task). Only those
+    distinct values are anti-joined with the dimension keys. Rows with a NULL
+    key count as orphan rows (an inner join to the dimension drops them) but not
+    as a key. Values are compared as text so keys of any type share one column.
     """
-    parts = []
-    for name, col, dim, key in checks:
-        keys = dim.select(F.col(key).alias("__k")).distinct()
-        per_key = fact.groupBy(F.col(col).alias("__fk")).agg(F.count(F.lit(1)).alias("__n"))
-        orphans = per_key.join(keys, F.col("__fk") == F.col("__k"), "left_anti")
-        parts.append(orphans.agg(F.coalesce(F.sum("__n"), F.lit(0)).cast("long").alias("orphan_rows"),
-                                 F.count("__fk").alias("orphan_keys"))
-                     .select(F.lit(name).alias("fk_name"), "orphan_rows", "orphan_keys"))
-    return reduce(DataFrame.unionByName, parts)
+    pairs = [F.struct(F.lit(name).alias("fk"), F.col(col).cast("string").alias("v")) for name, col, _, _ in checks]
+    per_key = (fact.select(F.explode(F.array(*pairs)).alias("x")).select("x.fk", "x.v")
+               .groupBy("fk", "v").agg(F.count(F.lit(1)).alias("n")))
+    dim_keys = reduce(DataFrame.unionByName, [
+        dim.select(F.lit(name).alias("fk"), F.col(key).cast("string").alias("v")) for name, _, dim, key in checks
+    ]).distinct()
+    orphans = per_key.join(dim_keys, ["fk", "v"], "left_anti").groupBy("fk").agg(
+        F.sum("n").alias("orphan_rows"), F.count("v").alias("orphan_keys"))
+    spark = fact.sparkSession
+    names = F.broadcast(spark.createDataFrame([(name,) for name, *_ in checks], "fk_name string"))
+    return names.join(orphans, names.fk_name == orphans.fk, "left").select(
+        "fk_name", F.coalesce("orphan_rows", F.lit(0)).cast("long").alias("orphan_rows"),
+        F.coalesce("orphan_keys", F.lit(0)).cast("long").alias("orphan_keys"))
 
 
 def unique_audit(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -59,20 +65,25 @@ def expected_grid(base: DataFrame, arrays: dict[str, Column]) -> DataFrame:
     return out
 
 
-def quarantine_split(staging: DataFrame, value_col: str = "raw_value", value_type: str = "double",
-                     checks: Sequence[tuple[Column, str]] = ()) -> tuple[DataFrame, DataFrame]:
-    """Split staging rows into ``(good, quarantine)`` (D-05).
+def quarantine_tagged(staging: DataFrame, value_col: str = "raw_value", value_type: str = "double",
+                      checks: Sequence[tuple[Column, str]] = ()) -> DataFrame:
+    """Staging rows with a typed ``value``, ``error_message`` (NULL when the row is
+    good) and ``processed`` (D-05), in one pass.
 
     ``value_col`` is cast with ``try_cast`` (no ANSI error); a row whose text is
     present but does not cast, or that fails one of ``checks`` (``(ok_condition,
-    message)``), goes to quarantine with ``error_message``. Good rows get the
-    typed ``value`` column and ``processed = true``.
+    message)``), gets the messages joined by ``; ``.
     """
     typed = staging.withColumn("value", F.col(value_col).try_cast(value_type))
     msgs = [F.when(F.col(value_col).isNotNull() & F.col("value").isNull(), F.lit(f"value not {value_type}"))]
     msgs += [F.when(~F.coalesce(ok, F.lit(False)), F.lit(msg)) for ok, msg in checks]
-    tagged = typed.withColumn("error_message", F.concat_ws("; ", *msgs))
-    good = (tagged.filter(F.col("error_message") == "").drop("error_message")
-            .withColumn("processed", F.lit(True)))
-    bad = tagged.filter(F.col("error_message") != "").withColumn("processed", F.lit(False))
-    return good, bad
+    msg = F.concat_ws("; ", *msgs)
+    return typed.withColumns({"error_message": F.nullif(msg, F.lit("")), "processed": msg == ""})
+
+
+def quarantine_split(staging: DataFrame, value_col: str = "raw_value", value_type: str = "double",
+                     checks: Sequence[tuple[Column, str]] = ()) -> tuple[DataFrame, DataFrame]:
+    """Split staging rows into ``(good, quarantine)`` (D-05): the two filters of
+    ``quarantine_tagged``. Good rows drop ``error_message``."""
+    tagged = quarantine_tagged(staging, value_col, value_type, checks)
+    return tagged.filter(F.col("processed")).drop("error_message"), tagged.filter(~F.col("processed"))

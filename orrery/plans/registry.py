@@ -394,11 +394,9 @@ def _staging(t: Tables) -> DataFrame:
 def q_quarantine_split(spark, sf):
     t = _t(spark, sf)
     st = parse_period(_staging(t), "period", "strict")
-    good, bad = audit.quarantine_split(st, "raw_value", "double",
-                                       [(F.col("date_key").isNotNull(), "unparsable period")])
-    cols = ["indicator_code", "country_code", "period", "value", "processed"]
-    return good.select(*cols, F.lit(None).cast("string").alias("error_message")) \
-               .unionByName(bad.select(*cols, "error_message"))
+    tagged = audit.quarantine_tagged(st, "raw_value", "double",
+                                     [(F.col("date_key").isNotNull(), "unparsable period")])
+    return tagged.select("indicator_code", "country_code", "period", "value", "processed", "error_message")
 
 
 def q_union_sources(spark, sf):

@@ -89,9 +89,11 @@ def dim_country(t: Tables) -> DataFrame:
 
 
 def dim_indicator(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
+    """Literal rows, so broadcast by construction (a frame made from a Python list
+    has no size statistics and would otherwise be planned as a shuffle join)."""
+    return F.broadcast(spark.createDataFrame(
         [(k, c, n, u, f) for c, k, n, u, f in INDICATORS],
-        "indicator_key int, indicator_code string, indicator_name string, unit string, frequency string")
+        "indicator_key int, indicator_code string, indicator_name string, unit string, frequency string"))
 
 
 def indicator_keys() -> dict[str, int]:
@@ -103,7 +105,8 @@ def source_keys() -> dict[str, int]:
 
 
 def dim_source(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(1, SOURCE_NAME, 8)], "source_key int, source_name string, reliability int")
+    return F.broadcast(spark.createDataFrame([(1, SOURCE_NAME, 8)],
+                                             "source_key int, source_name string, reliability int"))
 
 
 @_once_per_folder
