@@ -259,15 +259,17 @@ def order_nation(t: Tables) -> DataFrame:
     return o.join(c, o.o_custkey == c.c_custkey).select("o_orderkey", "c_nationkey")
 
 
-def trade_fact(t: Tables, since_year: int | None = None) -> DataFrame:
+def trade_fact(t: Tables, since_year: int | None = None, lineitem: DataFrame | None = None) -> DataFrame:
     """Monthly trade flows: (month-end date_key, exporter, importer, sector) with
     exact export/import sums, balance and YoY growth against the same month a
     year earlier (D-03, D-04).
 
     ``since_year`` prunes the lineitem scan (pushed to Parquet); YoY needs the
     year before the first reported year, so callers pass ``year_start - 1``.
+    ``lineitem`` may be a bucketed copy (``sources/layout.py``): bucketed on
+    ``l_orderkey`` it joins the orders side without shuffling lineitem.
     """
-    li = t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_extendedprice", "l_discount", "l_shipdate")
+    li = (lineitem if lineitem is not None else t.lineitem).select("l_orderkey", "l_partkey", "l_suppkey", "l_extendedprice", "l_discount", "l_shipdate")
     if since_year is not None:
         li = li.filter(F.col("l_shipdate") >= F.lit(f"{since_year}-01-01").cast("timestamp_ntz"))
     s = t.supplier.select("s_suppkey", "s_nationkey")
