@@ -15,14 +15,14 @@ Everything here is lazy and derived from the scanned tables, so it grows with th
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orrery.functions.keys import hash_key
 from orrery.functions.numeric import cents, from_cents
 from orrery.functions.period import date_key
 from orrery.operators.change import calendar_change, period_index
-from orrery.operators.dims import calendar_for_years
+from orrery.operators.dims import calendar_for_years, sequential_keys
 from orrery.operators.joins import broadcast_if_small
 from orrery.operators.reshape import unpivot
 from orrery.sources.tables import Tables
@@ -115,11 +115,9 @@ def dim_sector(t: Tables) -> DataFrame:
     capped count: a join on a handful of type values must never be a shuffle
     (each value would be one hot partition)."""
     types = t.part.select(F.col("p_type").alias("sector_code")).distinct()
-    dim = types.select(
-        F.dense_rank().over(Window.orderBy("sector_code")).alias("sector_key"),
-        "sector_code",
-        F.initcap("sector_code").alias("sector_name"),
-    )
+    keyed = sequential_keys(types, ["sector_code"], "sector_key")  # one window only when proven small
+    dim = keyed.select(F.col("sector_key").cast("int").alias("sector_key"), "sector_code",
+                       F.initcap("sector_code").alias("sector_name"))
     return broadcast_if_small(dim, 10_000)
 
 
