@@ -25,6 +25,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", driver_memory)
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     if checkpoint_dir:
         builder = builder.config("spark.checkpoint.dir", checkpoint_dir)
@@ -57,6 +58,12 @@ def cluster_conf(input_bytes: int, target_partition_bytes: int = 256 << 20, exec
         "spark.sql.autoBroadcastJoinThreshold": str(10 << 20),
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
         "spark.sql.session.timeZone": "UTC",
+        # streaming state (dedupe ids, latest-per-key) kept off-heap, with incremental checkpoints
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+        # checkpoint() files are removed once their data is no longer referenced
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
 
 

@@ -38,3 +38,12 @@ def test_broadcast_if_small(spark):
     assert "broadcast" in j1._jdf.queryExecution().analyzed().toString().lower()
     assert "broadcast" not in j2._jdf.queryExecution().analyzed().toString().lower()
     assert j1.count() == 10 and j2.count() == 100
+
+
+def test_cluster_conf_sizes_partitions():
+    from orrery.session import cluster_conf
+    c = cluster_conf(100 << 40, executors=1000, cores_per_executor=8)
+    assert int(c["spark.sql.shuffle.partitions"]) == 409600  # 100 TB / 256 MB
+    small = cluster_conf(1 << 30, executors=10, cores_per_executor=4)
+    assert int(small["spark.sql.shuffle.partitions"]) == 80  # two waves of 40 cores
+    assert small["spark.sql.adaptive.skewJoin.enabled"] == "true"
