@@ -27,3 +27,13 @@ def with_lineage(df, source: str, run_id: str, loaded_col: str = "loaded_at"):
     return (df.withColumn("source", F.lit(source))
               .withColumn("pipeline_run_id", F.lit(run_id))
               .withColumn(loaded_col, F.current_timestamp()))
+
+
+def with_defaults(df, defaults: dict):
+    """Column defaults (P-08): add each missing column as its default and replace
+    NULLs in present ones. ``defaults`` maps column -> Python literal or Column."""
+    cols = {}
+    for name, value in defaults.items():
+        lit = value if isinstance(value, Column) else F.lit(value)
+        cols[name] = F.coalesce(F.col(name), lit) if name in df.columns else lit
+    return df.withColumns(cols)

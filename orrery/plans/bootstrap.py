@@ -14,13 +14,21 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from orrery.functions.keys import index_label
+from orrery.functions.keys import index_label, with_defaults
 from orrery.functions.period import quarter_end_key
 from orrery.operators.change import pct_change_prev
 from orrery.operators.dims import calendar
 from orrery.operators.reshape import arrays_to_long
 from orrery.sources import seeds
 
+# Column defaults of the dimension tables.
+DEFAULTS = {
+    "dim_country": {"is_g20": False, "is_eu": False},
+    "dim_indicator": {"is_active": True},
+    "dim_sector": {},
+    "dim_source": {"reliability": 5},
+}
+
 DIMENSIONS = {
     # table: (natural key, surrogate key, seed frame)
     "dim_country": ("country_code", "country_key", seeds.countries),
@@ -68,7 +76,8 @@ def bootstrap(spark: SparkSession, warehouse: str, start: str = "2015-01-01", en
         f"{warehouse}/dim_date")
     added = {}
     for table, (natural, surrogate, seed) in DIMENSIONS.items():
-        added[table] = add_dimension_rows(spark, f"{warehouse}/{table}", seed(spark), natural, surrogate)
+        rows = with_defaults(seed(spark), DEFAULTS[table])
+        added[table] = add_dimension_rows(spark, f"{warehouse}/{table}", rows, natural, surrogate)
     return added
 
 

@@ -17,6 +17,8 @@ def test_bootstrap_counts_and_idempotence(spark, tmp_dir):
     c = spark.read.parquet(f"{wh}/dim_country")
     assert c.count() == 20 and c.filter("country_code = 'USA'").first().country_key == 1
     assert sorted(r.source_key for r in spark.read.parquet(f"{wh}/dim_source").collect()) == [1, 2, 3, 4]
+    assert {r.is_active for r in spark.read.parquet(f"{wh}/dim_indicator").collect()} == {True}
+    assert c.filter("country_code = 'NLD'").first().is_eu is False
 
 
 def test_facts_from_arrays(spark):

@@ -64,3 +64,10 @@ def test_envelope(spark):
     df = spark.createDataFrame([(100.0, 110.0)], "o double, c double")
     r = df.select(envelope_high("o", "c").alias("h"), envelope_low("o", "c").alias("l")).first()
     assert (r.h, r.l) == (110.55, 99.5)
+
+
+def test_with_defaults(spark):
+    from orrery.functions.keys import with_defaults
+    df = spark.createDataFrame([("a", None), ("b", 3)], "k string, reliability int")
+    out = with_defaults(df, {"reliability": 5, "is_active": True})
+    assert [(r.k, r.reliability, r.is_active) for r in out.orderBy("k").collect()] == [("a", 5, True), ("b", 3, True)]

@@ -73,3 +73,13 @@ def test_ingest_landing_on_arrival(spark, tmp_dir):
     ingest_landing(spark, land, raw, ck, "r1")  # only the new file is read
     got = sorted((r.indicator_code, r.value) for r in spark.read.parquet(raw).collect())
     assert got == [("CPI", 2.0), ("GDP", 1.0)]
+
+
+def test_empty_ingest_stops_before_writing(spark, tmp_dir):
+    from orrery.schemas import RAW_OBSERVATION
+    wh = os.path.join(tmp_dir, "wh")
+    report = run_pipeline(spark, spark.createDataFrame([], RAW_OBSERVATION), wh, "r0", {})
+    assert report.status == "FAILED" and report.raw_rows == 0
+    assert not os.path.exists(os.path.join(wh, "raw"))
+    assert [(r.stage, r.status) for r in spark.read.parquet(f"{wh}/pipeline_metrics").collect()] == [
+        ("ingest", "FAILED")]
