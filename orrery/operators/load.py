@@ -11,8 +11,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def latest_version(df: DataFrame, keys: Sequence[str], version: Sequence[str]) -> DataFrame:
-    """One row per key: the row with the greatest ``version`` tuple (A-08).
+def latest_version(df: DataFrame, keys: Sequence[str], version: Sequence[str], earliest: bool = False) -> DataFrame:
+    """One row per key: the row with the greatest ``version`` tuple (A-08), or the
+    smallest with ``earliest``.
 
     ``max_by`` over a struct is a plain aggregate, so a hot key is combined
     map-side before the shuffle (unlike a ranking window).
@@ -20,15 +21,17 @@ def latest_version(df: DataFrame, keys: Sequence[str], version: Sequence[str]) -
     rest = [c for c in df.columns if c not in keys]
     vstruct = F.struct(*[F.col(c) for c in version])
     row = F.struct(*[F.col(c) for c in rest])
-    return (df.groupBy(*keys).agg(F.max_by(row, vstruct).alias("__row"))
+    pick = F.min_by if earliest else F.max_by
+    return (df.groupBy(*keys).agg(pick(row, vstruct).alias("__row"))
             .select(*keys, *[F.col(f"__row.{c}").alias(c) for c in rest]))
 
 
-def dedupe_batch(df: DataFrame, keys: Sequence[str], version: Sequence[str] | None = None) -> DataFrame:
-    """Drop in-batch duplicates on ``keys`` (A-09): the latest ``version`` wins,
-    or any one row when no version is given."""
+def dedupe_batch(df: DataFrame, keys: Sequence[str], version: Sequence[str] | None = None,
+                 earliest: bool = False) -> DataFrame:
+    """Drop in-batch duplicates on ``keys`` (A-09): the latest ``version`` wins
+    (the earliest with ``earliest``), or any one row when no version is given."""
     if version:
-        return latest_version(df, keys, version)
+        return latest_version(df, keys, version, earliest)
     return df.dropDuplicates(list(keys))
 
 
@@ -93,10 +96,14 @@ def merged_table(batch: DataFrame, target: DataFrame, keys: Sequence[str],
 
 
 def append_rows(df: DataFrame, path: str, partition_by: Sequence[str] = (), sort_within: Sequence[str] = ()) -> None:
-    """Append to a Parquet table; files sorted inside each partition keep min/max stats tight."""
-    out = df
-    if partition_by:
-        out = out.repartition(*partition_by)
+    """Append to a Parquet table; files sorted inside each partition keep min/max stats tight.
+
+    The ``rebalance`` hint clusters rows by the partition columns but lets AQE
+    split a large partition value over several tasks and files (a plain
+    ``repartition(year)`` would send a whole year to one task) and merge small
+    ones, so the output files come out near the advisory size.
+    """
+    out = df.hint("rebalance", *partition_by)
     if sort_within:
         out = out.sortWithinPartitions(*sort_within)
     w = out.write.mode("append")

@@ -489,8 +489,8 @@ def q_stream_incremental_load(spark, sf):
     early = (F.col("o_orderstatus") == "F") & (F.col("o_orderdate") < F.lit(TARGET_CUTOFF).cast("timestamp_ntz"))
     cols = ["indicator_code", "country_code", "period", "date_key", "value"]
     run_a, run_b = _monthly_obs_pair(t, early)
-    raw_zone.write_run(run_a.select(*cols).coalesce(1), f"{base}/raw", "run_a")
-    raw_zone.write_run(run_b.select(*cols).coalesce(1), f"{base}/raw", "run_b")
+    raw_zone.write_run(run_a.select(*cols), f"{base}/raw", "run_a")
+    raw_zone.write_run(run_b.select(*cols), f"{base}/raw", "run_b")
     incremental_load(spark, f"{base}/raw", f"{base}/fact", f"{base}/checkpoint",
                      keys=["country_code", "indicator_code", "date_key"])
     return spark.read.parquet(f"{base}/fact").select(*cols)

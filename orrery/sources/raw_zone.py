@@ -15,8 +15,9 @@ RUN_COL = "run"
 
 def write_run(df: DataFrame, root: str, run_id: str, max_records_per_file: int = 5_000_000) -> None:
     """Overwrite the ``run=<run_id>`` partition only (dynamic partition overwrite),
-    leaving earlier runs in place."""
-    (df.withColumn(RUN_COL, F.lit(run_id))
+    leaving earlier runs in place. ``rebalance`` lets AQE size the files (no flood
+    of small files from many tiny tasks, no single huge task)."""
+    (df.withColumn(RUN_COL, F.lit(run_id)).hint("rebalance")
        .write.mode("overwrite")
        .option("partitionOverwriteMode", "dynamic")
        .option("maxRecordsPerFile", max_records_per_file)

@@ -5,7 +5,9 @@ loaded with the same insert-if-absent rule as the batch job, so a replayed
 batch (after a failure, ``foreachBatch`` may run an epoch again) appends
 nothing twice. ``trigger(availableNow=True)`` processes what has landed and
 stops, which is the on-arrival / scheduled run; the checkpoint remembers
-which files were done, so the next run sees only new files.
+which files were done, so the next run sees only new files. When several runs
+land in one micro-batch, the earliest run wins for a key (ordered on the
+``run`` column), the same first-writer rule as across micro-batches.
 """
 
 from __future__ import annotations
@@ -14,11 +16,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orrery.operators.load import load_if_absent
+from orrery.operators.load import dedupe_batch, load_if_absent
 
 
 def incremental_load(spark: SparkSession, raw_root: str, target: str, checkpoint: str, keys: Sequence[str],
-                     partition_by: Sequence[str] = (), files_per_batch: int = 1,
+                     partition_by: Sequence[str] = (), files_per_batch: int = 1000,
                      available_now: bool = True, processing_time: str | None = None):
     """Stream ``raw_root`` (run-partitioned Parquet) into ``target`` with insert-if-absent.
 
@@ -29,7 +31,8 @@ def incremental_load(spark: SparkSession, raw_root: str, target: str, checkpoint
               .option("basePath", raw_root).parquet(raw_root))
 
     def upsert(batch: DataFrame, epoch_id: int) -> None:
-        load_if_absent(batch.drop("run"), target, list(keys), list(partition_by))
+        first = dedupe_batch(batch, list(keys), ["run"], earliest=True) if "run" in batch.columns else batch
+        load_if_absent(first.drop("run"), target, list(keys), list(partition_by))
 
     w = stream.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint)
     if available_now:

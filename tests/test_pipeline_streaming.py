@@ -83,3 +83,14 @@ def test_empty_ingest_stops_before_writing(spark, tmp_dir):
     assert not os.path.exists(os.path.join(wh, "raw"))
     assert [(r.stage, r.status) for r in spark.read.parquet(f"{wh}/pipeline_metrics").collect()] == [
         ("ingest", "FAILED")]
+
+
+def test_incremental_load_first_run_wins_within_one_batch(spark, tmp_dir):
+    raw, ck, fact = (os.path.join(tmp_dir, x) for x in ("raw", "ck", "fact"))
+    schema = "indicator_code string, country_code_2 string, period string, value double"
+    raw_zone.write_run(spark.createDataFrame([("X", "USA", "2020", 1.0)], schema), raw, "run_a")
+    raw_zone.write_run(spark.createDataFrame([("X", "USA", "2020", 2.0), ("X", "USA", "2021", 3.0)], schema),
+                       raw, "run_b")
+    incremental_load(spark, raw, fact, ck, ["indicator_code", "country_code_2", "period"])  # one micro-batch
+    got = sorted((r.period, r.value) for r in spark.read.parquet(fact).collect())
+    assert got == [("2020", 1.0), ("2021", 3.0)]
