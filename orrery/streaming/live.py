@@ -33,7 +33,7 @@ def live_latest(spark: SparkSession, source: str, target: str, checkpoint: str,
     agg = latest_per_key(events)
 
     def publish(batch: DataFrame, epoch_id: int) -> None:
-        batch.coalesce(1).write.mode("overwrite").parquet(target)  # complete mode: the whole (small) table
+        batch.hint("rebalance").write.mode("overwrite").parquet(target)  # complete mode: one row per key
 
     w = agg.writeStream.outputMode("complete").foreachBatch(publish).option("checkpointLocation", checkpoint)
     if available_now:
