@@ -94,3 +94,17 @@ def test_incremental_load_first_run_wins_within_one_batch(spark, tmp_dir):
     incremental_load(spark, raw, fact, ck, ["indicator_code", "country_code_2", "period"])  # one micro-batch
     got = sorted((r.period, r.value) for r in spark.read.parquet(fact).collect())
     assert got == [("2020", 1.0), ("2021", 3.0)]
+
+
+def test_live_kpi_processing_time_trigger(spark, tmp_dir):
+    from orrery.streaming.live import live_latest
+    target, ck = os.path.join(tmp_dir, "kpi"), os.path.join(tmp_dir, "ck")
+    q = live_latest(spark, "/root/testdata/sf0.001/events.parquet", target, ck, available_now=False,
+                    refresh="1 second")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    got = {r.event_type: r.events for r in spark.read.parquet(target).collect()}
+    e = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    assert got == {r.event_type: r["count"] for r in e.groupBy("event_type").count().collect()}
