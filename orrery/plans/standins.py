@@ -25,7 +25,7 @@ from orrery.operators.change import calendar_change, period_index
 from orrery.operators.dims import calendar_for_years, sequential_keys
 from orrery.operators.joins import broadcast_if_small
 from orrery.operators.reshape import unpivot
-from orrery.sources.tables import Tables
+from orrery.sources.tables import _REFRESH_HOOKS, Tables
 
 # Fixed values of the stand-in (rules, not data).
 INDICATORS = (
@@ -56,6 +56,7 @@ def raw_country_code(nationkey: str | Column) -> Column:
 # ---------------------------------------------------------------- dimensions
 
 _DIMS: dict[tuple[int, str, str], DataFrame] = {}
+_REFRESH_HOOKS.append(_DIMS.clear)
 
 
 def _once_per_folder(build):

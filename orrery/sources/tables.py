@@ -20,7 +20,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 # One scan handle per (session, folder, table): the file listing and footer schema
 # are resolved once per process instead of on every access while building plans.
+# Files added to a folder later are seen after ``refresh()``.
 _HANDLES: dict[tuple[int, str, str], DataFrame] = {}
+_REFRESH_HOOKS: list = []
+
+
+def refresh() -> None:
+    """Forget cached scan handles and everything derived from them (checked
+    dimensions), so the next query lists the folders again."""
+    _HANDLES.clear()
+    for hook in _REFRESH_HOOKS:
+        hook()
 
 
 class Tables:

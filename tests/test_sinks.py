@@ -47,3 +47,15 @@ def test_cluster_conf_sizes_partitions():
     small = cluster_conf(1 << 30, executors=10, cores_per_executor=4)
     assert int(small["spark.sql.shuffle.partitions"]) == 80  # two waves of 40 cores
     assert small["spark.sql.adaptive.skewJoin.enabled"] == "true"
+
+
+def test_refresh_sees_new_files(spark, tmp_dir):
+    from orrery.sources.tables import Tables, refresh
+    d = os.path.join(tmp_dir, "sf")
+    spark.range(3).write.parquet(os.path.join(d, "events.parquet", "p=1"))
+    t = Tables(spark, d)
+    assert t.events.count() == 3
+    spark.range(2).write.parquet(os.path.join(d, "events.parquet", "p=2"))
+    assert Tables(spark, d).events.count() == 3  # cached listing
+    refresh()
+    assert Tables(spark, d).events.count() == 5
