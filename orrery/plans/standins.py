@@ -23,7 +23,6 @@ from orrery.functions.numeric import cents, from_cents
 from orrery.functions.period import date_key
 from orrery.operators.change import calendar_change, period_index
 from orrery.operators.dims import calendar_for_years, sequential_keys
-from orrery.operators.joins import broadcast_if_small
 from orrery.operators.reshape import unpivot
 from orrery.sources.tables import _REFRESH_HOOKS, Tables
 
@@ -56,7 +55,23 @@ def raw_country_code(nationkey: str | Column) -> Column:
 # ---------------------------------------------------------------- dimensions
 
 _DIMS: dict[tuple[int, str, str], DataFrame] = {}
-_REFRESH_HOOKS.append(_DIMS.clear)
+
+
+def _forget_dims() -> None:
+    for df in _DIMS.values():
+        df.unpersist()
+    _DIMS.clear()
+
+
+_REFRESH_HOOKS.append(_forget_dims)
+
+
+def _small_cached(dim: DataFrame, max_rows: int = 10_000) -> DataFrame:
+    """Cache and broadcast a dimension once a capped count proves it small; a
+    larger one is returned as is (no cache, no hint)."""
+    if dim.limit(max_rows + 1).count() > max_rows:
+        return dim
+    return F.broadcast(dim.cache())
 
 
 def _once_per_folder(build):
@@ -74,8 +89,8 @@ def _once_per_folder(build):
 
 @_once_per_folder
 def dim_country(t: Tables) -> DataFrame:
-    """nation + region, broadcast behind a capped count (``broadcast_if_small``):
-    the hint is given only once at most 10,000 rows are proven."""
+    """nation + region, cached and broadcast once a capped count proves at most
+    10,000 rows."""
     n = t.nation.select("n_nationkey", "n_name", "n_regionkey")
     r = t.region.select("r_regionkey", "r_name")
     dim = n.join(r, n.n_regionkey == r.r_regionkey, "left").select(
@@ -86,7 +101,7 @@ def dim_country(t: Tables) -> DataFrame:
         F.lit(None).cast("double").alias("latitude"),
         F.lit(None).cast("double").alias("longitude"),
     )
-    return broadcast_if_small(dim, 10_000)
+    return _small_cached(dim)
 
 
 def dim_indicator(spark: SparkSession) -> DataFrame:
@@ -112,14 +127,14 @@ def dim_source(spark: SparkSession) -> DataFrame:
 
 @_once_per_folder
 def dim_sector(t: Tables) -> DataFrame:
-    """Distinct part types with dense keys in name order, broadcast behind a
-    capped count: a join on a handful of type values must never be a shuffle
-    (each value would be one hot partition)."""
+    """Distinct part types with dense keys in name order, cached and broadcast
+    once a capped count proves it small: a join on a handful of type values
+    must never be a shuffle (each value would be one hot partition)."""
     types = t.part.select(F.col("p_type").alias("sector_code")).distinct()
     keyed = sequential_keys(types, ["sector_code"], "sector_key")  # one window only when proven small
     dim = keyed.select(F.col("sector_key").cast("int").alias("sector_key"), "sector_code",
                        F.initcap("sector_code").alias("sector_name"))
-    return broadcast_if_small(dim, 10_000)
+    return _small_cached(dim)
 
 
 def year_bounds(t: Tables) -> DataFrame:
@@ -128,8 +143,11 @@ def year_bounds(t: Tables) -> DataFrame:
     return d.agg(F.year(F.min("d")).alias("min_year"), F.year(F.max("d")).alias("max_year"))
 
 
+@_once_per_folder
 def dim_date(t: Tables) -> DataFrame:
-    return calendar_for_years(t.spark, year_bounds(t))
+    """Calendar over the data's years, cached once per folder: one row per day, so
+    bounded by the date span; the bounds scan then runs once per process."""
+    return F.broadcast(calendar_for_years(t.spark, year_bounds(t)).cache())
 
 
 # ---------------------------------------------------------------- raw observations

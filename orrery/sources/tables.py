@@ -13,9 +13,27 @@ TABLES = (
 )
 
 
+# A scan with fewer splits than the cluster has cores (a large file written as a
+# single row group) runs everything before its first shuffle in a few tasks; such
+# a scan is spread round-robin over the cores. Tables of many files or row
+# groups, as at scale, already have enough splits and are left alone.
+SPREAD_MIN_BYTES = 1 << 20
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Scan ``{sf_dir}/{name}.parquet``."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    return spread_if_under_split(spark, spark.read.parquet(path), path)
+
+
+def spread_if_under_split(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    size = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
+    return df.repartition(cores) if size >= SPREAD_MIN_BYTES else df
 
 
 # One scan handle per (session, folder, table): the file listing and footer schema
