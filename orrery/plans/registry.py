@@ -463,7 +463,7 @@ def q_run_metrics(spark, sf):
 
 def q_run_partition_roundtrip(spark, sf):
     """Two runs into one raw zone; read all runs (partition discovery) and one run
-    (partition filter); report rows and value per run and per read."""
+    (partition filter); report rows and the order count (an exact integer sum) per run and per read."""
     t = _t(spark, sf)
     root = f"{work_dir(spark, 'raw-zone')}/raw"
     raw_all = si.raw_observations(t, "year", run_id="run_b")
@@ -471,13 +471,12 @@ def q_run_partition_roundtrip(spark, sf):
     raw_zone.write_run(raw_early, root, "run_a")
     raw_zone.write_run(raw_all, root, "run_b")
     raw_zone.write_run(raw_all, root, "run_b")  # a rerun replaces only its own partition
-    every = raw_zone.read_raw(spark, root).groupBy("run").agg(
-        F.count(F.lit(1)).alias("rows"), F.round(F.sum("value"), 2).alias("value_sum")) \
+    orders = F.sum(F.when(F.col("indicator_code") == "ORD.COUNT", F.col("value"))).cast("long").alias("orders")
+    every = raw_zone.read_raw(spark, root).groupBy("run").agg(F.count(F.lit(1)).alias("rows"), orders) \
         .withColumn("read", F.lit("all_runs"))
-    one = raw_zone.read_run(spark, root, "run_a", None).groupBy("run").agg(
-        F.count(F.lit(1)).alias("rows"), F.round(F.sum("value"), 2).alias("value_sum")) \
+    one = raw_zone.read_run(spark, root, "run_a", None).groupBy("run").agg(F.count(F.lit(1)).alias("rows"), orders) \
         .withColumn("read", F.lit("one_run"))
-    return every.unionByName(one).select("read", "run", "rows", "value_sum")
+    return every.unionByName(one).select("read", "run", "rows", "orders")
 
 
 # ---------------------------------------------------------------- streaming
