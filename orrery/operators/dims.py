@@ -7,10 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-CALENDAR_COLUMNS = (
-    "date_key", "full_date", "year", "quarter", "month", "month_name", "week", "day_of_month",
-    "day_name", "is_weekend", "fiscal_year", "fiscal_quarter",
-)
 
 
 def calendar_between(start: Column, end: Column, spark: SparkSession,

@@ -22,10 +22,6 @@ from orrery.sources import raw_zone
 SERIES_KEYS = ("country_iso3", "indicator_code")
 NATURAL_KEY = ("date_key", "country_key", "indicator_key")
 
-TRANSFORMED_COLUMNS = (
-    "date_key", "country_code", "indicator_code", "source", "value", "yoy_change", "is_estimated",
-    "is_anomaly", "pipeline_run_id", "load_timestamp",
-)
 
 
 def scored(raw: DataFrame, mapping=None, mode: str = "strict", threshold: float = 200.0, scale: int = 4,

@@ -71,3 +71,14 @@ def test_with_defaults(spark):
     df = spark.createDataFrame([("a", None), ("b", 3)], "k string, reliability int")
     out = with_defaults(df, {"reliability": 5, "is_active": True})
     assert [(r.k, r.reliability, r.is_active) for r in out.orderBy("k").collect()] == [("a", 5, True), ("b", 3, True)]
+
+
+def test_lineage_run_id_and_key_to_date(spark):
+    from orrery.functions.keys import run_id_of, with_lineage
+    from orrery.functions.period import key_to_date
+    df = spark.createDataFrame([(20240229,)], "k int")
+    r = with_lineage(df, "World Bank", "20240101_000000").select(
+        "source", "pipeline_run_id", key_to_date("k").alias("d"),
+        run_id_of(F.lit("2024-01-02 03:04:05").cast("timestamp")).alias("rid")).first()
+    assert (r.source, r.pipeline_run_id, str(r.d), r.rid) == ("World Bank", "20240101_000000", "2024-02-29",
+                                                                "20240102_030405")

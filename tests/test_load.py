@@ -48,3 +48,11 @@ def test_resolve_keys_orphans(spark):
                                             DimRef({"GDP": 7}, "ic", "indicator_code", "indicator_key")])
     assert [(r.country_key, r.indicator_key) for r in matched.collect()] == [(1, 7)]
     assert sorted(r.missing for r in orphans.collect()) == ["cc", "ic"]
+
+
+def test_staging_truncate_and_reload(spark, tmp_dir):
+    from orrery.operators.load import overwrite_staging
+    path = os.path.join(tmp_dir, "stg")
+    overwrite_staging(spark.range(5), path)
+    overwrite_staging(spark.range(2), path)
+    assert spark.read.parquet(path).count() == 2
