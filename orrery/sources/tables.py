@@ -15,8 +15,9 @@ TABLES = (
 
 # A scan with fewer splits than the cluster has cores (a large file written as a
 # single row group) runs everything before its first shuffle in a few tasks; such
-# a scan is spread round-robin over the cores. Tables of many files or row
-# groups, as at scale, already have enough splits and are left alone.
+# a scan is spread over the cores by a hash of its first column (the table key),
+# which is deterministic on retry without the sort a round-robin spread needs.
+# Tables of many files or row groups, as at scale, already have enough splits.
 SPREAD_MIN_BYTES = 1 << 20
 
 
@@ -33,7 +34,7 @@ def spread_if_under_split(spark: SparkSession, df: DataFrame, path: str) -> Data
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     size = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
-    return df.repartition(cores) if size >= SPREAD_MIN_BYTES else df
+    return df.repartition(cores, df.columns[0]) if size >= SPREAD_MIN_BYTES else df
 
 
 # One scan handle per (session, folder, table): the file listing and footer schema
