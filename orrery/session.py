@@ -27,7 +27,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     if checkpoint_dir:
-        builder = builder.config("spark.checkpoint.dir", checkpoint_dir)
+        builder = (builder.config("spark.checkpoint.dir", checkpoint_dir)
+                   .config("spark.sql.warehouse.dir", f"{checkpoint_dir.rstrip('/')}/warehouse"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
