@@ -64,3 +64,11 @@ def test_fk_audit_one_pass(scale_plan):
     p = scale_plan("fk_audit")
     lineitem = [k for k in _exchange_keys(p) if k.startswith("l_")]
     assert len(lineitem) == 2  # the market fact is built once (part and supplier joins)
+
+
+def test_hot_key_safety(scale_plan):
+    p = scale_plan("latest_version")
+    assert "partial_max_by" in p  # combined map-side before the shuffle on the key
+    r = scale_plan("revision_flag")
+    windows = [l for l in r.split("\n") if "Window [lag(value" in l]
+    assert windows and all("__bucket" in l for l in windows)  # the row window runs per (key, bucket)
