@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .html_text import extract_main_text
+from .secrets import joined, scan_secrets
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -18,8 +19,18 @@ def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_main_text(pages).select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
 
 
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, digest and spans of the secrets in every document."""
+    found = scan_secrets(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("secrets", lambda x: x["kind"] != "net")
+    count = lambda kind: F.size(F.filter("secrets", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select("doc_id", count("assign"), count("access"), count("hex"),
+                        F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("secrets")).alias("spans"))
+
+
 QUERIES = {
     "op1_html_text": op1_html_text,
+    "op2_secrets": op2_secrets,
 }
 
 #: DuckDB SQL of the queries that SQL can express.
