@@ -6,7 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .html_text import extract_main_text
+from .kneser_ney import train
+from .packing import pack_best_fit, token_pieces
+from .quality import bands, judged, measured
 from .secrets import joined, scan_secrets
+from .tables import written
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -28,9 +32,34 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("secrets")).alias("spans"))
 
 
+def packing_of(docs: DataFrame) -> DataFrame:
+    """Every piece of the documents with its place in a sequence of at most 4096 tokens."""
+    import public_tokenizers
+
+    piece = F.explode(token_pieces(F.col("text"), public_tokenizers.path("word_bpe_49k.json"), 4096, 1)).alias("p")
+    pieces = docs.select("doc_id", piece).select(
+        "doc_id", "p.piece", "p.start", (F.octet_length("p.ids") / 4).cast("long").alias("length"), F.crc32("p.ids").alias("ids_crc32"))
+    return pack_best_fit(pieces, 4096)
+
+
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places of all documents' pieces in packed sequences."""
+    return packing_of(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of the quality rules for every document."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    scored = written(measured(docs, train(docs)).drop("text"), "quality")
+    return judged(scored, bands(scored)).select("doc_id", "quality.n_words", "quality.word_chars", "quality.n_symbols", "quality.n_dup_lines",
+                                                "quality.n_repeat_words", "base_failed", "kept", "quality.bits")
+
+
 QUERIES = {
     "op1_html_text": op1_html_text,
     "op2_secrets": op2_secrets,
+    "op3_packing": op3_packing,
+    "op4_quality": op4_quality,
 }
 
 #: DuckDB SQL of the queries that SQL can express.

@@ -28,16 +28,16 @@ _LONG = 64
 _MASK = np.array([(1 << 8 * n) - 1 for n in range(8)] + [(1 << 64) - 1], np.uint64)
 
 
-def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Consecutive row ranges of a batch with about ``limit`` bytes of text each."""
-    if not batch.num_rows:
+def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[pa.Array]:
+    """Consecutive ranges of the texts with about ``limit`` bytes each."""
+    if not len(texts):
         return
-    sizes = np.cumsum(pc.fill_null(pc.binary_length(batch[column]), 0).to_numpy(zero_copy_only=False))
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
     start = 0
     while start < len(sizes):
         base = sizes[start - 1] if start else 0
         end = max(start + 1, int(np.searchsorted(sizes, base + limit, "right")))
-        yield batch.slice(start, end - start)
+        yield texts.slice(start, end - start)
         start = end
 
 
