@@ -11,6 +11,7 @@ from .packing import pack_best_fit, token_pieces
 from .quality import bands, judged, measured
 from .secrets import joined, scan_secrets
 from .tables import written
+from .topk import top_inner_products
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -55,12 +56,28 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                 "quality.n_repeat_words", "base_failed", "kept", "quality.bits")
 
 
+def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best candidates of every vector whose id is divisible by 20."""
+    return top_inner_products(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
+
+
 QUERIES = {
     "op1_html_text": op1_html_text,
     "op2_secrets": op2_secrets,
     "op3_packing": op3_packing,
     "op4_quality": op4_quality,
+    "op9_topk": op9_topk,
 }
 
 #: DuckDB SQL of the queries that SQL can express.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op9_topk": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS e FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (
+            SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+            FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0)
+        SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score
+        FROM s QUALIFY rank <= 20""",
+}
