@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .html_text import extract_main_text
 from .kneser_ney import train
+from .near_dup import NearDuplicates
 from .packing import pack_best_fit, token_pieces
 from .quality import bands, judged, measured
 from .secrets import joined, scan_secrets
@@ -56,6 +57,11 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                 "quality.n_repeat_words", "base_failed", "kept", "quality.bits")
 
 
+def op5_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of near duplicates (its least doc_id) and number of links of every document."""
+    return NearDuplicates(read(spark, sf_dir, "documents")).documents()
+
+
 def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 best candidates of every vector whose id is divisible by 20."""
     return top_inner_products(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
@@ -66,6 +72,7 @@ QUERIES = {
     "op2_secrets": op2_secrets,
     "op3_packing": op3_packing,
     "op4_quality": op4_quality,
+    "op5_near_dup": op5_near_dup,
     "op9_topk": op9_topk,
 }
 
