@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .html_text import extract_main_text
 from .kneser_ney import train
+from .line_dedup import LineDuplicates
 from .near_dup import NearDuplicates
 from .packing import pack_best_fit, token_pieces
 from .quality import bands, judged, measured
@@ -62,6 +63,14 @@ def op5_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return NearDuplicates(read(spark, sf_dir, "documents")).documents()
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number of lines of every document, how many go as duplicates, and the digest of what is left."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    n_lines = F.length("text") - F.length(F.replace("text", F.lit("\n"))) + 1
+    return LineDuplicates(docs).apply(docs, "left", "n_removed").select(
+        "doc_id", n_lines.cast("long").alias("n_lines"), "n_removed", F.sha2("left", 256).alias("kept_sha256"))
+
+
 def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 best candidates of every vector whose id is divisible by 20."""
     return top_inner_products(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
@@ -73,6 +82,7 @@ QUERIES = {
     "op3_packing": op3_packing,
     "op4_quality": op4_quality,
     "op5_near_dup": op5_near_dup,
+    "op6_line_dedup": op6_line_dedup,
     "op9_topk": op9_topk,
 }
 
