@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .html_text import extract_main_text
+from .interpolation import DELETED, HELD_OUT, TRAIN, DeletedInterpolation
 from .kneser_ney import train
 from .line_dedup import LineDuplicates
 from .near_dup import NearDuplicates
@@ -71,6 +72,15 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", n_lines.cast("long").alias("n_lines"), "n_removed", F.sha2("left", 256).alias("kept_sha256"))
 
 
+def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of every document under the model learned from those whose fold is not 2; fold 3 is the deleted block."""
+    fold = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 7
+    role = F.when(fold == 2, HELD_OUT).when(fold == 3, DELETED).otherwise(TRAIN)
+    model = DeletedInterpolation(read(spark, sf_dir, "documents"), role)
+    return model.documents.select("doc_id", (F.col("role") == HELD_OUT).alias("held_out"), "n_tokens", "n_known",
+                                  F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
+
+
 def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 best candidates of every vector whose id is divisible by 20."""
     return top_inner_products(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
@@ -83,6 +93,7 @@ QUERIES = {
     "op4_quality": op4_quality,
     "op5_near_dup": op5_near_dup,
     "op6_line_dedup": op6_line_dedup,
+    "op7_lm_score": op7_lm_score,
     "op9_topk": op9_topk,
 }
 
