@@ -12,6 +12,7 @@ from .line_dedup import LineDuplicates
 from .near_dup import NearDuplicates
 from .packing import pack_best_fit, token_pieces
 from .quality import bands, judged, measured
+from .repeats import RepeatedStrings
 from .secrets import joined, scan_secrets
 from .tables import written
 from .topk import top_inner_products
@@ -86,6 +87,13 @@ def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_inner_products(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
 
 
+def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document that repeated strings of 400 bytes cover, and the digest of the others."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return RepeatedStrings(docs).apply(docs).select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"),
+                                                    "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_html_text": op1_html_text,
     "op2_secrets": op2_secrets,
@@ -95,6 +103,7 @@ QUERIES = {
     "op6_line_dedup": op6_line_dedup,
     "op7_lm_score": op7_lm_score,
     "op9_topk": op9_topk,
+    "op10_repeats": op10_repeats,
 }
 
 #: DuckDB SQL of the queries that SQL can express.
