@@ -11,6 +11,7 @@ from .kneser_ney import train
 from .line_dedup import LineDuplicates
 from .near_dup import NearDuplicates
 from .packing import pack_best_fit, token_pieces
+from .pieces import decode, encode_sampled
 from .quality import bands, judged, measured
 from .repeats import RepeatedStrings
 from .secrets import joined, scan_secrets
@@ -82,6 +83,16 @@ def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
                                   F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
 
 
+def op8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sampled segmentation of every document: number and digest of its pieces, and whether they decode to the text."""
+    import public_tokenizers
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    docs = read(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    docs = docs.withColumn("p", encode_sampled(F.col("text"), F.xxhash64("doc_id"), path)).withColumn("back", decode(F.col("p.ids"), path))
+    return docs.select("doc_id", "p.n_pieces", F.crc32("p.ids").alias("ids_crc32"), (F.col("back") == F.col("text")).alias("lossless"))
+
+
 def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 best candidates of every vector whose id is divisible by 20."""
     return top_inner_products(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
@@ -102,6 +113,7 @@ QUERIES = {
     "op5_near_dup": op5_near_dup,
     "op6_line_dedup": op6_line_dedup,
     "op7_lm_score": op7_lm_score,
+    "op8_pieces": op8_pieces,
     "op9_topk": op9_topk,
     "op10_repeats": op10_repeats,
 }
