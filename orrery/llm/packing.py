@@ -175,3 +175,11 @@ def pack_best_fit(pieces: DataFrame, capacity: int = 4096, group_rows: int = 204
     again = first.filter(loose).drop("sequence_id", "offset", "_room")
     second = _packed(again, capacity, groups(again), F.xxhash64("_deal"), 1 << 62, schema)
     return first.filter(~loose).unionByName(second).select(*kept, "sequence_id", "offset")
+
+
+def pack_documents(docs: DataFrame, tokenizer: str, id_column: str = "doc_id", text: str = "text", capacity: int = 4096, end_id: int = 1) -> DataFrame:
+    """doc_id, piece, start, length, CRC-32 of the ids, sequence_id and offset of every piece of the documents."""
+    piece = F.explode(token_pieces(F.col(f"`{text}`"), tokenizer, capacity, end_id)).alias("p")
+    pieces = docs.select(F.col(f"`{id_column}`").alias("doc_id"), piece).select(
+        "doc_id", "p.piece", "p.start", (F.octet_length("p.ids") / 4).cast("long").alias("length"), F.crc32("p.ids").alias("ids_crc32"))
+    return pack_best_fit(pieces, capacity)

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
+
 from .html_text import extract_main_text
 from .interpolation import DELETED, HELD_OUT, TRAIN, DeletedInterpolation
 from .kneser_ney import train
 from .line_dedup import LineDuplicates
 from .near_dup import NearDuplicates
-from .packing import pack_best_fit, token_pieces
+from .packing import pack_documents
 from .pieces import decode, encode_sampled
 from .quality import bands, judged, measured
 from .repeats import RepeatedStrings
@@ -38,19 +41,9 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("secrets")).alias("spans"))
 
 
-def packing_of(docs: DataFrame) -> DataFrame:
-    """Every piece of the documents with its place in a sequence of at most 4096 tokens."""
-    import public_tokenizers
-
-    piece = F.explode(token_pieces(F.col("text"), public_tokenizers.path("word_bpe_49k.json"), 4096, 1)).alias("p")
-    pieces = docs.select("doc_id", piece).select(
-        "doc_id", "p.piece", "p.start", (F.octet_length("p.ids") / 4).cast("long").alias("length"), F.crc32("p.ids").alias("ids_crc32"))
-    return pack_best_fit(pieces, 4096)
-
-
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Places of all documents' pieces in packed sequences."""
-    return packing_of(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return pack_documents(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,8 +78,6 @@ def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A sampled segmentation of every document: number and digest of its pieces, and whether they decode to the text."""
-    import public_tokenizers
-
     path = public_tokenizers.path("piece_bpe_32k.model")
     docs = read(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     docs = docs.withColumn("p", encode_sampled(F.col("text"), F.xxhash64("doc_id"), path)).withColumn("back", decode(F.col("p.ids"), path))
@@ -116,6 +107,7 @@ QUERIES = {
     "op8_pieces": op8_pieces,
     "op9_topk": op9_topk,
     "op10_repeats": op10_repeats,
+    "pipeline": corpus_pipeline.run,
 }
 
 #: DuckDB SQL of the queries that SQL can express.

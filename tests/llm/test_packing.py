@@ -8,8 +8,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from orrery.llm.packing import _encoder, best_fit, pack_best_fit
-from orrery.llm.queries import QUERIES, packing_of
+from orrery.llm.packing import _encoder, best_fit, pack_best_fit, pack_documents
+from orrery.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -78,7 +78,7 @@ def test_groups_and_hot_lengths(spark, group_rows):
 
 def test_odd_tables(spark):
     df = spark.createDataFrame([(None, None), (1, ""), (1, ""), (2, "word " * 20_000)], "doc_id long, text string")
-    rows = packing_of(df).collect()
+    rows = pack_documents(df, PATH).collect()
     assert sorted(r.length for r in rows)[:3] == [1, 1, 1] and sum(r.length for r in rows) == 20_004
     assert check_places(rows) == 5
-    assert packing_of(df.limit(0)).count() == 0
+    assert pack_documents(df.limit(0), PATH).count() == 0
