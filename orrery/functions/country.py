@@ -15,9 +15,6 @@ ISO2_TO_ISO3 = {
     "SG": "SGP", "NL": "NLD",
 }
 
-# Above this many pairs a map literal bloats every task's code; join a table instead.
-MAP_LITERAL_LIMIT = 1000
-
 
 def map_literal(mapping: dict[str, str]) -> Column:
     return F.create_map(*[F.lit(x) for x in chain.from_iterable(mapping.items())])
@@ -37,20 +34,23 @@ def standardise_country(df: DataFrame, col: str = "country_code_2", out: str = "
                         mapping: dict[str, str] | DataFrame | None = None) -> DataFrame:
     """Add the standard code and drop rows whose code does not resolve (F-02).
 
-    ``mapping`` may be a dict (inlined as a map literal) or a two-column
-    DataFrame ``(code_2, code_3)`` for large maps, left-joined and broadcast
-    only when a capped count shows it is small.
+    ``mapping`` may be a dict (inlined as a map literal, so for code lists) or a
+    two-column DataFrame ``(code_2, code_3)`` of any size, left-joined; the planner
+    broadcasts it if its size allows. A code that the frame maps twice takes the
+    smaller target.
     """
+    return with_standard_code(df, col, out, mapping).filter(F.col(out).isNotNull())
+
+
+def with_standard_code(df: DataFrame, col: str = "country_code_2", out: str = "country_iso3",
+                       mapping: dict[str, str] | DataFrame | None = None) -> DataFrame:
+    """As ``standardise_country``, but rows that do not resolve stay, with a NULL code."""
     if isinstance(mapping, DataFrame):
-        from orrery.operators.joins import broadcast_if_small
         src, dst = mapping.columns[:2]
-        m = broadcast_if_small(mapping.select(F.col(src).alias("__code2"), F.col(dst).alias("__code3")))
+        m = mapping.groupBy(F.col(src).alias("__code2")).agg(F.min(dst).alias("__code3"))
         joined = df.join(m, df[col] == m["__code2"], "left")
-        res = joined.withColumn(out, F.when(F.length(col) == 3, F.col(col)).otherwise(F.col("__code3")))
-        return res.drop("__code2", "__code3").filter(F.col(out).isNotNull())
-    if mapping is not None and len(mapping) > MAP_LITERAL_LIMIT:
-        raise ValueError("mapping too large for a literal; pass it as a DataFrame")
-    return df.withColumn(out, standard_code(col, mapping)).filter(F.col(out).isNotNull())
+        return joined.withColumn(out, F.when(F.length(col) == 3, F.col(col)).otherwise(F.col("__code3"))).drop("__code2", "__code3")
+    return df.withColumn(out, standard_code(col, mapping))
 
 
 def payload_code(iso3: str | Column, fallback_id: str | Column) -> Column:

@@ -53,26 +53,24 @@ def period_month(period: str | Column, mode: str = "strict") -> Column:
         F.lit(None).cast("int"))
 
 
-def quarter_end_suffix(quarter: Column) -> Column:
-    """MMDD text of a quarter end; anything but 1-3 maps to the year end."""
-    return (F.when(quarter == 1, F.lit("0331")).when(quarter == 2, F.lit("0630"))
-            .when(quarter == 3, F.lit("0930")).otherwise(F.lit("1231")))
+def month_end_key(year: Column, month: Column) -> Column:
+    """``YYYYMMDD`` int of the last day of a month (years from 0000 to 9999)."""
+    day = F.dayofmonth(F.last_day(F.make_date(year, month, F.lit(1))))
+    return (year * 10000 + month * 100 + day).cast("int")
 
 
 def period_end_key(year: Column, quarter: Column, month: Column | None = None) -> Column:
-    """``YYYYMMDD`` int of the period end: year end, quarter end, or month end."""
-    key = F.when(quarter.isNull(), F.concat(year.cast("string"), F.lit("1231")).cast("int")).otherwise(
-        F.concat(year.cast("string"), quarter_end_suffix(quarter)).cast("int"))
+    """``YYYYMMDD`` int of the period's last day: that of its month if it has one, else of
+    the last month of its quarter, else of December (also for a quarter digit outside 1-4)."""
+    last_month = F.when(quarter.between(1, 4), quarter * 3).otherwise(12)
     if month is not None:
-        month_end = F.date_format(F.last_day(F.make_date(year, month, F.lit(1))), "yyyyMMdd").cast("int")
-        key = F.when(month.isNotNull(), month_end).otherwise(key)
-    return key
+        last_month = F.coalesce(month, last_month)
+    return month_end_key(year, last_month)
 
 
 def quarter_end_key(year: str | Column, quarter: str | Column) -> Column:
     """Quarter-end key from numeric (year, quarter); same as the strict text rule for 1-4."""
-    y, q = _c(year), _c(quarter)
-    return F.date_format(F.last_day(F.make_date(y, q * 3, F.lit(1))), "yyyyMMdd").cast("int")
+    return month_end_key(_c(year), _c(quarter) * 3)
 
 
 def date_key(d: str | Column) -> Column:
@@ -84,6 +82,12 @@ def key_to_date(key: str | Column) -> Column:
     return F.to_date(_c(key).cast("string"), "yyyyMMdd")
 
 
+def frequency(quarter: Column, month: Column | None = None) -> Column:
+    """``A``, ``Q`` or ``M``: an annual and a fourth-quarter value end on the same day and are told apart by this."""
+    f = F.when(quarter.isNotNull(), F.lit("Q")).otherwise(F.lit("A"))
+    return f if month is None else F.when(month.isNotNull(), F.lit("M")).otherwise(f)
+
+
 def parse_period(df, col: str = "period", mode: str = "strict"):
     """Add ``year``, ``quarter``, ``month`` (extended only) and ``date_key``."""
     p = F.col(col)

@@ -103,7 +103,11 @@ def revision_flag(df: DataFrame, keys: Sequence[str], order: Sequence[str], valu
             .agg(F.max_by(F.col(value), order_struct).alias("__last")))
     w_b = Window.partitionBy(*keys).orderBy("__bucket")
     carry = last.withColumn("__prev_bucket_last", F.lag("__last", 1).over(w_b)).drop("__last")
-    joined = inner.join(carry, [*keys, "__bucket"], "left")
+    carry = carry.withColumnsRenamed({c: f"__c_{c}" for c in [*keys, "__bucket"]})
+    same = F.lit(True)
+    for c in [*keys, "__bucket"]:  # a NULL key is a key like any other
+        same = same & F.col(c).eqNullSafe(F.col(f"__c_{c}"))
+    joined = inner.join(carry, same, "left").drop(*[f"__c_{c}" for c in [*keys, "__bucket"]])
     prev = F.when(F.col("__first_in"), F.col("__prev_bucket_last")).otherwise(F.col("__prev_in"))
     return (joined.withColumn(out, F.coalesce(prev != F.col(value), F.lit(False)))
             .drop("__bucket", "__prev_in", "__first_in", "__prev_bucket_last"))

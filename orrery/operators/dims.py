@@ -42,38 +42,22 @@ def calendar(spark: SparkSession, start: str = "2015-01-01", end: str = "2030-12
     return calendar_between(F.to_date(F.lit(start)), F.to_date(F.lit(end)), spark, fiscal_shift_months)
 
 
-def calendar_for_years(spark: SparkSession, bounds: DataFrame, fiscal_shift_months: int = 0) -> DataFrame:
-    """Calendar from Jan 1 of ``min_year`` to Dec 31 of ``max_year``, where ``bounds``
-    is a one-row frame with those two columns (e.g. an aggregate over a fact)."""
-    lo = bounds.select(F.make_date(F.col("min_year"), F.lit(1), F.lit(1))).scalar()
-    hi = bounds.select(F.make_date(F.col("max_year"), F.lit(12), F.lit(31))).scalar()
-    return calendar_between(lo, hi, spark, fiscal_shift_months)
-
-
-def sequential_keys(df: DataFrame, order: Sequence[str], out: str = "key", start: int = 1,
-                    max_single_task_rows: int = 1_000_000) -> DataFrame:
+def sequential_keys(df: DataFrame, order: Sequence[str], out: str = "key", start: int = 1) -> DataFrame:
     """Dense 1-based surrogate keys in ``order`` (P-07), plus an offset ``start - 1``.
 
-    Small dimensions use one ordered window. Larger ones are range-partitioned by
-    a global sort and numbered per partition with offsets from the per-partition
-    counts (the offset table has one row per partition), so no task holds the
-    whole dimension.
+    The rows are range-partitioned by a global sort and numbered within their
+    partition; each partition's offset is the number of rows before it. Only the
+    row counts, one per partition, meet in one place. The sorted rows are
+    checkpointed (a job runs when the plan is built), so both passes and any
+    retry see the same partitions.
     """
-    order_cols = [F.col(c).asc_nulls_first() for c in order]
-    n = df.limit(max_single_task_rows + 1).count()
-    if n <= max_single_task_rows:
-        return df.withColumn(out, (F.row_number().over(Window.orderBy(*order_cols)) + (start - 1)).cast("long"))
-
     from orrery.session import shared_dir
     shared_dir(df.sparkSession)  # checkpoint() needs the shared folder; registered only when unset
-    sorted_df = df.sort(*order_cols).checkpoint()  # fixes partition boundaries for both passes below
-    with_pid = sorted_df.withColumn("__pid", F.spark_partition_id()) \
-                        .withColumn("__mid", F.monotonically_increasing_id())
-    local = with_pid.withColumn("__local", F.col("__mid") - F.shiftleft(F.col("__pid").cast("long"), 33))
-    counts = with_pid.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
-    offsets = counts.withColumn(
-        "__off", F.coalesce(F.sum("__n").over(Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)),
-                            F.lit(0)))
-    return (local.join(F.broadcast(offsets.select("__pid", "__off")), "__pid")
-            .withColumn(out, (F.col("__off") + F.col("__local") + start).cast("long"))
-            .drop("__pid", "__mid", "__local", "__off"))
+    placed = df.sort(*[F.col(c).asc_nulls_first() for c in order]).checkpoint().withColumns({
+        "__pid": F.spark_partition_id(), "__mid": F.monotonically_increasing_id()})
+    counts = placed.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"), F.min("__mid").alias("__first"))
+    before = F.sum("__n").over(Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = counts.select("__pid", "__first", F.coalesce(before, F.lit(0)).alias("__off"))
+    return (placed.join(F.broadcast(offsets), "__pid")
+            .withColumn(out, (F.col("__mid") - F.col("__first") + F.col("__off") + start).cast("long"))
+            .drop("__pid", "__mid", "__first", "__off"))

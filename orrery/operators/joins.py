@@ -1,25 +1,13 @@
-"""Join helpers: broadcast only behind a size check."""
+"""Join helper: the broadcast hint for sides that are bounded by construction.
+
+All other sides are left to the planner's size threshold and to AQE's sizes at run time."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Dimensions below this many rows may be broadcast.
-BROADCAST_MAX_ROWS = 1_000_000
-
-
 def bounded(df: DataFrame) -> DataFrame:
     """Broadcast hint for a side whose size is bounded by construction
     (fixed code lists, a calendar over a date range, a 25-row nation table)."""
     return F.broadcast(df)
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only when a capped count proves it holds at most ``max_rows``.
-
-    The count reads at most ``max_rows + 1`` rows. Otherwise the frame is
-    returned as is and the optimiser (with AQE's runtime sizes) picks the join.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df

@@ -54,13 +54,15 @@ def kpi_record(latest: DataFrame, code_col: str, named_codes: dict[str, str],
 
     ``named_codes`` maps output name -> code; ``fields`` maps struct field -> input
     column (``{'value': 'value', 'change': 'yoy_change'}``). A code with no row
-    gives a NULL struct. The pivot values are given explicitly, so the pivot is
-    one hash aggregate with no extra job to find them.
+    gives a struct of NULL fields. The pivot values are given explicitly, so the
+    pivot is one hash aggregate with no extra job to find them.
     """
     codes = list(named_codes.values())
     s = F.struct(*[F.col(src).alias(f) for f, src in fields.items()])
     piv = latest.groupBy().pivot(code_col, codes).agg(F.first(s, ignorenulls=True))
-    return piv.select(*[F.col(f"`{code}`").alias(name) for name, code in named_codes.items()])
+    types = {f.name: f.dataType for f in latest.schema.fields}
+    absent = F.struct(*[F.lit(None).cast(types[src]).alias(f) for f, src in fields.items()])
+    return piv.select(*[F.coalesce(F.col(f"`{code}`"), absent).alias(name) for name, code in named_codes.items()])
 
 
 def flatten_record(df: DataFrame) -> DataFrame:

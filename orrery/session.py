@@ -78,12 +78,14 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
 
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder: ``spark.checkpoint.dir`` if set, else the
-    context's checkpoint folder; only when neither is set (local tests) a
-    temporary folder is created. The folder is also registered as the context's
+    context's checkpoint folder; only when neither is set a temporary folder is
+    created, and only under a local master: elsewhere that raises. The folder is also registered as the context's
     checkpoint folder when none is registered, so ``checkpoint()`` works."""
     sc = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not base:
+        if not sc.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="orrery-run-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(base)

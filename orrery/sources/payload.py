@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from orrery.functions.country import payload_code
 
 ROW_SCHEMA = ("struct<countryiso3code:string, country:struct<id:string, value:string>, "
-              "date:string, value:double, unit:string>")
+              "date:string, value:string, unit:string>")
 
 
 def read_landed(spark: SparkSession, path: str) -> DataFrame:
@@ -30,7 +30,8 @@ def flatten_payload(docs: DataFrame, text: str = "text", indicator: str | Column
 
     ``indicator`` names a column of ``docs`` (or is a Column) giving the
     indicator each document was fetched for. ``unit`` defaults to ``''`` only
-    when the field is absent from the row object.
+    when the field is absent from the row object. Numbers may come as text. What
+    gives no row for a fault of its own is in ``payload_quarantine``.
     """
     ind = F.col(indicator) if isinstance(indicator, str) else indicator
     outer = docs.select(ind.alias("indicator_code"), F.from_json(F.col(text), "array<string>").alias("doc"))
@@ -40,11 +41,12 @@ def flatten_payload(docs: DataFrame, text: str = "text", indicator: str | Column
                    F.array_contains(F.json_object_keys("row_text"), "unit").alias("has_unit"))
     # an absent ``unit`` key becomes ''; a present JSON null stays NULL
     unit = F.when(F.col("has_unit"), F.col("r.unit")).otherwise(F.lit(""))
-    return r.filter(F.col("r.value").isNotNull()).select(
+    value = F.col("r.value").try_cast("double")
+    return r.filter(value.isNotNull()).select(
         "indicator_code",
         payload_code(F.col("r.countryiso3code"), F.col("r.country.id")).alias("country_code_2"),
         F.col("r.date").alias("period"),
-        F.col("r.value").alias("value"),
+        value.alias("value"),
         unit.alias("unit"),
         F.lit(source).alias("source"),
         F.lit(run_id).alias("pipeline_run_id"),
@@ -53,6 +55,24 @@ def flatten_payload(docs: DataFrame, text: str = "text", indicator: str | Column
     )
 
 
+def payload_quarantine(docs: DataFrame, text: str = "text", indicator: str | Column = "indicator_code") -> DataFrame:
+    """(indicator_code, reason, text) of documents that are no ``[meta, rows]`` and of rows
+    that are no object or whose value is no number. A JSON null value is no fault."""
+    ind = F.col(indicator) if isinstance(indicator, str) else indicator
+    outer = docs.select(ind.alias("indicator_code"), F.col(text).alias("text"), F.from_json(F.col(text), "array<string>").alias("doc"))
+    rows = F.get(F.col("doc"), 1)
+    listed = F.from_json(rows, "array<string>")
+    # a document without rows, or with a JSON null for them, is an empty page and no fault
+    bad_doc = F.col("doc").isNull() | (F.size("doc") == 0) | (rows.isNotNull() & (F.trim(rows) != "null") & listed.isNull())
+    documents = outer.filter(F.coalesce(bad_doc, F.lit(True))).select("indicator_code", F.lit("document").alias("reason"), "text")
+    each = outer.filter(~F.coalesce(bad_doc, F.lit(True))).select("indicator_code", F.explode(listed).alias("text"))
+    fields = F.from_json("text", ROW_SCHEMA)
+    no_object = F.json_object_keys("text").isNull()
+    no_number = fields["value"].isNotNull() & fields["value"].try_cast("double").isNull()
+    reason = F.when(no_object, F.lit("row")).when(no_number, F.lit("value"))
+    return documents.unionByName(each.select("indicator_code", reason.alias("reason"), "text").filter(F.col("reason").isNotNull()))
+
+
 def build_payloads(rows: DataFrame, doc_key: dict[str, Column], indicator: Column, row_struct: Column,
                    page_meta: Column | None = None) -> DataFrame:
     """Group observation rows into ``[meta, rows]`` documents, one per ``doc_key``

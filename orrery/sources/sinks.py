@@ -5,13 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from pyspark.sql.types import ArrayType, DataType, DecimalType, DoubleType, FloatType, StructField, StructType
+
+from orrery.operators.load import observed_rows
 from orrery.schemas import PIPELINE_METRICS
 
 
-def json_rows(df: DataFrame, out: str = "json") -> DataFrame:
-    """One JSON object per row; NULL fields are written as ``null`` instead of dropped."""
-    return df.select(F.to_json(F.struct(*[F.col(c) for c in df.columns]),
-                               {"ignoreNullFields": "false"}).alias(out))
+def fixed_numbers(kind: DataType, decimals: int = 6) -> DataType:
+    """``kind`` with every float or double in it as a decimal, whose text has no exponent."""
+    if isinstance(kind, (FloatType, DoubleType)):
+        return DecimalType(38, decimals)
+    if isinstance(kind, ArrayType):
+        return ArrayType(fixed_numbers(kind.elementType, decimals), kind.containsNull)
+    if isinstance(kind, StructType):
+        return StructType([StructField(f.name, fixed_numbers(f.dataType, decimals), f.nullable) for f in kind.fields])
+    return kind
+
+
+def json_rows(df: DataFrame, out: str = "json", decimals: int = 6) -> DataFrame:
+    """One JSON object per row; NULL fields are written as ``null`` instead of dropped, and
+    numbers with ``decimals`` places, so their text does not depend on their size."""
+    cols = [F.col(f"`{f.name}`").cast(fixed_numbers(f.dataType, decimals)).alias(f.name) for f in df.schema.fields]
+    return df.select(F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}).alias(out))
 
 
 def write_json(df: DataFrame, path: str) -> None:
@@ -34,7 +49,7 @@ def counted_write(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "o
     """Write and return the row count observed during the write (no second job, S-13)."""
     obs = Observation("rows")
     df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode(mode).format(fmt).save(path)
-    return int(obs.get["rows"])
+    return observed_rows(obs)
 
 
 def metrics_frame(spark: SparkSession, run_id: str, stage: str, record_count: int, status: str) -> DataFrame:

@@ -13,61 +13,22 @@ TABLES = (
 )
 
 
-# A scan with fewer splits than the cluster has cores (a large file written as a
-# single row group) runs everything before its first shuffle in a few tasks; such
-# a scan is spread over the cores by a hash of its first column (the table key),
-# which is deterministic on retry without the sort a round-robin spread needs.
-# Tables of many files or row groups, as at scale, already have enough splits.
-SPREAD_MIN_BYTES = 1 << 20
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Scan ``{sf_dir}/{name}.parquet``."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    return spread_if_under_split(spark, spark.read.parquet(path), path)
-
-
-def spread_if_under_split(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    size = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
-    return df.repartition(cores, df.columns[0]) if size >= SPREAD_MIN_BYTES else df
-
-
-# One scan handle per (session, folder, table): the file listing and footer schema
-# are resolved once per process instead of on every access while building plans.
-# Files added to a folder later are seen after ``refresh()``.
-_HANDLES: dict[tuple[int, str, str], DataFrame] = {}
-_REFRESH_HOOKS: list = []
-
-
-def refresh() -> None:
-    """Forget cached scan handles and everything derived from them (checked
-    dimensions), so the next query lists the folders again."""
-    _HANDLES.clear()
-    for hook in _REFRESH_HOOKS:
-        hook()
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 class Tables:
-    """Lazy handles on every input table of one data folder."""
+    """Lazy handles on every input table of one data folder; each folder is listed once per object."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self._scans: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name not in TABLES:
             raise AttributeError(name)
-        k = (id(self.spark), self.sf_dir, name)
-        df = _HANDLES.get(k)
-        if df is None or df.sparkSession is not self.spark:
-            df = _HANDLES[k] = table(self.spark, self.sf_dir, name)
-        return df
-
-    def register_views(self) -> None:
-        for name in TABLES:
-            table(self.spark, self.sf_dir, name).createOrReplaceTempView(name)
+        if name not in self._scans:
+            self._scans[name] = table(self.spark, self.sf_dir, name)
+        return self._scans[name]

@@ -46,4 +46,4 @@ def test_unpivot_and_kpi_record(spark):
     assert sorted((r.code, r.value) for r in long.collect()) == [("X", 1.0), ("Y", 2.0)]
     rec = kpi_record(long.withColumn("ch", F.lit(None).cast("double")), "code", {"x": "X", "missing": "Z"},
                      {"value": "value", "change": "ch"}).first()
-    assert rec.x.value == 1.0 and rec.missing is None
+    assert rec.x.value == 1.0 and rec.missing.asDict() == {"value": None, "change": None}

@@ -28,3 +28,14 @@ def test_flatten_rules(spark, tmp_dir):
     assert [(r.indicator_code, r.country_code_2, r.period, r.value, r.unit) for r in out] == [
         ("A", "DEU", "2020", 3.0, None), ("A", "CN", "2022", 2.0, ""), ("A", "USA", "2023", 1.5, "%")]
     assert {r.source for r in out} == {"World Bank"}
+
+
+def test_bad_payloads_are_kept_apart(spark):
+    from orrery.sources.payload import flatten_payload, payload_quarantine
+    row = '{"countryiso3code":"USA","country":{"id":"US"},"date":"2020","value":%s}'
+    docs = ['[{"page":1},[' + ",".join(row % v for v in ("1.5", '"2.5"', '"n/a"', "null")) + "]]", '[{"page":1},[', "<html>no</html>", '[{"page":1}]',
+            '[{"page":1},null]', '[{"page":1},[7]]']
+    df = spark.createDataFrame([("X", d) for d in docs], "indicator_code string, text string")
+    assert sorted(r.value for r in flatten_payload(df).collect()) == [1.5, 2.5]
+    bad = sorted((r.reason, r.text) for r in payload_quarantine(df).collect())
+    assert [r for r, _ in bad] == ["document", "document", "row", "value"] and "n/a" in bad[-1][1]

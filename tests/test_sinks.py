@@ -5,7 +5,6 @@ import os
 
 from pyspark.sql import functions as F
 
-from orrery.operators.joins import broadcast_if_small
 from orrery.sources.sinks import append_metrics, counted_write, json_rows, write_csv, write_json
 
 
@@ -30,14 +29,9 @@ def test_file_sinks_and_counts(spark, tmp_dir):
                                                                                  ("r2", 0, "FAILED")]
 
 
-def test_broadcast_if_small(spark):
-    small = spark.range(10)
-    big = spark.range(100)
-    j1 = spark.range(1000).join(broadcast_if_small(small, 50), "id")
-    j2 = spark.range(1000).join(broadcast_if_small(big, 50), "id")
-    assert "broadcast" in j1._jdf.queryExecution().analyzed().toString().lower()
-    assert "broadcast" not in j2._jdf.queryExecution().analyzed().toString().lower()
-    assert j1.count() == 10 and j2.count() == 100
+def test_json_numbers_have_one_form(spark):
+    df = spark.createDataFrame([(1e-7, 12345678901.5, None, 3)], "a double, b double, c double, d int")
+    assert [r.json for r in json_rows(df).collect()] == ['{"a":0.000000,"b":12345678901.500000,"c":null,"d":3}']
 
 
 def test_cluster_conf_sizes_partitions():
@@ -49,13 +43,30 @@ def test_cluster_conf_sizes_partitions():
     assert small["spark.sql.adaptive.skewJoin.enabled"] == "true"
 
 
-def test_refresh_sees_new_files(spark, tmp_dir):
-    from orrery.sources.tables import Tables, refresh
+def test_new_files_are_seen(spark, tmp_dir):
+    from orrery.sources.tables import Tables
     d = os.path.join(tmp_dir, "sf")
     spark.range(3).write.parquet(os.path.join(d, "events.parquet", "p=1"))
-    t = Tables(spark, d)
-    assert t.events.count() == 3
+    assert Tables(spark, d).events.count() == 3
     spark.range(2).write.parquet(os.path.join(d, "events.parquet", "p=2"))
-    assert Tables(spark, d).events.count() == 3  # cached listing
-    refresh()
     assert Tables(spark, d).events.count() == 5
+
+
+def test_no_machine_local_folder_on_a_cluster(monkeypatch):
+    from orrery import session
+
+    class Context:
+        master = "spark://somewhere:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            get = staticmethod(lambda key, default=None: default)
+
+    import pytest
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_dir(Session())
