@@ -1,34 +1,36 @@
 """Streaming dedupe of repeated observations (T-04).
 
-The same observation can arrive once per run. ``dropDuplicatesWithinWatermark``
-keeps the first copy of an id and forgets ids older than the watermark, so
-state stays bounded. The watermark needs a ``timestamp`` column, so a
-``timestamp_ntz`` event time is cast first.
+The same observation can come with every run, hours or days after its first delivery, and
+a first delivery can be late as well. So nothing is decided by a watermark: each
+micro-batch is reduced to one row per id and appended where the target does not hold the
+id yet. The target is partitioned by the day of the event time, which copies share, so a
+micro-batch reads the days it has rows of and no others. A replayed micro-batch appends
+nothing twice.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orrery.streaming.sources import stream_path
+from orrery.operators.load import load_if_absent
+
+DAY = "day"
+
 
+def dedupe_events(spark: SparkSession, landing: str, target: str, checkpoint: str, id_col: str = "event_id", ts: str = "ts",
+                  files_per_batch: int = 1000):
+    """Append what is new in the files at ``landing`` since the last call to ``target``, each id once.
 
-def dedupe_stream(stream: DataFrame, id_col: str = "event_id", ts: str = "ts", delay: str = "1 hour") -> DataFrame:
-    s = stream.withColumn("__event_time", F.col(ts).cast("timestamp"))
-    return s.withWatermark("__event_time", delay).dropDuplicatesWithinWatermark([id_col]).drop("__event_time")
+    Rows without an id or a time go to ``{target}-rejected``. Returns the finished query.
+    """
+    stream = (spark.readStream.schema(spark.read.parquet(landing).schema).option("maxFilesPerTrigger", files_per_batch)
+              .parquet(landing).withColumn(DAY, F.to_date(ts)))
 
+    def append_new(batch: DataFrame, epoch_id: int) -> None:
+        load_if_absent(batch, target, [id_col, DAY], [DAY], rejected_path=f"{target}-rejected")
 
-def dedupe_events(spark: SparkSession, source: str, target: str, checkpoint: str, copies: int = 2,
-                  delay: str = "1 hour"):
-    """Read ``source`` as ``copies`` streams (repeated delivery), dedupe, append to ``target``."""
-    schema = spark.read.parquet(source).schema
-    streams = [spark.readStream.schema(schema).parquet(stream_path(source)) for _ in range(copies)]
-    merged = reduce(DataFrame.unionByName, streams)
-    out = dedupe_stream(merged, delay=delay)
-    q = (out.writeStream.format("parquet").option("path", target).option("checkpointLocation", checkpoint)
-         .outputMode("append").trigger(availableNow=True).start())
+    q = (stream.writeStream.foreachBatch(append_new).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
     q.awaitTermination()
     return q
