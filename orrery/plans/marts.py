@@ -65,7 +65,7 @@ def kpi_latest(fact: DataFrame, dim_date: DataFrame, dim_country: DataFrame, dim
 def kpi_summary(fact: DataFrame, dim_date: DataFrame, dim_country: DataFrame, dim_indicator: DataFrame,
                 country: str = "USA", named_codes: dict[str, str] | None = None,
                 last_updated: Column | None = None) -> DataFrame:
-    """One-row KPI record: ``{name: {value, change}}`` per code, missing -> NULL (A-07)."""
+    """One-row KPI record: ``{name: {value, change}}`` per code, of NULLs where it is missing (A-07)."""
     named = named_codes or KPI_CODES
     latest = kpi_latest(fact, dim_date, dim_country, dim_indicator, country, tuple(named.values()))
     rec = kpi_record(latest, "indicator_code", named, {"value": "value", "change": "yoy_change"})
@@ -81,8 +81,8 @@ def gdp_trend(fact: DataFrame, dim_date: DataFrame, dim_country: DataFrame, dim_
     c = dim_country.filter(F.col("country_code").isin(*countries)).select("country_key", "country_code",
                                                                           "country_name")
     i = dim_indicator.filter(F.col("indicator_code") == code).select("indicator_key")
-    f = fact.filter(F.col("value").isNotNull()).select("date_key", "country_key", "indicator_key", "value",
-                                                       "yoy_change")
+    f = fact.filter(F.col("year") >= year_start) if "year" in fact.columns else fact  # prunes a stored fact's partitions
+    f = f.filter(F.col("value").isNotNull()).select("date_key", "country_key", "indicator_key", "value", "yoy_change")
     j = _star(f, d, c, i)
     return (j.select("country_code", "country_name", "year", F.col("value").alias("gdp"),
                      F.col("yoy_change").alias("growth"))
@@ -108,21 +108,6 @@ def sector_heatmap(market: DataFrame, dim_date: DataFrame, dim_sector: DataFrame
                      F.col("sector_name").asc())
 
 
-def sector_heatmap_from_summary(summary: DataFrame, dim_date: DataFrame, dim_sector: DataFrame,
-                                year_start: int = 2020, scale: int = 6) -> DataFrame:
-    """M-03 over a pre-aggregated market summary (see ``market_quarter_summary``):
-    the same averages, from sums and counts."""
-    d = dim_date.filter(F.col("year") >= year_start).select(
-        "date_key", F.col("year").cast("int").alias("year"), F.col("quarter").cast("int").alias("quarter"))
-    s = dim_sector.select("sector_key", "sector_name")
-    j = summary.join(bounded(d), "date_key").join(s, "sector_key")
-    g = j.groupBy("sector_name", "year", "quarter").agg(
-        F.round((F.try_divide(F.sum("close_over_open"), F.sum("n_priced")) - 1) * 100, scale).alias("return_pct"),
-        F.round(F.try_divide(F.sum("pe_sum").cast("double"), F.sum("n")), 4).alias("pe_ratio"))
-    return g.orderBy(F.col("year").desc_nulls_first(), F.col("quarter").desc_nulls_first(),
-                     F.col("sector_name").asc())
-
-
 def country_map(fact: DataFrame, dim_date: DataFrame, dim_country: DataFrame, dim_indicator: DataFrame,
                 as_of: Column | None = None, columns: dict[str, str] | None = None,
                 latest_with_data: bool = False) -> DataFrame:

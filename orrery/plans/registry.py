@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from orrery.functions.country import standard_code
 from orrery.functions.keys import index_label
 from orrery.functions.numeric import cents, envelope_high, envelope_low, from_cents
-from orrery.functions.period import parse_period, period_end_key, period_month, period_quarter, period_year
+from orrery.functions.period import (parse_period, period_end_key, period_month, period_quarter, period_year,
+                                     quarter_end_key)
 from orrery.operators import audit, change, dims, load, reshape
 from orrery.plans import marts, pipeline
 from orrery.plans import standins as si
@@ -37,7 +38,9 @@ MAP_COLUMNS = {"order_value": "ORD.TOTAL", "order_count": "ORD.COUNT", "avg_orde
                "urgent_share": "ORD.URGENT"}
 ANOMALY_THRESHOLD = 200.0
 FISCAL_SHIFT = 3
-PANEL_COUNTRIES = 5
+MAP_AS_OF = "1999-06-30"
+PANEL_COUNTRIES = 5  # the grid takes this many countries, the first by key
+PANEL_YEARS = (1992, 2001)  # first and last year of the market grid and of the expected yearly facts
 AUDIT_CALENDAR_START = "1996-01-01"
 TARGET_CUTOFF = "1999-01-01"
 EVENT_PAGE = 100
@@ -58,6 +61,14 @@ def _fact_yearly(t: Tables) -> tuple[DataFrame, dict[str, DataFrame]]:
     return facts, d
 
 
+def _stored_fact(t: Tables) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """The yearly indicator facts, written with the declared types by year and read again."""
+    facts, d = _fact_yearly(t)
+    path = f"{work_dir(t.spark, 'fact')}/fact_economic_indicators"
+    pipeline.write_facts(facts, path)
+    return t.spark.read.parquet(path), d
+
+
 # ---------------------------------------------------------------- marts
 
 def q_mart_trade_flows(spark, sf):
@@ -86,41 +97,48 @@ def q_mart_trend(spark, sf):
                            TREND_CODE)
 
 
+def q_mart_trend_stored(spark, sf):
+    """The trend mart over the stored fact: only the partitions of its years are read."""
+    t = _t(spark, sf)
+    facts, d = _stored_fact(t)
+    trend = marts.gdp_trend(facts, d["date"], d["country"], d["indicator"], TREND_YEAR_START, TREND_COUNTRIES, TREND_CODE)
+    return trend.withColumns({c: F.col(c).cast("double") for c in ("gdp", "growth")})
+
+
 def q_mart_trend_sql(spark, sf):
-    """The trend mart through the SQL API with bound parameters (no string-pasted IN list)."""
+    """How the trend countries fared over the stored fact: SQL text with bound arguments and frames."""
     t = _t(spark, sf)
-    facts, d = _fact_yearly(t)
-    facts.createOrReplaceTempView("orrery_fact_economic_indicators")
-    d["date"].createOrReplaceTempView("orrery_dim_date")
-    d["country"].createOrReplaceTempView("orrery_dim_country")
-    d["indicator"].createOrReplaceTempView("orrery_dim_indicator")
+    facts, d = _stored_fact(t)
     return spark.sql(
         """
-        SELECT c.country_code, c.country_name, CAST(d.year AS INT) AS year, f.value AS gdp, f.yoy_change AS growth
-        FROM orrery_fact_economic_indicators f
-        JOIN orrery_dim_date d ON f.date_key = d.date_key
-        JOIN orrery_dim_country c ON f.country_key = c.country_key
-        JOIN orrery_dim_indicator i ON f.indicator_key = i.indicator_key
-        WHERE i.indicator_code = :code
-          AND array_contains(:countries, c.country_code)
-          AND d.year >= :year_start
-          AND f.value IS NOT NULL
-        ORDER BY c.country_code, d.year
+        SELECT country_key, COUNT(*) AS years, COUNT_IF(yoy_change > 0) AS rising,
+               CAST(MAX_BY(value, date_key) AS DOUBLE) AS last_value
+        FROM {fact}
+        WHERE year >= :since
+          AND indicator_key = (SELECT MIN(indicator_key) FROM {indicator} WHERE indicator_code = :code)
+          AND country_key IN (SELECT country_key FROM {country} WHERE array_contains(:countries, country_code))
+        GROUP BY country_key
         """,
-        args={"code": TREND_CODE, "countries": F.array(*[F.lit(c) for c in TREND_COUNTRIES]),
-              "year_start": TREND_YEAR_START})
+        args={"code": TREND_CODE, "countries": F.array(*[F.lit(c) for c in TREND_COUNTRIES]), "since": TREND_YEAR_START},
+        fact=facts, indicator=d["indicator"], country=d["country"])
 
 
 def q_mart_sector_heatmap(spark, sf):
-    """Heatmap from lineitem pre-aggregated per part and quarter (the open price
-    and P/E are per part), so the part join moves far fewer rows."""
+    """Heatmap over the market prices alone: one lineitem exchange, on the part key."""
     t = _t(spark, sf)
-    summary = si.market_quarter_summary(t, since_year=HEATMAP_YEAR_START)
-    return marts.sector_heatmap_from_summary(summary, si.dim_date(t), si.dim_sector(t), HEATMAP_YEAR_START)
+    prices = si.market_prices(t, since_year=HEATMAP_YEAR_START)
+    return marts.sector_heatmap(prices, si.dim_date(t), si.dim_sector(t), HEATMAP_YEAR_START)
+
+
+def q_mart_sector_heatmap_gaps(spark, sf):
+    """The heatmap where closes, quantities, open prices and P/E values are missing or zero."""
+    t = _t(spark, sf)
+    prices = si.market_prices(t, since_year=HEATMAP_YEAR_START, gaps=True)
+    return marts.sector_heatmap(prices, si.dim_date(t), si.dim_sector(t), HEATMAP_YEAR_START)
 
 
 def q_mart_sector_heatmap_rows(spark, sf):
-    """The same mart over the row-level market fact (as over a stored fact table)."""
+    """The same mart over the whole market fact, with its country."""
     t = _t(spark, sf)
     market = si.market_fact(t, since_year=HEATMAP_YEAR_START)
     return marts.sector_heatmap(market, si.dim_date(t), si.dim_sector(t), HEATMAP_YEAR_START)
@@ -129,14 +147,14 @@ def q_mart_sector_heatmap_rows(spark, sf):
 def q_mart_country_map(spark, sf):
     t = _t(spark, sf)
     facts, d = _fact_yearly(t)
-    return marts.country_map(facts, d["date"], d["country"], d["indicator"], None, MAP_COLUMNS)
+    return marts.country_map(facts, d["date"], d["country"], d["indicator"], F.lit(MAP_AS_OF).cast("date"), MAP_COLUMNS)
 
 
 # ---------------------------------------------------------------- dimensions and keys
 
 def q_calendar_dim(spark, sf):
     t = _t(spark, sf)
-    return dims.calendar_for_years(spark, si.year_bounds(t), fiscal_shift_months=FISCAL_SHIFT)
+    return si.dim_date(t, FISCAL_SHIFT)
 
 
 def q_surrogate_keys(spark, sf):
@@ -223,18 +241,18 @@ def q_qoq_calendar(spark, sf):
 
 
 def q_trade_balance(spark, sf):
-    """Exports minus imports per nation and year in one aggregate: each line is
-    emitted once for its exporter and once for its importer (no join of two aggregates)."""
+    """Exports minus imports per nation and year: lines are summed per pair of nations and
+    year first, and only these sums count once for the exporter and once for the importer."""
     t = _t(spark, sf)
     li = t.lineitem.select("l_orderkey", "l_suppkey", "l_extendedprice", "l_shipdate")
     s = t.supplier.select("s_suppkey", "s_nationkey")
     on = si.order_nation(t)
     j = li.join(on, li.l_orderkey == on.o_orderkey).join(s, F.col("l_suppkey") == s.s_suppkey)
-    v = cents("l_extendedprice")
+    flows = j.groupBy("s_nationkey", "c_nationkey", F.year("l_shipdate").alias("year")).agg(F.sum(cents("l_extendedprice")).alias("v"))
     zero = F.lit(0).cast("long")
-    sides = j.select(F.year("l_shipdate").alias("year"), F.explode(F.array(
-        F.struct(F.col("s_nationkey").alias("nationkey"), v.alias("exp"), zero.alias("imp")),
-        F.struct(F.col("c_nationkey").alias("nationkey"), zero.alias("exp"), v.alias("imp")))).alias("s"))
+    sides = flows.select("year", F.explode(F.array(
+        F.struct(F.col("s_nationkey").alias("nationkey"), F.col("v").alias("exp"), zero.alias("imp")),
+        F.struct(F.col("c_nationkey").alias("nationkey"), zero.alias("exp"), F.col("v").alias("imp")))).alias("s"))
     g = sides.groupBy(F.col("s.nationkey").alias("nationkey"), "year").agg(
         from_cents(F.sum("s.exp")).alias("export_value"), from_cents(F.sum("s.imp")).alias("import_value"))
     g = g.withColumn("trade_balance", F.col("export_value") - F.col("import_value")) \
@@ -288,7 +306,7 @@ def q_insert_if_absent(spark, sf):
     target = facts(target_obs)
     # the batch arrives twice (two runs delivering the same rows): in-batch duplicates
     batch = facts(batch_obs).withColumn("run", F.explode(F.array(F.lit(1), F.lit(2)))).drop("run")
-    return load.merged_table(batch, target, list(pipeline.NATURAL_KEY))
+    return load.merged_table(batch, target, ["date_key", "country_key", "indicator_key"])
 
 
 def q_latest_version(spark, sf):
@@ -319,17 +337,14 @@ def q_dense_panel(spark, sf):
     """Quarter x sector x first countries grid with quarter-end keys and index labels
     (the market seed grid); every axis is bounded by a dimension."""
     t = _t(spark, sf)
-    b = si.year_bounds(t)
-    y0 = b.select("min_year").scalar()
-    y1 = b.select("max_year").scalar()
-    sectors = si.dim_sector(t).select("sector_key")
-    grid = audit.expected_grid(sectors, {
-        "year": F.sequence(y0, y1), "quarter": F.sequence(F.lit(1), F.lit(4)),
-        "country_key": F.array(*[F.lit(k) for k in range(PANEL_COUNTRIES)])})
+    first = si.dim_country(t).select("country_key").orderBy("country_key").limit(PANEL_COUNTRIES)
+    countries = first.agg(F.sort_array(F.collect_list("country_key")).alias("k")).select("k").scalar()
+    grid = audit.expected_grid(si.dim_sector(t).select("sector_key"), {
+        "year": F.sequence(*[F.lit(y) for y in PANEL_YEARS]), "quarter": F.sequence(F.lit(1), F.lit(4)), "country_key": countries})
     return grid.select(
         F.col("year").cast("int").alias("year"), F.col("quarter").cast("int").alias("quarter"), "sector_key",
-        "country_key", F.expr("cast(date_format(last_day(make_date(year, quarter * 3, 1)), 'yyyyMMdd') as int)")
-        .alias("date_key"), index_label("country_key", "sector_key").alias("index_name"))
+        "country_key", quarter_end_key("year", "quarter").alias("date_key"),
+        index_label("country_key", "sector_key").alias("index_name"))
 
 
 def q_completeness_gap(spark, sf):
@@ -339,10 +354,9 @@ def q_completeness_gap(spark, sf):
                    .join(d["indicator"].select("indicator_key", "indicator_code"), "indicator_key") \
                    .select("country_code", "indicator_code", F.floor(F.col("date_key") / 10000).cast("int")
                            .alias("year"))
-    b = si.year_bounds(t)
     grid = audit.expected_grid(d["country"].select("country_code"), {
         "indicator_code": F.array(*[F.lit(c) for c in si.INDICATOR_CODES]),
-        "year": F.sequence(b.select("min_year").scalar(), b.select("max_year").scalar())})
+        "year": F.sequence(*[F.lit(y) for y in PANEL_YEARS])})
     return audit.completeness_gap(grid, present, ["country_code", "indicator_code", "year"])
 
 
@@ -361,8 +375,7 @@ def q_ohlc_envelope(spark, sf):
 def q_fk_audit(spark, sf):
     t = _t(spark, sf)
     m = si.market_fact(t)
-    hi = si.year_bounds(t).select(F.make_date("max_year", F.lit(12), F.lit(31))).scalar()
-    cal = dims.calendar_between(F.to_date(F.lit(AUDIT_CALENDAR_START)), hi, spark)
+    cal = dims.calendar(spark, AUDIT_CALENDAR_START, si.CALENDAR[1])
     return audit.fk_audit(m, [
         ("date_key", "date_key", cal, "date_key"),
         ("country_key", "country_key", si.dim_country(t), "country_key"),
@@ -488,34 +501,76 @@ def q_stream_incremental_load(spark, sf):
     early = (F.col("o_orderstatus") == "F") & (F.col("o_orderdate") < F.lit(TARGET_CUTOFF).cast("timestamp_ntz"))
     cols = ["indicator_code", "country_code", "period", "date_key", "value"]
     run_a, run_b = _monthly_obs_pair(t, early)
-    raw_zone.write_run(run_a.select(*cols), f"{base}/raw", "run_a")
-    raw_zone.write_run(run_b.select(*cols), f"{base}/raw", "run_b")
+    year = F.floor(F.col("date_key") / 10000).cast("int").alias("year")
+    raw_zone.write_run(run_a.select(*cols, year), f"{base}/raw", "run_a")
+    raw_zone.write_run(run_b.select(*cols, year), f"{base}/raw", "run_b")
     incremental_load(spark, f"{base}/raw", f"{base}/fact", f"{base}/checkpoint",
-                     keys=["country_code", "indicator_code", "date_key"])
+                     keys=["country_code", "indicator_code", "date_key"], partition_by=["year"])
     return spark.read.parquet(f"{base}/fact").select(*cols)
 
 
 def q_stream_live_kpi(spark, sf):
-    from orrery.streaming.live import live_latest
+    from orrery.streaming.live import live_kpis, live_latest
     base = work_dir(spark, "stream-kpi")
     live_latest(spark, f"{sf.rstrip('/')}/events.parquet", f"{base}/kpi", f"{base}/checkpoint")
-    return spark.read.parquet(f"{base}/kpi").select("event_type", "latest_value", "latest_event_id", "events")
+    return live_kpis(spark, f"{base}/kpi").select("event_type", "latest_value", "latest_event_id", "change", "events")
 
 
 def q_stream_dedupe(spark, sf):
+    """Three runs deliver the events: the later days first, then the earlier ones (late first
+    deliveries) with copies of some of the first, then copies of half of all."""
     from orrery.streaming.dedupe import dedupe_events
+    t = _t(spark, sf)
     base = work_dir(spark, "stream-dedupe")
-    dedupe_events(spark, f"{sf.rstrip('/')}/events.parquet", f"{base}/out", f"{base}/checkpoint", copies=2)
+    late = F.dayofmonth("ts") % 2 == 0
+    for part in (late, ~late | (F.col("event_id") % 5 == 0), F.col("event_id") % 2 == 0):
+        t.events.filter(part).write.mode("append").parquet(f"{base}/landing")
+        dedupe_events(spark, f"{base}/landing", f"{base}/out", f"{base}/checkpoint")
     return spark.read.parquet(f"{base}/out").select("event_id", "user_id", "event_type", "value")
 
 
+# ---------------------------------------------------------------- the whole run
+
+def end_to_end_raw(t: Tables) -> DataFrame:
+    """Yearly, quarterly and monthly observations with faults by rule: months do not parse in
+    strict mode, average orders of 1996 have no value, two nations have unknown codes, and
+    yearly counts come once more under an indicator that no dimension has."""
+    raw = si.raw_observations(t, "mixed", measures=si.order_measures_grains(t))
+    gap = (F.col("indicator_code") == "ORD.AVG") & F.col("period").startswith("1996")
+    raw = raw.withColumn("value", F.when(~gap, F.col("value")))
+    extra = raw.filter((F.col("indicator_code") == "ORD.COUNT") & (F.length("period") == 4))
+    return raw.unionByName(extra.withColumn("indicator_code", F.lit("ORD.EXTRA")))
+
+
+def q_pipeline_end_to_end(spark, sf):
+    """Two runs of the whole pipeline, the first with the early periods only; what became of
+    the observations of each: loaded, already there, or quarantined with a reason."""
+    t = _t(spark, sf)
+    base = work_dir(spark, "end-to-end")
+    d = {"country": si.dim_country(t), "indicator": si.dim_indicator(spark), "source": si.dim_source(spark), "date": si.dim_date(t)}
+    raw = end_to_end_raw(t)
+    rows = []
+    for run, part in (("run_a", raw.filter(F.col("period") < "1998")), ("run_b", raw)):
+        report = pipeline.run_pipeline(spark, part, f"{base}/warehouse", run, d, si.STANDIN_ISO2)
+        out = {"raw": report.raw_rows, "loaded": report.loaded_rows, **report.quarantined}
+        orphans = sum(n for r, n in report.quarantined.items() if r.startswith("unknown key"))
+        out["already there"] = report.transformed_rows - report.loaded_rows - orphans
+        rows += [(run, k, n) for k, n in out.items()]
+    counts = spark.createDataFrame(rows, "run string, outcome string, rows long")
+    facts = spark.read.parquet(f"{base}/warehouse/fact_economic_indicators")
+    stored = facts.groupBy(F.col("pipeline_run_id"), F.col("frequency")).agg(F.count(F.lit(1)).alias("rows"))
+    return counts.unionByName(stored.select(F.lit("stored").alias("run"), F.concat(F.lit("frequency "), "frequency").alias("outcome"), "rows"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "mart_trade_flows": q_mart_trade_flows,
     "mart_kpi_latest": q_mart_kpi_latest,
     "mart_kpi_record": q_mart_kpi_record,
     "mart_trend": q_mart_trend,
+    "mart_trend_stored": q_mart_trend_stored,
     "mart_trend_sql": q_mart_trend_sql,
     "mart_sector_heatmap": q_mart_sector_heatmap,
+    "mart_sector_heatmap_gaps": q_mart_sector_heatmap_gaps,
     "mart_sector_heatmap_rows": q_mart_sector_heatmap_rows,
     "mart_country_map": q_mart_country_map,
     "calendar_dim": q_calendar_dim,
@@ -549,4 +604,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_incremental_load": q_stream_incremental_load,
     "stream_live_kpi": q_stream_live_kpi,
     "stream_dedupe": q_stream_dedupe,
+    "pipeline_end_to_end": q_pipeline_end_to_end,
 }

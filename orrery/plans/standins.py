@@ -8,7 +8,7 @@ The indicator warehouse's roles are played by the order/lineitem tables:
 * trade fact  <- lineitem: exporter = supplier nation, importer = customer nation,
                  sector = part type, one row per month and flow
 * market fact <- lineitem: open = part retail price, close = unit price, P/E = part size
-* calendar    <- every day of the years the order and ship dates span
+* calendar    <- every day of a fixed range of years
 
 Everything here is lazy and derived from the scanned tables, so it grows with them.
 """
@@ -19,12 +19,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orrery.functions.keys import hash_key
-from orrery.functions.numeric import cents, from_cents
-from orrery.functions.period import date_key
+from orrery.functions.numeric import cents, from_cents, safe_ratio
+from orrery.functions.period import date_key, month_end_key
 from orrery.operators.change import calendar_change, period_index
-from orrery.operators.dims import calendar_for_years, sequential_keys
+from orrery.operators.dims import calendar, sequential_keys
 from orrery.operators.reshape import unpivot
-from orrery.sources.tables import _REFRESH_HOOKS, Tables
+from orrery.sources.tables import Tables
 
 # Fixed values of the stand-in (rules, not data).
 INDICATORS = (
@@ -37,6 +37,7 @@ INDICATORS = (
 INDICATOR_CODES = tuple(i[0] for i in INDICATORS)
 SOURCE_NAME = "orders feed"
 URGENT_PRIORITY = "1-URGENT"
+CALENDAR = ("1990-01-01", "2004-12-31")
 # Odd nation keys below 21 report a two-letter code; 21 and 23 have no mapping.
 STANDIN_ISO2 = {f"M{chr(65 + k)}": f"N{k:02d}" for k in range(1, 21, 2)}
 
@@ -54,46 +55,11 @@ def raw_country_code(nationkey: str | Column) -> Column:
 
 # ---------------------------------------------------------------- dimensions
 
-_DIMS: dict[tuple[int, str, str], DataFrame] = {}
-
-
-def _forget_dims() -> None:
-    for df in _DIMS.values():
-        df.unpersist()
-    _DIMS.clear()
-
-
-_REFRESH_HOOKS.append(_forget_dims)
-
-
-def _small_cached(dim: DataFrame, max_rows: int = 10_000) -> DataFrame:
-    """Cache and broadcast a dimension once a capped count proves it small; a
-    larger one is returned as is (no cache, no hint)."""
-    if dim.limit(max_rows + 1).count() > max_rows:
-        return dim
-    return F.broadcast(dim.cache())
-
-
-def _once_per_folder(build):
-    """Build a dimension (and its size check) once per session and data folder."""
-    def wrapper(t: Tables) -> DataFrame:
-        k = (id(t.spark), t.sf_dir, build.__name__)
-        df = _DIMS.get(k)
-        if df is None or df.sparkSession is not t.spark:
-            df = _DIMS[k] = build(t)
-        return df
-    wrapper.__name__ = build.__name__
-    wrapper.__doc__ = build.__doc__
-    return wrapper
-
-
-@_once_per_folder
 def dim_country(t: Tables) -> DataFrame:
-    """nation + region, cached and broadcast once a capped count proves at most
-    10,000 rows."""
+    """nation + region."""
     n = t.nation.select("n_nationkey", "n_name", "n_regionkey")
     r = t.region.select("r_regionkey", "r_name")
-    dim = n.join(r, n.n_regionkey == r.r_regionkey, "left").select(
+    return n.join(r, n.n_regionkey == r.r_regionkey, "left").select(
         F.col("n_nationkey").alias("country_key"),
         country_code("n_nationkey").alias("country_code"),
         F.col("n_name").alias("country_name"),
@@ -101,7 +67,6 @@ def dim_country(t: Tables) -> DataFrame:
         F.lit(None).cast("double").alias("latitude"),
         F.lit(None).cast("double").alias("longitude"),
     )
-    return _small_cached(dim)
 
 
 def dim_indicator(spark: SparkSession) -> DataFrame:
@@ -125,29 +90,18 @@ def dim_source(spark: SparkSession) -> DataFrame:
                                              "source_key int, source_name string, reliability int"))
 
 
-@_once_per_folder
 def dim_sector(t: Tables) -> DataFrame:
-    """Distinct part types with dense keys in name order, cached and broadcast
-    once a capped count proves it small: a join on a handful of type values
-    must never be a shuffle (each value would be one hot partition)."""
+    """Distinct part types with dense keys in name order."""
     types = t.part.select(F.col("p_type").alias("sector_code")).distinct()
-    keyed = sequential_keys(types, ["sector_code"], "sector_key")  # one window only when proven small
-    dim = keyed.select(F.col("sector_key").cast("int").alias("sector_key"), "sector_code",
-                       F.initcap("sector_code").alias("sector_name"))
-    return _small_cached(dim)
-
+    keyed = sequential_keys(types, ["sector_code"], "sector_key")
+    return keyed.select(F.col("sector_key").cast("int").alias("sector_key"), "sector_code",
+                        F.initcap("sector_code").alias("sector_name"))
 
-def year_bounds(t: Tables) -> DataFrame:
-    """First and last year of the order and ship dates (one global aggregate)."""
-    d = t.orders.select(F.col("o_orderdate").alias("d")).unionByName(t.lineitem.select(F.col("l_shipdate").alias("d")))
-    return d.agg(F.year(F.min("d")).alias("min_year"), F.year(F.max("d")).alias("max_year"))
 
-
-@_once_per_folder
-def dim_date(t: Tables) -> DataFrame:
-    """Calendar over the data's years, cached once per folder: one row per day, so
-    bounded by the date span; the bounds scan then runs once per process."""
-    return F.broadcast(calendar_for_years(t.spark, year_bounds(t)).cache())
+def dim_date(t: Tables, fiscal_shift_months: int = 0) -> DataFrame:
+    """Calendar over the fixed range ``CALENDAR``: bounded by it, whatever dates the facts hold
+    (facts outside it are the business of the foreign-key audit)."""
+    return calendar(t.spark, *CALENDAR, fiscal_shift_months)
 
 
 # ---------------------------------------------------------------- raw observations
@@ -290,14 +244,12 @@ def trade_fact(t: Tables, since_year: int | None = None, lineitem: DataFrame | N
     if since_year is not None:
         li = li.filter(F.col("l_shipdate") >= F.lit(f"{since_year}-01-01").cast("timestamp_ntz"))
     s = t.supplier.select("s_suppkey", "s_nationkey")
-    p = t.part.select("p_partkey", "p_type")
-    sectors = dim_sector(t)
+    p = part_sectors(t).select("p_partkey", "sector_key")
     on = order_nation(t)
     j = (li.join(on, li.l_orderkey == on.o_orderkey)
            .join(s, F.col("l_suppkey") == s.s_suppkey)
-           .join(p, F.col("l_partkey") == p.p_partkey)
-           .join(sectors, F.col("p_type") == sectors.sector_code))
-    month_end = F.date_format(F.last_day(F.col("l_shipdate")), "yyyyMMdd").cast("int")
+           .join(p, F.col("l_partkey") == p.p_partkey))
+    month_end = month_end_key(F.year("l_shipdate"), F.month("l_shipdate"))
     ext = cents("l_extendedprice")
     net = ext * (F.lit(100) - cents("l_discount"))  # exact, in units of 1e-4
     g = j.groupBy(
@@ -325,49 +277,37 @@ def _since(li: DataFrame, since_year: int | None) -> DataFrame:
     return li.filter(F.col("l_shipdate") >= F.lit(f"{since_year}-01-01").cast("timestamp_ntz"))
 
 
-def market_fact(t: Tables, since_year: int | None = None) -> DataFrame:
-    """One market observation per lineitem: open = part retail price,
-    close = unit price, P/E = part size; country = supplier nation."""
-    li = _since(t.lineitem.select("l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate"),
-                since_year)
-    p = t.part.select("p_partkey", "p_type", "p_size", "p_retailprice")
-    s = t.supplier.select("s_suppkey", "s_nationkey")
+def part_sectors(t: Tables) -> DataFrame:
+    """Parts with the key of their sector, joined before the far larger lineitem."""
     sectors = dim_sector(t)
-    j = (li.join(p, li.l_partkey == p.p_partkey)
-           .join(s, F.col("l_suppkey") == s.s_suppkey)
-           .join(sectors, F.col("p_type") == sectors.sector_code))
-    return j.select(
-        date_key("l_shipdate").alias("date_key"),
-        F.col("s_nationkey").alias("country_key"),
-        F.col("sector_key"),
-        F.col("p_retailprice").alias("open_price"),
-        (F.col("l_extendedprice") / F.col("l_quantity")).alias("close_price"),
-        F.col("p_size").cast("double").alias("pe_ratio"),
-    )
+    return t.part.join(sectors, F.col("p_type") == sectors.sector_code)
 
 
-def market_quarter_summary(t: Tables, since_year: int | None = None) -> DataFrame:
-    """Market observations pre-aggregated per (part, quarter) before the join to part.
+def market_prices(t: Tables, since_year: int | None = None, gaps: bool = False) -> DataFrame:
+    """One market observation per lineitem without its country: open = part retail price,
+    close = unit price, P/E = part size. Lineitem is shuffled once, on its part key.
 
-    The open price and P/E depend on the part only, so per part and quarter the
-    rows reduce to ``(sum close, count)``; the join to ``part`` then moves one row
-    per part and quarter instead of one per lineitem. Output grain: quarter-end
-    ``date_key`` x sector, with ``close_over_open`` = sum(close / open) over rows
-    whose open price is not 0, ``n_priced`` their count, ``n`` all rows and
-    ``pe_sum`` = sum of P/E.
+    ``gaps`` makes missing and zero values by rule, as a feed has them: no close where the
+    line's part key is divisible by 7, a zero quantity (so no close either) by 11, a zero
+    open price by 5, no P/E by 3.
     """
-    li = _since(t.lineitem.select("l_partkey", "l_quantity", "l_extendedprice", "l_shipdate"), since_year)
-    d = F.col("l_shipdate")
-    g = li.groupBy("l_partkey", F.year(d).alias("y"), F.quarter(d).alias("q")).agg(
-        F.sum(F.col("l_extendedprice") / F.col("l_quantity")).alias("close_sum"),
-        F.count(F.lit(1)).alias("n"))
-    p = t.part.select("p_partkey", "p_type", "p_size", "p_retailprice")
-    sectors = dim_sector(t)
-    j = g.join(p, g.l_partkey == p.p_partkey).join(sectors, F.col("p_type") == sectors.sector_code)
-    priced = F.col("p_retailprice") != 0
-    return j.groupBy(F.date_format(F.last_day(F.make_date("y", F.col("q") * 3, F.lit(1))), "yyyyMMdd").cast("int")
-                     .alias("date_key"), "sector_key").agg(
-        F.sum(F.when(priced, F.col("close_sum") / F.col("p_retailprice"))).alias("close_over_open"),
-        F.sum(F.when(priced, F.col("n"))).alias("n_priced"),
-        F.sum("n").alias("n"),
-        F.sum(F.col("n") * F.col("p_size")).alias("pe_sum"))
+    li = _since(t.lineitem.select("l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate"), since_year)
+    p = part_sectors(t).select("p_partkey", "sector_key", "p_retailprice", "p_size")
+    j = li.join(p, li.l_partkey == p.p_partkey)
+    k, price, size = F.col("l_partkey"), F.col("p_retailprice"), F.col("p_size").cast("double")
+    quantity, value = F.col("l_quantity"), F.col("l_extendedprice")
+    if gaps:
+        value = F.when(k % 7 != 0, value)
+        quantity = F.when(k % 11 != 0, quantity).otherwise(F.lit(0.0))
+        price = F.when(k % 5 != 0, price).otherwise(F.lit(0.0))
+        size = F.when(k % 3 != 0, size)
+    return j.select(date_key("l_shipdate").alias("date_key"), "l_suppkey", "sector_key", price.alias("open_price"),
+                    safe_ratio(value, quantity).alias("close_price"), size.alias("pe_ratio"))
+
+
+def market_fact(t: Tables, since_year: int | None = None) -> DataFrame:
+    """``market_prices`` with the supplier's nation as country."""
+    s = t.supplier.select("s_suppkey", F.col("s_nationkey").alias("country_key"))
+    m = market_prices(t, since_year)
+    return m.join(s, m.l_suppkey == s.s_suppkey).select(
+        "date_key", "country_key", "sector_key", "open_price", "close_price", "pe_ratio")

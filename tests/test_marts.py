@@ -33,7 +33,7 @@ def test_kpi_latest_and_record(spark):
     latest = marts.kpi_latest(fact, cal, country, ind, "USA")
     assert [(r.indicator_code, r.value, r.yoy_change) for r in latest.collect()] == [("NY.GDP.MKTP.CD", 11.0, 10.0)]
     rec = marts.kpi_summary(fact, cal, country, ind, "USA", last_updated=F.lit("now")).first()
-    assert rec.gdp.value == 11.0 and rec.gdp.change == 10.0 and rec.inflation is None and rec.last_updated == "now"
+    assert rec.gdp.value == 11.0 and rec.gdp.change == 10.0 and rec.inflation.asDict() == {"value": None, "change": None} and rec.last_updated == "now"
 
 
 def test_gdp_trend_filters(spark):

@@ -41,6 +41,28 @@ def test_run_pipeline_twice(spark, tmp_dir):
     assert spark.read.parquet(f"{wh}/fact_economic_indicators").count() == 3
     m = spark.read.parquet(f"{wh}/pipeline_metrics").collect()
     assert sorted(r.record_count for r in m) == [0, 3]
+    assert first.quarantined == {"change not scored": 1, "anomalous change": 1}
+    assert spark.read.parquet(f"{wh}/quarantine").count() == 4  # two of each run
+    from orrery.schemas import FACT_ECONOMIC_INDICATORS
+    fact = spark.read.parquet(f"{wh}/fact_economic_indicators")
+    assert [(f.name, f.dataType) for f in fact.schema.fields][:13] == [(f.name, f.dataType) for f in FACT_ECONOMIC_INDICATORS.fields]
+
+
+def test_every_raw_row_ends_somewhere(spark, tmp_dir):
+    schema = "indicator_code string, country_code_2 string, period string, value double, unit string, source string, pipeline_run_id string, loaded_at string"
+    row = lambda p, v, c="USA", i="X": (i, c, p, v, "", "World Bank", "r", "t")
+    rows = [row("2021", 100.0), row("2022", 110.0), row("2023", 120.0), row("2023Q4", 33.0), row("2023Q3", 30.0), row("2023-Q1", 50.0),
+            row("2024", None), row("2023", 120.0, "ZZ"), row("2022", 1.0, i="Y"), row("2023", 1.1, i="Y"), row("bad", 1.0)]
+    dims = {"country": spark.createDataFrame([(1, "USA"), (9, "USA")], "country_key int, country_code string"),
+            "indicator": {"X": 1}, "source": {"World Bank": 1}}
+    report = run_pipeline(spark, spark.createDataFrame(rows, schema), os.path.join(tmp_dir, "wh"), "r", dims)
+    # in one series an unparsable period is nobody's previous value, and annual and fourth-quarter values both load
+    assert report.quarantined == {"unparsable period": 2, "value is null": 1, "unknown country": 1, "change not scored": 2,
+                                  "unknown key: indicator_code": 1}
+    fact = spark.read.parquet(os.path.join(tmp_dir, "wh", "fact_economic_indicators"))
+    got = sorted((r.date_key, r.frequency, r.country_key, float(r.value)) for r in fact.collect())
+    assert got == [(20221231, "A", 1, 110.0), (20230930, "Q", 1, 30.0), (20231231, "A", 1, 120.0), (20231231, "Q", 1, 33.0)]
+    assert report.raw_rows == report.loaded_rows + sum(report.quarantined.values())
 
 
 def test_incremental_load_skips_done_files(spark, tmp_dir):
@@ -75,11 +97,22 @@ def test_ingest_landing_on_arrival(spark, tmp_dir):
     assert got == [("CPI", 2.0), ("GDP", 1.0)]
 
 
+def test_failed_runs_are_recorded_and_raised(spark, tmp_dir):
+    import pytest
+    from orrery.schemas import RAW_OBSERVATION
+    wh = os.path.join(tmp_dir, "wh-b")
+    raw = spark.createDataFrame([("X", "USA", "2020", 1.0, "", "S", "r", "t")], RAW_OBSERVATION)
+    with pytest.raises(KeyError):
+        run_pipeline(spark, raw, wh, "r1", {})  # no dimensions
+    assert [(r.stage, r.status) for r in spark.read.parquet(f"{wh}/pipeline_metrics").collect()] == [("load", "FAILED")]
+
+
 def test_empty_ingest_stops_before_writing(spark, tmp_dir):
+    import pytest
     from orrery.schemas import RAW_OBSERVATION
     wh = os.path.join(tmp_dir, "wh")
-    report = run_pipeline(spark, spark.createDataFrame([], RAW_OBSERVATION), wh, "r0", {})
-    assert report.status == "FAILED" and report.raw_rows == 0
+    with pytest.raises(ValueError, match="no rows"):
+        run_pipeline(spark, spark.createDataFrame([], RAW_OBSERVATION), wh, "r0", {})
     assert not os.path.exists(os.path.join(wh, "raw"))
     assert [(r.stage, r.status) for r in spark.read.parquet(f"{wh}/pipeline_metrics").collect()] == [
         ("ingest", "FAILED")]
@@ -105,6 +138,34 @@ def test_live_kpi_processing_time_trigger(spark, tmp_dir):
         q.processAllAvailable()
     finally:
         q.stop()
-    got = {r.event_type: r.events for r in spark.read.parquet(target).collect()}
+    from orrery.streaming.live import live_kpis
+    got = {r.event_type: r.events for r in live_kpis(spark, target).collect()}
     e = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
     assert got == {r.event_type: r["count"] for r in e.groupBy("event_type").count().collect()}
+
+
+def test_live_kpi_over_several_batches(spark, tmp_dir):
+    from orrery.streaming.live import live_kpis, live_latest
+    src, target, ck = (os.path.join(tmp_dir, x) for x in ("src", "kpi", "ck"))
+    import datetime as dt
+    at = lambda h: dt.datetime(2020, 1, 1, h)
+    schema = "event_id long, event_type string, ts timestamp_ntz, value double"
+    seen = []
+    for rows in ([(1, "a", at(1), 10.0), (2, "a", at(3), 20.0)], [(3, "a", at(2), 40.0), (4, "b", at(1), 1.0)], [(5, "a", at(4), 30.0)]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(src)
+        live_latest(spark, src, target, ck)
+        seen.append(sorted(tuple(r) for r in live_kpis(spark, target).select("event_type", "latest_value", "change", "events").collect()))
+    assert seen == [[("a", 20.0, 100.0, 2)], [("a", 20.0, -50.0, 3), ("b", 1.0, None, 1)], [("a", 30.0, 50.0, 4), ("b", 1.0, None, 1)]]
+
+
+def test_dedupe_keeps_late_first_deliveries(spark, tmp_dir):
+    from orrery.streaming.dedupe import dedupe_events
+    land, out, ck = (os.path.join(tmp_dir, x) for x in ("land", "out", "ck"))
+    import datetime as dt
+    at = lambda h: dt.datetime(2020, 1, 1) + dt.timedelta(hours=h)
+    schema = "event_id long, ts timestamp_ntz, value double"
+    for rows in ([(1, at(0), 1.0), (2, at(48), 2.0)], [(3, at(10), 3.0), (1, at(0), 1.0), (4, at(49), 4.0), (3, at(10), 3.0)], [(2, at(48), 2.0), (None, at(1), 9.0)]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(land)
+        dedupe_events(spark, land, out, ck)
+    assert sorted(r.event_id for r in spark.read.parquet(out).collect()) == [1, 2, 3, 4]
+    assert [r.value for r in spark.read.parquet(out + "-rejected").collect()] == [9.0]
