@@ -13,20 +13,23 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from orrery.functions.keys import index_label, with_defaults
 from orrery.functions.period import quarter_end_key
 from orrery.operators.change import pct_change_prev
 from orrery.operators.dims import calendar
 from orrery.operators.reshape import arrays_to_long
+from orrery.schemas import TABLES, declared
 from orrery.sources import seeds
 
 # Column defaults of the dimension tables.
+NOW = "current_timestamp()"
 DEFAULTS = {
-    "dim_country": {"is_g20": False, "is_eu": False},
+    "dim_country": {"is_g20": False, "is_eu": False, "created_at": NOW},
     "dim_indicator": {"is_active": True},
     "dim_sector": {},
-    "dim_source": {"reliability": 5},
+    "dim_source": {"reliability": 5, "last_updated": NOW},
 }
 
 DIMENSIONS = {
@@ -43,8 +46,10 @@ def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
     return spark.read.parquet(path) if path_exists(spark, path) else None  # None: not written yet
 
 
-def add_dimension_rows(spark: SparkSession, path: str, rows: DataFrame, natural: str, surrogate: str) -> int:
-    """Append the rows of ``rows`` whose natural key is new, with keys after the current max.
+def add_dimension_rows(spark: SparkSession, path: str, rows: DataFrame, natural: str, surrogate: str,
+                       schema: StructType | None = None) -> int:
+    """Append the rows of ``rows`` whose natural key is new, with keys after the current max,
+    in the declared columns and types if a schema is given.
 
     Dimension seeds are small and bounded, so numbering them with one ordered
     window is fine. Returns the number of rows added.
@@ -61,7 +66,7 @@ def add_dimension_rows(spark: SparkSession, path: str, rows: DataFrame, natural:
     new = new.withColumn(surrogate, (F.row_number().over(Window.orderBy("__ord")) + F.lit(start)).cast("int"))
     new = new.drop("__ord")
     cols = [surrogate] + [c for c in new.columns if c != surrogate]
-    out = new.select(*cols).cache()
+    out = (declared(new, schema) if schema else new.select(*cols)).cache()
     n = out.count()
     if n:
         out.coalesce(1).write.mode("append").parquet(path)
@@ -72,12 +77,12 @@ def add_dimension_rows(spark: SparkSession, path: str, rows: DataFrame, natural:
 def bootstrap(spark: SparkSession, warehouse: str, start: str = "2015-01-01", end: str = "2030-12-31",
               fiscal_shift_months: int = 0) -> dict[str, int]:
     """Write the calendar (overwrite) and insert-if-absent the seeded dimensions."""
-    calendar(spark, start, end, fiscal_shift_months).coalesce(1).write.mode("overwrite").parquet(
+    declared(calendar(spark, start, end, fiscal_shift_months), TABLES["dim_date"]).coalesce(1).write.mode("overwrite").parquet(
         f"{warehouse}/dim_date")
     added = {}
     for table, (natural, surrogate, seed) in DIMENSIONS.items():
-        rows = with_defaults(seed(spark), DEFAULTS[table])
-        added[table] = add_dimension_rows(spark, f"{warehouse}/{table}", rows, natural, surrogate)
+        rows = with_defaults(seed(spark), {c: F.current_timestamp() if v == NOW else v for c, v in DEFAULTS[table].items()})
+        added[table] = add_dimension_rows(spark, f"{warehouse}/{table}", rows, natural, surrogate, TABLES[table])
     return added
 
 

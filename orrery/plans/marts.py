@@ -99,11 +99,13 @@ def sector_heatmap(market: DataFrame, dim_date: DataFrame, dim_sector: DataFrame
     d = dim_date.filter(F.col("year") >= year_start).select(
         "date_key", F.col("year").cast("int").alias("year"), F.col("quarter").cast("int").alias("quarter"))
     s = dim_sector.select("sector_key", "sector_name")
+    market = market.filter(F.col("year") >= year_start).drop("year") if "year" in market.columns else market
     j = market.join(bounded(d), "date_key").join(s, "sector_key")
-    ratio = F.try_divide(F.col("close_price"), F.nullif(F.col("open_price"), F.lit(0))) - 1
+    close, opened = F.col("close_price").cast("double"), F.col("open_price").cast("double")
+    ratio = F.try_divide(close, F.nullif(opened, F.lit(0.0))) - 1
     g = j.groupBy("sector_name", "year", "quarter").agg(
         F.round(F.avg(ratio) * 100, scale).alias("return_pct"),
-        F.round(F.avg("pe_ratio"), 4).alias("pe_ratio"))
+        F.round(F.avg(F.col("pe_ratio").cast("double")), 4).alias("pe_ratio"))
     return g.orderBy(F.col("year").desc_nulls_first(), F.col("quarter").desc_nulls_first(),
                      F.col("sector_name").asc())
 
@@ -145,6 +147,7 @@ def trade_flows(trade: DataFrame, dim_date: DataFrame, dim_country: DataFrame, d
     ce = dim_country.select(F.col("country_key").alias("exporter_key"), F.col("country_name").alias("exporter"))
     ci = dim_country.select(F.col("country_key").alias("importer_key"), F.col("country_name").alias("importer"))
     s = dim_sector.select("sector_key", "sector_name")
+    trade = trade.filter(F.col("year") >= year_start).drop("year") if "year" in trade.columns else trade
     j = (trade.join(bounded(d), "date_key").join(ce, "exporter_key")
               .join(ci, "importer_key").join(s, "sector_key"))
     g = j.groupBy("exporter", "importer", "sector_name", "year").agg(

@@ -77,6 +77,13 @@ def q_mart_trade_flows(spark, sf):
     return marts.trade_flows(trade, si.dim_date(t), si.dim_country(t), si.dim_sector(t), TRADE_YEAR_START, 100)
 
 
+def q_mart_trade_flows_stored(spark, sf):
+    """The trade mart over the stored monthly fact."""
+    t = _t(spark, sf)
+    trade = si.stored_trade_fact(t, f"{work_dir(spark, 'fact')}/fact_trade_flows", TRADE_YEAR_START - 1)
+    return marts.trade_flows(trade, si.dim_date(t), si.dim_country(t), si.dim_sector(t), TRADE_YEAR_START, 100)
+
+
 def q_mart_kpi_latest(spark, sf):
     t = _t(spark, sf)
     facts, d = _fact_yearly(t)
@@ -130,6 +137,14 @@ def q_mart_sector_heatmap(spark, sf):
     return marts.sector_heatmap(prices, si.dim_date(t), si.dim_sector(t), HEATMAP_YEAR_START)
 
 
+def q_market_stored(spark, sf):
+    """Rows and prices per year of the stored market fact, in its declared decimals."""
+    t = _t(spark, sf)
+    m = si.stored_market_fact(t, f"{work_dir(spark, 'fact')}/fact_market_data")
+    prices = [F.sum(c).cast("double").alias(c) for c in ("open_price", "close_price", "high_price", "low_price")]
+    return m.groupBy("year").agg(F.count(F.lit(1)).alias("rows"), *prices)
+
+
 def q_mart_sector_heatmap_gaps(spark, sf):
     """The heatmap where closes, quantities, open prices and P/E values are missing or zero."""
     t = _t(spark, sf)
@@ -564,12 +579,14 @@ def q_pipeline_end_to_end(spark, sf):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "mart_trade_flows": q_mart_trade_flows,
+    "mart_trade_flows_stored": q_mart_trade_flows_stored,
     "mart_kpi_latest": q_mart_kpi_latest,
     "mart_kpi_record": q_mart_kpi_record,
     "mart_trend": q_mart_trend,
     "mart_trend_stored": q_mart_trend_stored,
     "mart_trend_sql": q_mart_trend_sql,
     "mart_sector_heatmap": q_mart_sector_heatmap,
+    "market_stored": q_market_stored,
     "mart_sector_heatmap_gaps": q_mart_sector_heatmap_gaps,
     "mart_sector_heatmap_rows": q_mart_sector_heatmap_rows,
     "mart_country_map": q_mart_country_map,

@@ -18,12 +18,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orrery.functions.keys import hash_key
-from orrery.functions.numeric import cents, from_cents, safe_ratio
+from orrery.functions.keys import hash_key, index_label
+from orrery.functions.numeric import cents, envelope_high, envelope_low, from_cents, safe_ratio
 from orrery.functions.period import date_key, month_end_key
 from orrery.operators.change import calendar_change, period_index
 from orrery.operators.dims import calendar, sequential_keys
+from orrery.operators.load import append_rows
 from orrery.operators.reshape import unpivot
+from orrery.schemas import FACT_MARKET_DATA, FACT_TRADE_FLOWS, declared
 from orrery.sources.tables import Tables
 
 # Fixed values of the stand-in (rules, not data).
@@ -271,6 +273,25 @@ def trade_fact(t: Tables, since_year: int | None = None, lineitem: DataFrame | N
     )
 
 
+def stored_trade_fact(t: Tables, path: str, since_year: int | None = None) -> DataFrame:
+    """The monthly trade fact, written in its declared form by year and read again: marts
+    then read the partitions of their years and shuffle no lineitem."""
+    rows = declared(trade_fact(t, since_year), FACT_TRADE_FLOWS, {"load_timestamp": F.current_timestamp()})
+    append_rows(rows.withColumn("year", F.floor(F.col("date_key") / 10000).cast("int")), path, ["year"], ["date_key", "exporter_key"])
+    return t.spark.read.parquet(path)
+
+
+def stored_market_fact(t: Tables, path: str, since_year: int | None = None) -> DataFrame:
+    """The market fact with its price envelope, written in its declared form by year and read again."""
+    m = market_fact(t, since_year).withColumns({
+        "market_id": hash_key("date_key", "country_key", "sector_key", "open_price", "close_price"),
+        "index_name": index_label("country_key", "sector_key"),
+        "high_price": envelope_high("open_price", "close_price"), "low_price": envelope_low("open_price", "close_price")})
+    rows = declared(m, FACT_MARKET_DATA, {"load_timestamp": F.current_timestamp()})
+    append_rows(rows.withColumn("year", F.floor(F.col("date_key") / 10000).cast("int")), path, ["year"], ["date_key", "country_key"])
+    return t.spark.read.parquet(path)
+
+
 def _since(li: DataFrame, since_year: int | None) -> DataFrame:
     if since_year is None:
         return li

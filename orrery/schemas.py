@@ -89,6 +89,22 @@ PIPELINE_METRICS = _s(
     ("recorded_at", TimestampType()),
 )
 
+def declared(df, schema: StructType, defaults: dict | None = None):
+    """``df`` with exactly the columns of ``schema``, in its order and types; a column that it
+    lacks gets its default, or NULL."""
+    from pyspark.sql import Column
+    from pyspark.sql import functions as F
+    defaults = defaults or {}
+
+    def one(f):
+        if f.name in df.columns:
+            return F.col(f.name)
+        value = defaults.get(f.name)
+        return value if isinstance(value, Column) else F.lit(value)
+
+    return df.select(*[one(f).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
 TABLES = {
     "dim_date": DIM_DATE, "dim_country": DIM_COUNTRY, "dim_indicator": DIM_INDICATOR, "dim_sector": DIM_SECTOR,
     "dim_source": DIM_SOURCE, "fact_economic_indicators": FACT_ECONOMIC_INDICATORS,

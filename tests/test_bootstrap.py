@@ -19,6 +19,11 @@ def test_bootstrap_counts_and_idempotence(spark, tmp_dir):
     assert sorted(r.source_key for r in spark.read.parquet(f"{wh}/dim_source").collect()) == [1, 2, 3, 4]
     assert {r.is_active for r in spark.read.parquet(f"{wh}/dim_indicator").collect()} == {True}
     assert c.filter("country_code = 'NLD'").first().is_eu is False
+    from orrery.schemas import TABLES
+    for table in ("dim_date", "dim_country", "dim_indicator", "dim_sector", "dim_source"):
+        written = spark.read.parquet(f"{wh}/{table}").schema
+        assert [(f.name, f.dataType) for f in written] == [(f.name, f.dataType) for f in TABLES[table].fields]
+    assert c.filter("created_at IS NULL").count() == 0 and c.filter("population IS NOT NULL").count() == 0
 
 
 def test_facts_from_arrays(spark):
