@@ -22,6 +22,7 @@ text stays null. A text whose lines all go is empty.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -45,7 +46,29 @@ _NORMAL[128:] = np.arange(128, 256)
 _C1, _C2 = np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 
 
-def line_sketches(raw: np.ndarray, off: np.ndarray):
+def simhashes(h: np.ndarray, first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """SimHash of each range of word hashes: a bit is set if it is in over half of them. Four bits at
+    a time are counted in the four 16-bit parts of running sums; ranges too long for these by themselves."""
+    sim = np.zeros(len(count), np.uint64)
+    usual = count < 1 << 15
+    a, b = first[usual], first[usual] + count[usual]
+    total, own = np.zeros(len(h) + 1, np.uint64), np.zeros(len(a), np.uint64)
+    for k in range(16):
+        np.cumsum((h >> np.uint64(k)) & np.uint64(0x0001000100010001), out=total[1:])
+        ones = total[b] - total[a]
+        for j in range(0, 64, 16):
+            more = 2 * ((ones >> np.uint64(j)) & np.uint64(0xFFFF)).astype(np.int64) > count[usual]
+            own |= more.astype(np.uint64) << np.uint64(k + j)
+    sim[usual] = own
+    for i in np.flatnonzero(~usual):
+        words_ = h[first[i]:first[i] + count[i]]
+        for k in range(64):
+            if 2 * int(((words_ >> np.uint64(k)) & np.uint64(1)).sum()) > count[i]:
+                sim[i] |= np.uint64(1 << k)
+    return sim
+
+
+def line_sketches(raw: np.ndarray, off: np.ndarray, with_simhash: bool = True):
     """Of every line: text, number in it, word count, two 64-bit hashes of the normalised words, SimHash."""
     ln = lines(raw, off)
     plain = _NORMAL[raw]
@@ -63,11 +86,7 @@ def line_sketches(raw: np.ndarray, off: np.ndarray):
     for c in (_C1, _C2):
         t = total(mix(mix(h ^ c) + place * c))
         keys.append(mix(t[first[:-1] + count] - t[first[:-1]] + count.astype(np.uint64)))
-    sim = np.zeros(len(count), np.uint64)
-    some = np.flatnonzero(count)
-    if len(some):
-        ones = np.add.reduceat(np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1), first[:-1][some], axis=0, dtype=np.int32)
-        sim[some] = np.packbits(2 * ones > count[some, None], axis=1).view(np.uint64)[:, 0]
+    sim = simhashes(h, first[:-1], count) if with_simhash else np.zeros(len(count), np.uint64)
     number = np.arange(len(count)) - ln.first[:-1][ln.text]
     return ln, number, count, keys, sim
 
@@ -109,6 +128,43 @@ def edit_similarity(a: str, b: str) -> float:
     return 1 - levenshtein(a, b) / longer if longer else 1.0
 
 
+def _script_cost(a: list[str], b: list[str], allowed: int) -> int:
+    """Characters that one edit script of words needs, found by looking a few words ahead at each
+    difference; more than ``allowed`` if it finds none so short. A bound for the edit distance."""
+    i = j = cost = 0
+    while True:
+        while i < len(a) and j < len(b) and a[i] == b[j]:
+            i, j = i + 1, j + 1
+        if i == len(a) or j == len(b):
+            return cost + max(sum(map(len, a[i:])) + len(a) - i, sum(map(len, b[j:])) + len(b) - j)
+        for n in range(1, 9):
+            step = next(((x, n - x) for x in sorted(range(n + 1), key=lambda x: abs(2 * x - n))
+                         if a[i + x:i + x + 2] == b[j + n - x:j + n - x + 2]), None)
+            if step:
+                break
+        else:
+            return allowed + 1
+        out, new = a[i:i + step[0]], b[j:j + step[1]]
+        cost += max(sum(map(len, out)) + len(out), sum(map(len, new)) + len(new))
+        if cost > allowed:
+            return cost
+        i, j = i + step[0], j + step[1]
+
+
+def alike(a: str, b: str, threshold: float) -> bool:
+    """Whether the edit similarity reaches the threshold: bounds decide most pairs, the distance the others."""
+    longer = max(len(a), len(b))
+    allowed = next(n for n in range(int((1 - threshold) * longer) + 1, -2, -1) if n < 0 or 1 - n / max(longer, 1) >= threshold)
+    if allowed < 0 or abs(len(a) - len(b)) > allowed:
+        return False
+    if _script_cost(a.split(" "), b.split(" "), allowed) <= allowed:
+        return True
+    more, less = Counter(a), Counter(b)
+    if max((more - less).total(), (less - more).total()) > allowed:
+        return False
+    return levenshtein(a, b) <= allowed
+
+
 def _sketched(text: Column, min_words: int) -> Column:
     """Array of (line, k1, k2, sim) of each text's lines that have enough words."""
     kind = pa.struct([("line", pa.int32()), ("k1", pa.int64()), ("k2", pa.int64()), ("sim", pa.int64())])
@@ -139,7 +195,7 @@ def _line_texts(text: Column, wanted: Bloom) -> Column:
             parts = [pa.array([], kind)]
             for texts in slices(batch):
                 raw, off = flat(texts)
-                ln, _, _, (k1, k2), _ = line_sketches(raw, off)
+                ln, _, _, (k1, k2), _ = line_sketches(raw, off, False)
                 out: list[list] = [[] for _ in range(len(texts))]
                 owner, whole = ln.text, raw.tobytes()
                 for i in np.flatnonzero(wanted.might_hold(k1, k2)):
@@ -151,10 +207,10 @@ def _line_texts(text: Column, wanted: Bloom) -> Column:
     return udf(text)
 
 
-def _edit_alike(a: Column, b: Column) -> Column:
-    @F.arrow_udf("double")
+def _edit_alike(a: Column, b: Column, threshold: float) -> Column:
+    @F.arrow_udf("boolean")
     def udf(x: pa.Array, y: pa.Array) -> pa.Array:
-        return pa.array([edit_similarity(p, q) for p, q in zip(x.to_pylist(), y.to_pylist())], pa.float64())
+        return pa.array([alike(p, q, threshold) for p, q in zip(x.to_pylist(), y.to_pylist())], pa.bool_())
 
     return udf(a, b)
 
@@ -181,6 +237,19 @@ def _blocks(sim: Column) -> Column:
     return F.array(*(F.xxhash64(F.lit(n), *map(part, own)) for n, own in enumerate(combinations(range(BLOCKS), BLOCKS - DISTANCE))))
 
 
+def _close(x: str, y: str) -> Column:
+    return F.bit_count(F.col(x).bitwiseXOR(F.col(y))) <= DISTANCE
+
+
+def _may_be_in(held: Bloom, key: Column) -> Column:
+    @F.arrow_udf("boolean")
+    def udf(keys: pa.Array) -> pa.Array:
+        k = keys.to_numpy(zero_copy_only=False)
+        return pa.array(held.might_hold(k, k))
+
+    return udf(key)
+
+
 class LineDuplicates:
     """``gone``: (id, d1, d2, lines) for each document that loses lines; d1 and d2 are hashes of its id and text."""
 
@@ -194,21 +263,24 @@ class LineDuplicates:
                                                       F.min("sim").alias("sim")), "line-nodes")
 
         rows = nodes.select("node", "sim", F.explode(_blocks(F.col("sim"))).alias("bucket"))
-        least = (rows.groupBy("bucket").agg(F.min("node").alias("least"), F.count("*").alias("m")).filter("m > 1").drop("m"))
-        shared = written(rows.join(least, "bucket"), "line-buckets")
-        close = lambda x, y: F.bit_count(F.col(x).bitwiseXOR(F.col(y))) <= DISTANCE
+        least = rows.groupBy("bucket").agg(F.min("node").alias("least"), F.count("*").alias("m")).filter("m > 1").drop("m")
+        least = written(least, "line-buckets")
+        shared = written(rows.filter(_may_be_in(Bloom(least, "bucket", "bucket"), F.col("bucket"))).join(least, "bucket"), "line-meeting")
         star = (shared.filter("node <> least").join(nodes.select(F.col("node").alias("least"), F.col("sim").alias("least_sim")), "least")
-                .filter(close("sim", "least_sim")).select(F.col("least").alias("a"), F.col("node").alias("b")).distinct())
-        first = written(self._verified(docs, nodes, written(star, "line-pairs"), threshold), "line-links")
+                .filter(_close("sim", "least_sim")).select(F.col("least").alias("a"), F.col("node").alias("b")).distinct())
+        pairs = written(star, "line-pairs")
+        pairs = written(pairs.unionAll(self._across(shared, written(connected(pairs, "a", "b"), "line-roots"))), "line-pairs")
+        # every node that is close to another has a place in these pairs
+        ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        ends = written(nodes.select("k1", "k2", "node").join(ends, "node", "left_semi"), "line-ends")
+        text = docs.select(F.explode(_line_texts(F.col(f"`{text}`").cast("string"), Bloom(ends))).alias("s")).select("s.*")
+        texts = written(text.dropDuplicates(["k1", "k2"]).join(ends, ["k1", "k2"]).select("node", "words"), "line-texts")
+        first = written(self._verified(texts, pairs, threshold), "line-links")
         root = written(connected(first, "a", "b"), "line-roots")
-        placed = shared.join(root, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        of_least = root.select(F.col("node").alias("least"), F.col("root").alias("least_root"))
-        placed = written(placed.join(of_least, "least", "left").withColumn("least_root", F.coalesce("least_root", "least")), "line-placed")
-        left = placed.filter("root <> least_root").select("bucket", F.col("node").alias("x"), F.col("root").alias("x_root"), F.col("sim").alias("x_sim"))
-        cross = (left.join(placed, (left.bucket == placed.bucket) & (F.col("root") != F.col("x_root")) & close("sim", "x_sim"))
-                 .select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct())
-        second = self._verified(docs, nodes, written(cross, "line-pairs"), threshold)
-        self.links = written(first.unionAll(second), "line-links")
+        near = shared.drop("least").join(ends.select("node"), "node")
+        near = near.join(near.groupBy("bucket").agg(F.min("node").alias("least")), "bucket")
+        again = written(self._across(near, root).join(pairs, ["a", "b"], "left_anti"), "line-pairs")
+        self.links = written(first.unionAll(self._verified(texts, again, threshold)), "line-links")
 
         root = connected(self.links, "a", "b")
         nodes = nodes.join(root, "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -222,15 +294,24 @@ class LineDuplicates:
         own = (F.col(f"`{self.id}`"), F.col(f"`{self.text}`").cast("string"))
         return docs.withColumn("_d1", F.xxhash64(*own)).withColumn("_d2", F.xxhash64(F.lit(1), *own))
 
-    def _verified(self, docs: DataFrame, nodes: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
+    @staticmethod
+    def _across(shared: DataFrame, roots: DataFrame) -> DataFrame:
+        """Close pairs (a, b) in which a node that is in another component than the least node of its
+        bucket meets a node of the bucket outside its component."""
+        placed = shared.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        of_least = roots.select(F.col("node").alias("least"), F.col("root").alias("least_root"))
+        placed = written(placed.join(of_least, "least", "left").withColumn("least_root", F.coalesce("least_root", "least")), "line-placed")
+        left = placed.filter("root <> least_root").select(F.col("bucket").alias("x_bucket"), F.col("node").alias("x"), F.col("root").alias("x_root"),
+                                                          F.col("sim").alias("x_sim"))
+        met = left.join(placed, (F.col("x_bucket") == F.col("bucket")) & (F.col("root") != F.col("x_root")) & _close("sim", "x_sim"))
+        return met.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
+
+    @staticmethod
+    def _verified(texts: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
         """Pairs (a, b) of nodes whose lines are alike enough."""
-        ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        wanted = written(nodes.select("k1", "k2", "node").join(ends, "node", "left_semi"), "line-ends")
-        text = docs.select(F.explode(_line_texts(F.col(f"`{self.text}`").cast("string"), Bloom(wanted))).alias("s")).select("s.*")
-        texts = written(text.dropDuplicates(["k1", "k2"]).join(wanted, ["k1", "k2"]).select("node", "words"), "line-texts")
         side = lambda c: texts.select(F.col("node").alias(c), F.col("words").alias(f"words_{c}"))
         return (pairs.join(side("b"), "b").join(side("a"), "a")
-                .filter(_edit_alike(F.col("words_a"), F.col("words_b")) >= threshold).select("a", "b"))
+                .filter(_edit_alike(F.col("words_a"), F.col("words_b"), threshold)).select("a", "b"))
 
     def apply(self, docs: DataFrame, into: str | None = None, removed: str | None = None) -> DataFrame:
         """``docs`` with the texts that are left in column ``into`` (the text column if not given), and the

@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from orrery.llm.bloom import Bloom
-from orrery.llm.line_dedup import DISTANCE, LineDuplicates, edit_similarity, levenshtein, line_sketches, normalised
+from orrery.llm.line_dedup import DISTANCE, LineDuplicates, alike, edit_similarity, levenshtein, line_sketches, normalised, simhashes
 from orrery.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.01"
@@ -130,3 +130,22 @@ def test_bloom(spark):
 @pytest.mark.parametrize("a,b,want", [("", "", 1.0), ("abc", "", 0.0), ("abcd", "abce", 0.75)])
 def test_edit_similarity(a, b, want):
     assert edit_similarity(a, b) == want
+
+
+@given(st.lists(st.sampled_from(["one", "two", "three", "four", "a", "five"]), max_size=25), st.lists(st.tuples(st.integers(0, 24), st.sampled_from(["", "x", "two", "y z"])), max_size=4))
+@settings(max_examples=300, deadline=None)
+def test_alike_is_the_edit_similarity_against_the_threshold(words, changes):
+    other = list(words)
+    for i, w in changes:
+        if i < len(other):
+            other[i] = w
+    a, b = " ".join(words), " ".join(x for x in other if x)
+    for threshold in (0.9, 0.75):
+        assert alike(a, b, threshold) == (edit_similarity(a, b) >= threshold)
+
+
+def test_simhashes_of_short_and_long_ranges():
+    h = np.random.default_rng(3).integers(0, 1 << 63, 40_000, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    first, count = np.array([0, 0, 5, 100, 0]), np.array([0, 1, 2, 501, 40_000])
+    for s, a, n in zip(simhashes(h, first, count).tolist(), first, count):
+        assert s == sum(1 << k for k in range(64) if 2 * sum(int(x) >> k & 1 for x in h[a:a + n].tolist()) > n)
