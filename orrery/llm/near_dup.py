@@ -8,11 +8,15 @@ classes are the connected components of links. Steps:
 2. Nodes that share a band of their signatures are candidates. In each bucket all are
    first paired with the bucket's least node only, so a group of thousands of near copies
    costs a pair for each, not one for each two of them.
-3. Pairs whose signatures agree in far too few components go (four standard deviations
-   below the threshold); the others are verified on their whole shingle sets.
-4. Nodes of a bucket that are then not in one component with its least node are paired
-   with every node of the bucket outside their component, and verified as well, so that
-   no link between candidates is lost.
+3. Nodes that are then in another component than the next ones of their bucket, in the
+   order of further bands, are paired with these: nodes alike stand close there.
+4. Nodes that are still not in one component with the least node of their bucket are
+   compared with every node of the bucket outside their component, so that no link between
+   candidates is lost. Only signatures are compared there.
+
+Of all these pairs, those go whose signatures agree in far too few components (four
+standard deviations below the threshold); the others are verified on their whole shingle
+sets. Signatures hold two bits of each of ``components`` components.
 
 A document without words is a class by itself. Nothing is gathered on the driver or by
 key: links, components and texts stay tables, and hot keys are join keys that can be split.
@@ -28,38 +32,44 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .bloom import Bloom
 from .components import connected
 from .probminhash import band_hashes, shingles, signatures, similarities
 from .tables import written
 from .textbytes import flat, slices
 
-_SKETCH = pa.struct([("k1", pa.int64()), ("k2", pa.int64()), ("n", pa.int64()), ("bands", pa.list_(pa.int64())), ("sig", pa.binary())])
+_LONGS = pa.list_(pa.int64())
+_SKETCH = pa.struct([("k1", pa.int64()), ("k2", pa.int64()), ("n", pa.int64()), ("bands", _LONGS), ("sig", _LONGS)])
+PER_LONG = 32  # components in a long, two bits each
+SLICE = 1 << 20
 
 
-def sketches(text: Column, width: int, bands: int, rows: int) -> Column:
-    """Struct of each text: word hashes k1 and k2, number n of distinct shingles, band hashes, and a byte of every component."""
-    m = bands * rows
+def sketches(text: Column, width: int, bands: int, rows: int, components: int) -> Column:
+    """Struct of each text: word hashes k1 and k2, number n of distinct shingles, hashes of the bands of the first
+    components, and two bits of every component."""
+    longs = components // PER_LONG
 
-    @F.arrow_udf("struct<k1:long,k2:long,n:long,bands:array<long>,sig:binary>")
+    @F.arrow_udf("struct<k1:long,k2:long,n:long,bands:array<long>,sig:array<long>>")
     def udf(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             parts = [pa.array([], _SKETCH)]
-            for texts in slices(batch):
+            for texts in slices(batch, SLICE):
                 owner, ids, weight, keys = shingles(*flat(texts), width)
-                sig = signatures(len(texts), owner, ids, weight, m)
-                lists = pa.ListArray.from_arrays(pa.array(np.arange(0, (len(texts) + 1) * bands, bands), pa.int32()),
-                                                 pa.array(band_hashes(sig, bands).view(np.int64).ravel()))
-                low = np.ascontiguousarray(sig.astype(np.uint8))
+                sig = signatures(len(texts), owner, ids, weight, components)
+                low = (sig & np.uint64(3)).reshape(len(texts), longs, PER_LONG) << np.arange(0, 64, 2, dtype=np.uint64)
+                lists = lambda x: pa.ListArray.from_arrays(pa.array(np.arange(0, x.size + 1, x.shape[1]), pa.int32()),
+                                                           pa.array(np.ascontiguousarray(x).view(np.int64).ravel()))
                 parts.append(pa.StructArray.from_arrays(
                     [pa.array(keys[0].view(np.int64)), pa.array(keys[1].view(np.int64)), pa.array(np.bincount(owner, minlength=len(texts))),
-                     lists, pa.array([r.tobytes() for r in low], pa.binary())], ["k1", "k2", "n", "bands", "sig"]).cast(_SKETCH))
+                     lists(band_hashes(sig[:, :bands * rows], bands)), lists(np.bitwise_or.reduce(low, axis=2))],
+                    ["k1", "k2", "n", "bands", "sig"]).cast(_SKETCH))
             yield pa.concat_arrays(parts)
 
     return udf(text.cast("string"))
 
 
-def word_keys(text: Column, width: int) -> Column:
-    """Struct of the word hashes k1 and k2 of each text."""
+def word_keys(text: Column, width: int, wanted: Bloom | None = None) -> Column:
+    """Struct of the word hashes k1 and k2 of each text; null where ``wanted`` is given and does not hold them."""
 
     @F.arrow_udf("struct<k1:long,k2:long>")
     def udf(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -67,24 +77,20 @@ def word_keys(text: Column, width: int) -> Column:
         for batch in batches:
             parts = [pa.array([], kind)]
             for texts in slices(batch):
-                keys = shingles(*flat(texts), width)[3]
-                parts.append(pa.StructArray.from_arrays([pa.array(k.view(np.int64)) for k in keys], ["k1", "k2"]))
+                keys = [k.view(np.int64) for k in shingles(*flat(texts), width)[3]]
+                gone = ~wanted.might_hold(*keys) if wanted else None
+                parts.append(pa.StructArray.from_arrays([pa.array(k, mask=gone) for k in keys], ["k1", "k2"]))
             yield pa.concat_arrays(parts)
 
     return udf(text.cast("string"))
 
 
-def _agreement(a: Column, b: Column) -> Column:
-    """How many components agree."""
-
-    @F.arrow_udf("int")
-    def udf(x: pa.Array, y: pa.Array) -> pa.Array:
-        if not len(x):
-            return pa.array([], pa.int32())
-        (p, _), (q, _) = flat(x), flat(y)
-        return pa.array((p == q).reshape(len(x), -1).sum(axis=1), pa.int32())
-
-    return udf(a, b)
+def _agreement(a: str, b: str, longs: int) -> Column:
+    """How many components agree, of signatures in columns a0, a1, ... and b0, b1, ..."""
+    def one(i: int) -> Column:
+        d = F.col(f"{a}{i}").bitwiseXOR(F.col(f"{b}{i}"))
+        return F.bit_count(F.bitwise_not(d.bitwiseOR(F.shiftrightunsigned(d, 1))).bitwiseAND(F.lit(0x5555555555555555)))
+    return sum((one(i) for i in range(1, longs)), one(0))
 
 
 def _alike(a: Column, b: Column, width: int) -> Column:
@@ -93,7 +99,7 @@ def _alike(a: Column, b: Column, width: int) -> Column:
     @F.arrow_udf("double")
     def udf(x: pa.Array, y: pa.Array) -> pa.Array:
         parts, at = [np.zeros(0)], 0
-        for some in slices(x):
+        for some in slices(x, SLICE):
             other, at = y.slice(at, len(some)), at + len(some)
             both = similarities(len(some), shingles(*flat(some), width)[:3], shingles(*flat(other), width)[:3])
             parts.append(both.max(axis=1))
@@ -102,50 +108,93 @@ def _alike(a: Column, b: Column, width: int) -> Column:
     return udf(a, b)
 
 
-def _ordered(a: Column, b: Column) -> list[Column]:
-    return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
+def _next_ones(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs (a, b) of each row and the two after it in its bucket that are in other components; rows come sorted."""
+    held = None
+    for batch in batches:
+        rows = [np.concatenate([h, batch[c].to_numpy(zero_copy_only=False)]) if held else batch[c].to_numpy(zero_copy_only=False)
+                for h, c in zip(held or (None,) * 3, ("bucket", "node", "root"))]
+        found = []
+        for k in (1, 2):
+            bucket, node, root = rows
+            i = np.flatnonzero((bucket[k:] == bucket[:-k]) & (root[k:] != root[:-k]))
+            found.append(np.stack([node[i], node[i + k]]))
+        held = [r[-2:] for r in rows]
+        pairs = np.unique(np.sort(np.concatenate(found, axis=1), axis=0), axis=1)
+        yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
 
 
 class NearDuplicates:
-    """Classes of the documents; ``documents``: (row columns, class_id, node, first), ``nodes``: one row per distinct text."""
+    """Classes of the documents: ``documents()`` by document, ``classes()`` by distinct text."""
 
     def __init__(self, docs: DataFrame, id_column: str = "doc_id", text: str = "text", threshold: float = 0.8,
-                 width: int = 5, bands: int = 30, rows: int = 5):
-        self.width, self.threshold, self.m = width, threshold, bands * rows
+                 width: int = 5, bands: int = 30, rows: int = 5, components: int = 512):
+        self.width, self.threshold, self.longs = width, threshold, components // PER_LONG
+        same = threshold + (1 - threshold) / 4  # two bits of other shingles agree in a quarter of the cases
+        self.least = math.floor(components * same - 4 * math.sqrt(components * same * (1 - same)))
         t = F.col(f"`{text}`")
-        sketch = docs.select(F.col(f"`{id_column}`").alias("id"), sketches(t, width, bands, rows).alias("s"))
+        sketch = docs.select(F.col(f"`{id_column}`").alias("id"), sketches(t, width, bands, rows, components).alias("s"))
         self.sketch = written(sketch.select("id", "s.*", F.monotonically_increasing_id().alias("row")), "sketches")
         self.nodes = written(self.sketch.filter("n > 0").groupBy("k1", "k2").agg(
             F.min("row").alias("node"), F.min("id").alias("first"), F.first("bands").alias("bands"), F.first("sig").alias("sig")), "nodes")
-        rows_ = self.nodes.select("node", F.explode("bands").alias("bucket"))
+        further = lambda k: F.transform("bands", lambda x, i: F.get("bands", (i + k) % F.lit(bands)))
+        zipped = F.arrays_zip(F.col("bands").alias("bucket"), further(1).alias("next"), further(2).alias("after"))
+        rows_ = self.nodes.select("node", F.posexplode(zipped).alias("band", "x")).select("node", "band", "x.*")
         least = rows_.groupBy("bucket").agg(F.min("node").alias("least"), F.count("*").alias("n")).filter("n > 1").drop("n")
         shared = written(rows_.join(least, "bucket"), "buckets")
-        in_any = shared.select("node").distinct()
-        keys = self.nodes.select("k1", "k2", "node").join(in_any, "node", "left_semi")
-        keyed = docs.select(t.cast("string").alias("text")).select("text", word_keys(F.col("text"), width).alias("k")).select("text", "k.*")
-        self.texts = written(keyed.join(keys, ["k1", "k2"]).select("node", "text").dropDuplicates(["node"]), "texts")
+        keys = self.nodes.select("k1", "k2", "node").join(shared.select("node").distinct(), "node", "left_semi")
+        wanted = written(keys, "wanted")
+        keyed = docs.select(t.cast("string").alias("text")).select("text", word_keys(F.col("text"), width, Bloom(wanted)).alias("k")).select("text", "k.*")
+        self.texts = written(keyed.filter("k1 IS NOT NULL").join(wanted, ["k1", "k2"]).select("node", "text").dropDuplicates(["node"]), "texts")
 
         star = shared.filter("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()
-        first = written(self._verified(star), "links")
-        root = written(connected(first, "a", "b"), "roots")
-        placed = (shared.join(root, "node", "left").withColumn("root", F.coalesce("root", "node")))
-        of_least = root.select(F.col("node").alias("least"), F.col("root").alias("least_root"))
-        placed = written(placed.join(of_least, "least", "left").withColumn("least_root", F.coalesce("least_root", "least")), "placed")
-        left = placed.filter("root <> least_root").select("bucket", F.col("node").alias("x"), F.col("root").alias("x_root"))
-        cross = left.join(placed, "bucket").filter("root <> x_root").select(*_ordered(F.col("x"), F.col("node"))).distinct()
-        second = self._verified(cross.join(star, ["a", "b"], "left_anti"))
-        self.links = written(first.unionAll(second), "links")
-        self.roots = written(connected(self.links, "a", "b"), "roots")
+        self.roots = written(connected(self._verified(star), "a", "b"), "roots")
+        for order in (["next", "after"], ["after", "next"]):
+            placed = shared.join(self.roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+            near = (placed.repartitionByRange("bucket", *order, "node").sortWithinPartitions("bucket", *order, "node")
+                    .select("bucket", "node", "root").mapInArrow(_next_ones, "a long, b long").distinct())
+            self._join(self._verified(near))
+        own = self._signed(shared.select("bucket", "band", "node", "least"), "node", "x", True)
+        other = self._signed(shared.select("bucket", "node"), "node", "y", True)
+        root_of = lambda c, out: self.roots.select(F.col("node").alias(c), F.col("root").alias(out))
+        own = (own.join(root_of("node", "root"), "node", "left").join(root_of("least", "least_root"), "least", "left")
+               .withColumn("root", F.coalesce("root", "node")).withColumn("least_root", F.coalesce("least_root", "least"))
+               .filter("root <> least_root").withColumnRenamed("node", "x").withColumnRenamed("root", "x_root").drop("least", "least_root"))
+        own = written(own, "unplaced")
+        other = other.join(own.select("bucket").distinct(), "bucket", "left_semi").join(root_of("node", "root"), "node", "left")
+        other = other.withColumn("root", F.coalesce("root", "node")).withColumnRenamed("bucket", "y_bucket")
+        # a pair counts in the first band that it shares
+        again = F.arrays_overlap(F.slice("x_bands", F.lit(1), F.col("band")), F.slice("y_bands", F.lit(1), F.col("band")))
+        cross = own.join(other, (F.col("bucket") == F.col("y_bucket")) & (F.col("x_root") != F.col("root"))
+                         & (_agreement("x", "y", self.longs) >= self.least) & ~again)
+        cross = cross.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
+        self._join(self._exactly(written(cross, "crossing")))
+
+    def _signed(self, rows: DataFrame, node: str, prefix: str, bands: bool = False) -> DataFrame:
+        """``rows`` with the signature of ``node`` in columns prefix0, prefix1, ..., and its bands if wanted."""
+        sig = [F.col("sig")[i].alias(f"{prefix}{i}") for i in range(self.longs)]
+        more = [F.col("bands").alias(f"{prefix}_bands")] if bands else []
+        return rows.join(self.nodes.select(F.col("node").alias(node), *sig, *more), node)
 
     def _verified(self, pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) whose similarity reaches the threshold."""
-        sig, text = self.nodes.select("node", "sig"), self.texts
-        at_least = math.floor(self.m * self.threshold - 4 * math.sqrt(self.m * self.threshold * (1 - self.threshold)))
-        side = lambda df, c, v: df.select(F.col("node").alias(c), F.col(v).alias(f"{v}_{c}"))
-        near = (pairs.join(side(sig, "a", "sig"), "a").join(side(sig, "b", "sig"), "b")
-                .filter(_agreement(F.col("sig_a"), F.col("sig_b")) >= at_least).select("a", "b"))
-        return (near.join(side(text, "b", "text"), "b").join(side(text, "a", "text"), "a")
-                .filter(_alike(F.col("text_a"), F.col("text_b"), self.width) >= self.threshold).select("a", "b"))
+        """The pairs (a, b) whose signatures, and then texts, are alike enough."""
+        signed = self._signed(self._signed(pairs, "a", "x"), "b", "y")
+        return self._exactly(written(signed.filter(_agreement("x", "y", self.longs) >= self.least).select("a", "b"), "candidates"))
+
+    def _exactly(self, pairs: DataFrame) -> DataFrame:
+        side = lambda c: self.texts.select(F.col("node").alias(c), F.col("text").alias(f"text_{c}"))
+        return written(pairs.join(side("b"), "b").join(side("a"), "a")
+                       .filter(_alike(F.col("text_a"), F.col("text_b"), self.width) >= self.threshold).select("a", "b"), "links")
+
+    def _join(self, links: DataFrame) -> None:
+        """Components after further links: those of the components that they join."""
+        root_of = lambda c: self.roots.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root"))
+        ends = links.join(root_of("a"), "a", "left").join(root_of("b"), "b", "left").select(
+            F.coalesce("a_root", "a").alias("a"), F.coalesce("b_root", "b").alias("b"))
+        more = written(connected(ends, "a", "b"), "joined").withColumnRenamed("root", "top")
+        old = self.roots.join(more.select(F.col("node").alias("root"), "top"), "root", "left").select("node", F.coalesce("top", "root").alias("root"))
+        new = more.join(self.roots.select("node"), "node", "left_anti").select("node", F.col("top").alias("root"))
+        self.roots = written(old.unionByName(new), "roots")
 
     def classes(self) -> DataFrame:
         """(k1, k2, node, first, class): of each distinct text its least document, and the least document of its class."""
@@ -154,12 +203,9 @@ class NearDuplicates:
         return nodes.join(best, "root").withColumn("is_keeper", F.col("keeper.node") == F.col("node")).drop("keeper", "root")
 
     def documents(self) -> DataFrame:
-        """(doc_id, class_id, n_links): class and number of links of each document; links are between distinct texts."""
-        degree = self.links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
-        classes = self.classes().join(degree, "node", "left")
-        return (self.sketch.select("id", "k1", "k2", "n").join(classes, ["k1", "k2"], "left")
-                .select(F.col("id").alias("doc_id"), F.when(F.col("n") > 0, F.col("class_id")).otherwise(F.col("id")).alias("class_id"),
-                        F.coalesce(F.when(F.col("n") > 0, F.col("n_links")), F.lit(0)).alias("n_links")))
+        """(doc_id, class_id): class_id is the least doc_id of the document's class."""
+        return (self.sketch.select("id", "k1", "k2", "n").join(self.classes(), ["k1", "k2"], "left")
+                .select(F.col("id").alias("doc_id"), F.when(F.col("n") > 0, F.col("class_id")).otherwise(F.col("id")).alias("class_id")))
 
 
 def drop_near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "text", **options) -> DataFrame:

@@ -55,7 +55,7 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Class of near duplicates (its least doc_id) and number of links of every document."""
+    """Class of near duplicates (its least doc_id) of every document."""
     return NearDuplicates(read(spark, sf_dir, "documents")).documents()
 
 

@@ -67,7 +67,7 @@ def test_line_stage(kept):
 def test_near_duplicate_stage(kept):
     texts = {r.doc_id: r.text for r in kept["line_dedup"].collect()}
     classes = brute_classes(texts)
-    want = {d for d, (c, _) in classes.items() if c == d or not bag(texts[d])}
+    want = {d for d, c in classes.items() if c == d or not bag(texts[d])}
     assert {r.doc_id: r.text for r in kept["near_dedup"].collect()} == {d: texts[d] for d in want}
 
 
