@@ -12,9 +12,11 @@ similarity (1 - Levenshtein distance / longer length) of ``threshold`` or more a
 linked. Of each connected group the occurrence first by (doc_id, document hash, line
 number) stays; all others go from their texts.
 
-Nodes that meet are paired with the least one only; where that leaves some of them in
-another component, these are paired with all the others. So a large group costs a pair
-for each of its nodes.
+Rows of a block choice are sorted, and cut into ranges, by its hash and then the SimHash.
+In each range, pairs are emitted that span what close nodes connect, not all pairs of a
+large group; buckets that a range cuts are few, and their parts meet by a join. Where
+pairs fail the edit check and so divide such a span, the other close pairs across the
+division are checked as well.
 
 Rows with the same id and the same text are one document and get the same text. A null
 text stays null. A text whose lines all go is empty.
@@ -34,7 +36,7 @@ from pyspark.sql import functions as F
 from .bloom import Bloom
 from .components import connected
 from .tables import written
-from .textbytes import flat, hashes, lines, mix, slices, words
+from .textbytes import flat, hashes, lines, mix, release, slices, words
 
 DISTANCE, BLOCKS = 3, 5
 _EDGES = np.linspace(0, 64, BLOCKS + 1).round().astype(int)
@@ -181,6 +183,8 @@ def _sketched(text: Column, min_words: int) -> Column:
                 ends = np.concatenate([[0], np.cumsum(own)])[ln.first]
                 parts.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), rows))
             yield pa.concat_arrays(parts)
+            del batch, parts
+        release()
 
     return udf(text)
 
@@ -203,6 +207,8 @@ def _line_texts(text: Column, wanted: Bloom) -> Column:
                                           "words": normalised(whole[ln.start[i]:ln.end[i]].decode())})
                 parts.append(pa.array(out, kind))
             yield pa.concat_arrays(parts)
+            del batch, parts
+        release()
 
     return udf(text)
 
@@ -241,13 +247,60 @@ def _close(x: str, y: str) -> Column:
     return F.bit_count(F.col(x).bitwiseXOR(F.col(y))) <= DISTANCE
 
 
-def _may_be_in(held: Bloom, key: Column) -> Column:
-    @F.arrow_udf("boolean")
-    def udf(keys: pa.Array) -> pa.Array:
-        k = keys.to_numpy(zero_copy_only=False)
-        return pa.array(held.might_hold(k, k))
-
-    return udf(key)
+def _spanning(node: np.ndarray, sim: np.ndarray) -> list[tuple[int, int]]:
+    """Pairs of close nodes that connect what close nodes connect: each node reached is compared with those not reached yet."""
+    out, left = [], np.arange(len(node))
+    while len(left):
+        queue, left = [left[0]], left[1:]
+        while queue and len(left):
+            i = queue.pop()
+            near = np.bitwise_count(sim[left] ^ sim[i]) <= DISTANCE
+            out += [(int(node[i]), int(node[j])) for j in left[near]]
+            queue += left[near].tolist()
+            left = left[~near]
+    return out
+
+
+def _close_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Spanning pairs (a, b) of the close nodes of each bucket in rows sorted by bucket, and ``cut``: the first and
+    last bucket of the task, whose other rows may be elsewhere."""
+    held, last = (np.zeros(0, np.int64),) * 3, None
+
+    def solved(node: np.ndarray, sim: np.ndarray, bucket: np.ndarray) -> pa.RecordBatch:
+        edge = np.flatnonzero(bucket[1:] != bucket[:-1]) + 1
+        start, end = np.concatenate([[0], edge]), np.append(edge, len(bucket))
+        two = np.flatnonzero(end - start == 2)
+        i = start[two][np.bitwise_count(sim[start[two]] ^ sim[start[two] + 1]) <= DISTANCE]
+        pairs = list(zip(node[i].tolist(), node[i + 1].tolist()))
+        for r in np.flatnonzero(end - start > 2):
+            pairs += _spanning(node[start[r]:end[r]], sim[start[r]:end[r]])
+        ab = np.sort(np.array(pairs, np.int64).reshape(-1, 2), axis=1)
+        return pa.RecordBatch.from_arrays([pa.array(ab[:, 0]), pa.array(ab[:, 1]), pa.nulls(len(ab), pa.int64())], ["a", "b", "cut"])
+
+    def cuts(buckets: list[int]) -> pa.RecordBatch:
+        none = pa.nulls(len(buckets), pa.int64())
+        return pa.RecordBatch.from_arrays([none, none, pa.array(buckets, pa.int64())], ["a", "b", "cut"])
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = [np.concatenate([h, batch[c].to_numpy(zero_copy_only=False)]) for h, c in zip(held, ("node", "sim", "bucket"))]
+        if last is None:
+            yield cuts([int(rows[2][0])])
+        last = int(rows[2][-1])
+        whole = len(rows[2]) - int((rows[2] == last).sum())
+        if whole:
+            yield solved(rows[0][:whole], rows[1][:whole].view(np.uint64), rows[2][:whole])
+        held = tuple(x[whole:] for x in rows)
+    if last is not None:
+        yield solved(held[0], held[1].view(np.uint64), held[2])
+        yield cuts([last])  # a task with one bucket marks it twice, which only costs a join
+
+
+def _with_least(rows: DataFrame) -> DataFrame:
+    """``rows`` of buckets that have two or more, with the least node of each."""
+    least = rows.groupBy("bucket").agg(F.min("node").alias("least"), F.count("*").alias("m")).filter("m > 1").drop("m")
+    return rows.join(least, "bucket")
 
 
 class LineDuplicates:
@@ -263,13 +316,15 @@ class LineDuplicates:
                                                       F.min("sim").alias("sim")), "line-nodes")
 
         rows = nodes.select("node", "sim", F.explode(_blocks(F.col("sim"))).alias("bucket"))
-        least = rows.groupBy("bucket").agg(F.min("node").alias("least"), F.count("*").alias("m")).filter("m > 1").drop("m")
-        least = written(least, "line-buckets")
-        shared = written(rows.filter(_may_be_in(Bloom(least, "bucket", "bucket"), F.col("bucket"))).join(least, "bucket"), "line-meeting")
-        star = (shared.filter("node <> least").join(nodes.select(F.col("node").alias("least"), F.col("sim").alias("least_sim")), "least")
-                .filter(_close("sim", "least_sim")).select(F.col("least").alias("a"), F.col("node").alias("b")).distinct())
-        pairs = written(star, "line-pairs")
-        pairs = written(pairs.unionAll(self._across(shared, written(connected(pairs, "a", "b"), "line-roots"))), "line-pairs")
+        found_pairs = written(rows.repartitionByRange("bucket", "sim", "node").sortWithinPartitions("bucket", "sim", "node")
+                              .mapInArrow(_close_pairs, "a long, b long, cut long"), "line-pairs")
+        pairs = found_pairs.filter("cut IS NULL").select("a", "b").distinct()
+        # buckets that the ranges cut: their parts are compared with each other by joins
+        cut = written(found_pairs.filter("cut IS NOT NULL").groupBy(F.col("cut").alias("bucket")).agg(F.count("*").alias("m"))
+                      .filter("m > 1").select("bucket"), "line-cuts")
+        meeting = _with_least(rows.join(cut, "bucket"))
+        across = self._across(meeting, written(connected(written(pairs, "line-pairs"), "a", "b"), "line-roots"))
+        pairs = written(pairs.unionAll(across).distinct(), "line-pairs")
         # every node that is close to another has a place in these pairs
         ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
         ends = written(nodes.select("k1", "k2", "node").join(ends, "node", "left_semi"), "line-ends")
@@ -277,8 +332,7 @@ class LineDuplicates:
         texts = written(text.dropDuplicates(["k1", "k2"]).join(ends, ["k1", "k2"]).select("node", "words"), "line-texts")
         first = written(self._verified(texts, pairs, threshold), "line-links")
         root = written(connected(first, "a", "b"), "line-roots")
-        near = shared.drop("least").join(ends.select("node"), "node")
-        near = near.join(near.groupBy("bucket").agg(F.min("node").alias("least")), "bucket")
+        near = _with_least(written(rows.join(ends.select("node"), "node", "left_semi"), "line-near"))
         again = written(self._across(near, root).join(pairs, ["a", "b"], "left_anti"), "line-pairs")
         self.links = written(first.unionAll(self._verified(texts, again, threshold)), "line-links")
 

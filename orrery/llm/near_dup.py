@@ -36,7 +36,7 @@ from .bloom import Bloom
 from .components import connected
 from .probminhash import band_hashes, shingles, signatures, similarities
 from .tables import written
-from .textbytes import flat, slices
+from .textbytes import flat, release, slices
 
 _LONGS = pa.list_(pa.int64())
 _SKETCH = pa.struct([("k1", pa.int64()), ("k2", pa.int64()), ("n", pa.int64()), ("bands", _LONGS), ("sig", _LONGS)])
@@ -64,6 +64,8 @@ def sketches(text: Column, width: int, bands: int, rows: int, components: int) -
                      lists(band_hashes(sig[:, :bands * rows], bands)), lists(np.bitwise_or.reduce(low, axis=2))],
                     ["k1", "k2", "n", "bands", "sig"]).cast(_SKETCH))
             yield pa.concat_arrays(parts)
+            del batch, parts
+        release()
 
     return udf(text.cast("string"))
 
@@ -81,6 +83,8 @@ def word_keys(text: Column, width: int, wanted: Bloom | None = None) -> Column:
                 gone = ~wanted.might_hold(*keys) if wanted else None
                 parts.append(pa.StructArray.from_arrays([pa.array(k, mask=gone) for k in keys], ["k1", "k2"]))
             yield pa.concat_arrays(parts)
+            del batch, parts
+        release()
 
     return udf(text.cast("string"))
 

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .tables import written
+from .textbytes import release
 
 _PIECES = pa.list_(pa.struct([("piece", pa.int32()), ("start", pa.int64()), ("ids", pa.binary())]))
 _TAIL = re.compile(r"([^\W\d_]+)([.,!?%*#$&|:;]+)")
@@ -96,6 +97,8 @@ def token_pieces(text: Column, tokenizer: str, capacity: int = 4096, end_id: int
             rows = pa.StructArray.from_arrays(
                 [pa.array(pieces, pa.int32()), pa.array(starts, pa.int64()), pa.array(blobs, pa.binary())], ["piece", "start", "ids"])
             yield pa.ListArray.from_arrays(pa.array(counts, pa.int32()), rows).cast(_PIECES)
+            del texts, rows, pieces, starts, blobs
+        release()
 
     return udf(text.cast("string"))
 

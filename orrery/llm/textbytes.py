@@ -8,6 +8,7 @@ the size of a batch; only a single text longer than the bound exceeds it.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -62,6 +63,16 @@ class Runs(NamedTuple):
         return np.repeat(np.arange(len(self.first) - 1), np.diff(self.first))
 
 
+def release() -> None:
+    """Hand memory that is no longer used back to the system. Python workers live on between
+    tasks of many kinds, and what one kind needed would otherwise stay with them."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # not this C library
+        pass
+
+
 def words(raw: np.ndarray, off: np.ndarray) -> Runs:
     """Words: longest runs of bytes other than ASCII white space."""
     n = len(raw)
