@@ -28,15 +28,16 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .textbytes import flat, hashes, mix, slices
+from .textbytes import flat, hashes, mix, release, slices
 
-MARK, SLICE, LONG = 0x2581, 8 << 20, 64
+MARK, SLICE, LONG = 0x2581, 2 << 20, 64
 _B, _C1, _C2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _ENCODED = pa.struct([("n_pieces", pa.int64()), ("ids", pa.binary())])
 
 
 class Pieces:
-    """Pieces of a model by hash: for each length the sorted hashes of pieces and of pieces' prefixes."""
+    """Pieces of a model by hash: for each length the sorted hashes of pieces' prefixes, with the piece that each
+    is (-1: none) and whether longer pieces begin with it."""
 
     def __init__(self, path: str, alpha: float):
         import sentencepiece
@@ -58,8 +59,7 @@ class Pieces:
         self.weight = np.zeros(n)
         self.weight[rank] = (2.0 + np.arange(len(rank))) ** -alpha
         self.known = np.zeros(0x110000, bool)
-        by_length: dict[int, dict[int, int]] = {}
-        prefixes: dict[int, set[int]] = {}
+        prefixes: dict[int, dict[int, list[int]]] = {}
         for i in plain:
             h = 0
             points = [32 if ord(c) == MARK else ord(c) for c in text[i]]
@@ -67,35 +67,36 @@ class Pieces:
                 self.known[points[0]] = True
             for k, c in enumerate(points, 1):
                 h = (h * int(_B) + c + 1) % (1 << 64)
-                prefixes.setdefault(k, set()).add(h)
-            by_length.setdefault(len(points), {})[h] = i
-        self.hash, self.id, self.prefix = [], [], []
-        for k in range(1, max(by_length) + 1):
-            own = sorted(by_length.get(k, {}).items())
+                own = prefixes.setdefault(k, {}).setdefault(h, [-1, 0])
+                if k == len(points):
+                    own[0] = i
+                else:
+                    own[1] = 1
+        self.hash, self.id, self.longer = [], [], []
+        for k in sorted(prefixes):
+            own = sorted(prefixes[k].items())
             self.hash.append(np.array([h for h, _ in own], np.uint64))
-            self.id.append(np.array([i for _, i in own], np.int64))
-            self.prefix.append(np.array(sorted(prefixes[k]), np.uint64))
+            self.id.append(np.array([x[0] for _, x in own], np.int32))
+            self.longer.append(np.array([x[1] for _, x in own], bool))
         self.start = np.concatenate([[0], np.cumsum([len(d) for d in decoded])])
         self.bytes = np.frombuffer(b"".join(decoded), np.uint8)
 
     def matches(self, points: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(place, length, id) of every piece that starts at a place and has at most ``left`` characters."""
-        out, at, h = [], np.arange(len(points)), np.zeros(len(points), np.uint64)
-        for k in range(1, len(self.hash) + 1):
-            h = h * _B + points[at + k - 1].astype(np.uint64) + np.uint64(1)
-            for table, keep in ((self.hash[k - 1], True), (self.prefix[k - 1], False)):
-                if keep and not len(table):
-                    continue
-                i = np.minimum(np.searchsorted(table, h), len(table) - 1)
-                hit = table[i] == h
-                if keep:
-                    out.append((at[hit], np.full(int(hit.sum()), k), self.id[k - 1][i[hit]]))
-                else:
-                    hit &= left[at] > k
-                    at, h = at[hit], h[hit]
+        out, at, h = [], np.arange(len(points), dtype=np.int32), np.zeros(len(points), np.uint64)
+        for k, (table, ids, longer) in enumerate(zip(self.hash, self.id, self.longer), 1):
+            h = h * _B + points[at + (k - 1)].astype(np.uint64) + np.uint64(1)
+            i = np.minimum(np.searchsorted(table, h), len(table) - 1)
+            hit = np.flatnonzero(table[i] == h)
+            i = i[hit]
+            own = ids[i] >= 0
+            out.append((at[hit[own]], np.full(int(own.sum()), k, np.int32), ids[i[own]]))
+            hit = hit[longer[i]]
+            hit = hit[left[at[hit]] > k]
+            at, h = at[hit], h[hit]
             if not len(at):
                 break
-        return tuple(np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0, np.int64),) * 3
+        return tuple(np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0, np.int32),) * 3
 
 
 _MODELS: dict[tuple[str, float], Pieces] = {}
@@ -109,53 +110,59 @@ def _model(path: str, alpha: float) -> Pieces:
 
 class Lattices:
     """Lattices of distinct words, one after the other: node numbers are places in them, each word has one more
-    node than characters. ``total``: for each edge its end node plus the cumulative probability, so that one search
-    for node + u draws an edge."""
+    node than characters. Edges are in the order of the nodes that they end in; ``total`` is the cumulative
+    probability of each among those of its node."""
 
     def __init__(self, model: Pieces, points: np.ndarray, size: np.ndarray):
-        first = np.concatenate([[0], np.cumsum(size)])
-        word = np.repeat(np.arange(len(size)), size)
-        left = first[1:][word] - np.arange(len(points))
+        size = size.astype(np.int32)
+        first = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
+        word = np.repeat(np.arange(len(size), dtype=np.int32), size)
+        left = first[1:][word] - np.arange(len(points), dtype=np.int32)
         place, length, piece = model.matches(points, left)
-        ok = length <= left[place]
-        place, length, piece = place[ok], length[ok], piece[ok]
-        self.start = first[:-1] + np.arange(len(size))      # a word's first node
-        self.end = self.start + size
         tail = place + word[place]
-        head = tail + length
-        order = np.argsort(head, kind="stable")
-        tail, head, piece = tail[order], head[order], piece[order]
+        del place, word, left
+        self.start = first[:-1] + np.arange(len(size), dtype=np.int32)  # a word's first node
+        self.end = self.start + size
+        order = np.argsort(tail + length, kind="stable").astype(np.int32)
+        tail, piece = tail[order], piece[order]
+        head = tail + length[order]
+        del order, length
         n = int(self.end[-1]) + 1 if len(size) else 0
-        edges = np.searchsorted(head, np.arange(n + 1))
-        weight = model.weight[piece]
+        edges = np.searchsorted(head, np.arange(n + 1, dtype=np.int32)).astype(np.int32)
+        chance = model.weight[piece]
         sums = np.zeros(n)
         sums[self.start] = 1.0
-        long = size > LONG
-        level = np.arange(n) - np.repeat(self.start, size + 1)
-        usual = ~np.repeat(long, size + 1)[head] if len(head) else np.zeros(0, bool)
-        chance = np.zeros(len(head))
-        by = np.flatnonzero(usual)
-        by = by[np.argsort(level[head[by]], kind="stable")]
-        cuts = np.searchsorted(level[head[by]], np.arange(1, LONG + 2)) if len(by) else np.zeros(1, np.int64)
-        for a, b in zip(cuts[:-1], cuts[1:]):  # all words at once, character by character
-            own = by[a:b]
-            if len(own):
-                chance[own] = sums[tail[own]] * weight[own]
-                np.add.at(sums, head[own], chance[own])
-        for w in np.flatnonzero(long):
-            self._forward(w, sums, chance, edges, tail, weight)
-        share = chance / np.maximum(sums[head], 1e-300)
-        run = np.cumsum(share)
-        base = np.concatenate([[0.0], run])[edges[:-1]]
-        self.total = head + np.minimum(run - base[head], 1.0) if len(head) else run
-        self.last = edges[1:] - 1
+        # all words at once, character by character: the edges into their nodes of one level
+        level = np.arange(n, dtype=np.int32) - np.repeat(self.start, size + 1)
+        level[np.repeat(size > LONG, size + 1)] = 0
+        nodes = np.argsort(level, kind="stable").astype(np.int32)
+        cuts = np.searchsorted(level[nodes], np.arange(1, LONG + 2))
+        count = np.diff(edges)
+        del level
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            own = nodes[a:b]
+            if not len(own):
+                break
+            many = count[own]
+            into = np.cumsum(many)
+            e = np.repeat(edges[own] - (into - many), many) + np.arange(into[-1], dtype=np.int32)
+            chance[e] *= sums[tail[e]]
+            sums[own] = np.add.reduceat(chance[e], into - many)
+        for w in np.flatnonzero(size > LONG):
+            self._forward(w, sums, chance, edges, tail, piece, model.weight)
+        chance /= np.maximum(sums[head], 1e-300)
+        np.cumsum(chance, out=chance)
+        chance -= np.repeat(np.concatenate([[0.0], chance])[edges[:-1]], count)
+        self.total = np.minimum(chance, 1.0, out=chance)
+        self.first, self.last = edges[:-1], edges[1:] - 1
         self.piece, self.tail = piece, tail
 
-    def _forward(self, w: int, sums: np.ndarray, chance: np.ndarray, edges: np.ndarray, tail: np.ndarray, weight: np.ndarray) -> None:
+    def _forward(self, w: int, sums: np.ndarray, chance: np.ndarray, edges: np.ndarray, tail: np.ndarray,
+                 piece: np.ndarray, weight: np.ndarray) -> None:
         """One long word: the sums that later nodes need are scaled at every node, so they neither vanish nor overflow."""
         start, end = int(self.start[w]), int(self.end[w])
         e0 = int(edges[start])
-        t, x = tail[e0:int(edges[end + 1])].tolist(), weight[e0:int(edges[end + 1])].tolist()
+        t, x = tail[e0:int(edges[end + 1])].tolist(), weight[piece[e0:int(edges[end + 1])]].tolist()
         bound = (edges[start:end + 2] - e0).tolist()
         scaled, exponent = [1.0], [0.0]
         for node in range(1, end - start + 1):
@@ -169,8 +176,13 @@ class Lattices:
             exponent.append(top + log(s))
 
     def draw(self, node: np.ndarray, u: np.ndarray) -> np.ndarray:
-        """An edge into each node."""
-        return np.minimum(np.searchsorted(self.total, node + u, "right"), self.last[node])
+        """An edge into each node: the first one whose cumulative probability is over u."""
+        edge, last = self.first[node], self.last[node]
+        todo = np.flatnonzero((self.total[edge] <= u) & (edge < last))
+        while len(todo):
+            edge[todo] += 1
+            todo = todo[(self.total[edge[todo]] <= u[todo]) & (edge[todo] < last[todo])]
+        return edge
 
 
 def _words(model: Pieces, raw: np.ndarray, off: np.ndarray):
@@ -253,7 +265,13 @@ def encode_sampled(text: Column, key: Column, model_path: str, alpha: float = 0.
                 data = ids.astype("<u4").tobytes()
                 blob = pa.Array.from_buffers(pa.large_binary(), len(texts), [None, pa.py_buffer((4 * place).tobytes()), pa.py_buffer(data)])
                 parts.append(pa.StructArray.from_arrays([pa.array(np.diff(place)), blob.cast(pa.binary())], ["n_pieces", "ids"]))
-            yield pa.concat_arrays(parts)
+                del ids, place, data, blob
+            out = pa.concat_arrays(parts)
+            del batch, keys, parts
+            release()
+            yield out
+            del out
+        release()
 
     return udf(text.cast("string"), key.cast("long"))
 
@@ -280,6 +298,12 @@ def decode(ids: Column, model_path: str) -> Column:
                 bound = (bound - np.concatenate([[0], np.cumsum(blank)])).astype(np.int64)
                 text = pa.Array.from_buffers(pa.large_string(), len(some), [None, pa.py_buffer(bound.tobytes()), pa.py_buffer(raw[keep].tobytes())])
                 parts.append(text.cast(pa.string()))
-            yield pa.concat_arrays(parts)
+                del data, id_, raw, keep, text
+            out = pa.concat_arrays(parts)
+            del batch, parts
+            release()
+            yield out
+            del out
+        release()
 
     return udf(ids)
