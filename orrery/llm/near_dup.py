@@ -5,7 +5,9 @@ five-word shingles (weighted by how often a text has them) is at least ``thresho
 classes are the connected components of links. Steps:
 
 1. Texts with the same lower-cased words are one node; copies are not compared.
-2. Nodes that share a band of their signatures are candidates. In each bucket all are
+2. Each node has two signatures, of its weighted shingles for the probability Jaccard
+   similarity and of the same shingles with weight 1 for the Jaccard similarity. Nodes that
+   share a band of either are candidates. In each bucket all are
    first paired with the bucket's least node only, so a group of thousands of near copies
    costs a pair for each, not one for each two of them.
 3. Nodes that are then in another component than the next ones of their bucket, in the
@@ -14,9 +16,9 @@ classes are the connected components of links. Steps:
    compared with every node of the bucket outside their component, so that no link between
    candidates is lost. Only signatures are compared there.
 
-Of all these pairs, those go whose signatures agree in far too few components (four
-standard deviations below the threshold); the others are verified on their whole shingle
-sets. Signatures hold two bits of each of ``components`` components.
+Of all these pairs, those go whose signatures of either kind both agree in far too few
+components (four standard deviations below the threshold); the others are verified on their
+whole shingle sets. Signatures hold two bits of each of ``components`` components.
 
 A document without words is a class by itself. Nothing is gathered on the driver or by
 key: links, components and texts stay tables, and hot keys are join keys that can be split.
@@ -44,9 +46,19 @@ PER_LONG = 32  # components in a long, two bits each
 SLICE = 1 << 20
 
 
+def both_signatures(n: int, owner: np.ndarray, ids: np.ndarray, weight: np.ndarray, m: int) -> tuple[np.ndarray, np.ndarray]:
+    """Signatures of the weighted shingles, and of the shingles with weight 1: other ones where a shingle repeats."""
+    sig = signatures(n, owner, ids, weight, m)
+    heavy = np.unique(owner[weight > 1])
+    own = np.isin(owner, heavy)
+    unit = sig.copy()
+    unit[heavy] = signatures(len(heavy), np.searchsorted(heavy, owner[own]), ids[own], np.ones(int(own.sum()), np.int64), m)
+    return sig, unit
+
+
 def sketches(text: Column, width: int, bands: int, rows: int, components: int) -> Column:
     """Struct of each text: word hashes k1 and k2, number n of distinct shingles, hashes of the bands of the first
-    components, and two bits of every component."""
+    components, and two bits of every component; bands and bits of the weighted shingles, then of those with weight 1."""
     longs = components // PER_LONG
 
     @F.arrow_udf("struct<k1:long,k2:long,n:long,bands:array<long>,sig:array<long>>")
@@ -55,13 +67,14 @@ def sketches(text: Column, width: int, bands: int, rows: int, components: int) -
             parts = [pa.array([], _SKETCH)]
             for texts in slices(batch, SLICE):
                 owner, ids, weight, keys = shingles(*flat(texts), width)
-                sig = signatures(len(texts), owner, ids, weight, components)
-                low = (sig & np.uint64(3)).reshape(len(texts), longs, PER_LONG) << np.arange(0, 64, 2, dtype=np.uint64)
+                sigs = both_signatures(len(texts), owner, ids, weight, components)
+                low = [(sig & np.uint64(3)).reshape(len(texts), longs, PER_LONG) << np.arange(0, 64, 2, dtype=np.uint64) for sig in sigs]
                 lists = lambda x: pa.ListArray.from_arrays(pa.array(np.arange(0, x.size + 1, x.shape[1]), pa.int32()),
                                                            pa.array(np.ascontiguousarray(x).view(np.int64).ravel()))
                 parts.append(pa.StructArray.from_arrays(
                     [pa.array(keys[0].view(np.int64)), pa.array(keys[1].view(np.int64)), pa.array(np.bincount(owner, minlength=len(texts))),
-                     lists(band_hashes(sig[:, :bands * rows], bands)), lists(np.bitwise_or.reduce(low, axis=2))],
+                     lists(np.concatenate([band_hashes(sig[:, :bands * rows], bands) for sig in sigs], axis=1)),
+                     lists(np.concatenate([np.bitwise_or.reduce(x, axis=2) for x in low], axis=1))],
                     ["k1", "k2", "n", "bands", "sig"]).cast(_SKETCH))
             yield pa.concat_arrays(parts)
             del batch, parts
@@ -89,12 +102,17 @@ def word_keys(text: Column, width: int, wanted: Bloom | None = None) -> Column:
     return udf(text.cast("string"))
 
 
-def _agreement(a: str, b: str, longs: int) -> Column:
-    """How many components agree, of signatures in columns a0, a1, ... and b0, b1, ..."""
+def _agreement(a: str, b: str, longs: int, first: int = 0) -> Column:
+    """How many components agree, of signatures in ``longs`` columns a0, a1, ... and b0, b1, ... from number ``first`` on."""
     def one(i: int) -> Column:
         d = F.col(f"{a}{i}").bitwiseXOR(F.col(f"{b}{i}"))
         return F.bit_count(F.bitwise_not(d.bitwiseOR(F.shiftrightunsigned(d, 1))).bitwiseAND(F.lit(0x5555555555555555)))
-    return sum((one(i) for i in range(1, longs)), one(0))
+    return sum((one(i) for i in range(first + 1, first + longs)), one(first))
+
+
+def _may_link(a: str, b: str, longs: int, least: int) -> Column:
+    """Whether the weighted signatures or those of weight 1 agree in ``least`` components."""
+    return (_agreement(a, b, longs) >= least) | (_agreement(a, b, longs, longs) >= least)
 
 
 def _alike(a: Column, b: Column, width: int) -> Column:
@@ -141,9 +159,11 @@ class NearDuplicates:
         self.sketch = written(sketch.select("id", "s.*", F.monotonically_increasing_id().alias("row")), "sketches")
         self.nodes = written(self.sketch.filter("n > 0").groupBy("k1", "k2").agg(
             F.min("row").alias("node"), F.min("id").alias("first"), F.first("bands").alias("bands"), F.first("sig").alias("sig")), "nodes")
-        further = lambda k: F.transform("bands", lambda x, i: F.get("bands", (i + k) % F.lit(bands)))
+        further = lambda k: F.transform("bands", lambda x, i: F.get("bands", i - i % F.lit(bands) + (i + k) % F.lit(bands)))
+        # a band of the shingles with weight 1 counts where it differs from the weighted one
+        fresh = (F.col("band") < bands) | (F.col("x.bucket") != F.get("bands", F.col("band") - bands))
         zipped = F.arrays_zip(F.col("bands").alias("bucket"), further(1).alias("next"), further(2).alias("after"))
-        rows_ = self.nodes.select("node", F.posexplode(zipped).alias("band", "x")).select("node", "band", "x.*")
+        rows_ = self.nodes.select("node", "bands", F.posexplode(zipped).alias("band", "x")).filter(fresh).select("node", "band", "x.*")
         least = rows_.groupBy("bucket").agg(F.min("node").alias("least"), F.count("*").alias("n")).filter("n > 1").drop("n")
         shared = written(rows_.join(least, "bucket"), "buckets")
         keys = self.nodes.select("k1", "k2", "node").join(shared.select("node").distinct(), "node", "left_semi")
@@ -170,20 +190,20 @@ class NearDuplicates:
         # a pair counts in the first band that it shares
         again = F.arrays_overlap(F.slice("x_bands", F.lit(1), F.col("band")), F.slice("y_bands", F.lit(1), F.col("band")))
         cross = own.join(other, (F.col("bucket") == F.col("y_bucket")) & (F.col("x_root") != F.col("root"))
-                         & (_agreement("x", "y", self.longs) >= self.least) & ~again)
+                         & _may_link("x", "y", self.longs, self.least) & ~again)
         cross = cross.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
         self._join(self._exactly(written(cross, "crossing")))
 
     def _signed(self, rows: DataFrame, node: str, prefix: str, bands: bool = False) -> DataFrame:
         """``rows`` with the signature of ``node`` in columns prefix0, prefix1, ..., and its bands if wanted."""
-        sig = [F.col("sig")[i].alias(f"{prefix}{i}") for i in range(self.longs)]
+        sig = [F.col("sig")[i].alias(f"{prefix}{i}") for i in range(2 * self.longs)]
         more = [F.col("bands").alias(f"{prefix}_bands")] if bands else []
         return rows.join(self.nodes.select(F.col("node").alias(node), *sig, *more), node)
 
     def _verified(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) whose signatures, and then texts, are alike enough."""
         signed = self._signed(self._signed(pairs, "a", "x"), "b", "y")
-        return self._exactly(written(signed.filter(_agreement("x", "y", self.longs) >= self.least).select("a", "b"), "candidates"))
+        return self._exactly(written(signed.filter(_may_link("x", "y", self.longs, self.least)).select("a", "b"), "candidates"))
 
     def _exactly(self, pairs: DataFrame) -> DataFrame:
         side = lambda c: self.texts.select(F.col("node").alias(c), F.col("text").alias(f"text_{c}"))

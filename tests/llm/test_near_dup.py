@@ -125,6 +125,23 @@ def test_hot_groups_and_chains(spark):
     assert got == brute_classes(texts)
 
 
+def test_repeated_passages(spark):
+    rng = np.random.default_rng(9)
+    word = lambda: f"w{rng.integers(10**9)}"
+    texts = {}
+    for k in range(12):  # copies in which a passage comes five times, or the beginning four times
+        ws = [word() for _ in range(200)]
+        at = int(rng.integers(0, 160))
+        texts[3 * k] = " ".join(ws)
+        texts[3 * k + 1] = " ".join(ws[:at] + ws[at:at + 40] * 5 + ws[at + 40:])
+        texts[3 * k + 2] = " ".join(ws[:30] * 4 + ws[30:])
+    similar = similarity(bag(texts[0]), bag(texts[1]))
+    assert similar[0] > 0.95 and similar[1] < 0.7
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r.doc_id: r.class_id for r in NearDuplicates(df).documents().collect()}
+    assert got == brute_classes(texts) == {d: d - d % 3 for d in texts}
+
+
 def test_odd_tables(spark):
     long = " ".join(f"w{i}" for i in range(60_000))
     rows = [(1, "", "k"), (2, None, "k"), (2, None, "k"), (3, " \n", "k"), (4, "one two", "k"), (5, "One  two", None), (6, "one three", None),
