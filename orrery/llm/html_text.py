@@ -3,11 +3,14 @@
 Markup is stripped to one line per block element. Every line has a text length; the
 length of a line block is the sum over a sliding window of lines. Where this sum surges
 from nothing above a threshold the main text begins, where it dives back to nothing it
-ends, and the lines between are kept, so that short lines inside the text stay.
+ends, and the lines between are kept, so that short lines inside the text stay. Short and
+linked lines between the first surge and the last dive stay as well, and so does a heading
+that only furniture divides from the first surge.
 
 Lines of page furniture (navigation, notices, adverts, forms, reader comments and the
 like, told by element, role, class or id) and link text count as empty lines: they end
-a run of text. Where a page marks its article, lines outside count as empty as well.
+a run of text. A class or id tells furniture where all words of a name do. Where a page
+marks its article, all lines inside that are not furniture are kept, and no others.
 
 Null or empty pages give an empty text; a page without any text line does too.
 """
@@ -39,6 +42,17 @@ FURNITURE_NAMES = frozenset(
     "navigation menu breadcrumb breadcrumbs sidebar header masthead footer cookie cookies consent gdpr notice notices alert "
     "popup modal overlay comment comments discussion disqus respond reply replies related recommended recommendations "
     "share sharing social subscribe subscription newsletter signup login pagination pager skip copyright".split())
+#: Words that leave a name of furniture what it is.
+FILLER_NAMES = frozenset(
+    "area bar block box btn button buttons container global group inner left link links list outer posts right section site "
+    "slot top bottom unit widget wrap wrapper".split())
+#: Furniture whose own articles are not the page's.
+ASIDE_NAMES = frozenset(
+    "ad ads advert adverts advertisement advertising adsense sponsor promo promoted promotion nav navbar navigation menu "
+    "breadcrumb breadcrumbs sidebar footer comment comments discussion disqus respond reply replies related recommended "
+    "recommendations".split())
+REMARK_NAMES = frozenset("comment comments discussion disqus respond reply replies".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 _TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*+)([^>"']*+(?:"[^"]*+"[^>"']*+|'[^']*+'[^>"']*+)*+)>""")
 _LOOSE = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>")
@@ -85,30 +99,47 @@ def _tokens(page: str) -> Iterator[tuple[str, str, str]]:
             yield "open", name, m[3]
 
 
-def _furniture(name: str, attrs: str, in_article: bool) -> bool:
+def _furniture_words(value: str) -> set[str]:
+    """The words of those names in a class or id that furniture alone has."""
+    out: set[str] = set()
+    for name in value.split():
+        own = {x.lower() for x in _NAME.findall(_CAMEL.sub(" ", name))}
+        if own & FURNITURE_NAMES and own <= FURNITURE_NAMES | FILLER_NAMES:
+            out |= own & FURNITURE_NAMES
+    return out
+
+
+def _furniture(name: str, attrs: str, in_article: bool) -> int:
+    """0: no furniture; 1: furniture whole; 2: furniture by a class or id, but for an article in it."""
     if name in FURNITURE and not (name == "header" and in_article):
-        return True
+        return 1
     if "=" not in attrs:
-        return bool(attrs) and re.search(r"(?:^|\s)hidden(?:\s|/|$)", attrs) is not None
+        return int(bool(attrs) and re.search(r"(?:^|\s)hidden(?:\s|/|$)", attrs) is not None)
+    found = 0
     for key, a, b, c in _ATTR.findall(attrs):
         key, value = key.lower(), a or b or c
         if key == "role" and value.lower() in FURNITURE_ROLES or key == "aria-hidden" and value.lower() == "true":
-            return True
-        if key in ("class", "id") and name not in ("html", "body", "main"):
-            if FURNITURE_NAMES & {x.lower() for x in _NAME.findall(_CAMEL.sub(" ", value))}:
-                return True
-    return False
+            return 1
+        if key in ("class", "id") and name not in ("html", "body", "main") and name not in HEADINGS:
+            own = _furniture_words(value)
+            if name == "article":
+                own &= REMARK_NAMES
+            if own:
+                found = 1 if found == 1 or own & ASIDE_NAMES else 2
+    return found
 
 
-def text_lines(page: str) -> tuple[list[str], np.ndarray, bool]:
-    """One line per block, its length without link text (0: furniture, or outside the article), and whether an article is marked."""
+def text_lines(page: str) -> tuple[list[str], np.ndarray, np.ndarray, bool]:
+    """One line per block, its length without link text (0: furniture, or outside the article; 1 at least inside it),
+    whether it is a heading, and whether an article is marked."""
     lines: list[str] = []
     sizes: list[int] = []
     inside: list[bool] = []
+    titles: list[bool] = []
     parts: list[str] = []
     linked = 0
-    stack: list[tuple[str, bool, bool]] = []  # name, furniture, article
-    hidden = article = links = 0
+    stack: list[tuple[str, int, bool]] = []  # name, furniture, article
+    hidden = article = links = headings = 0
 
     def flush() -> None:
         nonlocal linked
@@ -119,6 +150,7 @@ def text_lines(page: str) -> tuple[list[str], np.ndarray, bool]:
                 lines.append(line)
                 sizes.append(max(len(line.replace(" ", "")) - linked, 0))
                 inside.append(article > 0)
+                titles.append(headings > 0)
             linked = 0
 
     def gap() -> None:
@@ -126,14 +158,16 @@ def text_lines(page: str) -> tuple[list[str], np.ndarray, bool]:
             lines.append("")
             sizes.append(0)
             inside.append(article > 0)
+            titles.append(False)
 
     def pop(to: int) -> None:
-        nonlocal hidden, article, links
+        nonlocal hidden, article, links, headings
         while len(stack) > to:
             name, furniture, main = stack.pop()
-            hidden -= furniture
+            hidden -= furniture > 0
             article -= main
             links -= name == "a"
+            headings -= name in HEADINGS
 
     for kind, name, attrs in _tokens(page):
         if kind == "text":
@@ -156,6 +190,11 @@ def text_lines(page: str) -> tuple[list[str], np.ndarray, bool]:
             if name in VOID:
                 continue
             furniture = _furniture(name, attrs, article > 0)
+            if name == "article" and not furniture and hidden and all(f != 1 for _, f, _ in stack):
+                flush()
+                gap()
+                stack[:] = [(n, 0, m) for n, _, m in stack]  # what holds the article is no furniture
+                hidden = 0
             main = name in ("article", "main") and not furniture and not hidden
             if furniture:
                 flush()
@@ -163,9 +202,10 @@ def text_lines(page: str) -> tuple[list[str], np.ndarray, bool]:
             if attrs.rstrip().endswith("/") and name not in BLOCK:
                 continue
             stack.append((name, furniture, main))
-            hidden += furniture
+            hidden += furniture > 0
             article += main
             links += name == "a"
+            headings += name in HEADINGS
         else:
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == name:
@@ -175,8 +215,8 @@ def text_lines(page: str) -> tuple[list[str], np.ndarray, bool]:
     marked = any(inside)
     size = np.array(sizes, np.int64)
     if marked:
-        size[~np.array(inside, bool)] = 0
-    return lines, size, marked
+        size = np.where(np.array(inside, bool) & np.array([x != "" for x in lines], bool), np.maximum(size, 1), 0)
+    return lines, size, np.array(titles, bool), marked
 
 
 def main_lines(size: np.ndarray, width: int = 3, surge: int = 80) -> np.ndarray:
@@ -202,10 +242,16 @@ def main_lines(size: np.ndarray, width: int = 3, surge: int = 80) -> np.ndarray:
 def main_text(page: str | None, width: int = 3, surge: int = 80) -> str:
     if not page:
         return ""
-    lines, size, marked = text_lines(page)
+    lines, size, titles, marked = text_lines(page)
     if marked:  # every line that the page itself marks as its article is text
-        size = np.where(size > 0, np.maximum(size, surge), 0)
-    return " ".join(x for x, k in zip(lines, main_lines(size, width, surge)) if k)
+        return " ".join(x for x, n in zip(lines, size) if n)
+    keep = main_lines(size, width, surge)
+    if keep.any():
+        first, last = np.flatnonzero(keep)[[0, -1]]
+        while first and (titles[first - 1] or lines[first - 1] == ""):
+            first -= 1
+        keep[first:last + 1] = True
+    return " ".join(x for x, k in zip(lines, keep) if k and x)
 
 
 def extract_main_text(pages: DataFrame, html_column: str = "html", into: str = "text", width: int = 3, surge: int = 80) -> DataFrame:

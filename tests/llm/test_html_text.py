@@ -29,6 +29,24 @@ def test_without_marked_article_the_line_blocks_decide():
     assert main_text(page) == " ".join(f"{('word ' * 30)}{i}" for i in range(3)) + " end."
 
 
+LONG = "word " * 30 + "end."
+
+
+@pytest.mark.parametrize("page,want", [
+    (f"<article><h1><a href=x>Title</a></h1><p>{LONG}</p><ul><li><a href=y>one</a><li>two</ul><p><a href=z>more</a></p></article>", f"Title {LONG} one two more"),
+    (f"<h1>Title</h1><div class=share>Share!</div><p>{LONG}</p>", f"Title {LONG}"),
+    (f"<h2><a href=x>Title</a></h2><nav>n</nav><p>{LONG}</p>", f"Title {LONG}"),
+    (f"<p>{LONG}</p><div class=ad>Buy!</div><p>Short.</p><p><a href=x>link</a></p><aside>s</aside><p>{LONG}</p>", f"{LONG} Short. link {LONG}"),
+    (f"<article class='has-sidebar'><p>{LONG}</p></article><p>out</p>", LONG),
+    (f"<article class='sponsored'><p>{LONG}</p></article><p>out</p>", LONG),
+    (f"<div class='header'><p>site</p><article><p>{LONG}</p></article></div>", LONG),
+    (f"<div class='post-header'><h1 class=banner>Title</h1></div><div class='no-comments'><p>{LONG}</p></div>", f"Title {LONG}"),
+    (f"<article><p>{LONG}</p><div class='share-buttons'>Share!</div><div class='cookieNotice'>c</div></article><div class=related><article>{LONG} x</article></div>", LONG),
+    (f"<article><p>{LONG}</p><article class='comment odd'>c</article></article>", LONG)])
+def test_text_that_is_no_furniture_stays(page, want):
+    assert main_text(page) == want
+
+
 @pytest.mark.parametrize("page", [None, "", "   ", "<html></html>", "<p", "<!-- never closed", "<script>x", "<p></p><p> </p>", "<<<>>>" * 50 + "<a b=\"" * 100])
 def test_odd_pages(page):
     assert isinstance(main_text(page), str)
