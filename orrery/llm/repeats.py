@@ -11,7 +11,7 @@ comes twice or more can be repeated. Steps:
 1. Each document's anchors (about two in 370 bytes) are found, and grams that are
    anchors of two or more places. Where a text repeats itself with a period shorter than
    a window, the windows inside that stretch are seen to be repeated at once; of their
-   anchors one stays, as there would be one in every period.
+   anchors one stays that has a whole period of windows, as there would be one in every period.
 2. The surroundings of anchors with such grams are grouped by gram. A group's suffixes
    (from the anchor on) are sorted by multikey quicksort and blind tries
    (suffix_sort.py). From each suffix outward in that order, common prefixes shrink; with
@@ -130,7 +130,11 @@ def periodic(raw: np.ndarray, off: np.ndarray, found: tuple[np.ndarray, ...]) ->
             low, high = np.searchsorted(first, a), np.searchsorted(last, b - LENGTH, "right")
             inside = np.arange(max(low, k - 1), max(high, 0))
             inside = inside[(h[inside] == h[k]) & (first[inside] >= a) & (last[inside] + LENGTH <= b)]
-            stay[inside[1:]] = False
+            # one whose windows span a whole period has them all; where the text or stretch begins, the first may have fewer
+            whole = inside[last[inside] - first[inside] + 1 >= period]
+            if len(inside) > 1 and len(whole):
+                stay[inside] = False
+                stay[whole[0]] = True
             # the stretch's later pairs of anchors say the same
             i = max(i + 1, int(np.searchsorted(ties, inside[-1] if len(inside) else k, "right")))
         else:

@@ -123,6 +123,20 @@ def test_planted_repeats_and_split_groups(spark, monkeypatch, part, seed):
     assert {d: (got[d], rows[d][1]) for d in want if got[d] != want[d]} == {}
 
 
+def test_fragments_of_periodic_texts_at_every_phase(spark):
+    rng = np.random.default_rng(5)
+    text = lambda k: "".join(rng.choice(list("abcdefghij "), k))
+    rows = []
+    for k in range(240):  # each fragment is in one periodic text only, and too short to be a periodic stretch itself
+        period = int(rng.integers(20, 370)) if k % 3 else 200
+        line, phase, size = text(period), int(rng.integers(0, period)), 400 + int(rng.integers(0, period)) * (k % 2)
+        rows.append(text(int(rng.integers(0, 500)) * (k % 4 == 0)) + line * (500 // period + int(rng.integers(2, 9))) + text(60 * (k % 5 == 0)))
+        rows.append(text(40) + (line * 60)[phase:phase + size] + text(30))
+    rows = list(enumerate(rows))
+    got, want = result(spark.createDataFrame(rows, "doc_id long, text string")), brute(rows)
+    assert {d: (got[d], want[d]) for d in want if got[d] != want[d]} == {}
+
+
 def test_odd_tables(spark):
     long = "".join(f"{i} " for i in range(60_000))
     rows = [(1, None, 1), (2, "", 1), (3, "a" * 399, 1), (4, "a" * 400, 1), (5, "a" * 401, 1), (6, long, 1), (7, long[5000:9000] + "!", 1), (8, "é" * 200, None), (9, "é" * 200, None)]
