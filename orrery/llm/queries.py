@@ -20,6 +20,7 @@ from .repeats import RepeatedStrings
 from .secrets import joined, scan_secrets
 from .tables import written
 from .topk import top_inner_products
+from .whitening import Whitening
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -96,6 +97,11 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                     "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first eight whitened components of every vector."""
+    return Whitening(read(spark, sf_dir, "embeddings")).whitened()
+
+
 QUERIES = {
     "op1_html_text": op1_html_text,
     "op2_secrets": op2_secrets,
@@ -107,6 +113,7 @@ QUERIES = {
     "op8_pieces": op8_pieces,
     "op9_topk": op9_topk,
     "op10_repeats": op10_repeats,
+    "op11_whitening": op11_whitening,
     "pipeline": corpus_pipeline.run,
 }
 
