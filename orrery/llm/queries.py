@@ -20,6 +20,7 @@ from .repeats import RepeatedStrings
 from .secrets import joined, scan_secrets
 from .tables import written
 from .topk import top_inner_products
+from .vector_dedup import VectorDuplicates
 from .whitening import Whitening
 
 
@@ -102,6 +103,11 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Whitening(read(spark, sf_dir, "embeddings")).whitened()
 
 
+def op12_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links, component and verdict of every vector at a cosine of 0.9."""
+    return VectorDuplicates(read(spark, sf_dir, "embeddings")).documents()
+
+
 QUERIES = {
     "op1_html_text": op1_html_text,
     "op2_secrets": op2_secrets,
@@ -114,6 +120,7 @@ QUERIES = {
     "op9_topk": op9_topk,
     "op10_repeats": op10_repeats,
     "op11_whitening": op11_whitening,
+    "op12_vector_dedup": op12_vector_dedup,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -128,4 +135,17 @@ ORACLE_SQL: dict[str, str] = {
             FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0)
         SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score
         FROM s QUALIFY rank <= 20""",
+    "op12_vector_dedup": """
+        WITH RECURSIVE v AS (
+            SELECT vec_id, embedding::DOUBLE[] AS e, rowid AS r FROM (SELECT *, row_number() OVER () AS rowid FROM embeddings)),
+        ok AS (
+            SELECT * FROM v WHERE e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+            AND len(list_filter(e, lambda x: x <> 0)) > 0),
+        links AS (
+            SELECT a.r AS a, b.r AS b FROM ok a JOIN ok b ON a.r <> b.r AND list_cosine_similarity(a.e, b.e) >= 0.9),
+        reach(a, b) AS (SELECT r, r FROM v UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b),
+        least AS (SELECT reach.a AS r, min(v.vec_id) AS component_id FROM reach JOIN v ON v.r = reach.b GROUP BY reach.a),
+        degree AS (SELECT a AS r, count(*) AS n FROM links GROUP BY a)
+        SELECT v.vec_id, coalesce(degree.n, 0)::BIGINT AS n_links, component_id, v.vec_id IS NOT DISTINCT FROM component_id AS kept
+        FROM v JOIN least USING (r) LEFT JOIN degree USING (r)""",
 }
