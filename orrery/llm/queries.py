@@ -19,6 +19,7 @@ from .quality import bands, judged, measured
 from .repeats import RepeatedStrings
 from .secrets import joined, scan_secrets
 from .tables import written
+from .token_align import TokenAlignment
 from .topk import top_inner_products
 from .vector_dedup import VectorDuplicates
 from .whitening import Whitening
@@ -108,6 +109,12 @@ def op12_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return VectorDuplicates(read(spark, sf_dir, "embeddings")).documents()
 
 
+def op13_token_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of every document's tokens under two tokenizers, with the links' counts in the corpus."""
+    return TokenAlignment(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                          public_tokenizers.path("piece_bpe_32k.model")).documents()
+
+
 QUERIES = {
     "op1_html_text": op1_html_text,
     "op2_secrets": op2_secrets,
@@ -121,6 +128,7 @@ QUERIES = {
     "op10_repeats": op10_repeats,
     "op11_whitening": op11_whitening,
     "op12_vector_dedup": op12_vector_dedup,
+    "op13_token_align": op13_token_align,
     "pipeline": corpus_pipeline.run,
 }
 
