@@ -44,26 +44,49 @@ from .textbytes import release, slices
 CHUNK_BYTES = 8 << 20
 _VISIBLE = "\x21-\x7eÀ-ɏ"
 _CUT = re.compile(f"(?<=[{_VISIBLE}]) (?=[{_VISIBLE}])")
-_SEGMENTS = 400_000
+_ODD = re.compile(f"^ | $|[^{_VISIBLE}] | [^{_VISIBLE}]")
+_SEEN = frozenset(chr(x) for x in [*range(0x21, 0x7F), *range(0xC0, 0x250)])
+_SEGMENTS = 500_000
+_RUN, _RUNS = 256, 16
 _B = (1 << 32) - 1
 
 
+def common_ends(a_ends: Sequence[int], b_ends: Sequence[int]) -> tuple[list[int], list[int]]:
+    """For each end that both sides have, in order, the number of tokens up to it on each."""
+    a_at, b_at = dict(zip(a_ends, range(1, len(a_ends) + 1))), dict(zip(b_ends, range(1, len(b_ends) + 1)))
+    ends = sorted(a_at.keys() & b_at.keys())
+    return list(map(a_at.__getitem__, ends)), list(map(b_at.__getitem__, ends))
+
+
+def slices_between(ids: Sequence[int], cuts: list[int]) -> list[Sequence[int]]:
+    return [ids[i:j] for i, j in zip([0, *cuts], cuts)]
+
+
 def align(a_ids: Sequence[int], a_ends: Sequence[int], b_ids: Sequence[int], b_ends: Sequence[int]) -> list[tuple[Sequence[int], Sequence[int]]]:
     """Groups of ids of both sides between ends that both sides have."""
-    a_at, b_at = {e: i for i, e in enumerate(a_ends, 1)}, {e: i for i, e in enumerate(b_ends, 1)}
-    groups, i, j = [], 0, 0
-    for end in sorted(a_at.keys() & b_at.keys()):
-        groups.append((a_ids[i:a_at[end]], b_ids[j:b_at[end]]))
-        i, j = a_at[end], b_at[end]
-    return groups
+    a_cuts, b_cuts = common_ends(a_ends, b_ends)
+    return list(zip(slices_between(a_ids, a_cuts), slices_between(b_ids, b_cuts)))
+
+
+def shown(a: Sequence[int], b: Sequence[int]) -> str:
+    return f"{a[0]}|{b[0]}" if len(a) == len(b) == 1 else f"{','.join(map(str, a))}|{','.join(map(str, b))}"
+
+
+def _ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Indices of ranges laid end to end."""
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
 
 
-def shown(groups) -> str:
-    return ";".join(f"{','.join(map(str, a))}|{','.join(map(str, b))}" for a, b in groups)
+def segments_of(text: str) -> list[str]:
+    """What single spaces between visible characters separate."""
+    return _CUT.split(text) if _ODD.search(text) else text.split(" ")
 
 
 class Aligner:
-    """Alignments of distinct segments: number of tokens, groups as text, codes of linked pairs."""
+    """Alignments of distinct segments. Fresh segments are laid end to end, as a text that
+    is cut only where neither tokenizer joins, so one pass of each tokenizer and one
+    alignment serve thousands of them."""
 
     def __init__(self, path_a: str, path_b: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -72,8 +95,8 @@ class Aligner:
         self.a, self.b = Tokenizer.from_file(path_a), SentencePieceProcessor(model_file=path_b)
         self.a.encode_special_tokens = True
         self.a_bytes, self.b_bytes = self._a_bytes(), self._b_bytes()
-        self.known: dict[str, int] = {}
-        self.clear()
+        self.a_size, self.b_size = (np.array([len(x) for x in t], np.int64) for t in (self.a_bytes, self.b_bytes))
+        self._keep({}, [], np.zeros((0, 5), np.int64), np.zeros(0, np.int64))
 
     def _a_bytes(self) -> list[bytes]:
         """Bytes of every id: the byte-level alphabet shows printable Latin-1 bytes as themselves, the others from U+0100 on."""
@@ -88,37 +111,79 @@ class Aligner:
         return [bytes([int(self.b.id_to_piece(i)[3:5], 16)]) if self.b.is_byte(i) else self.b.id_to_piece(i).replace("▁", " ").encode()
                 for i in range(n)]
 
-    def clear(self) -> None:
-        self.known.clear()
-        self.sizes, self.groups, self.links = [], [], []
-
-    def encoded(self, texts: list[str]) -> Iterator[tuple[list[int], list[int]]]:
-        """Ids of both sides of each text."""
-        yield from zip((e.ids for e in self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)), self.b.encode(texts, num_threads=1))
-
-    def learn(self, segments: list[str]) -> None:
-        for text, (a_ids, b_ids) in zip(segments, self.encoded(segments)):
-            a, b = [self.a_bytes[i] for i in a_ids], [self.b_bytes[i] for i in b_ids]
-            whole = b" " + text.encode()
-            self.known[text] = len(self.sizes)
-            if b"".join(a) != whole or b"".join(b) != whole:
-                self.sizes.append((-1, 0, 0))
-                self.groups.append("")
-                self.links.append(np.zeros(0, np.int64))
-                continue
-            groups = align(a_ids, np.cumsum([len(x) for x in a]).tolist(), b_ids, np.cumsum([len(x) for x in b]).tolist())
-            self.sizes.append((len(a_ids), len(b_ids), len(groups)))
-            self.groups.append(shown(groups))
-            self.links.append(np.array([x[-1] << 32 | y[-1] for x, y in groups], np.int64))
+    def _keep(self, known: dict[str, int], groups: list[str], sizes: np.ndarray, links: np.ndarray) -> None:
+        """``sizes``: number of tokens of both sides (-1: bytes not given back), groups, first link and number of links."""
+        self.known, self.groups, self.sizes, self.links = known, groups, sizes, links
+        self.seen = np.zeros(len(sizes), np.int64)
+
+    def _forget(self) -> None:
+        """Only segments met more than once since the last time stay."""
+        stay = np.flatnonzero(self.seen > 1)[-_SEGMENTS // 2:]
+        names = list(self.known)
+        sizes = self.sizes[stay]
+        links = self.links[_ragged(sizes[:, 3], sizes[:, 4])]
+        sizes[:, 3] = np.cumsum(sizes[:, 4]) - sizes[:, 4]
+        self._keep({names[k]: n for n, k in enumerate(stay)}, [self.groups[k] for k in stay], sizes, links)
+
+    def _aligned(self, runs: list[list[str]]) -> list[str]:
+        """Learn the segments of each run, encoded as one text; those of runs whose bytes do not come back are returned."""
+        texts = ["".join(r) for r in runs]
+        ids_a = [e.ids for e in self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
+        ids_b = self.b.encode(texts, num_threads=1)
+        refused: list[str] = []
+        good = []
+        for n, text in enumerate(texts):
+            whole = (" " + text).encode()
+            if b"".join(map(self.a_bytes.__getitem__, ids_a[n])) == whole == b"".join(map(self.b_bytes.__getitem__, ids_b[n])):
+                good.append(n)
+            else:
+                refused += runs[n]
+        a_ids, b_ids = [i for n in good for i in ids_a[n]], [i for n in good for i in ids_b[n]]
+        a, b = np.array(a_ids, np.int64), np.array(b_ids, np.int64)
+        a_ends, b_ends = np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b])
+        a_cuts, b_cuts = common_ends(a_ends.tolist(), b_ends.tolist())
+        texts = list(map(shown, slices_between(a_ids, a_cuts), slices_between(b_ids, b_cuts)))
+        a_last, b_last = np.array(a_cuts, np.int64) - 1, np.array(b_cuts, np.int64) - 1
+        segments = [s for n in good for s in runs[n]]
+        # the first segment of a run has its space from the tokenizers, the others begin with theirs
+        length = np.fromiter(map(len, map(str.encode, segments)), np.int64, len(segments))
+        length[np.cumsum([0] + [len(runs[n]) for n in good])[:-1]] += 1
+        ends = np.cumsum(length)
+        cuts = [np.concatenate([[0], np.searchsorted(at, ends, "right")]) for at in (a_ends, b_ends, a_ends[a_last])]
+        base, first = len(self.sizes), len(self.links)
+        n_groups = np.diff(cuts[2])
+        self.sizes = np.concatenate([self.sizes, np.stack([np.diff(cuts[0]), np.diff(cuts[1]), n_groups, first + cuts[2][:-1], n_groups], axis=1)])
+        self.links = np.concatenate([self.links, a[a_last] << 32 | b[b_last]])
+        self.seen = np.concatenate([self.seen, np.zeros(len(segments), np.int64)])
+        bounds = cuts[2].tolist()
+        self.groups += [";".join(texts[i:j]) for i, j in zip(bounds[:-1], bounds[1:])]
+        for n, s in enumerate(segments, base):
+            self.known[s.removeprefix(" ") if s[:1] == " " and s[1:2] in _SEEN else s] = n
+        return refused
+
+    def _learn(self, fresh: list[str]) -> None:
+        plain = [s for s in fresh if s[:1] in _SEEN and s[-1:] in _SEEN]
+        runs = [[plain[at], *(" " + s for s in plain[at + 1:at + _RUN])] for at in range(0, len(plain), _RUN)]
+        done = set(plain)
+        alone = [s for s in fresh if s not in done]
+        again = [s for at in range(0, len(runs), _RUNS) for s in self._aligned(runs[at:at + _RUNS])]
+        alone += [s.removeprefix(" ") for s in again]
+        for s in [s for at in range(0, len(alone), _RUN) for s in self._aligned([[s] for s in alone[at:at + _RUN]])]:
+            self.known[s] = len(self.groups)
+            self.groups.append("")
+            self.sizes = np.concatenate([self.sizes, [[-1, 0, 0, 0, 0]]])
+            self.seen = np.concatenate([self.seen, [0]])
 
     def take(self, segments: list[str]) -> np.ndarray:
         """Number of each segment's alignment."""
         if len(self.known) > _SEGMENTS:
-            self.clear()
+            self._forget()
         fresh = list(set(segments) - self.known.keys())
         if fresh:
-            self.learn(fresh)
-        return np.fromiter(map(self.known.__getitem__, segments), np.int64, len(segments))
+            self._learn(fresh)
+        out = np.fromiter(map(self.known.__getitem__, segments), np.int64, len(segments))
+        self.seen += np.bincount(out, minlength=len(self.seen))
+        return out
 
 
 _ALIGNERS: dict[tuple[str, str], Aligner] = {}
@@ -130,22 +195,15 @@ def _aligner(path_a: str, path_b: str) -> Aligner:
     return _ALIGNERS[path_a, path_b]
 
 
-def _ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Indices of ranges laid end to end."""
-    ends = np.cumsum(sizes)
-    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
-
-
 def _chunk(aligner: Aligner, texts: list[str | None]):
     """Counts and digests of the texts, the chunk's distinct pairs with counts, and each text's links as places among them."""
-    segments = [_CUT.split(t) if t else [] for t in texts]
+    segments = [segments_of(t) if t else [] for t in texts]
     first = np.concatenate([[0], np.cumsum([len(s) for s in segments])])
     number = aligner.take([s for part in segments for s in part])
     del segments
     used, at = np.unique(number, return_inverse=True)
-    sizes = np.array([aligner.sizes[k] for k in used], np.int64).reshape(-1, 3)
+    sizes = aligner.sizes[used]
     groups = [aligner.groups[k] for k in used]
-    links = [aligner.links[k] for k in used]
     of = np.repeat(np.arange(len(texts)), np.diff(first))
     bad = np.zeros(len(texts), bool)
     bad[of[sizes[at, 0] < 0]] = True
@@ -156,8 +214,8 @@ def _chunk(aligner: Aligner, texts: list[str | None]):
     order = at.tolist()
     digests = [hashlib.sha256(";".join([groups[k] for k in order[a:b]]).encode()).hexdigest() if b > a else "" for a, b in zip(ends[:-1], ends[1:])]
     del order, groups
-    lengths = np.array([len(x) for x in links], np.int64)
-    pairs, place = np.unique(np.concatenate([*links, np.zeros(0, np.int64)]), return_inverse=True)
+    lengths = sizes[:, 4]
+    pairs, place = np.unique(aligner.links[_ragged(sizes[:, 3], lengths)], return_inverse=True)
     starts = np.cumsum(lengths) - lengths
     places = place[_ragged(starts[at], lengths[at])].astype(np.uint16 if len(pairs) <= 1 << 16 else np.uint32)
     per_text = np.bincount(of, lengths[at], len(texts)).astype(np.int64)
