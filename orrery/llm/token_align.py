@@ -127,7 +127,7 @@ class Aligner:
 
     def _aligned(self, runs: list[list[str]]) -> list[str]:
         """Learn the segments of each run, encoded as one text; those of runs whose bytes do not come back are returned."""
-        texts = ["".join(r) for r in runs]
+        texts = [" ".join(r) for r in runs]
         ids_a = [e.ids for e in self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
         ids_b = self.b.encode(texts, num_threads=1)
         refused: list[str] = []
@@ -145,10 +145,7 @@ class Aligner:
         texts = list(map(shown, slices_between(a_ids, a_cuts), slices_between(b_ids, b_cuts)))
         a_last, b_last = np.array(a_cuts, np.int64) - 1, np.array(b_cuts, np.int64) - 1
         segments = [s for n in good for s in runs[n]]
-        # the first segment of a run has its space from the tokenizers, the others begin with theirs
-        length = np.fromiter(map(len, map(str.encode, segments)), np.int64, len(segments))
-        length[np.cumsum([0] + [len(runs[n]) for n in good])[:-1]] += 1
-        ends = np.cumsum(length)
+        ends = np.cumsum(np.fromiter(map(len, map(str.encode, segments)), np.int64, len(segments)) + 1)  # each has a space before it
         cuts = [np.concatenate([[0], np.searchsorted(at, ends, "right")]) for at in (a_ends, b_ends, a_ends[a_last])]
         base, first = len(self.sizes), len(self.links)
         n_groups = np.diff(cuts[2])
@@ -158,16 +155,16 @@ class Aligner:
         bounds = cuts[2].tolist()
         self.groups += [";".join(texts[i:j]) for i, j in zip(bounds[:-1], bounds[1:])]
         for n, s in enumerate(segments, base):
-            self.known[s.removeprefix(" ") if s[:1] == " " and s[1:2] in _SEEN else s] = n
+            self.known[s] = n
         return refused
 
     def _learn(self, fresh: list[str]) -> None:
         plain = [s for s in fresh if s[:1] in _SEEN and s[-1:] in _SEEN]
-        runs = [[plain[at], *(" " + s for s in plain[at + 1:at + _RUN])] for at in range(0, len(plain), _RUN)]
+        runs = [plain[at:at + _RUN] for at in range(0, len(plain), _RUN)]
         done = set(plain)
         alone = [s for s in fresh if s not in done]
         again = [s for at in range(0, len(runs), _RUNS) for s in self._aligned(runs[at:at + _RUNS])]
-        alone += [s.removeprefix(" ") for s in again]
+        alone += again
         for s in [s for at in range(0, len(alone), _RUN) for s in self._aligned([[s] for s in alone[at:at + _RUN]])]:
             self.known[s] = len(self.groups)
             self.groups.append("")
