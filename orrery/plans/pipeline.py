@@ -71,11 +71,8 @@ def scored(raw: DataFrame, mapping=None, mode: str = "strict", threshold: float
     return with_change(df, mode, threshold, scale)
 
 
-def judged(raw: DataFrame, mapping=None, mode: str = "strict", threshold: float = 200.0, scale: int = 4,
-           keep_unscored: bool = False, latest_run_only: bool = True,
-           load_timestamp: F.Column | None = None) -> DataFrame:
-    """The transformed schema for every observation, with the ``reason`` that keeps it out (NULL: it goes on)."""
-    df = parsed(raw, mapping, mode, latest_run_only)
+def with_outcome(df: DataFrame, mode: str = "strict", threshold: float = 200.0, scale: int = 4, keep_unscored: bool = False) -> DataFrame:
+    """Parsed observations with their change, flag and the ``reason`` that keeps them out (NULL: they go on)."""
     early = (F.when(F.col("value").isNull(), REASONS[0]).when(F.col("country_iso3").isNull(), REASONS[1])
              .when(F.col("date_key").isNull(), REASONS[2]))
     # rows that are out already form series of their own: none is another's previous value
@@ -86,11 +83,19 @@ def judged(raw: DataFrame, mapping=None, mode: str = "strict", threshold: float
     late = F.when(F.col("is_anomaly"), REASONS[4])
     if not keep_unscored:
         late = F.when(F.col("is_anomaly").isNull(), REASONS[3]).otherwise(late)
+    return df.withColumn("reason", F.coalesce("__out", late)).drop("__out")
+
+
+def judged(raw: DataFrame, mapping=None, mode: str = "strict", threshold: float = 200.0, scale: int = 4,
+           keep_unscored: bool = False, latest_run_only: bool = True,
+           load_timestamp: F.Column | None = None) -> DataFrame:
+    """The transformed schema for every observation, with the ``reason`` that keeps it out (NULL: it goes on)."""
+    df = with_outcome(parsed(raw, mapping, mode, latest_run_only), mode, threshold, scale, keep_unscored)
     return df.select(
         "date_key", F.coalesce("country_iso3", "country_code_2").alias("country_code"), "indicator_code", "source", "value", "yoy_change",
         F.lit(False).alias("is_estimated"), "is_anomaly", "pipeline_run_id",
         (load_timestamp if load_timestamp is not None else F.current_timestamp()).alias("load_timestamp"),
-        "period", "frequency", F.coalesce("__out", late).alias("reason"))
+        "period", "frequency", "reason")
 
 
 def transform(raw: DataFrame, mapping=None, mode: str = "strict", threshold: float = 200.0, scale: int = 4,
@@ -102,8 +107,9 @@ def transform(raw: DataFrame, mapping=None, mode: str = "strict", threshold: flo
 
 
 def to_fact_rows(transformed: DataFrame, dim_country: DataFrame, dim_indicator: DataFrame | dict,
-                 dim_source: DataFrame | dict, dim_date: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """Resolve natural codes to surrogate keys (J-04). Returns ``(fact_rows, orphans)``.
+                 dim_source: DataFrame | dict, dim_date: DataFrame | None = None, extra: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    """Resolve natural codes to surrogate keys (J-04). Returns ``(fact_rows, orphans)``; fact rows
+    keep the columns ``extra`` too.
 
     Small code lists may be passed as ``{code: key}`` dicts (map lookup, no join)."""
     dims = [
@@ -118,7 +124,7 @@ def to_fact_rows(transformed: DataFrame, dim_country: DataFrame, dim_indicator:
     facts = matched.select(
         hash_key(*NATURAL_KEY).alias("indicator_id"),
         "date_key", "country_key", "indicator_key", "source_key", "value", "yoy_change",
-        "is_estimated", "pipeline_run_id", "load_timestamp", "frequency",
+        "is_estimated", "pipeline_run_id", "load_timestamp", "frequency", *extra,
     )
     return facts, orphans
 
