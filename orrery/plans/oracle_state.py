@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from orrery.plans.oracle import DC, DI, DS, FREQ, OM, P_KEY, P_QUARTER, P_YEAR, R, RAWOBS, STD, with_
+from orrery.plans.oracle import ORACLE_SQL as ORACLE
+from orrery.plans.oracle import CC, DC, DI, DS, FREQ, OM, P_KEY, P_QUARTER, P_YEAR, R, RAWOBS, STD, with_
 
 
 def _observations() -> list[str]:
@@ -52,7 +53,21 @@ def _facts_as_of() -> str:
     return with_(*ctes) + " UNION ALL ".join(f"SELECT {n} AS after_run, {cols} FROM v{n}" for n in (1, 2, 3))
 
 
+def _stream_changes() -> str:
+    def change(then: str, to: str) -> str:
+        return R(f"(m.value - {then}) / NULLIF(abs({then}), 0) * 100", 4) + f" AS {to}"
+    return with_(OM("om", "month"), f"s AS (SELECT {CC('nationkey')} AS country_code, year, sub AS month, year * 12 + sub - 1 AS idx, "
+                 "CAST(total AS DOUBLE) AS value FROM om)",
+                 "m AS (SELECT *, LAG(value) OVER (PARTITION BY country_code ORDER BY idx) AS before FROM s)") + f"""
+SELECT m.country_code, m.year, m.month, m.value, {change('m.before', 'change_prev')}, {change('b.value', 'mom_change')}, {change('y.value', 'yoy_change')}
+FROM m LEFT JOIN s b ON b.country_code = m.country_code AND b.idx = m.idx - 1 LEFT JOIN s y ON y.country_code = m.country_code AND y.idx = m.idx - 12"""
+
+
 ORACLE_SQL: dict[str, str] = {
+    # the live marts are the batch marts
+    **{f"live_{name}": ORACLE[f"mart_{mart}"] for name, mart in (
+        ("kpi", "kpi_latest"), ("trend", "trend"), ("country_map", "country_map"), ("heatmap", "sector_heatmap"), ("trade_flows", "trade_flows"))},
+    "stream_changes": _stream_changes(),
     "pipeline_incremental": _pipeline_incremental(),
     "facts_as_of": _facts_as_of(),
 }

@@ -14,6 +14,9 @@ from orrery.plans import standins as si
 from orrery.plans.incremental import Warehouse
 from orrery.session import work_dir
 from orrery.sources.tables import Tables
+from orrery.sources.versions import VersionedTable
+from orrery.streaming import marts as live
+from orrery.streaming.changes import keep_changes
 
 RUN_TIMES = ("2001-01-01", "2001-02-01", "2001-03-01")
 
@@ -57,7 +60,98 @@ def q_facts_as_of(spark, sf):
     return out
 
 
+# ---------------------------------------------------------------- live marts and changes
+
+def deliveries(df: DataFrame, path: str, parts: int, key: str):
+    """Append the rows to ``path`` in ``parts`` shares by the hash of a column, handing over after each."""
+    df.write.parquet(f"{path}-all")
+    rows = df.sparkSession.read.parquet(f"{path}-all")
+    for n in range(parts):
+        rows.filter(F.pmod(F.xxhash64(key), F.lit(parts)) == n).write.mode("append").parquet(path)
+        yield n
+
+
+def _live_state(spark: SparkSession, name: str, mart: live.LiveMart, facts: DataFrame, key: str, parts: int = 3) -> DataFrame:
+    base = work_dir(spark, f"live-{name}")
+    for _ in deliveries(facts, f"{base}/facts", parts, key):
+        live.keep_marts(spark, f"{base}/facts", f"{base}/marts", f"{base}/checkpoint", {name: mart})
+    return live.published(spark, f"{base}/marts", name)
+
+
+def _yearly_facts(t: Tables) -> tuple[DataFrame, dict[str, DataFrame]]:
+    facts, d = reg._fact_yearly(t)
+    return facts.select("date_key", "country_key", "indicator_key", "value", "yoy_change"), d
+
+
+def q_live_kpi(spark, sf):
+    """The KPI mart from three micro-batches of facts."""
+    facts, d = _yearly_facts(Tables(spark, sf))
+    state = _live_state(spark, "kpi", live.KPI, facts, "date_key")
+    return live.kpi(state, d["country"], d["indicator"], reg.KPI_COUNTRY, si.INDICATOR_CODES)
+
+
+def q_live_trend(spark, sf):
+    facts, d = _yearly_facts(Tables(spark, sf))
+    state = _live_state(spark, "trend", live.TREND, facts, "country_key")
+    return live.trend(state, d["country"], d["indicator"], reg.TREND_YEAR_START, reg.TREND_COUNTRIES, reg.TREND_CODE)
+
+
+def q_live_country_map(spark, sf):
+    facts, d = _yearly_facts(Tables(spark, sf))
+    state = _live_state(spark, "map", live.MAP, facts, "indicator_key")
+    return live.country_map(state, d["date"], d["country"], d["indicator"], F.lit(reg.MAP_AS_OF).cast("date"), reg.MAP_COLUMNS)
+
+
+def q_live_heatmap(spark, sf):
+    t = Tables(spark, sf)
+    prices = si.market_prices(t, since_year=reg.HEATMAP_YEAR_START)
+    state = _live_state(spark, "heatmap", live.HEATMAP, prices.select("date_key", "sector_key", "open_price", "close_price", "pe_ratio"), "close_price")
+    return live.heatmap(state, si.dim_sector(t), reg.HEATMAP_YEAR_START)
+
+
+def q_live_trade_flows(spark, sf):
+    """The trade mart from four micro-batches; the third brings a fifth of the facts once more, the fourth takes these back."""
+    t = Tables(spark, sf)
+    facts = si.trade_fact(t, since_year=reg.TRADE_YEAR_START - 1).select(
+        "trade_id", "date_key", "exporter_key", "importer_key", "sector_key", "export_value_usd", "import_value_usd", "yoy_growth")
+    base = work_dir(spark, "live-trade")
+    facts.write.parquet(f"{base}/all")
+    facts = spark.read.parquet(f"{base}/all")
+    half, twice = F.pmod("trade_id", F.lit(2)) == 0, F.pmod("trade_id", F.lit(5)) == 0
+    for part, taken_back in ((half, False), (~half, False), (twice, False), (twice, True)):
+        facts.filter(part).withColumn("retract", F.lit(taken_back)).write.mode("append").parquet(f"{base}/facts")
+        live.keep_marts(spark, f"{base}/facts", f"{base}/marts", f"{base}/checkpoint", {"trade": live.TRADE})
+    return live.trade_flows(live.published(spark, f"{base}/marts", "trade"), si.dim_country(t), si.dim_sector(t), reg.TRADE_YEAR_START, 100)
+
+
+def q_stream_changes(spark, sf):
+    """Changes of the monthly totals after four micro-batches in shuffled order: first deliveries wrong for a
+    third of the months, right ones later, and months before others that they score."""
+    t = Tables(spark, sf)
+    base = work_dir(spark, "stream-changes")
+    reg._nation_series(t, "month").select("country_code", reg.change.period_index("year", "sub", 12).alias("idx"), "value").write.parquet(f"{base}/all")
+    rows, month = spark.read.parquet(f"{base}/all"), F.col("idx")
+    late, wrong = month % 2 == 0, month % 3 == 0
+    batches = [rows.filter(~late & ~wrong).withColumn("version", F.lit(1)),
+               rows.filter(wrong).withColumn("value", F.col("value") + 1000).withColumn("version", F.lit(1)),
+               rows.filter(late | (F.col("country_code") == "N00")).withColumn("version", F.lit(2)),
+               rows.filter(wrong).withColumn("version", F.lit(3))]
+    for batch in batches:
+        batch.write.mode("append").parquet(f"{base}/observations")
+        keep_changes(spark, f"{base}/observations", f"{base}/state", f"{base}/checkpoint", ["country_code"], "idx", "value", ["version"],
+                     {"mom_change": 1, "yoy_change": 12}, buckets=8)
+    state = VersionedTable(spark, f"{base}/state").read()
+    return state.select("country_code", F.floor(month / 12).cast("int").alias("year"), (month % 12 + 1).cast("int").alias("month"), "value",
+                        "change_prev", "mom_change", "yoy_change")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline_incremental": q_pipeline_incremental,
     "facts_as_of": q_facts_as_of,
+    "live_kpi": q_live_kpi,
+    "live_trend": q_live_trend,
+    "live_country_map": q_live_country_map,
+    "live_heatmap": q_live_heatmap,
+    "live_trade_flows": q_live_trade_flows,
+    "stream_changes": q_stream_changes,
 }

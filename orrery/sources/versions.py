@@ -19,7 +19,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-PART = "part"
+PART, VERSION = "table_part", "table_version"  # folder names; rows must not have columns of these names
 
 
 class VersionedTable:
@@ -70,7 +70,7 @@ class VersionedTable:
             return None
         wanted = None if values is None else {self._folder(v) for v in values}
         paths = [f"{self.root}/data/{v}/{p}" for p, v in manifest["parts"].items() if wanted is None or p in wanted]
-        return self.spark.read.option("basePath", f"{self.root}/data").parquet(*paths).drop(PART, "version") if paths else None
+        return self.spark.read.option("basePath", f"{self.root}/data").parquet(*paths).drop(PART, VERSION) if paths else None
 
     @staticmethod
     def _folder(value) -> str:
@@ -83,7 +83,7 @@ class VersionedTable:
         those of ``rows``); all others stay as they are. Partition values are numbers or plain words. Returns its number."""
         before = self.head()
         number = before["number"] + 1 if before else 1
-        version = f"version={number:010d}-{uuid.uuid4().hex[:8]}"
+        version = f"{VERSION}={number:010d}-{uuid.uuid4().hex[:8]}"
         out = rows.withColumn(PART, F.col(by) if isinstance(by, str) else by).hint("rebalance", PART)
         if sort_within:
             out = out.sortWithinPartitions(PART, *sort_within)
@@ -98,7 +98,7 @@ class VersionedTable:
         """Remove the manifests before the last ``keep`` and the folders that none of those kept names; returns the folders."""
         numbers = self._numbers()
         used = {f"{v}/{p}" for n in numbers[-keep:] for p, v in self._manifest(n)["parts"].items()}
-        newest = f"version={numbers[-1]:010d}" if numbers else ""
+        newest = f"{VERSION}={numbers[-1]:010d}" if numbers else ""
         removed = []
         for version in self._names(f"{self.root}/data"):
             if version[:len(newest)] > newest:
