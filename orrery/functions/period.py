@@ -7,8 +7,9 @@ Two modes:
   its value and falls back to the year-end key.
 * ``extended`` also accepts ``YYYY-Qn`` and ``YYYY-MM`` (month-end key).
 
-All parsing is built from ``rlike``/``regexp_extract``/``cast`` inside ``when``
-so no cast ever sees malformed text (safe under ANSI mode).
+One pattern per mode has the year and, as optional groups, the quarter and the month; a
+group that is not there is the empty text, which ``try_cast`` makes NULL, so no cast sees
+malformed text (safe under ANSI mode).
 """
 
 from __future__ import annotations
@@ -16,41 +17,34 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Accepted period patterns.
-YEAR_RE = r"^\d{4}$"
-YEAR_Q_RE = r"^\d{4}Q(\d)$"
-YEAR_DASH_Q_RE = r"^\d{4}-Q(\d)$"
-YEAR_MONTH_RE = r"^\d{4}-(0[1-9]|1[0-2])$"
+# The accepted forms; groups: year, quarter digit, month.
+FORMS = {"strict": r"^(\d{4})(?:Q(\d))?$", "extended": r"^(\d{4})(?:-?Q(\d)|-(0[1-9]|1[0-2]))?$"}
 
 
 def _c(col: str | Column) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+def period_parts(period: str | Column, mode: str = "strict") -> Column:
+    """Struct of ``year``, ``quarter`` and ``month`` (integers, NULL where the form has none); a month implies its quarter."""
+    def group(n: int) -> Column:
+        return F.regexp_extract(_c(period), FORMS[mode], n).try_cast("int")
+
+    month = group(3) if mode == "extended" else F.lit(None).cast("int")
+    return F.struct(group(1).alias("year"), F.coalesce(group(2), F.ceil(month / 3).cast("int")).alias("quarter"), month.alias("month"))
+
+
 def period_year(period: str | Column, mode: str = "strict") -> Column:
-    p = _c(period)
-    e = F.when(p.rlike(YEAR_RE), p.cast("int")).when(p.rlike(YEAR_Q_RE), F.substring(p, 1, 4).cast("int"))
-    if mode == "extended":
-        e = e.when(p.rlike(YEAR_DASH_Q_RE) | p.rlike(YEAR_MONTH_RE), F.substring(p, 1, 4).cast("int"))
-    return e.otherwise(F.lit(None).cast("int"))
+    return period_parts(period, mode)["year"]
 
 
 def period_quarter(period: str | Column, mode: str = "strict") -> Column:
-    p = _c(period)
-    e = F.when(p.rlike(YEAR_Q_RE), F.regexp_extract(p, r"Q(\d)", 1).cast("int"))
-    if mode == "extended":
-        e = e.when(p.rlike(YEAR_DASH_Q_RE), F.regexp_extract(p, r"Q(\d)", 1).cast("int"))
-        e = e.when(p.rlike(YEAR_MONTH_RE), F.ceil(F.regexp_extract(p, YEAR_MONTH_RE, 1).cast("int") / 3).cast("int"))
-    return e.otherwise(F.lit(None).cast("int"))
+    return period_parts(period, mode)["quarter"]
 
 
 def period_month(period: str | Column, mode: str = "strict") -> Column:
     """Month number; only the extended ``YYYY-MM`` form carries one."""
-    p = _c(period)
-    if mode != "extended":
-        return F.lit(None).cast("int")
-    return F.when(p.rlike(YEAR_MONTH_RE), F.regexp_extract(p, YEAR_MONTH_RE, 1).cast("int")).otherwise(
-        F.lit(None).cast("int"))
+    return period_parts(period, mode)["month"]
 
 
 def month_end_key(year: Column, month: Column) -> Column:
@@ -90,9 +84,7 @@ def frequency(quarter: Column, month: Column | None = None) -> Column:
 
 def parse_period(df, col: str = "period", mode: str = "strict"):
     """Add ``year``, ``quarter``, ``month`` (extended only) and ``date_key``."""
-    p = F.col(col)
-    y, q = period_year(p, mode), period_quarter(p, mode)
-    if mode == "extended":
-        m = period_month(p, mode)
-        return df.withColumns({"year": y, "quarter": q, "month": m, "date_key": period_end_key(y, q, m)})
-    return df.withColumns({"year": y, "quarter": q, "date_key": period_end_key(y, q)})
+    df = df.withColumn("__parts", period_parts(col, mode))
+    y, q, m = (F.col(f"__parts.{c}") for c in ("year", "quarter", "month"))
+    out = {"year": y, "quarter": q, "date_key": period_end_key(y, q, m)}
+    return df.withColumns({**out, "month": m} if mode == "extended" else out).drop("__parts")

@@ -168,8 +168,12 @@ def q_mart_country_map(spark, sf):
 # ---------------------------------------------------------------- dimensions and keys
 
 def q_calendar_dim(spark, sf):
+    """The calendar over the years in which orders are placed or shipped, clipped to a fixed range: bounded, whatever dates a table holds."""
     t = _t(spark, sf)
-    return si.dim_date(t, FISCAL_SHIFT)
+    first, last = (F.lit(d).cast("date") for d in si.CALENDAR)
+    start = F.greatest(first, t.orders.agg(F.trunc(F.min("o_orderdate"), "year")).scalar())
+    end = F.least(last, t.lineitem.agg(F.last_day(F.add_months(F.trunc(F.max("l_shipdate"), "year"), 11))).scalar())
+    return dims.calendar_between(start, end, spark, FISCAL_SHIFT)
 
 
 def q_surrogate_keys(spark, sf):

@@ -1,10 +1,9 @@
 """Continuously updated latest-value KPI table with the change beside the value (T-03).
 
 Each micro-batch adds its events to the table's state, the two latest events of each key
-and the count of all, and publishes a new version in a folder of its own. Readers take the
-last version, which is complete: nothing that is read is overwritten, and a replayed
-micro-batch starts from the version before its own. The dashboard's 30-second refresh maps
-to a processing-time trigger.
+and the count of all, and publishes a new version. Readers take the last version, which is
+complete; a replayed micro-batch is known by its id, and versions before the last two are
+removed. The dashboard's 30-second refresh maps to a processing-time trigger.
 """
 
 from __future__ import annotations
@@ -13,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from orrery.functions.numeric import pct_change
-from orrery.session import path_exists
+from orrery.sources.versions import VersionedTable
 from orrery.streaming.sources import stream_path
 
 STATE = ["event_type", "value", "ts", "event_id", "place", "events"]
@@ -25,19 +24,9 @@ def latest_two(rows: DataFrame, key: str = "event_type", ts: str = "ts", tie: st
     return rows.withColumn("place", F.row_number().over(w)).filter(F.col("place") <= 2)
 
 
-def current(spark: SparkSession, target: str, before: int | None = None) -> DataFrame | None:
-    """The last version of the state (of those before a batch id), or None."""
-    if not path_exists(spark, target):
-        return None
-    every = spark.read.parquet(target)
-    every = every if before is None else every.filter(F.col("version") < before)
-    last = every.agg(F.max("version")).first()[0]
-    return None if last is None else every.filter(F.col("version") == last).drop("version")
-
-
 def live_kpis(spark: SparkSession, target: str) -> DataFrame:
     """(event_type, latest_value, latest_event_id, latest_ts, change, events): the change is the percentage against the event before."""
-    state = current(spark, target)
+    state = VersionedTable(spark, target).read()
     if state is None:
         raise ValueError(f"nothing is published at {target} yet")
     first, second = state.filter("place = 1"), state.filter("place = 2").select("event_type", F.col("value").alias("__before"))
@@ -50,18 +39,23 @@ def live_latest(spark: SparkSession, source: str, target: str, checkpoint: str,
                 available_now: bool = True, refresh: str = "30 seconds", files_per_batch: int = 1000):
     """Stream the events at ``source`` into the versioned state at ``target``."""
     schema = spark.read.parquet(source).schema
+    table = VersionedTable(spark, target)
     events = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(stream_path(source))
 
     def publish(batch: DataFrame, epoch_id: int) -> None:
         rows = batch.select("event_type", "value", "ts", "event_id", F.lit(1).cast("long").alias("events"))
-        before = current(spark, target, epoch_id)
+        head = table.head()
+        if head and int(head["label"]) >= epoch_id:
+            return
+        before = table.read()
         counts = rows.groupBy("event_type").agg(F.sum("events").alias("events"))
         tops = latest_two(rows.drop("events")).drop("place")
         if before is not None:
             counts = counts.unionByName(before.filter("place = 1").select("event_type", "events")).groupBy("event_type").agg(F.sum("events").alias("events"))
             tops = tops.unionByName(before.select(tops.columns))
         state = latest_two(tops).join(counts, "event_type").select(STATE)
-        state.hint("rebalance").write.mode("overwrite").parquet(f"{target}/version={epoch_id}")
+        table.publish(state, F.lit(0), [0], str(epoch_id))
+        table.vacuum()
 
     w = events.writeStream.foreachBatch(publish).option("checkpointLocation", checkpoint)
     if available_now:

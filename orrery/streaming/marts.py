@@ -30,35 +30,34 @@ _ROWS = "__rows"
 
 @dataclass(frozen=True)
 class Kept:
-    """One mergeable column of a state: how rows make it and how two states make one."""
+    """One mergeable column of a state: how rows (with their sign, 1 or -1) make it, and how two states make one."""
     name: str
-    first: Callable[[Column], Column]  # of the rows' sign (1 or -1)
+    first: Callable[[Column], Column]
     merge: Callable[[Column], Column]
     retractable: bool = True
 
 
-def summed(name: str, value: Column, kind: str = "double") -> Kept:
-    return Kept(name, lambda sign: F.sum(value * sign).cast(kind), lambda c: F.sum(c).cast(kind))
+def summed(name: str, column: str, kind: str = "double") -> Kept:
+    return Kept(name, lambda sign: F.sum(F.col(column) * sign).cast(kind), lambda c: F.sum(c).cast(kind))
 
 
-def counted(name: str, value: Column) -> Kept:
-    return Kept(name, lambda sign: F.sum(F.when(value.isNotNull(), sign).otherwise(0)).cast("long"), lambda c: F.sum(c).cast("long"))
+def counted(name: str, column: str) -> Kept:
+    return Kept(name, lambda sign: F.sum(F.when(F.col(column).isNotNull(), sign).otherwise(0)).cast("long"), lambda c: F.sum(c).cast("long"))
 
 
-def greatest(name: str, value: Column) -> Kept:
-    return Kept(name, lambda sign: F.max(value), F.max, False)
+def greatest(name: str, column: str) -> Kept:
+    return Kept(name, lambda sign: F.max(column), lambda c: F.max(c), False)
 
 
-def latest(name: str, order: Sequence[str], values: Sequence[str]) -> Kept:
-    """The row with the greatest ``order``, then the greatest ``values``."""
-    row = F.struct(*order, *[v for v in values if v not in order])
-    return Kept(name, lambda sign: F.max(row), F.max, False)
+def latest(name: str, *columns: str) -> Kept:
+    """The row that is greatest by the columns in their order."""
+    return Kept(name, lambda sign: F.max(F.struct(*columns)), lambda c: F.max(c), False)
 
 
 @dataclass(frozen=True)
 class LiveMart:
     keys: tuple[str, ...]  # of a state row
-    partition: Column  # a function of the keys with few values
+    partition: str  # SQL expression over the keys with few values
     kept: tuple[Kept, ...]
     prepare: Callable[[DataFrame], DataFrame] = lambda rows: rows  # facts to rows with the keys
 
@@ -82,9 +81,9 @@ class LiveMart:
             return False
         new = self.state(rows).persist()  # a row per touched group, used twice
         try:
-            touched = [r["p"] for r in new.select(self.partition.alias("p")).distinct().collect()]  # few values by contract
+            touched = [r["p"] for r in new.select(F.expr(self.partition).alias("p")).distinct().collect()]  # few values by contract
             if touched:
-                table.publish(self.merged(new, table.read(touched)), self.partition, touched, str(epoch))
+                table.publish(self.merged(new, table.read(touched)), F.expr(self.partition), touched, str(epoch))
         finally:
             new.unpersist()
         table.vacuum(keep)
@@ -134,16 +133,14 @@ def _with_quarter(rows: DataFrame) -> DataFrame:
                              "ratio": F.try_divide(close, F.nullif(opened, F.lit(0.0))) - 1, "pe": F.col("pe_ratio").cast("double")})
 
 
-_COUNTRIES = F.pmod(F.col("country_key"), F.lit(32)).cast("int")
-
-KPI = LiveMart(("country_key", "indicator_key"), _COUNTRIES, (latest("row", ["date_key"], ["value", "yoy_change"]),))
-TREND = LiveMart(("year", "country_key", "indicator_key", "date_key"), F.col("year"), (latest("row", ["value"], ["yoy_change"]),), _with_year)
-HEATMAP = LiveMart(("sector_key", "year", "quarter"), F.col("year"), (summed("ratio_sum", F.col("ratio")), counted("ratio_n", F.col("ratio")),
-                                                                    summed("pe_sum", F.col("pe")), counted("pe_n", F.col("pe"))), _with_quarter)
-MAP = LiveMart(("year", "country_key", "indicator_key"), F.col("year"), (greatest("value", F.col("value")),), _with_year)
-TRADE = LiveMart(("exporter_key", "importer_key", "sector_key", "year"), F.col("year"), (
-    summed("exports", F.col("export_value_usd"), "decimal(38,2)"), summed("imports", F.col("import_value_usd"), "decimal(38,4)"),
-    summed("growth", F.col("yoy_growth"), "decimal(38,4)"), counted("growth_n", F.col("yoy_growth"))), _with_year)
+KPI = LiveMart(("country_key", "indicator_key"), "CAST(pmod(country_key, 32) AS INT)", (latest("row", "date_key", "value", "yoy_change"),))
+TREND = LiveMart(("year", "country_key", "indicator_key", "date_key"), "year", (latest("row", "value", "yoy_change"),), _with_year)
+HEATMAP = LiveMart(("sector_key", "year", "quarter"), "year", (
+    summed("ratio_sum", "ratio"), counted("ratio_n", "ratio"), summed("pe_sum", "pe"), counted("pe_n", "pe")), _with_quarter)
+MAP = LiveMart(("year", "country_key", "indicator_key"), "year", (greatest("value", "value"),), _with_year)
+TRADE = LiveMart(("exporter_key", "importer_key", "sector_key", "year"), "year", (
+    summed("exports", "export_value_usd", "decimal(38,2)"), summed("imports", "import_value_usd", "decimal(38,4)"),
+    summed("growth", "yoy_growth", "decimal(38,4)"), counted("growth_n", "yoy_growth")), _with_year)
 
 INDICATOR_MARTS = {"kpi": KPI, "trend": TREND, "map": MAP}
 
