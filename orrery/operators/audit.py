@@ -4,7 +4,7 @@ completeness against an expected grid, and the quarantine split of staging rows.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -87,3 +87,55 @@ def quarantine_split(staging: DataFrame, value_col: str = "raw_value", value_typ
     ``quarantine_tagged``. Good rows drop ``error_message``."""
     tagged = quarantine_tagged(staging, value_col, value_type, checks)
     return tagged.filter(F.col("processed")).drop("error_message"), tagged.filter(~F.col("processed"))
+
+
+class AuditFailure(ValueError):
+    """What a gate found: ``findings`` maps each failed check to its count."""
+
+    def __init__(self, findings: dict[str, int]):
+        super().__init__(", ".join(f"{k}: {n}" for k, n in findings.items()))
+        self.findings = findings
+
+
+def audit_counts(df: DataFrame, keys: Sequence[str] = (), not_null: Sequence[str] = (),
+                 foreign: Sequence[tuple[str, str, DataFrame, str]] = (), expected: DataFrame | None = None) -> DataFrame:
+    """(check, failures) of D-06, D-07 and D-08 over one table: keys held more than once, NULLs per
+    column, rows without a partner per foreign key (a NULL has none), and expected keys that are not there."""
+    parts = []
+    if keys:
+        parts.append(unique_audit(df, keys).agg(F.count(F.lit(1)).alias("failures")).select(F.lit("duplicate keys").alias("check"), "failures"))
+    if not_null:
+        parts.append(null_audit(df, not_null).select(F.concat(F.lit("null "), "column_name").alias("check"), F.col("null_count").alias("failures")))
+    if foreign:
+        parts.append(fk_audit(df, foreign).select(F.concat(F.lit("orphans "), "fk_name").alias("check"), F.col("orphan_rows").alias("failures")))
+    if expected is not None:
+        parts.append(completeness_gap(expected, df, list(expected.columns)).agg(F.count(F.lit(1)).alias("failures"))
+                     .select(F.lit("missing keys").alias("check"), "failures"))
+    return reduce(DataFrame.unionByName, parts).select("check", F.col("failures").cast("long").alias("failures"))
+
+
+def gate(**checks) -> Callable[[DataFrame], None]:
+    """A function that raises ``AuditFailure`` where ``audit_counts`` with these checks finds anything; a row per check comes to the driver."""
+    def check(df: DataFrame) -> None:
+        found = {r["check"]: r["failures"] for r in audit_counts(df, **checks).collect() if r["failures"]}
+        if found:
+            raise AuditFailure(found)
+    return check
+
+
+def page_audit(pages: DataFrame) -> DataFrame:
+    """Landed pages against what they declare, per indicator and run (D-08 over S-01).
+
+    ``pages`` has ``indicator_code, run, page, pages, total, rows`` per landed document (``payload_pages``).
+    A page that landed more than once counts once; ``missing_pages`` lists the numbers that never landed (bounded by
+    the declared number of pages), ``rows_short`` is what the declared total has beyond the landed rows."""
+    each = pages.groupBy("indicator_code", "run", "page").agg(F.count(F.lit(1)).alias("n"), F.max("pages").alias("pages"), F.max("total").alias("total"),
+                                                              F.max("rows").alias("rows"))
+    numbered = F.col("page").isNotNull()
+    g = each.groupBy("indicator_code", "run").agg(
+        F.max("pages").alias("pages"), F.max("total").alias("total"), F.count_if(numbered).alias("landed"),
+        F.sum(F.when(numbered, F.col("n") - 1).otherwise(0)).alias("double"), F.sum(F.when(~numbered, F.col("n")).otherwise(0)).alias("unnumbered"),
+        F.sum("rows").alias("rows"), F.collect_set("page").alias("__seen"))
+    missing = F.array_except(F.when(F.col("pages") >= 1, F.sequence(F.lit(1), F.col("pages"))).otherwise(F.array().cast("array<int>")), "__seen")
+    return g.select("indicator_code", "run", "pages", "landed", "double", "unnumbered", "total", "rows",
+                    F.array_sort(missing).alias("missing_pages"), (F.col("total") - F.col("rows")).alias("rows_short"))

@@ -11,14 +11,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from orrery.functions.keys import index_label, with_defaults
 from orrery.functions.period import quarter_end_key
 from orrery.operators.change import pct_change_prev
-from orrery.operators.dims import calendar
+from orrery.operators.dims import calendar, sequential_keys
+from orrery.operators.load import append_rows, observed_rows
 from orrery.operators.reshape import arrays_to_long
 from orrery.schemas import TABLES, declared
 from orrery.sources import seeds
@@ -47,12 +48,13 @@ def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def add_dimension_rows(spark: SparkSession, path: str, rows: DataFrame, natural: str, surrogate: str,
-                       schema: StructType | None = None) -> int:
+                       schema: StructType | None = None, order: Sequence[str] = ()) -> int:
     """Append the rows of ``rows`` whose natural key is new, with keys after the current max,
-    in the declared columns and types if a schema is given.
+    in the declared columns and types if a schema is given. New rows are numbered by ``order``, or as they come.
 
-    Dimension seeds are small and bounded, so numbering them with one ordered
-    window is fine. Returns the number of rows added.
+    New rows are numbered in their order within range partitions from the stored maximum on
+    (``sequential_keys``), so a dimension of any size continues densely and a key that was
+    given never changes. Returns the number of rows added.
     """
     existing = _read_or_none(spark, path)
     ordered = rows.withColumn("__ord", F.monotonically_increasing_id())  # input order
@@ -63,15 +65,12 @@ def add_dimension_rows(spark: SparkSession, path: str, rows: DataFrame, natural:
     if existing is not None:
         new = new.join(existing.select(natural), natural, "left_anti")
         start = existing.agg(F.coalesce(F.max(surrogate), F.lit(0))).first()[0]
-    new = new.withColumn(surrogate, (F.row_number().over(Window.orderBy("__ord")) + F.lit(start)).cast("int"))
-    new = new.drop("__ord")
+    new = sequential_keys(new, order or ["__ord"], surrogate, start + 1).withColumn(surrogate, F.col(surrogate).cast("int")).drop("__ord")
     cols = [surrogate] + [c for c in new.columns if c != surrogate]
-    out = (declared(new, schema) if schema else new.select(*cols)).cache()
-    n = out.count()
-    if n:
-        out.coalesce(1).write.mode("append").parquet(path)
-    out.unpersist()
-    return n
+    obs = Observation("dimension")
+    out = (declared(new, schema) if schema else new.select(*cols)).observe(obs, F.count(F.lit(1)).alias("rows"))
+    append_rows(out, path)
+    return observed_rows(obs)
 
 
 def bootstrap(spark: SparkSession, warehouse: str, start: str = "2015-01-01", end: str = "2030-12-31",

@@ -8,15 +8,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orrery.operators import audit
 from orrery.operators.history import as_of
 from orrery.plans import registry as reg
 from orrery.plans import standins as si
+from orrery.plans.bootstrap import add_dimension_rows
 from orrery.plans.incremental import Warehouse
 from orrery.session import work_dir
+from orrery.sources import sinks
+from orrery.sources.payload import build_payloads
 from orrery.sources.tables import Tables
 from orrery.sources.versions import VersionedTable
 from orrery.streaming import marts as live
 from orrery.streaming.changes import keep_changes
+from orrery.streaming.ingest import ingest_checked
 
 RUN_TIMES = ("2001-01-01", "2001-02-01", "2001-03-01")
 
@@ -145,6 +150,126 @@ def q_stream_changes(spark, sf):
                         "change_prev", "mom_change", "yoy_change")
 
 
+# ---------------------------------------------------------------- checked loads
+
+def q_staging_reload(spark, sf):
+    """Three reloads of a staging table behind a gate: the finished orders, then all with copies, missing and unknown
+    customers (refused: the version before stays readable), then all. What each found and what readers see after it."""
+    t = Tables(spark, sf)
+    path = work_dir(spark, "staging")
+    t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", F.year("o_orderdate").alias("year")).write.parquet(f"{path}/orders")
+    orders = spark.read.parquet(f"{path}/orders")
+    key, cust = F.col("o_orderkey"), F.col("o_custkey")
+    faulty = orders.unionByName(orders.filter(key % 10 == 0)).withColumn(
+        "o_custkey", F.when(key % 7 == 0, None).when(key % 11 == 0, cust + 1_000_000_000_000).otherwise(cust))
+    check = audit.gate(keys=["o_orderkey"], not_null=["o_orderkey", "o_custkey"],
+                       foreign=[("customer", "o_custkey", t.customer.select("c_custkey"), "c_custkey")])
+    table, out = VersionedTable(spark, f"{path}/table"), []
+    for n, rows in enumerate((orders.filter("o_orderstatus = 'F'"), faulty, orders), 1):
+        found = {}
+        years = [r["year"] for r in rows.select("year").distinct().collect()]
+        try:
+            table.publish(rows, "year", years, f"load {n}", gate=check)
+        except audit.AuditFailure as e:
+            found = e.findings
+        out.append((n, table.read().count(), *(found.get(c, 0) for c in ("duplicate keys", "null o_custkey", "orphans customer")), not found))
+    return spark.createDataFrame(out, "load int, visible_rows long, duplicate_keys long, null_customers long, orphans long, published boolean")
+
+
+def q_dimension_keys(spark, sf):
+    """Surrogate keys of a stored dimension over two loads: the customers with even keys, then all, numbered by name; given keys stay."""
+    t = Tables(spark, sf)
+    path = f"{work_dir(spark, 'dimension')}/dim_customer"
+    rows = t.customer.select("c_name", "c_custkey", "c_nationkey")
+    for part in (rows.filter("c_custkey % 2 = 0"), rows):
+        add_dimension_rows(spark, path, part, "c_name", "customer_key", order=["c_name"])
+    return spark.read.parquet(path).select("customer_key", "c_name", "c_custkey", "c_nationkey")
+
+
+EVENT_PAGE = 2000
+
+
+def _event_documents(t: Tables) -> DataFrame:
+    """Pages of events as payload documents: no page whose number leaves 3 by 7 lands, those that leave 5 by 11 land
+    twice, those that leave 1 by 5 are cut short, and every thirteenth event has a value that is no number."""
+    e = t.events.select("event_id", "ts", "user_id", "event_type", "value")
+    page = (F.floor(F.col("event_id") / EVENT_PAGE) + 1).cast("int")
+    totals = e.groupBy("event_type").agg(F.count(F.lit(1)).alias("total"), F.max(page).alias("pages"))
+    e = e.withColumn("page", page).join(totals, "event_type")
+    value = F.when(F.col("event_id") % 13 == 0, F.lit("n/a")).when(F.col("event_type") != "error", F.col("value").cast("string"))
+    row = F.struct(F.when(F.col("user_id") % 17 != 0, F.concat(F.lit("U"), F.lpad((F.col("user_id") % 100).cast("string"), 2, "0"))).alias("countryiso3code"),
+                   F.struct(F.lit("").alias("id")).alias("country"), F.date_format("ts", "yyyy-MM-dd").alias("date"), value.alias("value"), F.lit("x").alias("unit"))
+    meta = F.struct(F.first("page").alias("page"), F.first("pages").alias("pages"), F.first("total").alias("total"))
+    docs = build_payloads(e, {"event_type": F.col("event_type"), "page": F.col("page")}, F.col("event_type"), row, meta)
+    docs = docs.filter("page % 7 <> 3").withColumn("copy", F.explode(F.when(F.col("page") % 11 == 5, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))))
+    return docs.select("indicator_code", "page", F.when(F.col("page") % 5 == 1, F.substring("text", 1, 60)).otherwise(F.col("text")).alias("text"))
+
+
+def _ingested(spark: SparkSession, sf: str) -> str:
+    base = work_dir(spark, "ingest")
+    docs = _event_documents(Tables(spark, sf))
+    docs.write.parquet(f"{base}/documents")
+    docs = spark.read.parquet(f"{base}/documents")
+    for n in range(3):
+        docs.filter(F.col("page") % 3 == n).select("indicator_code", "text").write.partitionBy("indicator_code").mode("append").text(f"{base}/landing")
+        ingest_checked(spark, f"{base}/landing", f"{base}/zone", f"{base}/checkpoint", "r1", "events feed")
+    ingest_checked(spark, f"{base}/landing", f"{base}/zone", f"{base}/checkpoint", "r1", "events feed")  # nothing is new
+    return f"{base}/zone"
+
+
+def q_ingest_checked(spark, sf):
+    """Rows per indicator in the four tables after three micro-batches of partly faulty payloads."""
+    zone = _ingested(spark, sf)
+    out = None
+    for table in ("raw", "rejected", "quarantine", "pages"):
+        rows = spark.read.parquet(f"{zone}/{table}")
+        reason = F.col("reason") if table == "quarantine" else F.lit("")
+        part = rows.groupBy(F.lit(table).alias("sink"), "indicator_code", reason.alias("reason")).agg(
+            F.count(F.lit(1)).alias("rows"), F.countDistinct("batch").alias("batches"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def q_page_audit(spark, sf):
+    """Which pages of each indicator landed, twice or never, against what the payloads declare."""
+    pages = spark.read.parquet(f"{_ingested(spark, sf)}/pages")
+    found = audit.page_audit(pages)
+    return found.select("indicator_code", "pages", "landed", "double", "total", "rows", F.concat_ws(",", "missing_pages").alias("missing_pages"), "rows_short")
+
+
+def q_unique_incremental(spark, sf):
+    """Keys of (order, part) held more than once, from three loads of lines and the counts each of them updates."""
+    t = Tables(spark, sf)
+    table = VersionedTable(spark, f"{work_dir(spark, 'key-counts')}/counts")
+    counts = live.key_counts("l_orderkey", "l_partkey", buckets=16)
+    lines = t.lineitem.select("l_orderkey", "l_partkey", "l_linenumber")
+    for n, part in enumerate(("l_linenumber <= 2", "l_linenumber between 3 and 4", "l_linenumber > 4")):
+        counts.update(table, lines.filter(part), n)
+    return live.repeated_keys(table.read()).select("l_orderkey", "l_partkey", "n")
+
+
+def q_csv_report(spark, sf):
+    """The heatmap written as CSV with a header and read again."""
+    path = f"{work_dir(spark, 'report')}/heatmap"
+    sinks.write_csv(reg.q_mart_sector_heatmap(spark, sf), path)
+    return spark.read.option("header", True).schema("sector_name string, year int, quarter int, return_pct double, pe_ratio double").csv(path)
+
+
+def q_refused_run(spark, sf):
+    """A run without rows between two with rows: refused before any write, recorded with its stage; nothing else changes."""
+    t = Tables(spark, sf)
+    dims = {"country": si.dim_country(t), "indicator": si.indicator_keys(), "source": si.source_keys()}
+    w = Warehouse(spark, f"{work_dir(spark, 'refused')}/warehouse", buckets=4)
+    raw = si.raw_observations(t, "year")
+    for run, rows in (("run_a", raw), ("run_b", raw.filter("period < '0'")), ("run_c", raw)):
+        try:
+            w.run(rows, run, dims, F.lit(RUN_TIMES[0]).cast("timestamp"), si.STANDIN_ISO2)
+        except ValueError:
+            continue
+    metrics = spark.read.parquet(f"{w.root}/pipeline_metrics").groupBy("run_id", "stage", "status").agg(F.sum("record_count").alias("record_count"))
+    return metrics.withColumn("facts", F.lit(w.fact_history().count()).cast("long"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline_incremental": q_pipeline_incremental,
     "facts_as_of": q_facts_as_of,
@@ -154,4 +279,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "live_heatmap": q_live_heatmap,
     "live_trade_flows": q_live_trade_flows,
     "stream_changes": q_stream_changes,
+    "staging_reload": q_staging_reload,
+    "dimension_keys": q_dimension_keys,
+    "ingest_checked": q_ingest_checked,
+    "page_audit": q_page_audit,
+    "unique_incremental": q_unique_incremental,
+    "csv_report": q_csv_report,
+    "refused_run": q_refused_run,
 }

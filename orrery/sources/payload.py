@@ -73,6 +73,17 @@ def payload_quarantine(docs: DataFrame, text: str = "text", indicator: str | Col
     return documents.unionByName(each.select("indicator_code", reason.alias("reason"), "text").filter(F.col("reason").isNotNull()))
 
 
+def payload_pages(docs: DataFrame, text: str = "text", indicator: str | Column = "indicator_code") -> DataFrame:
+    """(indicator_code, page, pages, total, rows) of every document that parses: what its ``meta`` declares and how many rows it brings."""
+    ind = F.col(indicator) if isinstance(indicator, str) else indicator
+    doc = F.from_json(F.col(text), "array<string>")
+    outer = docs.select(ind.alias("indicator_code"), doc.alias("doc")).filter(F.size("doc") > 0)
+    meta = F.from_json(F.get("doc", F.lit(0)), "struct<page:int, pages:int, total:bigint>")
+    rows = F.coalesce(F.size(F.from_json(F.get("doc", F.lit(1)), "array<string>")), F.lit(0))
+    return outer.select("indicator_code", meta.alias("m"), F.greatest(rows, F.lit(0)).cast("long").alias("rows")).select(
+        "indicator_code", "m.page", "m.pages", "m.total", "rows")
+
+
 def build_payloads(rows: DataFrame, doc_key: dict[str, Column], indicator: Column, row_struct: Column,
                    page_meta: Column | None = None) -> DataFrame:
     """Group observation rows into ``[meta, rows]`` documents, one per ``doc_key``

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -78,9 +78,13 @@ class VersionedTable:
 
     # ------------------------------------------------------------ writing
 
-    def publish(self, rows: DataFrame, by: str | Column, replaced: Iterable, label: str, sort_within: tuple[str, ...] = ()) -> int:
+    def publish(self, rows: DataFrame, by: str | Column, replaced: Iterable, label: str, sort_within: tuple[str, ...] = (),
+                gate: Callable[[DataFrame], None] | None = None) -> int:
         """A version in which ``rows`` stand for the partitions ``replaced`` (values of ``by``, which must cover
-        those of ``rows``); all others stay as they are. Partition values are numbers or plain words. Returns its number."""
+        those of ``rows``); all others stay as they are. Partition values are numbers or plain words. Returns its number.
+
+        ``gate`` gets the rows as they were written, before anyone else can see them; if it raises, they are
+        removed, nothing is published, and the error goes on."""
         before = self.head()
         number = before["number"] + 1 if before else 1
         version = f"{VERSION}={number:010d}-{uuid.uuid4().hex[:8]}"
@@ -88,12 +92,34 @@ class VersionedTable:
         if sort_within:
             out = out.sortWithinPartitions(PART, *sort_within)
         out.write.partitionBy(PART).parquet(f"{self.root}/data/{version}")
+        if gate is not None:
+            try:
+                gate(self.spark.read.schema(rows.schema).parquet(f"{self.root}/data/{version}").select(rows.columns))
+            except Exception:
+                self._fs.delete(self._path(f"{self.root}/data/{version}"), True)
+                raise
         gone = {self._folder(v) for v in replaced}
         parts = {p: v for p, v in (before["parts"] if before else {}).items() if p not in gone}
         parts.update({p: version for p in self._names(f"{self.root}/data/{version}") if p.startswith(f"{PART}=")})
         self._commit({"number": number, "label": label, "parts": parts})
         return number
 
+    def compact(self, by: str | Column, small: int = 64 << 20, files: int = 8, label: str = "compaction") -> int:
+        """Publish the partitions that have more than ``files`` files under ``small`` bytes again, in files of the
+        advisory size; the rows stay the same. Returns how many partitions were rewritten."""
+        parts = (self.head() or {"parts": {}})["parts"]
+        crowded = []
+        for part, version in parts.items():
+            sizes = [s.getLen() for s in self._fs.listStatus(self._path(f"{self.root}/data/{version}/{part}")) if s.getPath().getName().startswith("part-")]
+            if sum(n < small for n in sizes) > files:
+                crowded.append(part)
+        if crowded:
+            rows = self.spark.read.option("basePath", f"{self.root}/data").parquet(
+                *[f"{self.root}/data/{parts[p]}/{p}" for p in crowded]).drop(PART, VERSION)
+            values = [None if p.endswith("=__HIVE_DEFAULT_PARTITION__") else p.split("=", 1)[1] for p in crowded]
+            self.publish(rows, by, values, label)
+        return len(crowded)
+
     def vacuum(self, keep: int = 2) -> list[str]:
         """Remove the manifests before the last ``keep`` and the folders that none of those kept names; returns the folders."""
         numbers = self._numbers()

@@ -24,7 +24,7 @@ def incremental_load(spark: SparkSession, raw_root: str, target: str, checkpoint
                      available_now: bool = True, processing_time: str | None = None):
     """Stream ``raw_root`` (run-partitioned Parquet) into ``target`` with insert-if-absent.
 
-    Returns the finished query when ``available_now`` (default), else the running query.
+    Rows with a NULL in a key go to ``{target}-rejected``. Returns the finished query when ``available_now`` (default), else the running query.
     """
     schema = spark.read.parquet(raw_root).schema  # includes the discovered ``run`` column
     stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
@@ -32,7 +32,7 @@ def incremental_load(spark: SparkSession, raw_root: str, target: str, checkpoint
 
     def upsert(batch: DataFrame, epoch_id: int) -> None:
         first = dedupe_batch(batch, list(keys), ["run"], earliest=True) if "run" in batch.columns else batch
-        load_if_absent(first.drop("run"), target, list(keys), list(partition_by))
+        load_if_absent(first.drop("run"), target, list(keys), list(partition_by), rejected_path=f"{target}-rejected")
 
     w = stream.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint)
     if available_now:
@@ -67,3 +67,42 @@ def ingest_landing(spark: SparkSession, landing: str, raw_root: str, checkpoint:
          .partitionBy("run").outputMode("append").trigger(availableNow=True).start())
     q.awaitTermination()
     return q
+
+
+def ingest_checked(spark: SparkSession, landing: str, root: str, checkpoint: str, run_id: str, source: str = "World Bank",
+                   loaded_at: str | None = None, files_per_batch: int = 100):
+    """Landed payloads to four tables in one stream (T-01 with S-01, D-05, D-08).
+
+    ``landing`` holds text files with one ``[meta, rows]`` document a line, under ``indicator_code=<code>`` folders.
+    Each micro-batch writes ``{root}/raw`` (rows with a country and a period), ``{root}/rejected`` (rows without),
+    ``{root}/quarantine`` (documents and rows that do not parse, with the reason) and ``{root}/pages`` (what each
+    document declares). All four are partitioned by run and micro-batch, and a micro-batch overwrites its own
+    partitions, so one that is run again after a failure adds nothing. Returns the finished query.
+    """
+    from pyspark.sql import functions as F
+
+    from orrery.sources.payload import flatten_payload, payload_pages, payload_quarantine
+
+    docs = (spark.readStream.schema("value string, indicator_code string").format("text").option("maxFilesPerTrigger", files_per_batch)
+            .load(landing).withColumnRenamed("value", "text"))
+
+    def take_in(batch: DataFrame, epoch_id: int) -> None:
+        batch = batch.persist()  # a micro-batch of documents, read by four sinks
+
+        def put(rows: DataFrame, table: str) -> None:
+            (rows.withColumns({"run": F.lit(run_id), "batch": F.lit(epoch_id)}).hint("rebalance").write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic").partitionBy("run", "batch").parquet(f"{root}/{table}"))
+
+        try:
+            rows = flatten_payload(batch, "text", "indicator_code", source, run_id, F.lit(loaded_at) if loaded_at else None)
+            keyless = (F.coalesce(F.trim("country_code_2"), F.lit("")) == "") | (F.coalesce(F.trim("period"), F.lit("")) == "")
+            put(rows.filter(~keyless), "raw")
+            put(rows.filter(keyless), "rejected")
+            put(payload_quarantine(batch, "text", "indicator_code"), "quarantine")
+            put(payload_pages(batch, "text", "indicator_code"), "pages")
+        finally:
+            batch.unpersist()
+
+    q = docs.writeStream.foreachBatch(take_in).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    q.awaitTermination()
+    return q

@@ -142,6 +142,18 @@ TRADE = LiveMart(("exporter_key", "importer_key", "sector_key", "year"), "year",
     summed("exports", "export_value_usd", "decimal(38,2)"), summed("imports", "import_value_usd", "decimal(38,4)"),
     summed("growth", "yoy_growth", "decimal(38,4)"), counted("growth_n", "yoy_growth")), _with_year)
 
+
+
+def key_counts(*keys: str, buckets: int = 256) -> LiveMart:
+    """Rows per key as a state, so that the uniqueness of a stored table (D-07) follows its batches without a scan of the table."""
+    return LiveMart(keys, f"CAST(pmod(xxhash64({', '.join(keys)}), {buckets}) AS INT)", ())
+
+
+def repeated_keys(state: DataFrame) -> DataFrame:
+    """Keys held more than once, with their number: ``unique_audit`` out of the state."""
+    return state.filter(F.col(_ROWS) > 1).withColumnRenamed(_ROWS, "n")
+
+
 INDICATOR_MARTS = {"kpi": KPI, "trend": TREND, "map": MAP}
 
 
