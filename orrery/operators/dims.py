@@ -48,13 +48,14 @@ def sequential_keys(df: DataFrame, order: Sequence[str], out: str = "key", start
     The rows are range-partitioned by a global sort and numbered within their
     partition; each partition's offset is the number of rows before it. Only the
     row counts, one per partition, meet in one place. The sorted rows are
-    checkpointed (a job runs when the plan is built), so both passes and any
-    retry see the same partitions.
+    written once to the shared folder (a job runs when the plan is built), so both passes
+    and any retry see the same partitions.
     """
-    from orrery.session import shared_dir
-    shared_dir(df.sparkSession)  # checkpoint() needs the shared folder; registered only when unset
-    placed = df.sort(*[F.col(c).asc_nulls_first() for c in order]).checkpoint().withColumns({
-        "__pid": F.spark_partition_id(), "__mid": F.monotonically_increasing_id()})
+    from orrery.session import work_dir
+    path = work_dir(df.sparkSession, "keys")
+    df.sort(*[F.col(c).asc_nulls_first() for c in order]).withColumns({
+        "__pid": F.spark_partition_id(), "__mid": F.monotonically_increasing_id()}).write.parquet(path)
+    placed = df.sparkSession.read.parquet(path)
     counts = placed.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"), F.min("__mid").alias("__first"))
     before = F.sum("__n").over(Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1))
     offsets = counts.select("__pid", "__first", F.coalesce(before, F.lit(0)).alias("__off"))

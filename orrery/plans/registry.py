@@ -73,15 +73,17 @@ def _stored_fact(t: Tables) -> tuple[DataFrame, dict[str, DataFrame]]:
 
 def q_mart_trade_flows(spark, sf):
     t = _t(spark, sf)
-    trade = si.trade_fact(t, since_year=TRADE_YEAR_START - 1)
-    return marts.trade_flows(trade, si.dim_date(t), si.dim_country(t), si.dim_sector(t), TRADE_YEAR_START, 100)
+    sectors = si.dim_sector(t)
+    trade = si.trade_fact(t, since_year=TRADE_YEAR_START - 1, sectors=sectors)
+    return marts.trade_flows(trade, si.dim_date(t), si.dim_country(t), sectors, TRADE_YEAR_START, 100)
 
 
 def q_mart_trade_flows_stored(spark, sf):
     """The trade mart over the stored monthly fact."""
     t = _t(spark, sf)
-    trade = si.stored_trade_fact(t, f"{work_dir(spark, 'fact')}/fact_trade_flows", TRADE_YEAR_START - 1)
-    return marts.trade_flows(trade, si.dim_date(t), si.dim_country(t), si.dim_sector(t), TRADE_YEAR_START, 100)
+    sectors = si.dim_sector(t)
+    trade = si.stored_trade_fact(t, f"{work_dir(spark, 'fact')}/fact_trade_flows", TRADE_YEAR_START - 1, sectors)
+    return marts.trade_flows(trade, si.dim_date(t), si.dim_country(t), sectors, TRADE_YEAR_START, 100)
 
 
 def q_mart_kpi_latest(spark, sf):
@@ -133,8 +135,9 @@ def q_mart_trend_sql(spark, sf):
 def q_mart_sector_heatmap(spark, sf):
     """Heatmap over the market prices alone: one lineitem exchange, on the part key."""
     t = _t(spark, sf)
-    prices = si.market_prices(t, since_year=HEATMAP_YEAR_START)
-    return marts.sector_heatmap(prices, si.dim_date(t), si.dim_sector(t), HEATMAP_YEAR_START)
+    sectors = si.dim_sector(t)
+    prices = si.market_prices(t, since_year=HEATMAP_YEAR_START, sectors=sectors)
+    return marts.sector_heatmap(prices, si.dim_date(t), sectors, HEATMAP_YEAR_START)
 
 
 def q_market_stored(spark, sf):
@@ -148,15 +151,17 @@ def q_market_stored(spark, sf):
 def q_mart_sector_heatmap_gaps(spark, sf):
     """The heatmap where closes, quantities, open prices and P/E values are missing or zero."""
     t = _t(spark, sf)
-    prices = si.market_prices(t, since_year=HEATMAP_YEAR_START, gaps=True)
-    return marts.sector_heatmap(prices, si.dim_date(t), si.dim_sector(t), HEATMAP_YEAR_START)
+    sectors = si.dim_sector(t)
+    prices = si.market_prices(t, since_year=HEATMAP_YEAR_START, gaps=True, sectors=sectors)
+    return marts.sector_heatmap(prices, si.dim_date(t), sectors, HEATMAP_YEAR_START)
 
 
 def q_mart_sector_heatmap_rows(spark, sf):
     """The same mart over the whole market fact, with its country."""
     t = _t(spark, sf)
-    market = si.market_fact(t, since_year=HEATMAP_YEAR_START)
-    return marts.sector_heatmap(market, si.dim_date(t), si.dim_sector(t), HEATMAP_YEAR_START)
+    sectors = si.dim_sector(t)
+    market = si.market_fact(t, since_year=HEATMAP_YEAR_START, sectors=sectors)
+    return marts.sector_heatmap(market, si.dim_date(t), sectors, HEATMAP_YEAR_START)
 
 
 def q_mart_country_map(spark, sf):

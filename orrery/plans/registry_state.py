@@ -109,15 +109,17 @@ def q_live_country_map(spark, sf):
 
 def q_live_heatmap(spark, sf):
     t = Tables(spark, sf)
-    prices = si.market_prices(t, since_year=reg.HEATMAP_YEAR_START)
+    sectors = si.dim_sector(t)
+    prices = si.market_prices(t, since_year=reg.HEATMAP_YEAR_START, sectors=sectors)
     state = _live_state(spark, "heatmap", live.HEATMAP, prices.select("date_key", "sector_key", "open_price", "close_price", "pe_ratio"), "close_price")
-    return live.heatmap(state, si.dim_sector(t), reg.HEATMAP_YEAR_START)
+    return live.heatmap(state, sectors, reg.HEATMAP_YEAR_START)
 
 
 def q_live_trade_flows(spark, sf):
     """The trade mart from four micro-batches; the third brings a fifth of the facts once more, the fourth takes these back."""
     t = Tables(spark, sf)
-    facts = si.trade_fact(t, since_year=reg.TRADE_YEAR_START - 1).select(
+    sectors = si.dim_sector(t)
+    facts = si.trade_fact(t, since_year=reg.TRADE_YEAR_START - 1, sectors=sectors).select(
         "trade_id", "date_key", "exporter_key", "importer_key", "sector_key", "export_value_usd", "import_value_usd", "yoy_growth")
     base = work_dir(spark, "live-trade")
     facts.write.parquet(f"{base}/all")
@@ -126,7 +128,7 @@ def q_live_trade_flows(spark, sf):
     for part, taken_back in ((half, False), (~half, False), (twice, False), (twice, True)):
         facts.filter(part).withColumn("retract", F.lit(taken_back)).write.mode("append").parquet(f"{base}/facts")
         live.keep_marts(spark, f"{base}/facts", f"{base}/marts", f"{base}/checkpoint", {"trade": live.TRADE})
-    return live.trade_flows(live.published(spark, f"{base}/marts", "trade"), si.dim_country(t), si.dim_sector(t), reg.TRADE_YEAR_START, 100)
+    return live.trade_flows(live.published(spark, f"{base}/marts", "trade"), si.dim_country(t), sectors, reg.TRADE_YEAR_START, 100)
 
 
 def q_stream_changes(spark, sf):

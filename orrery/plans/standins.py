@@ -232,7 +232,7 @@ def order_nation(t: Tables) -> DataFrame:
     return o.join(c, o.o_custkey == c.c_custkey).select("o_orderkey", "c_nationkey")
 
 
-def trade_fact(t: Tables, since_year: int | None = None, lineitem: DataFrame | None = None) -> DataFrame:
+def trade_fact(t: Tables, since_year: int | None = None, lineitem: DataFrame | None = None, sectors: DataFrame | None = None) -> DataFrame:
     """Monthly trade flows: (month-end date_key, exporter, importer, sector) with
     exact export/import sums, balance and YoY growth against the same month a
     year earlier (D-03, D-04).
@@ -246,7 +246,7 @@ def trade_fact(t: Tables, since_year: int | None = None, lineitem: DataFrame | N
     if since_year is not None:
         li = li.filter(F.col("l_shipdate") >= F.lit(f"{since_year}-01-01").cast("timestamp_ntz"))
     s = t.supplier.select("s_suppkey", "s_nationkey")
-    p = part_sectors(t).select("p_partkey", "sector_key")
+    p = part_sectors(t, sectors).select("p_partkey", "sector_key")
     on = order_nation(t)
     j = (li.join(on, li.l_orderkey == on.o_orderkey)
            .join(s, F.col("l_suppkey") == s.s_suppkey)
@@ -273,10 +273,10 @@ def trade_fact(t: Tables, since_year: int | None = None, lineitem: DataFrame | N
     )
 
 
-def stored_trade_fact(t: Tables, path: str, since_year: int | None = None) -> DataFrame:
+def stored_trade_fact(t: Tables, path: str, since_year: int | None = None, sectors: DataFrame | None = None) -> DataFrame:
     """The monthly trade fact, written in its declared form by year and read again: marts
     then read the partitions of their years and shuffle no lineitem."""
-    rows = declared(trade_fact(t, since_year), FACT_TRADE_FLOWS, {"load_timestamp": F.current_timestamp()})
+    rows = declared(trade_fact(t, since_year, sectors=sectors), FACT_TRADE_FLOWS, {"load_timestamp": F.current_timestamp()})
     append_rows(rows.withColumn("year", F.floor(F.col("date_key") / 10000).cast("int")), path, ["year"], ["date_key", "exporter_key"])
     return t.spark.read.parquet(path)
 
@@ -298,13 +298,14 @@ def _since(li: DataFrame, since_year: int | None) -> DataFrame:
     return li.filter(F.col("l_shipdate") >= F.lit(f"{since_year}-01-01").cast("timestamp_ntz"))
 
 
-def part_sectors(t: Tables) -> DataFrame:
-    """Parts with the key of their sector, joined before the far larger lineitem."""
-    sectors = dim_sector(t)
+def part_sectors(t: Tables, sectors: DataFrame | None = None) -> DataFrame:
+    """Parts with the key of their sector, joined before the far larger lineitem. ``sectors``: the
+    dimension, where a query has it already (its keys are given by a job of their own)."""
+    sectors = dim_sector(t) if sectors is None else sectors
     return t.part.join(sectors, F.col("p_type") == sectors.sector_code)
 
 
-def market_prices(t: Tables, since_year: int | None = None, gaps: bool = False) -> DataFrame:
+def market_prices(t: Tables, since_year: int | None = None, gaps: bool = False, sectors: DataFrame | None = None) -> DataFrame:
     """One market observation per lineitem without its country: open = part retail price,
     close = unit price, P/E = part size. Lineitem is shuffled once, on its part key.
 
@@ -313,7 +314,7 @@ def market_prices(t: Tables, since_year: int | None = None, gaps: bool = False)
     open price by 5, no P/E by 3.
     """
     li = _since(t.lineitem.select("l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate"), since_year)
-    p = part_sectors(t).select("p_partkey", "sector_key", "p_retailprice", "p_size")
+    p = part_sectors(t, sectors).select("p_partkey", "sector_key", "p_retailprice", "p_size")
     j = li.join(p, li.l_partkey == p.p_partkey)
     k, price, size = F.col("l_partkey"), F.col("p_retailprice"), F.col("p_size").cast("double")
     quantity, value = F.col("l_quantity"), F.col("l_extendedprice")
@@ -326,9 +327,9 @@ def market_prices(t: Tables, since_year: int | None = None, gaps: bool = False)
                     safe_ratio(value, quantity).alias("close_price"), size.alias("pe_ratio"))
 
 
-def market_fact(t: Tables, since_year: int | None = None) -> DataFrame:
+def market_fact(t: Tables, since_year: int | None = None, sectors: DataFrame | None = None) -> DataFrame:
     """``market_prices`` with the supplier's nation as country."""
     s = t.supplier.select("s_suppkey", F.col("s_nationkey").alias("country_key"))
-    m = market_prices(t, since_year)
+    m = market_prices(t, since_year, sectors=sectors)
     return m.join(s, m.l_suppkey == s.s_suppkey).select(
         "date_key", "country_key", "sector_key", "open_price", "close_price", "pe_ratio")
