@@ -32,10 +32,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .tables import written
-from .textbytes import LOWER, flat, hashes, slices, words
+from .textbytes import LOWER, flat, hashes, release, slices, words
 
 TRAIN, DELETED, HELD_OUT = 0, 1, 2
-CHUNK_BYTES, FLUSH_BYTES = 8 << 20, 16 << 20
+CHUNK_BYTES, FLUSH_BYTES = 8 << 20, 8 << 20
 END, START = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
 CONTEXT_BITS, BUCKETS, OCTAVE = 40, 64, 8
 _CONTEXT = np.uint64((1 << CONTEXT_BITS) - 1)
@@ -90,6 +90,8 @@ def _requests(ranges: int):
                 yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()),
                                                   *(pa.array([r[i] for r in rows], pa.binary()) for i in range(1, 5))],
                                                  ["bucket", "chunks", "words", "times", "contexts"])
+                del token, context, own, order, by, range_, five, rows
+        release()
 
     return send
 
@@ -120,20 +122,25 @@ def _answers(n_train: int, n_deleted: int):
         bucket = table["bucket"][0].as_py()
         chunk, word = _joined(table["chunks"], np.int32).astype(np.int64), _joined(table["words"], np.uint64)
         times = _joined(table["times"], np.uint32)
-        five = _joined(table["contexts"], np.uint8).reshape(-1, CONTEXT_BITS // 8)
-        context = np.zeros((len(five), 8), np.uint8)
-        context[:, :CONTEXT_BITS // 8] = five
         every, word = np.unique(word, return_inverse=True)
-        of = np.repeat(np.arange(len(word)), times)
-        pair_key = (word[of].astype(np.uint64) << np.uint64(CONTEXT_BITS)) | context.view(np.uint64)[:, 0]
-        pairs, pair = np.unique(pair_key, return_inverse=True)
+        of = np.repeat(np.arange(len(word), dtype=np.int32), times)
+        key = np.zeros(len(of), "<u8")
+        key.view(np.uint8).reshape(-1, 8)[:, :CONTEXT_BITS // 8] = _joined(table["contexts"], np.uint8).reshape(-1, CONTEXT_BITS // 8)
+        del table
+        key |= (word.astype(np.uint64) << np.uint64(CONTEXT_BITS))[of]
+        pairs, pair = np.unique(key, return_inverse=True)
+        del key
+        pair = pair.astype(np.int32)
         weight = times.astype(float)
         total = lambda index, n, use, w=None: np.bincount(index[use], None if w is None else w[use], n).astype(np.uint32)
         train, deleted = chunk < n_train + n_deleted, (chunk >= n_train) & (chunk < n_train + n_deleted)
         words_all, words_del = total(word, len(every), train, weight), total(word, len(every), deleted, weight)
         pairs_all, pairs_del = total(pair, len(pairs), train[of]), total(pair, len(pairs), deleted[of])
         # the distinct words and bigrams of each chunk, in order
-        cw, cp = np.unique(chunk << 32 | word), np.unique(chunk[of] << 32 | pair)
+        cp = chunk[of] << 32
+        cp |= pair
+        del of, pair
+        cw, cp = np.unique(chunk << 32 | word), np.unique(cp)
         own = np.unique(chunk)
         wb, pb = np.searchsorted(cw >> 32, np.append(own, own[-1] + 1)), np.searchsorted(cp >> 32, np.append(own, own[-1] + 1))
         cw, cp = cw & 0xFFFFFFFF, cp & 0xFFFFFFFF
@@ -145,6 +152,8 @@ def _answers(n_train: int, n_deleted: int):
             rows.append(row + [b""] * (9 - len(row)))
         sums = np.array([words_all.sum(dtype=np.int64), (words_all > 0).sum(), words_del.sum(dtype=np.int64), (words_all > words_del).sum()], np.int64)
         rows.append([-1, sums.tobytes(), *[b""] * 7])
+        del cw, cp, word, chunk, times
+        release()
         names = ["chunk", "bucket", *(f"{c}{more}" for c in _COUNTS for more in ("", "_more"))]
         return pa.table([pa.array([r[0] for r in rows], pa.int32()), pa.array([bucket] * len(rows), pa.int32()),
                          *(pa.array([r[i] for r in rows], pa.binary()) for i in range(1, 9))], names=names)
@@ -173,6 +182,8 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                    for c, own in rows.items()]
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], pa.int32()), *(pa.array([r[i] for r in out], pa.binary()) for i in (1, 2, 3))],
                                              ["chunk", "keys", "sizes", "texts"])
+            del raw, whole, out
+    release()
 
 
 def _counted(left: pa.Table, right: pa.Table, prefixes: tuple[str, ...]):
@@ -234,6 +245,8 @@ def _events(n: int):
             cell = [np.where(p > 0, np.round(OCTAVE * np.log2(np.maximum(p, 1e-300))), _NONE).astype(np.int64) for p in _ratios(rest, n)]
         key = (_bucket(rest[2]).astype(np.int64) << 32) | ((cell[0] - _NONE) << 16) | (cell[1] - _NONE)
         key, times = np.unique(key, return_counts=True)
+        del full, deleted, rest, cell
+        release()
         return pa.table([pa.array((key >> 32).astype(np.int32)), pa.array(((key >> 16 & 0xFFFF) + _NONE).astype(np.int32)),
                          pa.array(((key & 0xFFFF) + _NONE).astype(np.int32)), pa.array(times)], names=kinds)
 
@@ -267,6 +280,8 @@ def _scores(weights: np.ndarray, n: int, v: int):
         p = np.log10(l[:, 0] * p2 + l[:, 1] * p1 + l[:, 2] / (v + 1))
         base = np.log10((full[0] + 1) / (n + 1 * (v + 1)))
         total = lambda x: np.add.reduceat(x, first[:-1])
+        del p2, p1, l
+        release()
         return pa.table([pa.array([left["chunk"][0].as_py()] * len(keys), pa.int32()), pa.array(keys[:, 0]), pa.array(keys[:, 1]),
                          pa.array(np.diff(first)), pa.array(total((full[0] > 0).astype(np.int64))), pa.array(total(base)), pa.array(total(p))], names=names)
 

@@ -1,8 +1,9 @@
 """Fuzzy line duplicates: SimHash, pigeonhole blocks, edit similarity, one occurrence kept.
 
 Lines (what ``\\n`` separates) are normalised: A-Z lower-cased, ASCII digits to 0, other
-ASCII punctuation and white space to single spaces. Lines of fewer than ``min_words``
-normalised words are structure rather than content and always stay.
+ASCII punctuation and white space to single spaces. Every line with a word takes part: equal
+lines are found whatever their length (a whole sentence of a script without spaces is one word).
+Only lines of ``min_words`` words and more are compared beyond that; lines without a word always stay.
 
 Equal normalised lines are one node. Each node has a 64-bit SimHash of its words. Two
 hashes that differ in at most ``DISTANCE`` bits agree in ``BLOCKS - DISTANCE`` of
@@ -168,18 +169,18 @@ def alike(a: str, b: str, threshold: float) -> bool:
 
 
 def _sketched(text: Column, min_words: int) -> Column:
-    """Array of (line, k1, k2, sim) of each text's lines that have enough words."""
-    kind = pa.struct([("line", pa.int32()), ("k1", pa.int64()), ("k2", pa.int64()), ("sim", pa.int64())])
+    """Array of (line, k1, k2, sim, many) of each text's lines that have a word; many: enough words to be compared."""
+    kind = pa.struct([("line", pa.int32()), ("k1", pa.int64()), ("k2", pa.int64()), ("sim", pa.int64()), ("many", pa.bool_())])
 
-    @F.arrow_udf("array<struct<line:int,k1:long,k2:long,sim:long>>")
+    @F.arrow_udf("array<struct<line:int,k1:long,k2:long,sim:long,many:boolean>>")
     def udf(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             parts = [pa.array([], pa.list_(kind))]
             for texts in slices(batch):
                 ln, number, count, (k1, k2), sim = line_sketches(*flat(texts))
-                own = count >= min_words
-                rows = pa.StructArray.from_arrays([pa.array(number[own], pa.int32()), *(pa.array(x[own].view(np.int64)) for x in (k1, k2, sim))],
-                                                  ["line", "k1", "k2", "sim"])
+                own = count >= 1
+                rows = pa.StructArray.from_arrays([pa.array(number[own], pa.int32()), *(pa.array(x[own].view(np.int64)) for x in (k1, k2, sim)),
+                                                   pa.array(count[own] >= min_words)], ["line", "k1", "k2", "sim", "many"])
                 ends = np.concatenate([[0], np.cumsum(own)])[ln.first]
                 parts.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), rows))
             yield pa.concat_arrays(parts)
@@ -313,9 +314,9 @@ class LineDuplicates:
         found = written(found.withColumn("row", F.monotonically_increasing_id()), "lines")
         place = F.struct("id", "_d1", "_d2", "line")
         nodes = written(found.groupBy("k1", "k2").agg(F.min("row").alias("node"), F.min(place).alias("place"), F.count("*").alias("n"),
-                                                      F.min("sim").alias("sim")), "line-nodes")
+                                                      F.min("sim").alias("sim"), F.bool_or("many").alias("many")), "line-nodes")
 
-        rows = nodes.select("node", "sim", F.explode(_blocks(F.col("sim"))).alias("bucket"))
+        rows = nodes.filter("many").select("node", "sim", F.explode(_blocks(F.col("sim"))).alias("bucket"))
         found_pairs = written(rows.repartitionByRange("bucket", "sim", "node").sortWithinPartitions("bucket", "sim", "node")
                               .mapInArrow(_close_pairs, "a long, b long, cut long"), "line-pairs")
         pairs = found_pairs.filter("cut IS NULL").select("a", "b").distinct()

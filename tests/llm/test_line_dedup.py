@@ -47,17 +47,18 @@ def test_sketches_follow_the_normalised_lines():
 
 
 def brute(rows, threshold=0.9, min_words=5):
-    """Texts that are left, by comparing all SimHashes with each other."""
+    """Texts that are left: equal lines with a word, and all SimHashes of longer ones compared with each other."""
     rows = sorted(set(rows), key=lambda r: r[0])
     places, sims = defaultdict(list), {}
     for d, t in rows:
         _, number, count, _, sim = line_sketches(*flatten([t]))
         for n, c, s, x in zip(number.tolist(), count.tolist(), sim.tolist(), t.split("\n")):
-            if c >= min_words:
+            if c >= 1:
                 places[normalised(x)].append((d, n))
+            if c >= min_words:
                 sims[normalised(x)] = s
-    names = list(places)
-    parent = {x: x for x in names}
+    every, names = list(places), list(sims)
+    parent = {x: x for x in every}
 
     def find(x):
         while parent[x] != x:
@@ -71,7 +72,7 @@ def brute(rows, threshold=0.9, min_words=5):
                 n_links += 1
                 parent[find(x)] = find(names[j])
     groups = defaultdict(list)
-    for x in names:
+    for x in every:
         groups[find(x)] += places[x]
     gone = {p for g in groups.values() for p in sorted(g)[1:]}
     return {(d, t): "\n".join(x for i, x in enumerate(t.split("\n")) if (d, i) not in gone) for d, t in rows}, n_links
