@@ -20,7 +20,8 @@ pairs fail the edit check and so divide such a span, the other close pairs acros
 division are checked as well.
 
 Rows with the same id and the same text are one document and get the same text. A null
-text stays null. A text whose lines all go is empty.
+text stays null. A text whose lines all go is empty. An empty table gives no rows. Other columns
+may have any names and stay; null ids are ids like any other.
 """
 
 from __future__ import annotations
@@ -36,7 +37,7 @@ from pyspark.sql import functions as F
 
 from .bloom import Bloom
 from .components import connected
-from .tables import written
+from .tables import aside, written
 from .textbytes import flat, hashes, lines, mix, release, slices, words
 
 DISTANCE, BLOCKS = 3, 5
@@ -371,6 +372,8 @@ class LineDuplicates:
     def apply(self, docs: DataFrame, into: str | None = None, removed: str | None = None) -> DataFrame:
         """``docs`` with the texts that are left in column ``into`` (the text column if not given), and the
         number of lines that went in column ``removed`` if given; documents that lose nothing do not move."""
+        into = into or self.text
+        docs, back = aside(docs, (self.id, self.text), tuple(c for c in (into, removed) if c))
         keyed = self.keyed(docs)
         some = Bloom(self.gone, "_d1", "_d2")
 
@@ -380,11 +383,10 @@ class LineDuplicates:
 
         keyed = keyed.withColumn("_may", may_lose("_d1", "_d2"))
         text = F.col(f"`{self.text}`").cast("string")
-        into = into or self.text
         names = [F.col(f"`{n}`") for n in dict.fromkeys([*docs.columns, into, *([removed] if removed else [])])]
         still, cut = keyed.filter("not _may"), keyed.filter("_may").join(self.gone.select("_d1", "_d2", "lines"), ["_d1", "_d2"], "left")
         left = _without(text, F.col("lines"))
         if removed:
             still = still.withColumn(removed, F.lit(0).cast("long"))
             cut = cut.withColumn(removed, F.coalesce(F.size("lines"), F.lit(0)).cast("long"))
-        return still.withColumn(into, text).select(names).unionByName(cut.withColumn(into, left).select(names))
+        return back(still.withColumn(into, text).select(names).unionByName(cut.withColumn(into, left).select(names)))

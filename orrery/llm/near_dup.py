@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from .bloom import Bloom
 from .components import connected
 from .probminhash import band_hashes, shingles, signatures, similarities
-from .tables import written
+from .tables import aside, written
 from .textbytes import flat, release, slices
 
 _LONGS = pa.list_(pa.int64())
@@ -236,8 +236,9 @@ def drop_near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str =
     """``docs`` without all but one document (that of the least id) of each class; rows without words all stay."""
     found = NearDuplicates(docs, id_column, text, **options)
     keepers = found.classes().filter("is_keeper").select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2"), F.col("first").alias("_first"))
+    docs, back = aside(docs, (id_column, text))
     keyed = docs.withColumn("_key", word_keys(F.col(f"`{text}`"), found.width)).withColumn("_words", F.rlike(
         F.coalesce(F.col(f"`{text}`"), F.lit("")), F.lit(r"[^\x20\x09-\x0D]")))
     kept = (keyed.filter("_words").withColumn("_k1", F.col("_key.k1")).withColumn("_k2", F.col("_key.k2")).join(keepers, ["_k1", "_k2"])
             .filter(F.col(f"`{id_column}`").eqNullSafe(F.col("_first"))).dropDuplicates(["_k1", "_k2"]))
-    return kept.select(docs.columns).unionByName(keyed.filter("not _words").select(docs.columns))
+    return back(kept.select(docs.columns).unionByName(keyed.filter("not _words").select(docs.columns)))

@@ -9,7 +9,7 @@ once more in new groups, so that what is lost does not follow the number of grou
 
 Nothing is collected: only piece lengths are packed, in bounded groups, and token ids are
 not shuffled. Repeated rows are pieces of their own. A null or empty text is the end
-token alone.
+token alone. An empty table gives no rows. Other columns may have any names and stay.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .tables import written
+from .tables import aside, written
 from .textbytes import release
 
 _PIECES = pa.list_(pa.struct([("piece", pa.int32()), ("start", pa.int64()), ("ids", pa.binary())]))
@@ -166,7 +166,8 @@ def _packed(pieces: DataFrame, capacity: int, groups: int, spread: Column, base:
 def pack_best_fit(pieces: DataFrame, capacity: int = 4096, group_rows: int = 2048, slack: float = 0.02) -> DataFrame:
     """``pieces`` (with an integer ``length`` of 1 .. capacity) with ``sequence_id`` and ``offset``
     (replaced if there); all rows and other columns stay."""
-    rows = pieces.drop("sequence_id", "offset").withColumn("length", F.col("length").cast("long"))
+    pieces, back = aside(pieces, ("length",), ("sequence_id", "offset"))
+    rows = pieces.withColumn("length", F.col("length").cast("long"))
     kept = rows.columns
     # dealt by a row number that follows the rows' places, as keys and rows may repeat
     rows = written(rows.withColumn("_deal", F.xxhash64(F.monotonically_increasing_id())), "pieces")
@@ -177,7 +178,7 @@ def pack_best_fit(pieces: DataFrame, capacity: int = 4096, group_rows: int = 204
     loose = F.col("_room") > int(slack * capacity)
     again = first.filter(loose).drop("sequence_id", "offset", "_room")
     second = _packed(again, capacity, groups(again), F.xxhash64("_deal"), 1 << 62, schema)
-    return first.filter(~loose).unionByName(second).select(*kept, "sequence_id", "offset")
+    return back(first.filter(~loose).unionByName(second).select(*kept, "sequence_id", "offset"))
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, id_column: str = "doc_id", text: str = "text", capacity: int = 4096, end_id: int = 1) -> DataFrame:

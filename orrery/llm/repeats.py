@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from .bloom import Bloom
 from .suffix_sort import deep_shallow
-from .tables import written
+from .tables import aside, written
 from .textbytes import flat, mix, slices
 
 LENGTH, GRAM = 400, 32
@@ -426,6 +426,7 @@ class RepeatedStrings:
     def apply(self, docs: DataFrame, into: str = "kept") -> DataFrame:
         """``docs`` with column ``into`` (the bytes that stay), ``n_removed`` and ``n_spans`` (replaced if there);
         texts that lose nothing do not move."""
+        docs, back = aside(docs, (self.text,), (into, "n_removed", "n_spans"))
         some = Bloom(self.spans, "t1", "t2")
 
         @F.arrow_udf("boolean")
@@ -439,4 +440,4 @@ class RepeatedStrings:
         spans = self.spans.select(F.col("t1").alias("_t1"), F.col("t2").alias("_t2"), F.col("spans").alias("_spans"))
         cut = (keyed.filter("_may").join(spans, ["_t1", "_t2"], "left").withColumn("_cut", _cut(self._text(), F.col("_spans")))
                .withColumns({into: F.col("_cut.kept"), "n_removed": F.col("_cut.n_removed"), "n_spans": F.col("_cut.n_spans")}).select(names))
-        return still.unionByName(cut)
+        return back(still.unionByName(cut))

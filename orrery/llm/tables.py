@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..session import work_dir
 
@@ -13,3 +16,19 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     path = work_dir(spark, purpose)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def aside(df: DataFrame, own: tuple[str, ...], made: tuple[str, ...] = ()) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``df`` with all columns but ``own`` under names that no step uses, and without those of the names ``made``;
+    and a function that gives a result, which holds the former and the columns ``made``, the names and the order of ``df``
+    back, new columns last. So a caller's columns may have any names."""
+    mine, new = {c.lower() for c in own}, {c.lower() for c in made}
+    names = {c: c if c.lower() in mine else f"__aside_{i}" for i, c in enumerate(df.columns)}
+    moved = df.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items() if c.lower() in mine or c.lower() not in new])
+
+    def back(result: DataFrame) -> DataFrame:
+        there = [F.col(f"`{c if c.lower() in new else names[c]}`").alias(c) for c in df.columns]
+        held = {c.lower() for c in df.columns}
+        return result.select(*there, *[F.col(f"`{m}`") for m in made if m.lower() not in held])
+
+    return moved, back
