@@ -23,7 +23,7 @@ from orrery.llm.line_dedup import LineDuplicates
 from orrery.llm.near_dup import drop_near_duplicates
 from orrery.llm.packing import pack_documents
 from orrery.llm.secrets import redacted, train_scanner
-from orrery.llm.tables import written
+from orrery.llm.tables import aside, written
 
 #: SQL can express none of the models here; the tests hold each stage against a plain version.
 ORACLE_SQL = None
@@ -35,8 +35,9 @@ def _with_text(docs: DataFrame, text) -> DataFrame:
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    scored = written(rules.measured(docs, kneser_ney.train(docs), into="_quality"), "quality")
-    return rules.judged(scored, rules.bands(scored, q="_quality"), q="_quality").filter("kept").select(docs.columns)
+    rows, back = aside(docs, ("text", "lang"))
+    scored = written(rules.measured(rows, kneser_ney.train(rows), into="_quality"), "quality")
+    return back(rules.judged(scored, rules.bands(scored, q="_quality"), q="_quality").filter("kept"))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
