@@ -21,7 +21,7 @@ from orrery.sources.tables import Tables
 from orrery.sources.versions import VersionedTable
 from orrery.streaming import marts as live
 from orrery.streaming.changes import keep_changes
-from orrery.streaming.ingest import ingest_checked
+from orrery.streaming.ingest import ingest_checked, read_zone
 
 RUN_TIMES = ("2001-01-01", "2001-02-01", "2001-03-01")
 
@@ -224,7 +224,7 @@ def q_ingest_checked(spark, sf):
     zone = _ingested(spark, sf)
     out = None
     for table in ("raw", "rejected", "quarantine", "pages"):
-        rows = spark.read.parquet(f"{zone}/{table}")
+        rows = read_zone(spark, zone, table)
         reason = F.col("reason") if table == "quarantine" else F.lit("")
         part = rows.groupBy(F.lit(table).alias("sink"), "indicator_code", reason.alias("reason")).agg(
             F.count(F.lit(1)).alias("rows"), F.countDistinct("batch").alias("batches"))
@@ -234,7 +234,7 @@ def q_ingest_checked(spark, sf):
 
 def q_page_audit(spark, sf):
     """Which pages of each indicator landed, twice or never, against what the payloads declare."""
-    pages = spark.read.parquet(f"{_ingested(spark, sf)}/pages")
+    pages = read_zone(spark, _ingested(spark, sf), "pages")
     found = audit.page_audit(pages)
     return found.select("indicator_code", "pages", "landed", "double", "total", "rows", F.concat_ws(",", "missing_pages").alias("missing_pages"), "rows_short")
 

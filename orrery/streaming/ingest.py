@@ -15,8 +15,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
 from orrery.operators.load import dedupe_batch, load_if_absent
+from orrery.schemas import RAW_OBSERVATION
+from orrery.session import path_exists
 
 
 def incremental_load(spark: SparkSession, raw_root: str, target: str, checkpoint: str, keys: Sequence[str],
@@ -69,6 +72,20 @@ def ingest_landing(spark: SparkSession, landing: str, raw_root: str, checkpoint:
     return q
 
 
+#: Columns of the tables of ``ingest_checked``, besides run and batch.
+ZONE = {"raw": RAW_OBSERVATION, "rejected": RAW_OBSERVATION,
+        "quarantine": StructType([StructField(c, StringType()) for c in ("indicator_code", "reason", "text")]),
+        "pages": StructType([StructField("indicator_code", StringType()), StructField("page", IntegerType()), StructField("pages", IntegerType()),
+                             StructField("total", LongType()), StructField("rows", LongType())])}
+
+
+def read_zone(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """A table of ``ingest_checked``, also where nothing has come into it yet."""
+    schema = StructType([*ZONE[table].fields, StructField("run", StringType()), StructField("batch", LongType())])
+    path = f"{root}/{table}"
+    return spark.read.schema(schema).parquet(path) if path_exists(spark, path) else spark.createDataFrame([], schema)
+
+
 def ingest_checked(spark: SparkSession, landing: str, root: str, checkpoint: str, run_id: str, source: str = "World Bank",
                    loaded_at: str | None = None, files_per_batch: int = 100):
     """Landed payloads to four tables in one stream (T-01 with S-01, D-05, D-08).
