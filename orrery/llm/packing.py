@@ -98,6 +98,7 @@ def token_pieces(text: Column, tokenizer: str, capacity: int = 4096, end_id: int
                 [pa.array(pieces, pa.int32()), pa.array(starts, pa.int64()), pa.array(blobs, pa.binary())], ["piece", "start", "ids"])
             yield pa.ListArray.from_arrays(pa.array(counts, pa.int32()), rows).cast(_PIECES)
             del texts, rows, pieces, starts, blobs
+        words.clear()  # the next task's words are mostly others; the worker lives on for other stages
         release()
 
     return udf(text.cast("string"))
