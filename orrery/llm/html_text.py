@@ -8,9 +8,12 @@ linked lines between the first surge and the last dive stay as well, and so does
 that only furniture divides from the first surge.
 
 Lines of page furniture (navigation, notices, adverts, forms, reader comments and the
-like, told by element, role, class or id) and link text count as empty lines: they end
-a run of text. A class or id tells furniture where all words of a name do. Where a page
-marks its article, all lines inside that are not furniture are kept, and no others.
+like, told by element, role, class, id or a hiding style) and link text count as empty
+lines: they end a run of text. A class or id tells furniture where the head word of a name
+does (``page-footer``, not ``post-header`` or ``has-sidebar``) or all its words do
+(``cookie-message``). Menus, which are lists of ``MENU`` or more items that are all links and
+lines of as many links, are never kept. Where a page marks its article, only lines inside
+take part, and any text there is a surge: short and linked ones stay as well.
 
 Null or empty pages give an empty text; a page without any text line does too.
 """
@@ -41,15 +44,23 @@ FURNITURE_NAMES = frozenset(
     "ad ads advert adverts advertisement advertising adsense banner sponsor sponsored promo promoted promotion nav navbar "
     "navigation menu breadcrumb breadcrumbs sidebar header masthead footer cookie cookies consent gdpr notice notices alert "
     "popup modal overlay comment comments discussion disqus respond reply replies related recommended recommendations "
-    "share sharing social subscribe subscription newsletter signup login pagination pager skip copyright".split())
+    "share sharing social subscribe subscription newsletter signup login pagination pager skip copyright rail".split())
 #: Words that leave a name of furniture what it is.
 FILLER_NAMES = frozenset(
-    "area bar block box btn button buttons container global group inner left link links list outer posts right section site "
-    "slot top bottom unit widget wrap wrapper".split())
+    "area bar block body bottom box btn button buttons container desktop global group icon icons inner item items large left "
+    "link links list main message mobile outer page panel policy posts right section site slot small stories text thread "
+    "title top unit user widget wrap wrapper".split())
+#: Words before a name of furniture that say something else of the element.
+OTHER_NAMES = frozenset("has hide hides no non not show shows with without".split())
+#: Parts of an article: their headers belong to it.
+PART_NAMES = frozenset("article blog card chapter content entry post recipe story".split())
+HEADER_NAMES = frozenset("header banner masthead".split())
+#: Items, all links, that make a list a menu, and links, without other text, that make a line one.
+MENU = 3
 #: Furniture whose own articles are not the page's.
 ASIDE_NAMES = frozenset(
     "ad ads advert adverts advertisement advertising adsense sponsor promo promoted promotion nav navbar navigation menu "
-    "breadcrumb breadcrumbs sidebar footer comment comments discussion disqus respond reply replies related recommended "
+    "breadcrumb breadcrumbs sidebar rail footer comment comments discussion disqus respond reply replies related recommended "
     "recommendations".split())
 REMARK_NAMES = frozenset("comment comments discussion disqus respond reply replies".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -58,6 +69,7 @@ _TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*+)([^>"']*+(?:"[^"]*+"[^>"']*+|'[^']
 _LOOSE = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>")
 _ATTR = re.compile(r"""([a-zA-Z-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
 _NAME = re.compile(r"[A-Za-z]+")
+_HIDING = re.compile(r"(?:display\s*:\s*none|visibility\s*:\s*hidden)", re.I)
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 
@@ -100,12 +112,15 @@ def _tokens(page: str) -> Iterator[tuple[str, str, str]]:
 
 
 def _furniture_words(value: str) -> set[str]:
-    """The words of those names in a class or id that furniture alone has."""
+    """The words of furniture in those names of a class or id that tell furniture."""
     out: set[str] = set()
     for name in value.split():
-        own = {x.lower() for x in _NAME.findall(_CAMEL.sub(" ", name))}
-        if own & FURNITURE_NAMES and own <= FURNITURE_NAMES | FILLER_NAMES:
-            out |= own & FURNITURE_NAMES
+        own = [x.lower() for x in _NAME.findall(_CAMEL.sub(" ", name))]
+        told = [x for x in own if x not in FILLER_NAMES]
+        if not told or OTHER_NAMES.intersection(own) or told[-1] in HEADER_NAMES and PART_NAMES.intersection(own):
+            continue
+        if told[-1] in FURNITURE_NAMES or FURNITURE_NAMES.issuperset(told):
+            out |= FURNITURE_NAMES.intersection(told)
     return out
 
 
@@ -120,6 +135,8 @@ def _furniture(name: str, attrs: str, in_article: bool) -> int:
         key, value = key.lower(), a or b or c
         if key == "role" and value.lower() in FURNITURE_ROLES or key == "aria-hidden" and value.lower() == "true":
             return 1
+        if key == "style" and _HIDING.search(value):
+            return 1
         if key in ("class", "id") and name not in ("html", "body", "main") and name not in HEADINGS:
             own = _furniture_words(value)
             if name == "article":
@@ -129,20 +146,23 @@ def _furniture(name: str, attrs: str, in_article: bool) -> int:
     return found
 
 
-def text_lines(page: str) -> tuple[list[str], np.ndarray, np.ndarray, bool]:
-    """One line per block, its length without link text (0: furniture, or outside the article; 1 at least inside it),
-    whether it is a heading, and whether an article is marked."""
+def text_lines(page: str) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray, bool]:
+    """One line per block, its length without link text (0: furniture, menu, or outside the article; 1 at least
+    inside it), whether it is a heading, whether it may be kept, and whether an article is marked."""
     lines: list[str] = []
     sizes: list[int] = []
     inside: list[bool] = []
     titles: list[bool] = []
+    anchors: list[int] = []  # of lines that are all link text, otherwise 0
+    of_list: list[int] = []
     parts: list[str] = []
-    linked = 0
+    linked = here = n_lists = 0
+    lists = [0]
     stack: list[tuple[str, int, bool]] = []  # name, furniture, article
     hidden = article = links = headings = 0
 
     def flush() -> None:
-        nonlocal linked
+        nonlocal linked, here
         if parts:
             line = " ".join(html.unescape("".join(parts)).split())
             parts.clear()
@@ -151,7 +171,9 @@ def text_lines(page: str) -> tuple[list[str], np.ndarray, np.ndarray, bool]:
                 sizes.append(max(len(line.replace(" ", "")) - linked, 0))
                 inside.append(article > 0)
                 titles.append(headings > 0)
-            linked = 0
+                anchors.append(0 if sizes[-1] else max(here, 1))
+                of_list.append(lists[-1])
+            linked = here = 0
 
     def gap() -> None:
         if lines and lines[-1] != "":
@@ -159,6 +181,8 @@ def text_lines(page: str) -> tuple[list[str], np.ndarray, np.ndarray, bool]:
             sizes.append(0)
             inside.append(article > 0)
             titles.append(False)
+            anchors.append(0)
+            of_list.append(0)
 
     def pop(to: int) -> None:
         nonlocal hidden, article, links, headings
@@ -168,6 +192,8 @@ def text_lines(page: str) -> tuple[list[str], np.ndarray, np.ndarray, bool]:
             article -= main
             links -= name == "a"
             headings -= name in HEADINGS
+            if name in ("ul", "ol"):
+                lists.pop()
 
     for kind, name, attrs in _tokens(page):
         if kind == "text":
@@ -205,7 +231,11 @@ def text_lines(page: str) -> tuple[list[str], np.ndarray, np.ndarray, bool]:
             hidden += furniture > 0
             article += main
             links += name == "a"
+            here += name == "a"
             headings += name in HEADINGS
+            if name in ("ul", "ol"):
+                n_lists += 1
+                lists.append(n_lists)
         else:
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == name:
@@ -213,10 +243,14 @@ def text_lines(page: str) -> tuple[list[str], np.ndarray, np.ndarray, bool]:
                     break
     flush()
     marked = any(inside)
-    size = np.array(sizes, np.int64)
+    size, links_only, owner = np.array(sizes, np.int64), np.array(anchors, np.int64), np.array(of_list, np.int64)
+    items, linked_items = np.bincount(owner, minlength=1), np.bincount(owner, links_only > 0, minlength=1)
+    menu = (links_only >= MENU) | (owner > 0) & (items >= MENU)[owner] & (items == linked_items)[owner]
+    may = ~menu & np.array([x != "" for x in lines], bool)
     if marked:
-        size = np.where(np.array(inside, bool) & np.array([x != "" for x in lines], bool), np.maximum(size, 1), 0)
-    return lines, size, np.array(titles, bool), marked
+        may &= np.array(inside, bool)
+        size = np.maximum(size, 1)
+    return lines, np.where(may, size, 0), np.array(titles, bool), may, marked
 
 
 def main_lines(size: np.ndarray, width: int = 3, surge: int = 80) -> np.ndarray:
@@ -242,16 +276,14 @@ def main_lines(size: np.ndarray, width: int = 3, surge: int = 80) -> np.ndarray:
 def main_text(page: str | None, width: int = 3, surge: int = 80) -> str:
     if not page:
         return ""
-    lines, size, titles, marked = text_lines(page)
-    if marked:  # every line that the page itself marks as its article is text
-        return " ".join(x for x, n in zip(lines, size) if n)
-    keep = main_lines(size, width, surge)
+    lines, size, titles, may, marked = text_lines(page)
+    keep = main_lines(size, width, 1 if marked else surge)
     if keep.any():
         first, last = np.flatnonzero(keep)[[0, -1]]
-        while first and (titles[first - 1] or lines[first - 1] == ""):
+        while first and (titles[first - 1] or not may[first - 1]):
             first -= 1
         keep[first:last + 1] = True
-    return " ".join(x for x, k in zip(lines, keep) if k and x)
+    return " ".join(x for x, k in zip(lines, keep & may) if k)
 
 
 def extract_main_text(pages: DataFrame, html_column: str = "html", into: str = "text", width: int = 3, surge: int = 80) -> DataFrame:

@@ -47,6 +47,23 @@ def test_text_that_is_no_furniture_stays(page, want):
     assert main_text(page) == want
 
 
+@pytest.mark.parametrize("attrs", [
+    "class='user-comments'", "class='cookie-message'", "class=main-nav-list", "class='advert-large'", "id='related-stories'",
+    "class='wide page-footer'", "class='left-rail'", "style='display: none'", "style=\"color:red;visibility:hidden\""])
+@pytest.mark.parametrize("tag", ["article", "main", "div"])
+def test_furniture_by_name_and_style(attrs, tag):
+    page = f"<body><{tag}><h1>Title</h1><p>{LONG}</p><div {attrs}><p>{LONG} not this</p></div><p>{LONG}</p></{tag}></body>"
+    assert main_text(page) == f"Title {LONG} {LONG}"
+
+
+@pytest.mark.parametrize("tag", ["article", "main", "div"])
+def test_menus_between_paragraphs(tag):
+    menu = "<ul>" + "".join(f"<li><a href=/{i}>Section {i}</a></li>" for i in range(4)) + "</ul>"
+    row = "<div><a href=a>one</a> <a href=b>two</a> <a href=c>three</a></div>"
+    page = f"<{tag}>{menu}<p>{LONG}</p>{menu}{row}<p>{LONG}</p><ul><li><a href=x>Linked</a> item</li><li><a href=y>other</a></ul><p>{LONG}</p></{tag}>"
+    assert main_text(page) == f"{LONG} {LONG} Linked item other {LONG}"
+
+
 @pytest.mark.parametrize("page", [None, "", "   ", "<html></html>", "<p", "<!-- never closed", "<script>x", "<p></p><p> </p>", "<<<>>>" * 50 + "<a b=\"" * 100])
 def test_odd_pages(page):
     assert isinstance(main_text(page), str)
@@ -69,6 +86,13 @@ def test_query_against_the_article_element(spark):
         assert r.n_chars == len(r.text)
 
 
+def test_query_pages_without_the_article_tag(spark):
+    """The line blocks alone find what the article element holds in nearly all pages."""
+    rows = spark.read.parquet(f"{SF}/pages.parquet").collect()
+    same = [main_text(re.sub(r"</?article>", "", r.html)) == main_text(r.html) for r in rows]
+    assert sum(same) >= 0.9 * len(same)
+
+
 def test_nulls_repeats_and_clashing_columns(spark):
     df = spark.createDataFrame([(None, None, "t"), (1, "", "t"), (1, "<p>a</p>", None), (1, "<p>a</p>", None)], "page_id long, html string, text string")
     rows = extract_main_text(df)
