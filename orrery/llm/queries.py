@@ -93,10 +93,11 @@ def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bytes of every document that repeated strings of 400 bytes cover, and the digest of the others."""
+    """Bytes of every document that repeated strings of 400 bytes cover, and the digest and text of the others."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return RepeatedStrings(docs).apply(docs).select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"),
-                                                    "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+                                                    "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"),
+                                                    F.make_valid_utf8(F.col("kept").cast("string")).alias("text"))
 
 
 def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
