@@ -7,9 +7,9 @@ classes are the connected components of links. Steps:
 1. Texts with the same lower-cased words are one node; copies are not compared.
 2. Each node has two signatures, of its weighted shingles for the probability Jaccard
    similarity and of the same shingles with weight 1 for the Jaccard similarity. Nodes that
-   share a band of either are candidates. In each bucket all are
-   first paired with the bucket's least node only, so a group of thousands of near copies
-   costs a pair for each, not one for each two of them.
+   share a band of either are candidates. Each is first paired with the least node that it
+   meets in any bucket, and then with the least nodes of those buckets where it is still in
+   another component, so a group of thousands of near copies costs about a pair for each.
 3. Nodes that are then in another component than the next ones of their bucket, in the
    order of further bands, are paired with these: nodes alike stand close there.
 4. Nodes that are still not in one component with the least node of their bucket are
@@ -171,8 +171,16 @@ class NearDuplicates:
         keyed = docs.select(t.cast("string").alias("text")).select("text", word_keys(F.col("text"), width, Bloom(wanted)).alias("k")).select("text", "k.*")
         self.texts = written(keyed.filter("k1 IS NOT NULL").join(wanted, ["k1", "k2"]).select("node", "text").dropDuplicates(["node"]), "texts")
 
-        star = shared.filter("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()
-        self.roots = written(connected(self._verified(star), "a", "b"), "roots")
+        # one star pair of each node, with the least node that it meets; then those of other buckets that are still apart
+        star = shared.filter("node <> least")
+        once = star.groupBy("node").agg(F.min("least").alias("a")).select("a", F.col("node").alias("b"))
+        self.roots = written(connected(self._verified(once), "a", "b"), "roots")
+        root_of = lambda c, out: self.roots.select(F.col("node").alias(c), F.col("root").alias(out))
+        apart = (star.select("node", "least").distinct().join(root_of("node", "x"), "node", "left").join(root_of("least", "y"), "least", "left")
+                 .filter(F.coalesce("x", "node") != F.coalesce("y", "least")))
+        tried = once.select(F.col("a").alias("least"), F.col("b").alias("node"))
+        apart = apart.select("node", "least").join(tried, ["node", "least"], "left_anti")
+        self._join(self._verified(apart.select(F.col("least").alias("a"), F.col("node").alias("b"))))
         for order in (["next", "after"], ["after", "next"]):
             placed = shared.join(self.roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
             near = (placed.repartitionByRange("bucket", *order, "node").sortWithinPartitions("bucket", *order, "node")
@@ -180,7 +188,6 @@ class NearDuplicates:
             self._join(self._verified(near))
         own = self._signed(shared.select("bucket", "band", "node", "least"), "node", "x", True)
         other = self._signed(shared.select("bucket", "node"), "node", "y", True)
-        root_of = lambda c, out: self.roots.select(F.col("node").alias(c), F.col("root").alias(out))
         own = (own.join(root_of("node", "root"), "node", "left").join(root_of("least", "least_root"), "least", "left")
                .withColumn("root", F.coalesce("root", "node")).withColumn("least_root", F.coalesce("least_root", "least"))
                .filter("root <> least_root").withColumnRenamed("node", "x").withColumnRenamed("root", "x_root").drop("least", "least_root"))
