@@ -173,11 +173,12 @@ def q_mart_country_map(spark, sf):
 # ---------------------------------------------------------------- dimensions and keys
 
 def q_calendar_dim(spark, sf):
-    """The calendar over the years in which orders are placed or shipped, clipped to a fixed range: bounded, whatever dates a table holds."""
+    """The calendar over a fixed range of years, widened to the whole years of every order and ship date outside it."""
     t = _t(spark, sf)
     first, last = (F.lit(d).cast("date") for d in si.CALENDAR)
-    start = F.greatest(first, t.orders.agg(F.trunc(F.min("o_orderdate"), "year")).scalar())
-    end = F.least(last, t.lineitem.agg(F.last_day(F.add_months(F.trunc(F.max("l_shipdate"), "year"), 11))).scalar())
+    dates = t.orders.select(F.col("o_orderdate").alias("d")).unionAll(t.lineitem.select("l_shipdate"))
+    start = F.least(first, dates.agg(F.trunc(F.min("d"), "year")).scalar())
+    end = F.greatest(last, dates.agg(F.last_day(F.add_months(F.trunc(F.max("d"), "year"), 11))).scalar())
     return dims.calendar_between(start, end, spark, FISCAL_SHIFT)
 
 
