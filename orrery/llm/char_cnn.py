@@ -80,58 +80,95 @@ class CharCNN:
         return [d_embed, d_conv, d_bias, hidden.T @ dz, np.array(dz.sum())]
 
 
-def train(windows: list[str], labels: np.ndarray, recall: float = 0.98, seed: int = 7, epochs: int = 12, batch: int = 64,
-          quiet: np.ndarray | None = None, noise: float = 1.0) -> CharCNN:
-    """Fit on seven tenths of the findings, calibrate and choose the threshold on the rest.
-
-    Secrets of 16 characters or more are also learned with the context before them replaced by that
-    of a negative, so that they are known by their own characters too. The threshold is the largest
-    one that keeps ``recall`` of the held-out secrets, or that which at most ``noise`` of the held-out
-    findings among ``quiet`` ones reach, if it is larger.
-    """
-    rng = np.random.default_rng(seed)
-    x, y = codes(windows), np.asarray(labels, float)
-    held = rng.random(len(x)) < 0.3
-    if not y[held].any() or y[held].all() or not y[~held].any() or y[~held].all():
-        held[:] = False
-    fit_x, fit_y = x[~held], y[~held]
-    own = np.flatnonzero((fit_y == 1) & ((fit_x[:, SEGMENTS[1]] != 0).sum(axis=1) >= 16))
-    other = np.flatnonzero(fit_y == 0)
-    bare = fit_x[own].copy()
-    bare[:, SEGMENTS[0]] = fit_x[rng.choice(other, len(own))][:, SEGMENTS[0]]
-    fit_x, fit_y = np.concatenate([fit_x, bare]), np.concatenate([fit_y, np.ones(len(bare))])
-    weight = np.where(fit_y == 1, 0.5 / max(fit_y.mean(), 1e-9), 0.5 / max(1 - fit_y.mean(), 1e-9))
-    model = CharCNN.new(rng)
-    values = [model.embed, model.conv, model.conv_bias, model.dense, np.array(model.bias)]
-    first, second, step = [np.zeros_like(v) for v in values], [np.zeros_like(v) for v in values], 0
-    for _ in range(epochs):
-        order = rng.permutation(len(fit_x))
+def fit_rows(x: np.ndarray, y: np.ndarray, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows to fit, their labels and weights: both classes weigh the same. Secrets of 16 characters or more also come
+    with the context before them replaced by that of a negative, so that they are known by their own characters too."""
+    own = np.flatnonzero((y == 1) & ((x[:, SEGMENTS[1]] != 0).sum(axis=1) >= 16))
+    other = np.flatnonzero(y == 0)
+    if len(other):
+        bare = x[own].copy()
+        bare[:, SEGMENTS[0]] = x[rng.choice(other, len(own))][:, SEGMENTS[0]]
+        x, y = np.concatenate([x, bare]), np.concatenate([y, np.ones(len(bare))])
+    return x, y, np.where(y == 1, 0.5 / max(y.mean(), 1e-9), 0.5 / max(1 - y.mean(), 1e-9))
+
+
+@dataclass
+class Training:
+    """A network in training with Adam's moments: ``flat`` holds all three one after the other, so that states can be averaged."""
+
+    flat: np.ndarray
+    step: int = 0
+
+    @classmethod
+    def new(cls, model: CharCNN) -> Training:
+        own = np.concatenate([np.ravel(v) for v in (model.embed, model.conv, model.conv_bias, model.dense, model.bias)])
+        return cls(np.concatenate([own, np.zeros(2 * len(own))]))
+
+    def _values(self, k: int) -> list[np.ndarray]:
+        shapes = [(128, DIMS), (WIDTH * DIMS, FILTERS), (FILTERS,), (FILTERS * len(SEGMENTS),), ()]
+        ends = np.cumsum([int(np.prod(s)) for s in shapes])
+        own = self.flat.reshape(3, -1)[k]
+        return [own[e - int(np.prod(s)):e].reshape(s) for s, e in zip(shapes, ends)]
+
+    @property
+    def model(self) -> CharCNN:
+        *most, bias = self._values(0)
+        return CharCNN(*most, float(bias))
+
+    def epoch(self, x: np.ndarray, y: np.ndarray, weight: np.ndarray, rng: np.random.Generator, batch: int = 64) -> None:
+        model, sets = self.model, [self._values(k) for k in range(3)]
+        order = rng.permutation(len(x))
         for i in range(0, len(order), batch):
             own = order[i:i + batch]
-            step += 1
-            for v, m, s, g in zip(values, first, second, model.gradients(fit_x[own], fit_y[own], weight[own])):
+            self.step += 1
+            for v, m, s, g in zip(*sets, model.gradients(x[own], y[own], weight[own])):
                 m += 0.1 * (g - m)
                 s += 0.001 * (g * g - s)
-                v -= 0.01 * (m / (1 - 0.9 ** step)) / (np.sqrt(s / (1 - 0.999 ** step)) + 1e-8)
-            model.bias = float(values[4])
-    cal_x, cal_y = (x[held], y[held]) if held.any() else (x, y)
-    z = model.logits(cal_x)
-    n1, n0 = cal_y.sum(), len(cal_y) - cal_y.sum()
-    target = np.where(cal_y == 1, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))  # Platt's smoothed targets
+                v -= 0.01 * (m / (1 - 0.9 ** self.step)) / (np.sqrt(s / (1 - 0.999 ** self.step)) + 1e-8)
+            model.bias = float(sets[0][4])
+
+
+def calibrate(model: CharCNN, z: np.ndarray, y: np.ndarray, quiet: np.ndarray, times: np.ndarray, recall: float, noise: float) -> None:
+    """Platt scaling and the threshold, from logits that come ``times`` often each. The threshold is the largest
+    one that keeps ``recall`` of the secrets, or that which at most ``noise`` of the findings among ``quiet`` ones
+    reach, if it is larger."""
+    n1, n0 = float(times[y == 1].sum()), float(times[y == 0].sum())
+    target = np.where(y == 1, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))  # Platt's smoothed targets
     a, b = 1.0, 0.0
     for _ in range(50):  # Newton steps of the two-parameter logistic fit
         p = 1 / (1 + np.exp(-np.clip(a * z + b, -60, 60)))
-        g = np.array([((p - target) * z).sum(), (p - target).sum()])
-        v = np.maximum(p * (1 - p), 1e-9)
+        g = np.array([(times * (p - target) * z).sum(), (times * (p - target)).sum()])
+        v = times * np.maximum(p * (1 - p), 1e-9)
         h = np.array([[(v * z * z).sum(), (v * z).sum()], [(v * z).sum(), v.sum()]]) + 1e-6 * np.eye(2)
         move = np.linalg.solve(h, g)
         a, b = a - np.clip(move[0], -1, 1), b - np.clip(move[1], -1, 1)
     model.scale, model.shift = float(a), float(b)
-    found = np.sort(model.probability(cal_x)[cal_y == 1])
-    model.threshold = float(found[int((1 - recall) * len(found))]) if len(found) else 1.0
-    if quiet is not None:
-        loud = np.sort(model.probability((x[held & quiet]) if held.any() else x[quiet]))[::-1]
-        allowed = int(noise * len(loud))
-        if len(loud) > allowed:
-            model.threshold = max(model.threshold, float(np.nextafter(loud[allowed], 1)))
+    p = 1 / (1 + np.exp(-np.clip(model.scale * z + model.shift, -60, 60)))
+
+    def ranked(use: np.ndarray, place: float) -> float:
+        """The value at a place among the sorted values of the rows in use."""
+        order = np.argsort(p[use], kind="stable")
+        upto = np.cumsum(times[use][order])
+        return float(p[use][order][min(np.searchsorted(upto, place, "right"), len(upto) - 1)])
+
+    model.threshold = ranked(y == 1, int((1 - recall) * n1)) if n1 else 1.0
+    loud = float(times[quiet].sum())
+    if loud:
+        model.threshold = max(model.threshold, float(np.nextafter(ranked(quiet, loud - 1 - int(noise * loud)), 1)))
+
+
+def train(windows: list[str], labels: np.ndarray, recall: float = 0.98, seed: int = 7, epochs: int = 12) -> CharCNN:
+    """Fit on seven tenths of the findings, calibrate and choose the threshold on the rest."""
+    rng = np.random.default_rng(seed)
+    x, y = codes(windows), np.asarray(labels, float)
+    held = rng.random(len(x)) < 0.3
+    if not y[held].any() or y[held].all() or not y[~held].any() or y[~held].all():
+        held[:] = False
+    rows = fit_rows(x[~held], y[~held], rng)
+    state = Training.new(CharCNN.new(rng))
+    for _ in range(epochs):
+        state.epoch(*rows, rng)
+    model = state.model
+    cal_x, cal_y = (x[held], y[held]) if held.any() else (x, y)
+    calibrate(model, model.logits(cal_x), cal_y, np.zeros(len(cal_y), bool), np.ones(len(cal_y)), recall, 1.0)
     return model

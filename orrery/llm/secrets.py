@@ -14,8 +14,8 @@ The network learns from findings whose labels do not come from the patterns alon
 and look-alikes of many shapes (findings.py) in contexts of the corpus, the patterns' own findings, and
 unlabelled candidates of the corpus. The latter are mostly no secrets, but may hold some that the patterns miss: a
 first network, which has learned from the labelled findings alone, tells which of them to leave out of
-the training of the second. Training takes a bounded sample of distinct candidates, the
-``sample`` first ones of either kind by a hash of their text, and as many planted ones; scanning covers every text whole.
+the training of the second. Training (scanner_training.py), calibration and threshold take all distinct
+candidates of the table; scanning covers every text whole.
 
 A null or empty text has no spans. Equal rows get equal spans. A table without any candidate adds none and learns nothing.
 """
@@ -30,8 +30,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .char_cnn import AFTER, BEFORE, LENGTH, CharCNN, codes, train, window
-from .findings import planted
+from .char_cnn import CharCNN, codes, window
+from .scanner_training import train_on
 from .textbytes import release, slices
 
 # The patterns of the base kinds, in the order of the kinds.
@@ -40,7 +40,7 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 KINDS = ("assign", "access", "hex", "net")
 
-LEAST, LONG, LIKELY = 6, 20, 0.9
+LEAST, LONG = 6, 20
 _T = r"[A-Za-z0-9+/_.=@$!#%^&*~-]"
 #: Whole runs but for plain words that follow no ``:`` or ``=``.
 RUN = re.compile(rf"""(?<!{_T})(?:(?!(?:[A-Z]?[a-z]{{0,18}}|[A-Z]{{1,19}})[.!]?(?!{_T}))"""
@@ -114,23 +114,10 @@ def value_start(text: str, start: int, end: int, kind: str) -> int:
     return ASSIGN.match(text, start, end).start(2) if kind == "assign" else start
 
 
-def train_scanner(docs: DataFrame, text: str = "text", sample: int = 2000, recall: float = 0.98, noise: float = 0.002) -> CharCNN | None:
-    """Network trained on at most ``sample`` distinct findings of the patterns, as many other candidates, and ``2 * sample`` planted findings."""
+def train_scanner(docs: DataFrame, text: str = "text", recall: float = 0.98, noise: float = 0.002) -> CharCNN | None:
+    """Network trained on all distinct findings of the patterns, all other candidates, and planted findings."""
     found = docs.select(F.explode(findings(F.col(f"`{text}`").cast("string"))).alias("f")).select("f.*").distinct()
-    first = lambda flag: found.filter(F.col("secret") == flag).orderBy(F.xxhash64("window"), "window").limit(sample)
-    rows = first(True).unionAll(first(False)).collect()
-    other = sorted(r.window for r in rows if not r.secret)
-    if not rows:
-        return None
-    contexts = [(w[:BEFORE].replace("\0", ""), w[LENGTH - AFTER:].replace("\0", "")) for w in other]
-    made, secret = planted(2 * sample, contexts)
-    windows = sorted(r.window for r in rows if r.secret) + other + [window(b + v + a, len(b), len(b) + len(v)) for b, v, a in made]
-    labels = np.concatenate([np.arange(len(rows)) < len(rows) - len(other), np.array(secret, bool)])
-    corpus = (np.arange(len(windows)) >= len(rows) - len(other)) & (np.arange(len(windows)) < len(rows))
-    own = [w for w, c in zip(windows, corpus) if not c]
-    likely = train(own, labels[~corpus], recall).probability(codes(windows)) >= LIKELY
-    keep = ~(corpus & likely)
-    return train([w for w, k in zip(windows, keep) if k], labels[keep], recall, quiet=~labels[keep], noise=noise)
+    return train_on(found, recall, noise)
 
 
 def spans_of_all(texts: list[str | None], model: CharCNN | None) -> list[list[tuple[int, int, str]]]:
@@ -197,8 +184,7 @@ def joined(spans: Column) -> Column:
     return F.concat_ws(",", F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))))
 
 
-def scan_secrets(docs: DataFrame, text: str = "text", into: str = "secrets", sample: int = 2000, recall: float = 0.98,
-                 noise: float = 0.002) -> DataFrame:
+def scan_secrets(docs: DataFrame, text: str = "text", into: str = "secrets", recall: float = 0.98, noise: float = 0.002) -> DataFrame:
     """``docs`` with an array of spans in column ``into`` (replaced if there); all rows and other columns stay."""
-    model = train_scanner(docs, text, sample, recall, noise)
+    model = train_scanner(docs, text, recall, noise)
     return docs.withColumn(into, secret_spans(F.col(f"`{text}`"), model))

@@ -4,6 +4,7 @@ import re
 import numpy as np
 import pytest
 
+from orrery.llm import scanner_training
 from orrery.llm.char_cnn import CharCNN, codes, train, window
 from orrery.llm.queries import QUERIES
 from orrery.llm.secrets import base_spans, candidates, redacted, scan_secrets, spans_of_all, train_scanner
@@ -126,6 +127,21 @@ def test_secrets_of_unknown_shape_among_the_corpus(spark):
     assert np.mean(["net" in got[i] for i in got if i % 7 > 2]) <= 0.01
 
 
+def test_training_takes_every_finding(spark, monkeypatch):
+    """All distinct findings are learned from, in groups, and the network does not depend on how the rows are dealt."""
+    rows = [(i, f"a w{i}x and token=abcdef{i}") for i in range(2500)]
+    tables, write = {}, scanner_training.written
+    monkeypatch.setattr(scanner_training, "GROUP", 1000)
+    monkeypatch.setattr(scanner_training, "written", lambda df, name: tables.setdefault(name, []).append(out := write(df, name)) or out)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = [docs.repartition(n).select("text") for n in (1, 5)]
+    found = [scanner_training.train_on(f.selectExpr("lpad(text, 80, ' ') AS window", "text LIKE '%7' AS secret"), 0.98, 0.002, 1) for f in found]
+    for groups in tables["groups"]:
+        held = groups.collect()
+        assert len(held) > 1 and sum(len(r.secret) for r in held) == 2500 + 4096 * len(held) and sum(sum(r.corpus) for r in held) == 2250
+    assert (found[0].conv == found[1].conv).all() and found[0].threshold == found[1].threshold
+
+
 def test_query_against_brute_force(spark):
     texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     rows = QUERIES["op2_secrets"](spark, SF).collect()
