@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from .textbytes import SPACE, flat, release, slices
 
 ORDER, BITS = 4, 6
+SLICE = 1 << 20  # bytes at a time: the arrays over a slice take some fifty times as much
 _SPACE_SYMBOL = 32
 
 
@@ -56,7 +57,7 @@ def count_ngrams(docs: DataFrame, text: str = "text") -> tuple[np.ndarray, np.nd
     def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, n = np.zeros(0, np.int32), np.zeros(0, np.int64)
         for batch in batches:
-            for texts in slices(batch.column(0)):
+            for texts in slices(batch.column(0), SLICE):
                 more, times = np.unique(ngrams(*flat(texts)), return_counts=True)
                 keys, at = np.unique(np.concatenate([keys, more]), return_inverse=True)
                 n = np.bincount(at, np.concatenate([n, times]), len(keys)).astype(np.int64)

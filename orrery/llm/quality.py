@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .kneser_ney import KneserNey, ngrams
+from .kneser_ney import SLICE, KneserNey, ngrams
 from .tables import aside, written
 from .textbytes import SPACE, flat, hashes, lines, mix, release, slices, windows, words
 
@@ -71,7 +71,7 @@ def measured(docs: DataFrame, model: KneserNey, text: str = "text", into: str =
     def udf(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             parts = []
-            for texts in slices(batch):
+            for texts in slices(batch, SLICE):
                 raw, off = flat(texts)
                 out = text_measures(raw, off)
                 total = np.concatenate([[0.0], np.cumsum(-shared.value.log2_probability(ngrams(raw, off)))])[off]
