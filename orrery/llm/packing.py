@@ -15,6 +15,7 @@ token alone. An empty table gives no rows. Other columns may have any names and
 from __future__ import annotations
 
 import re
+import struct
 import unicodedata
 from collections.abc import Iterator
 
@@ -29,6 +30,9 @@ from .tables import aside, written
 from .textbytes import release
 
 _PIECES = pa.list_(pa.struct([("piece", pa.int32()), ("start", pa.int64()), ("ids", pa.binary())]))
+#: Pre-tokens of an ASCII word in small letters.
+_PARTS = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[a-z]+|[0-9]|[^a-z0-9]+")
+_ASCII = re.compile("[!-~]+")
 _TAIL = re.compile(r"([^\W\d_]+)([.,!?%*#$&|:;]+)")
 _CONTROL = re.compile("[\x1c-\x1f]")
 _CACHE_WORDS = 400_000
@@ -43,18 +47,36 @@ class _Words(dict):
         from tokenizers import Tokenizer
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        self.special = re.compile("|".join(re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()) or r"(?!)", re.I)
+        printed = [*range(33, 127), *range(161, 173), *range(174, 256)]  # the byte-level alphabet: other bytes follow from 256 on
+        other = iter(range(256, 512))
+        self.letters = {b: b if b in printed else next(other) for b in range(256)}
 
     def encode(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def part(self, part: str) -> bytes:
+        """Ids of one pre-token, given in the byte-level alphabet."""
+        ids = [t.id for t in self.model.tokenize(part)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
     def __missing__(self, word: str) -> bytes:
         m = _TAIL.fullmatch(word)
         if m and m[1].isascii():
             ids = self[m[1].lower()] + self[m[2]]
         elif m and m[1].isalpha() and m[1].lower().isalpha() and unicodedata.is_normalized("NFC", m[1]):
             ids = self[m[1]] + self[m[2]]
-        elif word.isascii() and word.isalpha() and not word.islower():
-            ids = self[word.lower()]
+        elif self.special.search(word):
+            ids = self.encode(word)
+        elif word.isascii() and word.isalpha():
+            small = word.lower()
+            ids = self.part(word) if small == word else self[small]
+        elif _ASCII.fullmatch(word):
+            ids = b"".join(map(self.part, _PARTS.findall(word.lower())))
+        # letters up to Latin Extended-B: here small letters and normal forms are the same to all
+        elif word.isalpha() and max(word) <= "\u024f" and "\u0130" not in word and unicodedata.is_normalized("NFC", word):
+            ids = self.part(word.lower().encode().decode("latin-1").translate(self.letters))
         else:
             ids = self.encode(word)
         self[word] = ids

@@ -82,3 +82,19 @@ def test_odd_tables(spark):
     assert sorted(r.length for r in rows)[:3] == [1, 1, 1] and sum(r.length for r in rows) == 20_004
     assert check_places(rows) == 5
     assert pack_documents(df.limit(0), PATH).count() == 0
+
+
+def test_words_take_the_short_way(monkeypatch):
+    """Words of ASCII or of Latin letters go to the model's merges at once, with the ids of the whole tokenizer."""
+    from orrery.llm.packing import _Words
+    words = _Words(public_tokenizers.path("word_bpe_49k.json"))
+    rng = np.random.default_rng(4)
+    marks, letters = [chr(i) for i in range(33, 127)], [chr(i) for i in range(0xC0, 0x250)]
+    some = ["don't", "DON'T", "'S", "it's.", "</w>", "Straße", "Œuvre", "naïve", "x2", "£"]
+    some += ["".join(rng.choice(marks, rng.integers(1, 9))) for _ in range(2000)] + ["".join(rng.choice(letters + ["a", "B"], rng.integers(1, 6))) for _ in range(2000)]
+    odd = ["<|endoftext|>", "a<|EndOfText|>b", "İz", "é", "ΣΑΣ", "日本"]
+    want = {w: words.encode(w) for w in some + odd}
+    asked = []
+    monkeypatch.setattr(words, "encode", lambda text: asked.append(text) or want[text])
+    assert {w: words[w] for w in some + odd} == want
+    assert not {"don't", "Straße", "naïve", "x2"} & set(asked) and {"<|endoftext|>", "a<|EndOfText|>b", "İz"} <= set(asked)
