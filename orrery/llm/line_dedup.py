@@ -7,17 +7,19 @@ Only lines of ``min_words`` words and more are compared beyond that; lines witho
 
 Equal normalised lines are one node. Each node has a 64-bit SimHash of its words. Two
 hashes that differ in at most ``DISTANCE`` bits agree in ``BLOCKS - DISTANCE`` of
-``BLOCKS`` blocks, so nodes meet on the hashes of every such choice of blocks. Nodes that
+``BLOCKS`` blocks, so nodes meet on the bits of every such choice of blocks. Nodes that
 meet, differ in at most ``DISTANCE`` bits and whose normalised lines have an edit
 similarity (1 - Levenshtein distance / longer length) of ``threshold`` or more are
 linked. Of each connected group the occurrence first by (doc_id, document hash, line
 number) stays; all others go from their texts.
 
-Rows of a block choice are sorted, and cut into ranges, by its hash and then the SimHash.
-In each range, pairs are emitted that span what close nodes connect, not all pairs of a
-large group; buckets that a range cuts are few, and their parts meet by a join. Where
-pairs fail the edit check and so divide such a span, the other close pairs across the
-division are checked as well.
+Nodes are close if their hashes are and their lengths allow the edit similarity: the
+distance is never less than the difference of the lengths. Rows of a block choice are
+sorted, and cut into ranges, by its bits and then the length. In each range, pairs are
+emitted that span what close nodes connect, not all pairs of a large group; buckets that
+a range cuts are few, and their parts meet by a join. Where pairs fail the edit check and
+so divide such a span, the other close pairs of these buckets across the division are
+checked as well; buckets whose spans hold need no more.
 
 Rows with the same id and the same text are one document and get the same text. A null
 text stays null. A text whose lines all go is empty. An empty table gives no rows. Other columns
@@ -38,9 +40,11 @@ from pyspark.sql import functions as F
 from .bloom import Bloom
 from .components import connected
 from .tables import aside, written
-from .textbytes import flat, hashes, lines, mix, release, slices, words
+from .textbytes import Runs, flat, hashes, lines, mix, release, slices, words
 
 DISTANCE, BLOCKS = 3, 5
+SLICE = 1 << 20  # bytes at a time
+_SIZE_BITS = 32
 _EDGES = np.linspace(0, 64, BLOCKS + 1).round().astype(int)
 _NORMAL = np.full(256, 32, np.uint8)
 _NORMAL[48:58] = 48
@@ -95,6 +99,12 @@ def line_sketches(raw: np.ndarray, off: np.ndarray, with_simhash: bool = True):
     return ln, number, count, keys, sim
 
 
+def line_sizes(raw: np.ndarray, ln: Runs, count: np.ndarray) -> np.ndarray:
+    """Length of every normalised line in code points; ``count``: its words."""
+    starts = np.flatnonzero((_NORMAL[raw] != 32) & ((raw & 0xC0) != 0x80))
+    return np.searchsorted(starts, ln.end) - np.searchsorted(starts, ln.start) + np.maximum(count - 1, 0)
+
+
 def normalised(line: str) -> str:
     """Normalised text of one line, as bytes read as Latin-1 for a length in bytes."""
     return b" ".join(bytes(_NORMAL[np.frombuffer(line.encode(), np.uint8)]).split()).decode("utf-8", "replace")
@@ -170,18 +180,20 @@ def alike(a: str, b: str, threshold: float) -> bool:
 
 
 def _sketched(text: Column, min_words: int) -> Column:
-    """Array of (line, k1, k2, sim, many) of each text's lines that have a word; many: enough words to be compared."""
-    kind = pa.struct([("line", pa.int32()), ("k1", pa.int64()), ("k2", pa.int64()), ("sim", pa.int64()), ("many", pa.bool_())])
+    """Array of (line, k1, k2, sim, size) of each text's lines that have a word; size: length of the normalised line, 0 with too few words to be compared."""
+    kind = pa.struct([("line", pa.int32()), ("k1", pa.int64()), ("k2", pa.int64()), ("sim", pa.int64()), ("size", pa.int32())])
 
-    @F.arrow_udf("array<struct<line:int,k1:long,k2:long,sim:long,many:boolean>>")
+    @F.arrow_udf("array<struct<line:int,k1:long,k2:long,sim:long,size:int>>")
     def udf(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             parts = [pa.array([], pa.list_(kind))]
-            for texts in slices(batch):
-                ln, number, count, (k1, k2), sim = line_sketches(*flat(texts))
+            for texts in slices(batch, SLICE):
+                raw, off = flat(texts)
+                ln, number, count, (k1, k2), sim = line_sketches(raw, off)
+                size = np.where(count >= min_words, line_sizes(raw, ln, count), 0)
                 own = count >= 1
                 rows = pa.StructArray.from_arrays([pa.array(number[own], pa.int32()), *(pa.array(x[own].view(np.int64)) for x in (k1, k2, sim)),
-                                                   pa.array(count[own] >= min_words)], ["line", "k1", "k2", "sim", "many"])
+                                                   pa.array(size[own], pa.int32())], ["line", "k1", "k2", "sim", "size"])
                 ends = np.concatenate([[0], np.cumsum(own)])[ln.first]
                 parts.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), rows))
             yield pa.concat_arrays(parts)
@@ -199,7 +211,7 @@ def _line_texts(text: Column, wanted: Bloom) -> Column:
     def udf(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             parts = [pa.array([], kind)]
-            for texts in slices(batch):
+            for texts in slices(batch, SLICE):
                 raw, off = flat(texts)
                 ln, _, _, (k1, k2), _ = line_sketches(raw, off, False)
                 out: list[list] = [[] for _ in range(len(texts))]
@@ -239,68 +251,97 @@ def _without(text: Column, gone: Column) -> Column:
     return udf(text, gone)
 
 
-def _blocks(sim: Column) -> Column:
-    """Array of hashes, one for every choice of blocks."""
+def _keys(sim: Column, size: Column) -> Column:
+    """Array of one number for every choice of blocks: the bucket (choice and bits of its blocks), then the size."""
     part = lambda i: F.shiftrightunsigned(F.shiftleft(sim, 64 - int(_EDGES[i + 1])), 64 - int(_EDGES[i + 1] - _EDGES[i]))
-    return F.array(*(F.xxhash64(F.lit(n), *map(part, own)) for n, own in enumerate(combinations(range(BLOCKS), BLOCKS - DISTANCE))))
 
+    def key(n: int, own: tuple[int, ...]) -> Column:
+        out = F.lit(n).cast("long")
+        for i in own:
+            out = F.shiftleft(out, int(_EDGES[i + 1] - _EDGES[i])).bitwiseOR(part(i))
+        return F.shiftleft(out, _SIZE_BITS).bitwiseOR(size.cast("long"))
+    return F.array(*(key(n, own) for n, own in enumerate(combinations(range(BLOCKS), BLOCKS - DISTANCE))))
+
+
+def _rows(nodes: DataFrame) -> DataFrame:
+    """(node, sim, key) of the nodes in all their buckets."""
+    return nodes.filter("size > 0").select("node", "sim", F.explode(_keys(F.col("sim"), F.col("size"))).alias("key"))
+
+
+def _bucket(key: str | Column) -> Column:
+    return F.shiftright(key, _SIZE_BITS)
 
-def _close(x: str, y: str) -> Column:
-    return F.bit_count(F.col(x).bitwiseXOR(F.col(y))) <= DISTANCE
 
+def _close(x: str, y: str, x_size: str, y_size: str, threshold: float) -> Column:
+    """Whether two nodes are close: _near() as a column."""
+    apart = F.abs(F.col(x_size) - F.col(y_size)) <= (1 - threshold) * F.greatest(x_size, y_size) + 1e-6
+    return apart & (F.bit_count(F.col(x).bitwiseXOR(F.col(y))) <= DISTANCE)
 
-def _spanning(node: np.ndarray, sim: np.ndarray) -> list[tuple[int, int]]:
+
+def _near(sim: np.ndarray, size: np.ndarray, s: np.ndarray, n: np.ndarray, threshold: float) -> np.ndarray:
+    """Whether hashes and lengths allow a link. The small number is for rounding: the edit check decides."""
+    return (np.bitwise_count(sim ^ s) <= DISTANCE) & (np.abs(size - n) <= (1 - threshold) * np.maximum(size, n) + 1e-6)
+
+
+def _spanning(node: np.ndarray, sim: np.ndarray, size: np.ndarray, threshold: float) -> list[tuple[int, int]]:
     """Pairs of close nodes that connect what close nodes connect: each node reached is compared with those not reached yet."""
     out, left = [], np.arange(len(node))
     while len(left):
         queue, left = [left[0]], left[1:]
         while queue and len(left):
             i = queue.pop()
-            near = np.bitwise_count(sim[left] ^ sim[i]) <= DISTANCE
+            near = _near(sim[left], size[left], sim[i], size[i], threshold)
             out += [(int(node[i]), int(node[j])) for j in left[near]]
             queue += left[near].tolist()
             left = left[~near]
     return out
 
 
-def _close_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Spanning pairs (a, b) of the close nodes of each bucket in rows sorted by bucket, and ``cut``: the first and
-    last bucket of the task, whose other rows may be elsewhere."""
-    held, last = (np.zeros(0, np.int64),) * 3, None
-
-    def solved(node: np.ndarray, sim: np.ndarray, bucket: np.ndarray) -> pa.RecordBatch:
-        edge = np.flatnonzero(bucket[1:] != bucket[:-1]) + 1
-        start, end = np.concatenate([[0], edge]), np.append(edge, len(bucket))
-        two = np.flatnonzero(end - start == 2)
-        i = start[two][np.bitwise_count(sim[start[two]] ^ sim[start[two] + 1]) <= DISTANCE]
-        pairs = list(zip(node[i].tolist(), node[i + 1].tolist()))
-        for r in np.flatnonzero(end - start > 2):
-            pairs += _spanning(node[start[r]:end[r]], sim[start[r]:end[r]])
-        ab = np.sort(np.array(pairs, np.int64).reshape(-1, 2), axis=1)
-        return pa.RecordBatch.from_arrays([pa.array(ab[:, 0]), pa.array(ab[:, 1]), pa.nulls(len(ab), pa.int64())], ["a", "b", "cut"])
-
-    def cuts(buckets: list[int]) -> pa.RecordBatch:
-        none = pa.nulls(len(buckets), pa.int64())
-        return pa.RecordBatch.from_arrays([none, none, pa.array(buckets, pa.int64())], ["a", "b", "cut"])
-
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        rows = [np.concatenate([h, batch[c].to_numpy(zero_copy_only=False)]) for h, c in zip(held, ("node", "sim", "bucket"))]
-        if last is None:
-            yield cuts([int(rows[2][0])])
-        last = int(rows[2][-1])
-        whole = len(rows[2]) - int((rows[2] == last).sum())
-        if whole:
-            yield solved(rows[0][:whole], rows[1][:whole].view(np.uint64), rows[2][:whole])
-        held = tuple(x[whole:] for x in rows)
-    if last is not None:
-        yield solved(held[0], held[1].view(np.uint64), held[2])
-        yield cuts([last])  # a task with one bucket marks it twice, which only costs a join
+def _close_pairs(threshold: float):
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Spanning pairs (a, b) of the close nodes of each bucket in rows sorted by key. Also, with ``key``, the rows
+        (node, sim) of the first and last bucket of the task, whose other rows may be elsewhere."""
+        held, first = (np.zeros(0, np.int64),) * 3, None
+
+        def solved(node: np.ndarray, sim: np.ndarray, key: np.ndarray) -> pa.RecordBatch:
+            bucket, size, sim = key >> _SIZE_BITS, key & (1 << _SIZE_BITS) - 1, sim.view(np.uint64)
+            edge = np.flatnonzero(bucket[1:] != bucket[:-1]) + 1
+            start, end = np.concatenate([[0], edge]), np.append(edge, len(bucket))
+            i = start[end - start == 2]
+            i = i[_near(sim[i], size[i], sim[i + 1], size[i + 1], threshold)]
+            found = list(zip(node[i].tolist(), node[i + 1].tolist()))
+            for r in np.flatnonzero(end - start > 2):
+                own = slice(start[r], end[r])
+                found += _spanning(node[own], sim[own], size[own], threshold)
+            ab = np.sort(np.array(found, np.int64).reshape(-1, 2), axis=1)
+            return pa.RecordBatch.from_arrays([pa.array(ab[:, 0]), pa.array(ab[:, 1]), pa.nulls(len(ab), pa.int64())], ["a", "b", "key"])
+
+        def cut(rows: tuple[np.ndarray, ...], bucket: int) -> pa.RecordBatch:
+            own = rows[2] >> _SIZE_BITS == bucket
+            return pa.RecordBatch.from_arrays([pa.array(x[own]) for x in rows], ["a", "b", "key"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = tuple(np.concatenate([h, batch[c].to_numpy(zero_copy_only=False)]) for h, c in zip(held, ("node", "sim", "key")))
+            last = int(rows[2][-1]) >> _SIZE_BITS
+            whole = int(np.searchsorted(rows[2] >> _SIZE_BITS, last))
+            if whole:
+                if first is None:
+                    first = int(rows[2][0]) >> _SIZE_BITS
+                    yield cut(rows, first)
+                yield solved(*(x[:whole] for x in rows))
+            held = tuple(x[whole:] for x in rows)
+        if len(held[0]):
+            yield solved(*held)
+            yield cut(held, int(held[2][0]) >> _SIZE_BITS)
+
+    return pairs
 
 
 def _with_least(rows: DataFrame) -> DataFrame:
-    """``rows`` of buckets that have two or more, with the least node of each."""
+    """Rows (node, sim, key) with bucket and size, of buckets that have two or more, with the least node of each."""
+    rows = rows.select("node", "sim", _bucket("key").alias("bucket"), F.col("key").bitwiseAND((1 << _SIZE_BITS) - 1).alias("size"))
     least = rows.groupBy("bucket").agg(F.min("node").alias("least"), F.count("*").alias("m")).filter("m > 1").drop("m")
     return rows.join(least, "bucket")
 
@@ -315,33 +356,35 @@ class LineDuplicates:
         found = written(found.withColumn("row", F.monotonically_increasing_id()), "lines")
         place = F.struct("id", "_d1", "_d2", "line")
         nodes = written(found.groupBy("k1", "k2").agg(F.min("row").alias("node"), F.min(place).alias("place"), F.count("*").alias("n"),
-                                                      F.min("sim").alias("sim"), F.bool_or("many").alias("many")), "line-nodes")
+                                                      F.min("sim").alias("sim"), F.max("size").alias("size")), "line-nodes")
 
-        rows = nodes.filter("many").select("node", "sim", F.explode(_blocks(F.col("sim"))).alias("bucket"))
-        found_pairs = written(rows.repartitionByRange("bucket", "sim", "node").sortWithinPartitions("bucket", "sim", "node")
-                              .mapInArrow(_close_pairs, "a long, b long, cut long"), "line-pairs")
-        pairs = found_pairs.filter("cut IS NULL").select("a", "b").distinct()
+        found_pairs = _rows(nodes).repartitionByRange("key", "node").sortWithinPartitions("key").mapInArrow(_close_pairs(threshold), "a long, b long, key long")
+        found_pairs = written(found_pairs.withColumn("task", F.spark_partition_id()), "line-pairs")
+        pairs = found_pairs.filter("key IS NULL").select("a", "b").distinct()
         # buckets that the ranges cut: their parts are compared with each other by joins
-        cut = written(found_pairs.filter("cut IS NOT NULL").groupBy(F.col("cut").alias("bucket")).agg(F.count("*").alias("m"))
-                      .filter("m > 1").select("bucket"), "line-cuts")
-        meeting = _with_least(rows.join(cut, "bucket"))
-        across = self._across(meeting, written(connected(written(pairs, "line-pairs"), "a", "b"), "line-roots"))
+        edge = found_pairs.filter("key IS NOT NULL").select(F.col("a").alias("node"), F.col("b").alias("sim"), "key", "task")
+        cut = written(edge.groupBy(_bucket("key").alias("bucket")).agg(F.min("task").alias("one"), F.max("task").alias("other"))
+                      .filter("one <> other").select("bucket"), "line-cuts")
+        meeting = _with_least(edge.join(cut, _bucket("key") == F.col("bucket"), "left_semi"))
+        pairs = written(pairs, "line-pairs")
+        across = self._across(meeting, written(connected(pairs, "a", "b"), "line-roots"), threshold)
         pairs = written(pairs.unionAll(across).distinct(), "line-pairs")
         # every node that is close to another has a place in these pairs
         ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        ends = written(nodes.select("k1", "k2", "node").join(ends, "node", "left_semi"), "line-ends")
+        ends = written(nodes.join(ends, "node", "left_semi"), "line-ends")
         text = docs.select(F.explode(_line_texts(F.col(f"`{text}`").cast("string"), Bloom(ends))).alias("s")).select("s.*")
-        texts = written(text.dropDuplicates(["k1", "k2"]).join(ends, ["k1", "k2"]).select("node", "words"), "line-texts")
+        texts = written(text.dropDuplicates(["k1", "k2"]).join(ends.select("k1", "k2", "node"), ["k1", "k2"]).select("node", "words"), "line-texts")
         first = written(self._verified(texts, pairs, threshold), "line-links")
         root = written(connected(first, "a", "b"), "line-roots")
-        near = _with_least(written(rows.join(ends.select("node"), "node", "left_semi"), "line-near"))
-        again = written(self._across(near, root).join(pairs, ["a", "b"], "left_anti"), "line-pairs")
+        near = _with_least(written(self._divided(pairs, ends, root, cut), "line-near"))
+        again = written(self._across(near, root, threshold).join(pairs, ["a", "b"], "left_anti"), "line-pairs")
         self.links = written(first.unionAll(self._verified(texts, again, threshold)), "line-links")
 
         root = connected(self.links, "a", "b")
-        nodes = nodes.join(root, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        groups = nodes.groupBy("root").agg(F.min("place").alias("keep"), F.sum("n").alias("times")).filter("times > 1")
-        repeated = nodes.join(groups, "root").select("k1", "k2", "keep")
+        linked = written(ends.join(root, "node"), "line-linked")
+        groups = linked.groupBy("root").agg(F.min("place").alias("keep"))
+        alone = nodes.filter("n > 1").join(linked.select("node"), "node", "left_anti")
+        repeated = linked.join(groups, "root").select("k1", "k2", "keep").unionAll(alone.select("k1", "k2", F.col("place").alias("keep")))
         self.gone = written(found.join(repeated, ["k1", "k2"]).filter(~place.eqNullSafe(F.col("keep")))
                             .groupBy("id", "_d1", "_d2").agg(F.collect_set("line").alias("lines")), "lines-gone")
 
@@ -351,15 +394,27 @@ class LineDuplicates:
         return docs.withColumn("_d1", F.xxhash64(*own)).withColumn("_d2", F.xxhash64(F.lit(1), *own))
 
     @staticmethod
-    def _across(shared: DataFrame, roots: DataFrame) -> DataFrame:
+    def _divided(pairs: DataFrame, ends: DataFrame, roots: DataFrame, cut: DataFrame) -> DataFrame:
+        """Rows (node, sim, key) of the buckets in which nodes of a pair that are still apart meet, and of those in ``cut``.
+        In all other buckets the pairs join whatever is close."""
+        buckets = lambda c: F.transform(_keys(F.col(f"{c}.sim"), F.lit(0)), lambda k: _bucket(k))
+        side = lambda c: ends.join(roots, "node", "left").select(
+            F.col("node").alias(c), F.struct(F.coalesce("root", "node").alias("root"), "sim").alias(f"of_{c}"))
+        apart = pairs.join(side("a"), "a").join(side("b"), "b").filter("of_a.root <> of_b.root")
+        divided = apart.select(F.explode(F.array_intersect(buckets("of_a"), buckets("of_b"))).alias("bucket")).unionAll(cut).distinct()
+        return _rows(ends).join(divided, _bucket("key") == F.col("bucket"), "left_semi")
+
+    @staticmethod
+    def _across(shared: DataFrame, roots: DataFrame, threshold: float) -> DataFrame:
         """Close pairs (a, b) in which a node that is in another component than the least node of its
         bucket meets a node of the bucket outside its component."""
         placed = shared.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         of_least = roots.select(F.col("node").alias("least"), F.col("root").alias("least_root"))
         placed = written(placed.join(of_least, "least", "left").withColumn("least_root", F.coalesce("least_root", "least")), "line-placed")
         left = placed.filter("root <> least_root").select(F.col("bucket").alias("x_bucket"), F.col("node").alias("x"), F.col("root").alias("x_root"),
-                                                          F.col("sim").alias("x_sim"))
-        met = left.join(placed, (F.col("x_bucket") == F.col("bucket")) & (F.col("root") != F.col("x_root")) & _close("sim", "x_sim"))
+                                                          F.col("sim").alias("x_sim"), F.col("size").alias("x_size"))
+        met = left.join(placed, (F.col("x_bucket") == F.col("bucket")) & (F.col("root") != F.col("x_root"))
+                        & _close("sim", "x_sim", "size", "x_size", threshold))
         return met.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
 
     @staticmethod

@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from orrery.llm.bloom import Bloom
-from orrery.llm.line_dedup import DISTANCE, LineDuplicates, alike, edit_similarity, levenshtein, line_sketches, normalised, simhashes
+from orrery.llm.line_dedup import DISTANCE, LineDuplicates, alike, edit_similarity, levenshtein, line_sizes, line_sketches, normalised, simhashes
 from orrery.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.01"
@@ -150,3 +150,37 @@ def test_simhashes_of_short_and_long_ranges():
     first, count = np.array([0, 0, 5, 100, 0]), np.array([0, 1, 2, 501, 40_000])
     for s, a, n in zip(simhashes(h, first, count).tolist(), first, count):
         assert s == sum(1 << k for k in range(64) if 2 * sum(int(x) >> k & 1 for x in h[a:a + n].tolist()) > n)
+
+
+def test_line_sizes():
+    texts = ["A b, c 12 d\n\nx", "", "a B  c. 98 d!\na b c 00 d e\r\n", "éÉ a\n日本 語, \x00 z"]
+    raw, off = flatten(texts)
+    ln, _, count, _, _ = line_sketches(raw, off)
+    assert line_sizes(raw, ln, count).tolist() == [len(normalised(x)) for t in texts for x in t.split("\n")]
+
+
+def test_lines_of_one_hash_and_unlike_lengths_are_no_pairs(spark, monkeypatch):
+    verified, compared = LineDuplicates._verified, []
+    monkeypatch.setattr(LineDuplicates, "_verified", staticmethod(lambda texts, pairs, threshold: compared.append(pairs.count()) or verified(texts, pairs, threshold)))
+    sizes = [1, 2, 3, 4, 5, 6, 8, 10, 12, 15, 18, 22, 26, 31, 37, 44, 52, 62, 74, 88]  # a sixth and more apart
+    rows = [(i, " ".join(["one two three four five six seven"] * n)) for i, n in enumerate(sizes)]
+    rows += [(100, rows[9][1].replace("seven", "sevem", 1))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.text for r in LineDuplicates(docs).apply(docs).collect()}
+    assert got == {d: left for (d, _), left in brute(rows)[0].items()} and got[100] == ""
+    assert sum(compared) <= len(rows)
+
+
+def test_spans_that_the_edit_check_divides(spark):
+    """Lines of the same words in other orders have one hash and one length: each order with its own near copies."""
+    rng = np.random.default_rng(4)
+    words = [f"{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10]}w" for i in range(60)]
+    rows = []
+    for g in range(12):
+        order = list(rng.permutation(words))
+        rows += [(10 * g + k, " ".join([*order, *(["and"] * k)])) for k in range(3)]
+    rows = [rows[i] for i in rng.permutation(len(rows))]
+    want, links = brute(rows)
+    assert links >= 12
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: r.text for r in LineDuplicates(docs).apply(docs).collect()} == {d: left for (d, _), left in want.items()}
