@@ -1,10 +1,12 @@
-"""Modified Kneser-Ney model of byte symbols in sorted hash arrays.
-
-Bytes are folded onto 64 symbols, so an n-gram of ``ORDER`` = 4 symbols is a number of 24
-bits (its own perfect hash). That bounds a model at 2**24 entries whatever the corpus, so
-the counts may be gathered and the model broadcast. For each order the n-grams seen are a
-sorted array of these numbers, with the interpolated probability beside them, and the
-contexts a sorted array with their back-off weights; look-ups are binary searches.
+"""Modified Kneser-Ney model of characters in sorted arrays.
+
+Symbols are the 16-bit units of UTF-16, so every character is told from every other (one
+outside the basic plane is two symbols), and an n-gram of ``ORDER`` = 4 symbols is a
+number of 64 bits (its own perfect hash). The counts are gathered and the model is
+broadcast: both have an entry for each different n-gram, whatever the number of documents.
+For each order the n-grams seen are a sorted array of these numbers, with the interpolated
+probability beside them, and the contexts a sorted array with their back-off weights;
+look-ups are binary searches.
 """
 
 from __future__ import annotations
@@ -17,59 +19,78 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .textbytes import SPACE, flat, release, slices
+from .textbytes import flat, release, slices
 
-ORDER, BITS = 4, 6
+ORDER, BITS = 4, 16
 SLICE = 1 << 20  # bytes at a time: the arrays over a slice take some fifty times as much
-_SPACE_SYMBOL = 32
 
 
 def _fold() -> np.ndarray:
-    """Symbol of each byte: small letters each their own, capitals in six groups, white
-    space, digits, fourteen groups of other ASCII, sixteen groups of the other bytes."""
+    """The bits of a code point that each byte of UTF-8 holds; an ASCII byte is a code point."""
     byte = np.arange(256)
-    out = np.where(byte < 128, 34 + byte % 14, 48 + byte % 16)
-    out[48:58] = 33
-    out[65:91] = 26 + (byte[65:91] - 65) // 5
-    out[97:123] = byte[97:123] - 97
-    out[SPACE] = _SPACE_SYMBOL
-    return out.astype(np.int32)
+    return np.select([byte < 0x80, byte < 0xC0, byte < 0xE0, byte < 0xF0], [byte, byte & 0x3F, byte & 0x1F, byte & 0x0F], byte & 0x07).astype(np.uint32)
 
 
 FOLD = _fold()
 
 
-def ngrams(raw: np.ndarray, off: np.ndarray, order: int = ORDER) -> np.ndarray:
-    """The n-gram that ends at each byte; before a text stands white space."""
+def symbols(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """UTF-16 units of all texts, and the offsets of the texts in them."""
+    more = (raw & 0xC0) == 0x80
+    start = np.flatnonzero(~more)
+    point, at = FOLD[raw[start]], np.searchsorted(start, off)
+    wide = np.flatnonzero(raw[start] >= 0xC0)
+    for k, lead in enumerate((0xC0, 0xE0, 0xF0), 1):
+        wide = wide[raw[start[wide]] >= lead]
+        wide = wide[start[wide] + k < len(raw)]
+        wide = wide[more[start[wide] + k]]
+        point[wide] = (point[wide] << 6) | FOLD[raw[start[wide] + k]]
+    two = point > 0xFFFF
+    if two.any():
+        at = at + np.concatenate([[0], np.cumsum(two)])[at]
+        place = np.flatnonzero(two) + np.arange(two.sum())
+        rest = point[two] - 0x10000
+        point = np.repeat(point, 1 + two)
+        point[place], point[place + 1] = 0xD800 + (rest >> 10 & 0x3FF), 0xDC00 + (rest & 0x3FF)
+    return point, at
+
+
+def ngrams_of(units: np.ndarray, off: np.ndarray, order: int = ORDER) -> np.ndarray:
+    """The n-gram that ends at each symbol; before a text stands the symbol 0."""
     pad = order - 1
-    own = np.arange(len(raw)) + pad * np.repeat(np.arange(len(off) - 1), np.diff(off))
-    symbols = np.full(len(raw) + pad * (len(off) - 1), _SPACE_SYMBOL, np.int32)
-    symbols[own + pad] = FOLD[raw]
-    keys = np.zeros(max(len(symbols) - pad, 0), np.int32)
+    own = np.arange(len(units)) + pad * np.repeat(np.arange(len(off) - 1), np.diff(off))
+    padded = np.zeros(len(units) + pad * (len(off) - 1), np.uint64)
+    padded[own + pad] = units
+    keys = np.zeros(max(len(padded) - pad, 0), np.uint64)
     for k in range(order):
-        keys = (keys << BITS) | symbols[k:len(symbols) - pad + k]
+        keys = (keys << np.uint64(BITS)) | padded[k:len(padded) - pad + k]
     return keys[own]
 
 
+def ngrams(raw: np.ndarray, off: np.ndarray, order: int = ORDER) -> np.ndarray:
+    """The n-gram that ends at each symbol of texts in UTF-8."""
+    return ngrams_of(*symbols(raw, off), order)
+
+
 def count_ngrams(docs: DataFrame, text: str = "text") -> tuple[np.ndarray, np.ndarray]:
     """Sorted n-grams of all texts and their counts: summed in each task, then by key."""
 
     def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, n = np.zeros(0, np.int32), np.zeros(0, np.int64)
+        keys, n = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         for batch in batches:
             for texts in slices(batch.column(0), SLICE):
                 more, times = np.unique(ngrams(*flat(texts)), return_counts=True)
                 keys, at = np.unique(np.concatenate([keys, more]), return_inverse=True)
                 n = np.bincount(at, np.concatenate([n, times]), len(keys)).astype(np.int64)
         if len(keys):
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n)], ["key", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n)], ["key", "n"])
         release()
 
-    table = (docs.select(F.col(f"`{text}`").cast("string").alias("text")).mapInArrow(counts, "key int, n long")
+    table = (docs.select(F.col(f"`{text}`").cast("string").alias("text")).mapInArrow(counts, "key long, n long")
              .groupBy("key").agg(F.sum("n").alias("n"))).toArrow()
-    keys, n = table["key"].to_numpy(), table["n"].to_numpy()
+    keys, n = table["key"].to_numpy().view(np.uint64), table["n"].to_numpy()
     order = np.argsort(keys)
-    return keys[order].astype(np.int32), n[order].astype(np.int64)
+    return keys[order], n[order].astype(np.int64)
 
 
 @dataclass
@@ -97,15 +118,16 @@ class KneserNey:
             left = np.bincount(at, d, len(context)) / np.maximum(total, 1)
             below = np.zeros(len(gram), np.int64) if n == 1 else np.searchsorted(model.grams[-1], gram & ((1 << BITS * (n - 1)) - 1))
             p = (c - d) / total[at] + left[at] * lower[below] if len(gram) else np.zeros(0)
-            model.grams.append(gram.astype(np.int32))
+            model.grams.append(gram)
             model.logp.append(np.log2(p))
-            model.contexts.append(context.astype(np.int32))
+            model.contexts.append(context)
             model.backoff.append(np.log2(left))
             lower = p
         return model
 
     def log2_probability(self, grams: np.ndarray) -> np.ndarray:
         """log2 probability of the last symbol of each n-gram after the others."""
+        grams = grams.astype(np.uint64)
         out, todo, weight = np.empty(len(grams)), np.arange(len(grams)), 0.0
         for n in range(len(self.grams), 0, -1):
             key = grams[todo] & ((1 << BITS * n) - 1)

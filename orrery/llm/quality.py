@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .kneser_ney import SLICE, KneserNey, ngrams
+from .kneser_ney import SLICE, KneserNey, ngrams_of, symbols
 from .tables import aside, written
 from .textbytes import SPACE, flat, hashes, lines, mix, release, slices, windows, words
 
@@ -74,7 +74,8 @@ def measured(docs: DataFrame, model: KneserNey, text: str = "text", into: str =
             for texts in slices(batch, SLICE):
                 raw, off = flat(texts)
                 out = text_measures(raw, off)
-                total = np.concatenate([[0.0], np.cumsum(-shared.value.log2_probability(ngrams(raw, off)))])[off]
+                units, at = symbols(raw, off)
+                total = np.concatenate([[0.0], np.cumsum(-shared.value.log2_probability(ngrams_of(units, at)))])[at]
                 size = np.diff(off)
                 bits = np.diff(total) / np.maximum(size, 1)
                 parts.append(pa.StructArray.from_arrays([*(pa.array(v, pa.int64()) for v in out.values()), pa.array(bits, mask=size == 0)],

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 
 from orrery.llm.kneser_ney import BITS, FOLD, ORDER, KneserNey, ngrams
-from orrery.llm.kneser_ney import train
+from orrery.llm.kneser_ney import symbols, train
 from orrery.llm.quality import bands, judged, measured, text_measures
 from orrery.llm.queries import QUERIES
 from orrery.llm.textbytes import hashes, lines, words
@@ -85,6 +85,15 @@ def test_model_against_a_plain_kneser_ney():
     assert FOLD.max() < 1 << BITS
 
 
+def test_every_character_is_a_symbol_of_its_own():
+    texts = [*ODD, "é è E D ß 0 1 \n\t", "", "a😀b\U0010ffff", "\uffff\ue000"]
+    units, at = symbols(*flatten(texts))
+    for i, t in enumerate(texts):
+        assert units[at[i]:at[i + 1]].astype("<u2").tobytes().decode("utf-16-le") == t
+    every = [chr(c) for c in range(1, 0x2FFF)]
+    assert len(set(ngrams(*flatten(every)).tolist())) == len(every)
+
+
 def test_query(spark):
     docs = {r.doc_id: r for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     good = {r.doc_id for r in spark.read.parquet(f"{SF}/labels.parquet").filter("quality = 1").collect()}
