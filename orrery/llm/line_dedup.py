@@ -45,6 +45,7 @@ from .textbytes import Runs, flat, hashes, lines, mix, release, slices, words
 DISTANCE, BLOCKS = 3, 5
 SLICE = 1 << 20  # bytes at a time
 _SIZE_BITS = 32
+_FEW = 24
 _EDGES = np.linspace(0, 64, BLOCKS + 1).round().astype(int)
 _NORMAL = np.full(256, 32, np.uint8)
 _NORMAL[48:58] = 48
@@ -310,7 +311,16 @@ def _close_pairs(threshold: float):
             i = start[end - start == 2]
             i = i[_near(sim[i], size[i], sim[i + 1], size[i + 1], threshold)]
             found = list(zip(node[i].tolist(), node[i + 1].tolist()))
-            for r in np.flatnonzero(end - start > 2):
+            many = end - start > 2
+            few = many & (end - start <= _FEW)  # most of these hold no close nodes: all are compared at once
+            row = np.flatnonzero(np.repeat(few, end - start))
+            left, some = np.repeat(end, end - start)[row] - row, np.zeros(len(bucket), bool)
+            for k in range(1, _FEW):
+                row, left = row[left > k], left[left > k]
+                some[row] |= _near(sim[row], size[row], sim[row + k], size[row + k], threshold)
+            if len(start):
+                many &= ~few | np.logical_or.reduceat(some, start)
+            for r in np.flatnonzero(many):
                 own = slice(start[r], end[r])
                 found += _spanning(node[own], sim[own], size[own], threshold)
             ab = np.sort(np.array(found, np.int64).reshape(-1, 2), axis=1)
