@@ -20,6 +20,12 @@ Of all these pairs, those go whose signatures of either kind both agree in far t
 components (four standard deviations below the threshold); the others are verified on their
 whole shingle sets. Signatures hold two bits of each of ``components`` components.
 
+Beside them each node has ``PARITIES`` bits, each the parity of the number of its distinct
+shingles that fall on it. Two nodes differ in no more bits than shingles, so bits that differ
+too often rule a Jaccard similarity of ``threshold`` out for certain. Where neither text
+repeats a shingle, that is the probability Jaccard similarity as well. This parts the members
+of a large group whose copies are a little too far from each other, without their texts.
+
 A document without words is a class by itself. Nothing is gathered on the driver or by
 key: links, components and texts stay tables, and hot keys are join keys that can be split.
 """
@@ -38,11 +44,14 @@ from .bloom import Bloom
 from .components import connected
 from .probminhash import band_hashes, shingles, signatures, similarities
 from .tables import aside, written
-from .textbytes import flat, release, slices
+from .textbytes import flat, mix, release, slices
 
 _LONGS = pa.list_(pa.int64())
-_SKETCH = pa.struct([("k1", pa.int64()), ("k2", pa.int64()), ("n", pa.int64()), ("bands", _LONGS), ("sig", _LONGS)])
+_SKETCH = pa.struct([("k1", pa.int64()), ("k2", pa.int64()), ("n", pa.int64()), ("bands", _LONGS), ("sig", _LONGS),
+                    ("odd", _LONGS), ("heavy", pa.bool_())])
 PER_LONG = 32  # components in a long, two bits each
+LOG_PARITIES = 10
+PARITIES = 1 << LOG_PARITIES
 SLICE = 1 << 20
 
 
@@ -56,12 +65,20 @@ def both_signatures(n: int, owner: np.ndarray, ids: np.ndarray, weight: np.ndarr
     return sig, unit
 
 
+def parities(n: int, owner: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """n x (PARITIES / 64) longs of parity bits of each text's distinct shingles."""
+    out, bit = np.zeros(n * (PARITIES >> 6), np.uint64), mix(ids) >> np.uint64(64 - LOG_PARITIES)
+    np.bitwise_xor.at(out, owner * (PARITIES >> 6) + (bit >> np.uint64(6)).astype(np.int64), np.uint64(1) << (bit & np.uint64(63)))
+    return out.reshape(n, PARITIES >> 6)
+
+
 def sketches(text: Column, width: int, bands: int, rows: int, components: int) -> Column:
     """Struct of each text: word hashes k1 and k2, number n of distinct shingles, hashes of the bands of the first
-    components, and two bits of every component; bands and bits of the weighted shingles, then of those with weight 1."""
+    components, and two bits of every component; bands and bits of the weighted shingles, then of those with weight 1;
+    parity bits, and whether a shingle repeats."""
     longs = components // PER_LONG
 
-    @F.arrow_udf("struct<k1:long,k2:long,n:long,bands:array<long>,sig:array<long>>")
+    @F.arrow_udf("struct<k1:long,k2:long,n:long,bands:array<long>,sig:array<long>,odd:array<long>,heavy:boolean>")
     def udf(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             parts = [pa.array([], _SKETCH)]
@@ -74,8 +91,9 @@ def sketches(text: Column, width: int, bands: int, rows: int, components: int) -
                 parts.append(pa.StructArray.from_arrays(
                     [pa.array(keys[0].view(np.int64)), pa.array(keys[1].view(np.int64)), pa.array(np.bincount(owner, minlength=len(texts))),
                      lists(np.concatenate([band_hashes(sig[:, :bands * rows], bands) for sig in sigs], axis=1)),
-                     lists(np.concatenate([np.bitwise_or.reduce(x, axis=2) for x in low], axis=1))],
-                    ["k1", "k2", "n", "bands", "sig"]).cast(_SKETCH))
+                     lists(np.concatenate([np.bitwise_or.reduce(x, axis=2) for x in low], axis=1)),
+                     lists(parities(len(texts), owner, ids)), pa.array(np.bincount(owner[weight > 1], minlength=len(texts)) > 0)],
+                    ["k1", "k2", "n", "bands", "sig", "odd", "heavy"]).cast(_SKETCH))
             yield pa.concat_arrays(parts)
             del batch, parts
         release()
@@ -110,9 +128,19 @@ def _agreement(a: str, b: str, longs: int, first: int = 0) -> Column:
     return sum((one(i) for i in range(first + 1, first + longs)), one(first))
 
 
-def _may_link(a: str, b: str, longs: int, least: int) -> Column:
-    """Whether the weighted signatures or those of weight 1 agree in ``least`` components."""
-    return (_agreement(a, b, longs) >= least) | (_agreement(a, b, longs, longs) >= least)
+def _apart(a: str, b: str) -> Column:
+    """In how many parity bits two nodes differ: at most the number of shingles that only one of them has."""
+    one = lambda i: F.bit_count(F.col(f"{a}_odd{i}").bitwiseXOR(F.col(f"{b}_odd{i}")))
+    return sum((one(i) for i in range(1, PARITIES >> 6)), one(0))
+
+
+def _may_link(a: str, b: str, longs: int, least: int, threshold: float) -> Column:
+    """Whether the signatures of weight 1 agree in ``least`` components and the parity bits allow the Jaccard similarity,
+    or the weighted signatures agree so. If no shingle repeats, both similarities are one, and the former decides.
+    The small number is for rounding: the verification decides."""
+    near = _apart(a, b) <= (F.col(f"{a}_n") + F.col(f"{b}_n")) * ((1 - threshold) / (1 + threshold)) + 1e-6
+    heavy = F.col(f"{a}_heavy") | F.col(f"{b}_heavy")
+    return (near & (_agreement(a, b, longs, longs) >= least)) | (heavy & (_agreement(a, b, longs) >= least))
 
 
 def _alike(a: Column, b: Column, width: int) -> Column:
@@ -158,7 +186,8 @@ class NearDuplicates:
         sketch = docs.select(F.col(f"`{id_column}`").alias("id"), sketches(t, width, bands, rows, components).alias("s"))
         self.sketch = written(sketch.select("id", "s.*", F.monotonically_increasing_id().alias("row")), "sketches")
         self.nodes = written(self.sketch.filter("n > 0").groupBy("k1", "k2").agg(
-            F.min("row").alias("node"), F.min("id").alias("first"), F.first("bands").alias("bands"), F.first("sig").alias("sig")), "nodes")
+            F.min("row").alias("node"), F.min("id").alias("first"), F.first("bands").alias("bands"), F.first("sig").alias("sig"),
+            F.first("odd").alias("odd"), F.first("n").alias("n"), F.first("heavy").alias("heavy")), "nodes")
         further = lambda k: F.transform("bands", lambda x, i: F.get("bands", i - i % F.lit(bands) + (i + k) % F.lit(bands)))
         # a band of the shingles with weight 1 counts where it differs from the weighted one
         fresh = (F.col("band") < bands) | (F.col("x.bucket") != F.get("bands", F.col("band") - bands))
@@ -197,20 +226,21 @@ class NearDuplicates:
         # a pair counts in the first band that it shares
         again = F.arrays_overlap(F.slice("x_bands", F.lit(1), F.col("band")), F.slice("y_bands", F.lit(1), F.col("band")))
         cross = own.join(other, (F.col("bucket") == F.col("y_bucket")) & (F.col("x_root") != F.col("root"))
-                         & _may_link("x", "y", self.longs, self.least) & ~again)
+                         & _may_link("x", "y", self.longs, self.least, self.threshold) & ~again)
         cross = cross.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
         self._join(self._exactly(written(cross, "crossing")))
 
     def _signed(self, rows: DataFrame, node: str, prefix: str, bands: bool = False) -> DataFrame:
-        """``rows`` with the signature of ``node`` in columns prefix0, prefix1, ..., and its bands if wanted."""
+        """``rows`` with the signature of ``node`` in columns prefix0, prefix1, ..., what else _may_link() needs, and its bands if wanted."""
         sig = [F.col("sig")[i].alias(f"{prefix}{i}") for i in range(2 * self.longs)]
+        sig += [F.col("odd")[i].alias(f"{prefix}_odd{i}") for i in range(PARITIES >> 6)] + [F.col(c).alias(f"{prefix}_{c}") for c in ("n", "heavy")]
         more = [F.col("bands").alias(f"{prefix}_bands")] if bands else []
         return rows.join(self.nodes.select(F.col("node").alias(node), *sig, *more), node)
 
     def _verified(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) whose signatures, and then texts, are alike enough."""
         signed = self._signed(self._signed(pairs, "a", "x"), "b", "y")
-        return self._exactly(written(signed.filter(_may_link("x", "y", self.longs, self.least)).select("a", "b"), "candidates"))
+        return self._exactly(written(signed.filter(_may_link("x", "y", self.longs, self.least, self.threshold)).select("a", "b"), "candidates"))
 
     def _exactly(self, pairs: DataFrame) -> DataFrame:
         side = lambda c: self.texts.select(F.col("node").alias(c), F.col("text").alias(f"text_{c}"))

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 
 from orrery.llm.components import connected
-from orrery.llm.near_dup import NearDuplicates, drop_near_duplicates
+from orrery.llm.near_dup import NearDuplicates, drop_near_duplicates, parities
 from orrery.llm.probminhash import band_hashes, shingles, signatures, similarities, similarity
 from orrery.llm.queries import QUERIES
 
@@ -142,6 +142,34 @@ def test_repeated_passages(spark):
     assert got == brute_classes(texts) == {d: d - d % 3 for d in texts}
 
 
+def test_parities_bound_the_shingles_of_one_text_alone():
+    rng = np.random.default_rng(11)
+    sets = [np.unique(rng.integers(0, 1 << 44, n).astype(np.uint64)) for n in (0, 3, 40, 300, 5000)]
+    sets += [np.union1d(sets[3][20:], sets[2]), sets[4][:-7]]
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    odd = parities(len(sets), owner, np.concatenate(sets))
+    apart = np.array([[np.bitwise_count(x ^ y).sum() for x in odd] for y in odd])
+    alone = np.array([[len(np.setxor1d(x, y)) for x in sets] for y in sets])
+    assert (apart <= alone).all() and apart[4, 6] == 7 and apart[3, 5] > 55
+
+
+def test_large_groups_a_little_too_far_apart_are_not_verified_pair_by_pair(spark, monkeypatch):
+    rng = np.random.default_rng(12)
+    word = lambda: f"w{rng.integers(10**9)}"
+    base, texts = [word() for _ in range(400)], {}
+    for k in range(80):  # two of these differ in up to twelve words: a similarity of 0.74 and more
+        ws = list(base)
+        for i in rng.choice(79, 6, replace=False):
+            ws[5 * i + 2] = word()
+        texts[k] = " ".join(ws)
+    verified, plain = [], NearDuplicates._exactly
+    monkeypatch.setattr(NearDuplicates, "_exactly", lambda self, pairs: verified.append(pairs.count()) or plain(self, pairs))
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r.doc_id: r.class_id for r in NearDuplicates(df).documents().collect()}
+    assert got == brute_classes(texts) and len(set(got.values())) > 40
+    assert sum(verified) < 400
+
+
 def test_odd_tables(spark):
     long = " ".join(f"w{i}" for i in range(60_000))
     rows = [(1, "", "k"), (2, None, "k"), (2, None, "k"), (3, " \n", "k"), (4, "one two", "k"), (5, "One  two", None), (6, "one three", None),
