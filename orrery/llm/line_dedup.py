@@ -231,23 +231,36 @@ def _line_texts(text: Column, wanted: Bloom) -> Column:
 def _edit_alike(a: Column, b: Column, threshold: float) -> Column:
     @F.arrow_udf("boolean")
     def udf(x: pa.Array, y: pa.Array) -> pa.Array:
-        return pa.array([alike(p, q, threshold) for p, q in zip(x.to_pylist(), y.to_pylist())], pa.bool_())
+        out = pa.array([alike(p, q, threshold) for p, q in zip(x.to_pylist(), y.to_pylist())], pa.bool_())
+        release()
+        return out
 
     return udf(a, b)
 
 
-def _without(text: Column, gone: Column) -> Column:
-    """Text without the lines of the given numbers."""
-
-    @F.arrow_udf("string")
-    def udf(texts: pa.Array, numbers: pa.Array) -> pa.Array:
+def left_lines(texts: pa.Array, numbers: pa.Array) -> pa.Array:
+    """Texts without the lines of the given numbers; a slice of them at a time is held as Python strings."""
+    parts, at = [pa.array([], pa.string())], 0
+    for some in slices(texts, SLICE):
         out = []
-        for t, n in zip(texts.to_pylist(), numbers.to_pylist()):
+        for t, n in zip(some.to_pylist(), numbers.slice(at, len(some)).to_pylist()):
             if t is not None and n:
                 drop = set(n)
                 t = "\n".join(x for i, x in enumerate(t.split("\n")) if i not in drop)
             out.append(t)
-        return pa.array(out, pa.string())
+        parts.append(pa.array(out, pa.string()))
+        at += len(some)
+    return pa.concat_arrays(parts)
+
+
+def _without(text: Column, gone: Column) -> Column:
+    """Text without the lines of the given numbers."""
+
+    @F.arrow_udf("string")
+    def udf(texts: pa.Array, numbers: pa.Array) -> pa.Array:
+        out = left_lines(texts, numbers)
+        release()
+        return out
 
     return udf(text, gone)
 
@@ -345,6 +358,8 @@ def _close_pairs(threshold: float):
         if len(held[0]):
             yield solved(*held)
             yield cut(held, int(held[2][0]) >> _SIZE_BITS)
+        del held
+        release()
 
     return pairs
 

@@ -153,6 +153,7 @@ def _alike(a: Column, b: Column, width: int) -> Column:
             other, at = y.slice(at, len(some)), at + len(some)
             both = similarities(len(some), shingles(*flat(some), width)[:3], shingles(*flat(other), width)[:3])
             parts.append(both.max(axis=1))
+        release()
         return pa.array(np.concatenate(parts))
 
     return udf(a, b)

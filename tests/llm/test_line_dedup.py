@@ -1,14 +1,16 @@
 import hashlib
+import tracemalloc
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from orrery.llm.bloom import Bloom
-from orrery.llm.line_dedup import DISTANCE, LineDuplicates, alike, edit_similarity, levenshtein, line_sizes, line_sketches, normalised, simhashes
+from orrery.llm.line_dedup import DISTANCE, LineDuplicates, alike, edit_similarity, left_lines, levenshtein, line_sizes, line_sketches, normalised, simhashes
 from orrery.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.01"
@@ -184,3 +186,16 @@ def test_spans_that_the_edit_check_divides(spark):
     assert links >= 12
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert {r.doc_id: r.text for r in LineDuplicates(docs).apply(docs).collect()} == {d: left for (d, _), left in want.items()}
+
+
+def test_lines_go_from_a_slice_of_the_texts_at_a_time():
+    texts = pa.array([("a" * 99 + "\n") * 2000 + f"é{i}" for i in range(100)] + [None, "", "x\ny"])
+    numbers = pa.array([[0, 2000] if i % 2 else None for i in range(100)] + [[0], [0], [0]], pa.list_(pa.int32()))
+    tracemalloc.start()
+    got = left_lines(texts, numbers)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 10_000_000  # the texts have 20 MB
+    want = [("a" * 99 + "\n") * (2000 - 1) if i % 2 else ("a" * 99 + "\n") * 2000 + f"é{i}" for i in range(100)]
+    assert got.to_pylist() == [w[:-1] if i % 2 else w for i, w in enumerate(want)] + [None, "", "y"]
+    assert left_lines(texts.slice(0, 0), numbers.slice(0, 0)).to_pylist() == []
