@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import written
+from .tables import tidy, written
 
 
 def _stars(edges: DataFrame) -> bool:
     """Whether every node points at one node, and those at none: then these are the roots."""
     points = edges.unionAll(edges.select(F.col("v").alias("u"), "v"))
-    return points.groupBy("u").agg(F.min("v").alias("low"), F.max("v").alias("high")).filter("low <> high").isEmpty()
+    with tidy(edges.sparkSession):
+        return points.groupBy("u").agg(F.min("v").alias("low"), F.max("v").alias("high")).filter("low <> high").isEmpty()
 
 
 def connected(links: DataFrame, u: str = "u", v: str = "v") -> DataFrame:

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from .bloom import Bloom
 from .components import connected
-from .tables import aside, written
+from .tables import aside, keyed, written
 from .textbytes import Runs, flat, hashes, lines, mix, release, slices, words
 
 DISTANCE, BLOCKS = 3, 5
@@ -415,8 +415,7 @@ class LineDuplicates:
 
     def keyed(self, docs: DataFrame) -> DataFrame:
         """``docs`` with the hashes _d1 and _d2 of id and text, which name a document."""
-        own = (F.col(f"`{self.id}`"), F.col(f"`{self.text}`").cast("string"))
-        return docs.withColumn("_d1", F.xxhash64(*own)).withColumn("_d2", F.xxhash64(F.lit(1), *own))
+        return keyed(docs, self.id, self.text)
 
     @staticmethod
     def _divided(pairs: DataFrame, ends: DataFrame, roots: DataFrame, cut: DataFrame) -> DataFrame:
@@ -454,17 +453,17 @@ class LineDuplicates:
         number of lines that went in column ``removed`` if given; documents that lose nothing do not move."""
         into = into or self.text
         docs, back = aside(docs, (self.id, self.text), tuple(c for c in (into, removed) if c))
-        keyed = self.keyed(docs)
+        all_ = self.keyed(docs)
         some = Bloom(self.gone, "_d1", "_d2")
 
         @F.arrow_udf("boolean")
         def may_lose(d1: pa.Array, d2: pa.Array) -> pa.Array:
             return pa.array(some.might_hold(d1.to_numpy(zero_copy_only=False), d2.to_numpy(zero_copy_only=False)))
 
-        keyed = keyed.withColumn("_may", may_lose("_d1", "_d2"))
+        all_ = all_.withColumn("_may", may_lose("_d1", "_d2"))
         text = F.col(f"`{self.text}`").cast("string")
         names = [F.col(f"`{n}`") for n in dict.fromkeys([*docs.columns, into, *([removed] if removed else [])])]
-        still, cut = keyed.filter("not _may"), keyed.filter("_may").join(self.gone.select("_d1", "_d2", "lines"), ["_d1", "_d2"], "left")
+        still, cut = all_.filter("not _may"), all_.filter("_may").join(self.gone.select("_d1", "_d2", "lines"), ["_d1", "_d2"], "left")
         left = _without(text, F.col("lines"))
         if removed:
             still = still.withColumn(removed, F.lit(0).cast("long"))

@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from .bloom import Bloom
 from .components import connected
 from .probminhash import band_hashes, shingles, signatures, similarities
-from .tables import aside, written
+from .tables import aside, keyed, written
 from .textbytes import flat, mix, release, slices
 
 _LONGS = pa.list_(pa.int64())
@@ -184,10 +184,11 @@ class NearDuplicates:
         same = threshold + (1 - threshold) / 4  # two bits of other shingles agree in a quarter of the cases
         self.least = math.floor(components * same - 4 * math.sqrt(components * same * (1 - same)))
         t = F.col(f"`{text}`")
-        sketch = docs.select(F.col(f"`{id_column}`").alias("id"), sketches(t, width, bands, rows, components).alias("s"))
-        self.sketch = written(sketch.select("id", "s.*", F.monotonically_increasing_id().alias("row")), "sketches")
+        sketch = keyed(docs, id_column, text).select(F.col(f"`{id_column}`").alias("id"), F.col("_d1").alias("d1"), F.col("_d2").alias("d2"),
+                                                     sketches(t, width, bands, rows, components).alias("s"))
+        self.sketch = written(sketch.select("id", "d1", "d2", "s.*", F.monotonically_increasing_id().alias("row")), "sketches")
         self.nodes = written(self.sketch.filter("n > 0").groupBy("k1", "k2").agg(
-            F.min("row").alias("node"), F.min("id").alias("first"), F.first("bands").alias("bands"), F.first("sig").alias("sig"),
+            F.min("row").alias("node"), F.min("id").alias("first"), F.count("*").alias("copies"), F.first("bands").alias("bands"), F.first("sig").alias("sig"),
             F.first("odd").alias("odd"), F.first("n").alias("n"), F.first("heavy").alias("heavy")), "nodes")
         further = lambda k: F.transform("bands", lambda x, i: F.get("bands", i - i % F.lit(bands) + (i + k) % F.lit(bands)))
         # a band of the shingles with weight 1 counts where it differs from the weighted one
@@ -198,8 +199,8 @@ class NearDuplicates:
         shared = written(rows_.join(least, "bucket"), "buckets")
         keys = self.nodes.select("k1", "k2", "node").join(shared.select("node").distinct(), "node", "left_semi")
         wanted = written(keys, "wanted")
-        keyed = docs.select(t.cast("string").alias("text")).select("text", word_keys(F.col("text"), width, Bloom(wanted)).alias("k")).select("text", "k.*")
-        self.texts = written(keyed.filter("k1 IS NOT NULL").join(wanted, ["k1", "k2"]).select("node", "text").dropDuplicates(["node"]), "texts")
+        found = docs.select(t.cast("string").alias("text")).select("text", word_keys(F.col("text"), width, Bloom(wanted)).alias("k")).select("text", "k.*")
+        self.texts = written(found.filter("k1 IS NOT NULL").join(wanted, ["k1", "k2"]).select("node", "text").dropDuplicates(["node"]), "texts")
 
         # one star pair of each node, with the least node that it meets; then those of other buckets that are still apart
         star = shared.filter("node <> least")
@@ -216,14 +217,17 @@ class NearDuplicates:
             near = (placed.repartitionByRange("bucket", *order, "node").sortWithinPartitions("bucket", *order, "node")
                     .select("bucket", "node", "root").mapInArrow(_next_ones, "a long, b long").distinct())
             self._join(self._verified(near))
-        own = self._signed(shared.select("bucket", "band", "node", "least"), "node", "x", True)
-        other = self._signed(shared.select("bucket", "node"), "node", "y", True)
-        own = (own.join(root_of("node", "root"), "node", "left").join(root_of("least", "least_root"), "least", "left")
+        # rows are narrow until it is known which of them still meet
+        own = (shared.select("bucket", "band", "node", "least").join(root_of("node", "root"), "node", "left")
+               .join(root_of("least", "least_root"), "least", "left")
                .withColumn("root", F.coalesce("root", "node")).withColumn("least_root", F.coalesce("least_root", "least"))
-               .filter("root <> least_root").withColumnRenamed("node", "x").withColumnRenamed("root", "x_root").drop("least", "least_root"))
+               .filter("root <> least_root").drop("least", "least_root"))
         own = written(own, "unplaced")
-        other = other.join(own.select("bucket").distinct(), "bucket", "left_semi").join(root_of("node", "root"), "node", "left")
-        other = other.withColumn("root", F.coalesce("root", "node")).withColumnRenamed("bucket", "y_bucket")
+        met = own.select("bucket").distinct()
+        own = self._signed(own, "node", "x", True).withColumnRenamed("node", "x").withColumnRenamed("root", "x_root")
+        other = (shared.select("bucket", "node").join(met, "bucket", "left_semi").join(root_of("node", "root"), "node", "left")
+                 .withColumn("root", F.coalesce("root", "node")))
+        other = self._signed(other, "node", "y", True).withColumnRenamed("bucket", "y_bucket")
         # a pair counts in the first band that it shares
         again = F.arrays_overlap(F.slice("x_bands", F.lit(1), F.col("band")), F.slice("y_bands", F.lit(1), F.col("band")))
         cross = own.join(other, (F.col("bucket") == F.col("y_bucket")) & (F.col("x_root") != F.col("root"))
@@ -259,8 +263,9 @@ class NearDuplicates:
         self.roots = written(old.unionByName(new), "roots")
 
     def classes(self) -> DataFrame:
-        """(k1, k2, node, first, class): of each distinct text its least document, and the least document of its class."""
-        nodes = self.nodes.select("k1", "k2", "node", "first").join(self.roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        """(k1, k2, node, first, copies, class_id, is_keeper): of each distinct text its least document and number of
+        documents, the least document of its class, and whether this text is that one's."""
+        nodes = self.nodes.select("k1", "k2", "node", "first", "copies").join(self.roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         best = nodes.groupBy("root").agg(F.min("first").alias("class_id"), F.min(F.struct("first", "node")).alias("keeper"))
         return nodes.join(best, "root").withColumn("is_keeper", F.col("keeper.node") == F.col("node")).drop("keeper", "root")
 
@@ -269,14 +274,31 @@ class NearDuplicates:
         return (self.sketch.select("id", "k1", "k2", "n").join(self.classes(), ["k1", "k2"], "left")
                 .select(F.col("id").alias("doc_id"), F.when(F.col("n") > 0, F.col("class_id")).otherwise(F.col("id")).alias("class_id")))
 
+    def going(self) -> DataFrame:
+        """(d1, d2, stays) of the documents of all texts that lose any: d1 and d2 are hashes of its id and text, and
+        of the documents with those that stay one does."""
+        some = self.sketch.select("id", "d1", "d2", "k1", "k2").join(self.classes().filter("not is_keeper or copies > 1"), ["k1", "k2"])
+        best = some.filter(F.col("is_keeper") & F.col("id").eqNullSafe(F.col("first"))).groupBy("k1", "k2").agg(
+            F.min(F.struct("d1", "d2")).alias("best"))
+        return some.join(best, ["k1", "k2"], "left").select("d1", "d2", F.struct("d1", "d2").eqNullSafe(F.col("best")).alias("stays")).distinct()
+
 
 def drop_near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """``docs`` without all but one document (that of the least id) of each class; rows without words all stay."""
-    found = NearDuplicates(docs, id_column, text, **options)
-    keepers = found.classes().filter("is_keeper").select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2"), F.col("first").alias("_first"))
+    """``docs`` without all but one document (that of the least id) of each class; rows without words all stay.
+    Documents whose texts lose none do not move."""
+    going = written(NearDuplicates(docs, id_column, text, **options).going(), "going")
     docs, back = aside(docs, (id_column, text))
-    keyed = docs.withColumn("_key", word_keys(F.col(f"`{text}`"), found.width)).withColumn("_words", F.rlike(
-        F.coalesce(F.col(f"`{text}`"), F.lit("")), F.lit(r"[^\x20\x09-\x0D]")))
-    kept = (keyed.filter("_words").withColumn("_k1", F.col("_key.k1")).withColumn("_k2", F.col("_key.k2")).join(keepers, ["_k1", "_k2"])
-            .filter(F.col(f"`{id_column}`").eqNullSafe(F.col("_first"))).dropDuplicates(["_k1", "_k2"]))
-    return back(kept.select(docs.columns).unionByName(keyed.filter("not _words").select(docs.columns)))
+    some = Bloom(going, "d1", "d2")
+
+    @F.arrow_udf("boolean")
+    def may_go(d1: pa.Array, d2: pa.Array) -> pa.Array:
+        return pa.array(some.might_hold(d1.to_numpy(zero_copy_only=False), d2.to_numpy(zero_copy_only=False)))
+
+    # a null id and a null text have the same hashes as the other way round; texts without words all stay
+    words = F.coalesce(F.rlike(F.col(f"`{text}`").cast("string"), F.lit(r"[^\x20\x09-\x0D]")), F.lit(False))
+    all_ = keyed(docs, id_column, text).withColumn("_may", may_go("_d1", "_d2") & words)
+    met = all_.filter("_may").join(going.select(F.col("d1").alias("_d1"), F.col("d2").alias("_d2"), "stays"), ["_d1", "_d2"], "left")
+    # what only the Bloom filter took for one of them stays whatever the others do
+    met = met.filter("stays IS NULL OR stays").withColumn("_own", F.when(F.col("stays").isNull(), F.monotonically_increasing_id()))
+    kept = met.dropDuplicates(["_d1", "_d2", "_own"])
+    return back(kept.select(docs.columns).unionByName(all_.filter("not _may").select(docs.columns)))

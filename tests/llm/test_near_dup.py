@@ -180,3 +180,31 @@ def test_odd_tables(spark):
     kept = drop_near_duplicates(df).collect()
     assert sorted(r.doc_id or 0 for r in kept) == [0, 1, 2, 2, 3, 4, 6, 8] and kept[0].asDict().keys() == {"doc_id", "text", "node"}
     assert drop_near_duplicates(df.limit(0)).count() == 0
+
+
+def test_steps_leave_no_shuffle_files(spark):
+    from glob import glob
+    from time import sleep
+
+    from orrery.llm.tables import _CLEANUP, written
+
+    def ids():
+        local = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+        return {f.split("/")[-1] for d in local for f in glob(f"{d}/*/shuffle_*.data")}
+
+    before, setting = ids(), spark.conf.get(_CLEANUP)
+    written(spark.range(100_000).selectExpr("id % 1000 AS k", "id").groupBy("k").sum("id"), "sums")
+    for _ in range(50):
+        if ids() <= before:
+            break
+        sleep(0.1)
+    assert ids() <= before and spark.conf.get(_CLEANUP) == setting
+
+
+def test_texts_that_lose_no_document_do_not_move(spark):
+    text = " ".join(f"w{i}" for i in range(40))
+    rows = [(i, " ".join(f"d{i}x{j}" for j in range(40))) for i in range(20)] + [(30, text), (31, text), (32, text.upper()), (30, text), (None, text)]
+    rows += [(40, None), (41, ""), (41, " "), (41, " ")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = drop_near_duplicates(df).collect()
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, rows[:20] + [(30, text)] + rows[25:]))
