@@ -228,6 +228,16 @@ def _line_texts(text: Column, wanted: Bloom) -> Column:
     return udf(text)
 
 
+def _may_hold(keys: Bloom) -> Column:
+    """Whether ``keys`` may hold _d1 and _d2."""
+
+    @F.arrow_udf("boolean")
+    def udf(d1: pa.Array, d2: pa.Array) -> pa.Array:
+        return pa.array(keys.might_hold(d1.to_numpy(zero_copy_only=False), d2.to_numpy(zero_copy_only=False)))
+
+    return udf("_d1", "_d2")
+
+
 def _edit_alike(a: Column, b: Column, threshold: float) -> Column:
     @F.arrow_udf("boolean")
     def udf(x: pa.Array, y: pa.Array) -> pa.Array:
@@ -379,9 +389,9 @@ class LineDuplicates:
         own = self.keyed(docs).select(F.col(f"`{id_column}`").alias("id"), "_d1", "_d2", F.col(f"`{text}`").cast("string").alias("text"))
         found = own.select("id", "_d1", "_d2", F.explode(_sketched(F.col("text"), min_words)).alias("s")).select("id", "_d1", "_d2", "s.*")
         found = written(found.withColumn("row", F.monotonically_increasing_id()), "lines")
-        place = F.struct("id", "_d1", "_d2", "line")
-        nodes = written(found.groupBy("k1", "k2").agg(F.min("row").alias("node"), F.min(place).alias("place"), F.count("*").alias("n"),
-                                                      F.min("sim").alias("sim"), F.max("size").alias("size")), "line-nodes")
+        # numbers only, for which Spark aggregates without sorting; d1 and d2 are those of some document with the line
+        nodes = written(found.groupBy("k1", "k2").agg(F.min("row").alias("node"), F.count("*").alias("n"), F.min("sim").alias("sim"),
+                                                      F.max("size").alias("size"), F.first("_d1").alias("d1"), F.first("_d2").alias("d2")), "line-nodes")
 
         found_pairs = _rows(nodes).repartitionByRange("key", "node").sortWithinPartitions("key").mapInArrow(_close_pairs(threshold), "a long, b long, key long")
         found_pairs = written(found_pairs.withColumn("task", F.spark_partition_id()), "line-pairs")
@@ -397,7 +407,8 @@ class LineDuplicates:
         # every node that is close to another has a place in these pairs
         ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
         ends = written(nodes.join(ends, "node", "left_semi"), "line-ends")
-        text = docs.select(F.explode(_line_texts(F.col(f"`{text}`").cast("string"), Bloom(ends))).alias("s")).select("s.*")
+        some = self.keyed(docs).filter(_may_hold(Bloom(ends, "d1", "d2")))
+        text = some.select(F.explode(_line_texts(F.col(f"`{text}`").cast("string"), Bloom(ends))).alias("s")).select("s.*")
         texts = written(text.dropDuplicates(["k1", "k2"]).join(ends.select("k1", "k2", "node"), ["k1", "k2"]).select("node", "words"), "line-texts")
         first = written(self._verified(texts, pairs, threshold), "line-links")
         root = written(connected(first, "a", "b"), "line-roots")
@@ -407,10 +418,12 @@ class LineDuplicates:
 
         root = connected(self.links, "a", "b")
         linked = written(ends.join(root, "node"), "line-linked")
-        groups = linked.groupBy("root").agg(F.min("place").alias("keep"))
         alone = nodes.filter("n > 1").join(linked.select("node"), "node", "left_anti")
-        repeated = linked.join(groups, "root").select("k1", "k2", "keep").unionAll(alone.select("k1", "k2", F.col("place").alias("keep")))
-        self.gone = written(found.join(repeated, ["k1", "k2"]).filter(~place.eqNullSafe(F.col("keep")))
+        groups = linked.select("k1", "k2", "root").unionAll(alone.select("k1", "k2", F.col("node").alias("root")))
+        place = F.struct("id", "_d1", "_d2", "line")
+        members = written(found.join(groups, ["k1", "k2"]).select("root", "id", "_d1", "_d2", "line"), "line-members")
+        first_ones = members.groupBy("root").agg(F.min(place).alias("keep"))
+        self.gone = written(members.join(first_ones, "root").filter(~place.eqNullSafe(F.col("keep")))
                             .groupBy("id", "_d1", "_d2").agg(F.collect_set("line").alias("lines")), "lines-gone")
 
     def keyed(self, docs: DataFrame) -> DataFrame:
@@ -454,13 +467,7 @@ class LineDuplicates:
         into = into or self.text
         docs, back = aside(docs, (self.id, self.text), tuple(c for c in (into, removed) if c))
         all_ = self.keyed(docs)
-        some = Bloom(self.gone, "_d1", "_d2")
-
-        @F.arrow_udf("boolean")
-        def may_lose(d1: pa.Array, d2: pa.Array) -> pa.Array:
-            return pa.array(some.might_hold(d1.to_numpy(zero_copy_only=False), d2.to_numpy(zero_copy_only=False)))
-
-        all_ = all_.withColumn("_may", may_lose("_d1", "_d2"))
+        all_ = all_.withColumn("_may", _may_hold(Bloom(self.gone, "_d1", "_d2")))
         text = F.col(f"`{self.text}`").cast("string")
         names = [F.col(f"`{n}`") for n in dict.fromkeys([*docs.columns, into, *([removed] if removed else [])])]
         still, cut = all_.filter("not _may"), all_.filter("_may").join(self.gone.select("_d1", "_d2", "lines"), ["_d1", "_d2"], "left")

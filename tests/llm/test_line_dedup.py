@@ -199,3 +199,25 @@ def test_lines_go_from_a_slice_of_the_texts_at_a_time():
     want = [("a" * 99 + "\n") * (2000 - 1) if i % 2 else ("a" * 99 + "\n") * 2000 + f"é{i}" for i in range(100)]
     assert got.to_pylist() == [w[:-1] if i % 2 else w for i, w in enumerate(want)] + [None, "", "y"]
     assert left_lines(texts.slice(0, 0), numbers.slice(0, 0)).to_pylist() == []
+
+
+def test_only_texts_with_wanted_lines_are_read_again(spark, monkeypatch):
+    import orrery.llm.line_dedup as module
+
+    read, plain = spark.sparkContext.accumulator(0), module._line_texts
+
+    def counted(text, wanted):
+        @F.udf("string")
+        def seen(t):
+            read.add(1)
+            return t
+        return plain(seen(text), wanted)
+
+    monkeypatch.setattr(module, "_line_texts", counted)
+    near = "one two three four five six seven eight nine ten"
+    name = lambda i: chr(97 + i // 26) + chr(97 + i % 26)
+    rows = [(i, " ".join(f"{name(i)}q{name(j)}" for j in range(30))) for i in range(200)] + [(300, near), (301, near.upper() + "!"), (302, " ".join(reversed(near.split())))]
+    rows += [(303, "only\nshort"), (304, "only\nother"), (305, None)]
+    found = LineDuplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted((r.id, tuple(r.lines)) for r in found.gone.collect()) == [(301, (0,)), (304, (0,))]
+    assert 0 < read.value < 20
